@@ -111,3 +111,67 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 def per_doc(position: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """How many of the sorted positions lie before each of ``starts``: bounds of each document's share."""
     return np.searchsorted(position, starts)
+
+
+#: Units (bytes or words) of a text that one call of ``anchored`` takes; texts are cut with an overlap of a window.
+UNITS = 1 << 21
+_POSITION = _U((1 << 22) - 1)
+
+
+def anchored(values: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Groups of neighbouring windows that share their anchor: (row, start, count, name, digest).
+
+    ``values``: a 64-bit value of each unit; ``bounds``: where each row's units
+    start. A window's anchor is the leftmost of its runs of ``anchor`` units with
+    the least name, so equal windows have the same anchor at the same place.
+    ``name`` is the anchor's name, ``digest`` one of all units under the group.
+    """
+    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    if len(values) < window:
+        return none
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    whole = row[: len(values) - window + 1] == row[window - 1 :]
+    names = doubled(values, anchor)
+    least = sliding_min((names & ~_POSITION) | np.arange(len(names), dtype=np.uint64), window - anchor + 1) & _POSITION
+    edge = whole.copy()
+    edge[1:] &= (least[1:] != least[:-1]) | ~whole[:-1]
+    start = np.flatnonzero(edge)
+    if not len(start):
+        return none
+    ends = np.flatnonzero(whole & np.concatenate((~whole[1:] | edge[1:], [True]))) + 1
+    up, down = _POWERS.upto(len(values) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)])))
+    stop = ends + window - 1
+    digest = mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
+    return row[start], start - bounds[row[start]], ends - start, names[least[start].astype(np.int64)], digest
+
+
+def cut_rows(bounds: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """(first row, last row, first unit, last unit) of the parts that ``anchored`` works on; a long row comes in overlapping parts."""
+    parts, at, rows = [], 0, len(bounds) - 1
+    while at < rows:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + UNITS, side="right")) - 1)
+        if to == at + 1:
+            a, b = int(bounds[at]), int(bounds[to])
+            parts += [(at, to, x, min(b, x + UNITS)) for x in range(a, max(a + 1, b - window + 1), UNITS - window + 1)]
+        else:
+            parts.append((at, to, int(bounds[at]), int(bounds[to])))
+        at = to
+    return parts
+
+
+def groups(values: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """``anchored`` over any number of rows of any length."""
+    found = []
+    for first, last, a, b in cut_rows(bounds, window):
+        row, start, count, name, digest = anchored(values[a:b], np.clip(bounds[first : last + 1], a, b) - a, window, anchor)
+        if last == first + 1:
+            start = start + (a - bounds[first])
+        found.append((row + first, start, count, name, digest))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else anchored(values[:0], np.zeros(1, np.int64), window, anchor)
+
+
+def word_values(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of joined rows, and where each row's words start."""
+    first, last = words(data)
+    return word_hashes(data, first, last), np.searchsorted(first, starts)

@@ -15,6 +15,8 @@ from ticklake.llm.shared import read_table
 #: Hash buckets of words, and as many of character n-grams.
 BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
+#: All buckets; the last stands for a word that repeats the one before.
+TABLE = 2 * BUCKETS + 1
 DIM = 8
 #: Documents that the training reads at most, taken in seeded order from all labelled ones.
 SAMPLE = 2000
@@ -23,9 +25,12 @@ RATE = 2.0
 
 
 def features(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(positions, buckets)`` of the words, then of each n-gram size; n-grams stay inside words and count bytes."""
+    """``(positions, buckets)`` of the words, of words that repeat the one before (the one word bigram kept), and of each n-gram size; n-grams stay inside words and count bytes."""
     starts, ends = K.words(data)
-    yield starts, (K.word_hashes(data, starts, ends) % K._U(BUCKETS)).astype(np.int32)
+    hashes = K.word_hashes(data, starts, ends)
+    yield starts, (hashes % K._U(BUCKETS)).astype(np.int32)
+    again = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+    yield starts[again], np.full(len(again), 2 * BUCKETS, np.int32)
     names, have = K._LETTER[data], 1
     sizes = np.zeros(len(data), np.int32)
     if len(starts):
@@ -61,7 +66,7 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 0) ->
     softmax over the two labels.
     """
     rng = np.random.default_rng(seed)
-    table = ((rng.random((2 * BUCKETS, DIM)) - 0.5) / DIM).astype(np.float32)
+    table = ((rng.random((TABLE, DIM)) - 0.5) / DIM).astype(np.float32)
     out = np.zeros((DIM, 2), np.float32)
     good = sum(y for y, _, _ in examples)
     bias = np.log(np.array([len(examples) - good + 1.0, good + 1.0], np.float32))
@@ -111,7 +116,7 @@ class QualityModel:
         examples = [(r.y, np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.shares, "<f4")) for r in rows if len(r.buckets)]
         if len({y for y, _, _ in examples}) < 2:
             good = sum(y for y, _, _ in examples)
-            return cls(np.zeros(2 * BUCKETS, np.float32), float(np.log((good + 1) / (len(examples) - good + 1))))
+            return cls(np.zeros(TABLE, np.float32), float(np.log((good + 1) / (len(examples) - good + 1))))
         return cls(*train(examples, seed))
 
     def scores(self, column: pa.Array) -> np.ndarray:
