@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ticklake.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from ticklake.llm.mixing import op8_mix
+from ticklake.llm.ngram_join import op1_ngram_join
 from ticklake.llm.packing import op10_pack
 from ticklake.llm.quality import op9_quality
 from ticklake.llm.substring_dedup import op2_substring_dedup
@@ -11,6 +12,7 @@ from ticklake.llm.suffix_dedup import op5_suffix_dedup
 from ticklake.llm.url_filter import op7_url_filter
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
