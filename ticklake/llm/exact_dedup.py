@@ -71,14 +71,14 @@ def exact_dedup_rows(docs: DataFrame) -> DataFrame:
     Of repeated rows with one id and one text a single one stays.
     """
     judged = written(DigestIndex(docs.sparkSession).add(docs), "kept")
-    keep = judged.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
+    keep = judged.filter("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    left = docs.withColumn("_sha", sha)
-    hit = left.join(keep, left["doc_id"].eqNullSafe(keep["_id"]) & (left["_sha"] == keep["_kept_sha"]), "left_semi")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("row_id"), sha.alias("row_sha"))
+    hit = rows.join(keep, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_sha") == F.col("sha")), "left_semi")
     repeated = judged.groupBy("doc_id", "text_sha256").count().filter("count > 1")
     if not repeated.isEmpty():
-        hit = hit.dropDuplicates(["doc_id", "_sha"])
-    return hit.select(*docs.columns)
+        hit = hit.dropDuplicates(["row_id", "row_sha"])
+    return hit.select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,8 +191,9 @@ def mix(docs: DataFrame, weights=(1, 2, 3), seed: int = 0, sources: str = "sourc
 
 def mixed_rows(docs: DataFrame, weights=(1, 2, 3), seed: int = 0, sources: str = "source") -> DataFrame:
     """The mixture itself: each row of ``docs`` as often as the mix uses it, columns unchanged."""
-    rows = mixed(docs, weights, seed, sources).filter("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.col(sources).alias("source"))
+    used = mixed(rows, weights, seed, "source").filter("_copies > 0")
+    return used.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("row.*")
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

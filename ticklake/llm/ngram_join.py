@@ -282,7 +282,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     least = written(least, "classes")
     keyed = signed_rows.select("d", "g1", "g2").join(least, ["g1", "g2"]).drop("g1", "g2")
     out = rows.select("d", "doc_id").join(keyed, "d", "left").withColumn("root", F.coalesce("root", "d"))
-    if rows.schema.names and not same_keys(rows):
+    if not same_keys(rows):
         ids = rows.select(F.col("d").alias("root"), F.col("doc_id").alias("class_id"))
         out = out.join(ids, "root", "left")
     else:
@@ -295,12 +295,20 @@ def same_keys(rows: DataFrame) -> bool:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each class the document of least id stays; columns unchanged."""
-    judged = written(ngram_join(docs), "classes")
-    keep = judged.filter(F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id"))
-    if judged.filter("doc_id is null").isEmpty() and judged.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return docs.join(keep, docs["doc_id"] == keep["_id"], "left_semi")
-    raise ValueError("one_of_each needs unique doc_ids")
+    """The rows of ``docs`` without near duplicates: of each class the document of least id stays; columns unchanged.
+
+    Rows that repeat an id, or have none, are first numbered in order of id and
+    text; the least number stays.
+    """
+    ids = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("d"), "text")
+    if not ids.isEmpty():
+        order = [F.col("d").asc_nulls_last(), F.xxhash64("text")]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
+        rows = written(rows.withColumn("d", F.monotonically_increasing_id()), "numbered")
+    judged = written(ngram_join(rows.select(F.col("d").alias("doc_id"), "text")), "classes")
+    keep = judged.filter("class_id = doc_id").select(F.col("doc_id").alias("d"))
+    return rows.join(keep, "d", "left_semi").select("row.*")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from ticklake.llm.chat_format import OP3_SQL, op3_preference_format
 from ticklake.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from ticklake.llm.media import op6_chroma_fingerprints
 from ticklake.llm.mixing import op8_mix
 from ticklake.llm.ngram_join import op1_ngram_join
 from ticklake.llm.packing import op10_pack
@@ -14,11 +16,13 @@ from ticklake.llm.url_filter import op7_url_filter
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_preference_format": op3_preference_format,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_chroma_fingerprints": op6_chroma_fingerprints,
     "op7_url_filter": op7_url_filter,
     "op8_mix": op8_mix,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
 }
-SQL = {"op4_exact_dedup": OP4_SQL}
+SQL = {"op3_preference_format": OP3_SQL, "op4_exact_dedup": OP4_SQL}
