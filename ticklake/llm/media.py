@@ -21,7 +21,7 @@ CONTEXT = 8
 #: Quarter tones of a note: samples that one value of a derived recording sounds.
 NOTE = 512
 #: An alignment counts with a bit error rate up to ERRORS over at least OVERLAP numbers.
-ERRORS, OVERLAP = 0.1, 32
+ERRORS, OVERLAP = 0.15, 32
 
 #: The bank: each filter is (frames, first pitch class, pitch classes, how its rectangle is halved).
 FILTERS = [(w, c, h, kind) for kind in ("whole", "time", "pitch", "cross") for w, c, h in ((2, 0, 12), (4, 0, 6), (4, 6, 6), (8, 3, 6))]
@@ -102,6 +102,14 @@ def bit_errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of({"q": np.array(c["q"], np.int64), "r": np.array(c["r"], np.int64), "shift": np.array(c["shift"], np.int64), "votes": np.array(c["votes"], np.int64), "overlap": n, "ber": bits / np.maximum(32 * n, 1)})
 
 
+def classes_of(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Recordings with equal fingerprints: ``(id, r)`` for each, and ``(r, prints)`` for each class, r its least id."""
+    key = [F.xxhash64("prints").alias("h"), F.hash("prints").alias("g")]
+    rows = written(prints.filter("id is not null and size(prints) > 0").select("id", *key, "prints"), "prints")
+    reps = written(rows.groupBy("h", "g").agg(F.min("id").alias("r"), F.first("prints").alias("prints")), "classes")
+    return written(rows.select("id", "h", "g").join(reps.select("h", "g", "r"), ["h", "g"]).select("id", "r"), "members"), reps.select("r", "prints")
+
+
 def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
     """Recordings of ``prints`` that align with a recording of ``queries`` (both: id, prints).
 
@@ -109,16 +117,12 @@ def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
     query shares with a recording vote for their offset; the offset with the most
     votes (ties: least shift) is checked by its bit errors. Returns query_id, id,
     shift, votes, overlap and ber for alignments with a rate up to ERRORS over
-    OVERLAP numbers or more, each recording of a class by itself, a query not with
-    itself. Rows without an id or numbers align with nothing.
+    OVERLAP numbers or more, each recording of a class by itself. Rows without an
+    id or numbers align with nothing.
     """
-    some = prints.filter("id is not null and size(prints) > 0").select("id", "prints")
-    asked = queries.filter("id is not null and size(prints) > 0").select("id", "prints").distinct()
-    member = written(some.select("id", F.xxhash64("prints").alias("h"), F.hash("prints").alias("g"), "prints"), "prints")
-    reps = written(member.groupBy("h", "g").agg(F.min("id").alias("r"), F.first("prints").alias("prints")), "classes")
-    wanted = asked.select(F.col("id").alias("query_id"), F.xxhash64("prints").alias("h"), F.hash("prints").alias("g")).join(reps.select("h", "g", F.col("r").alias("q")), ["h", "g"]).select("query_id", "q")
-    wanted = written(wanted, "queries")
-    searched = reps.join(wanted.select(F.col("q").alias("r")).distinct(), "r", "left_semi").select(F.col("r").alias("q"), F.posexplode("prints").alias("i", "number"))
+    member, reps = classes_of(prints)
+    wanted, asked = classes_of(queries)
+    searched = asked.select(F.col("r").alias("q"), F.posexplode("prints").alias("i", "number"))
     numbers = reps.select("r", F.posexplode("prints").alias("j", "number"))
     # a number's places in one recording are listed, so that a shared number costs a row for each recording
     asked_at = searched.groupBy("number", "q").agg(F.collect_list("i").alias("at"))
@@ -126,18 +130,19 @@ def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
     votes = asked_at.join(known_at, "number").select("q", "r", F.explode(F.flatten(F.transform("at", lambda i: F.transform("to", lambda j: i - j)))).alias("shift"))
     best = Window.partitionBy("q", "r").orderBy(F.desc("votes"), "shift")
     votes = votes.groupBy("q", "r", "shift").agg(F.count("*").alias("votes")).withColumn("rank", F.row_number().over(best)).filter("rank = 1").drop("rank")
-    both = votes.join(reps.select(F.col("r").alias("q"), F.col("prints").alias("a")), "q").join(reps.select("r", F.col("prints").alias("b")), "r")
+    both = votes.join(asked.select(F.col("r").alias("q"), F.col("prints").alias("a")), "q").join(reps.select("r", F.col("prints").alias("b")), "r")
     checked = both.mapInArrow(bit_errors, "q long, r long, shift long, votes long, overlap long, ber double")
     good = written(checked.filter((F.col("ber") <= ERRORS) & (F.col("overlap") >= OVERLAP)), "aligned")
-    classes = member.select("h", "g", "id").join(reps.select("h", "g", "r"), ["h", "g"]).select("r", "id")
-    out = good.join(classes, "r").join(wanted, "q").filter("id <> query_id")
+    out = good.join(member, "r").join(wanted.select(F.col("r").alias("q"), F.col("id").alias("query_id")), "q")
     return out.select("query_id", "id", "shift", "votes", "overlap", "ber")
 
 
-def recordings(embeddings: DataFrame) -> DataFrame:
+def recordings(embeddings: DataFrame, first: int = 0, last: int | None = None, noise: int = 0) -> DataFrame:
     """``(id, media)``: a recording derived from each vector, a tone of NOTE samples for each value.
 
-    The value's standing among the vector's values picks one of 24 semitones from 220 Hz.
+    The value's standing among the vector's values picks one of 24 semitones from
+    220 Hz. ``first`` and ``last`` cut an excerpt of values; ``noise`` is the range
+    of the noise added to it, seeded by the id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,16 +150,21 @@ def recordings(embeddings: DataFrame) -> DataFrame:
         tones = (np.sin(2 * np.pi * 220.0 * 2 ** (np.arange(24) / 12)[:, None] * time) * 12000).astype("<i2")
         for batch in batches:
             made = []
-            for vector in batch.column("embedding").to_pylist():
+            for key, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
                 x = np.nan_to_num(np.array([v or 0.0 for v in vector or []], float))
-                note = np.clip(np.round((x / max(x.std(), 1e-9) + 2.5) * 24 / 5), 0, 23).astype(int) if len(x) else []
-                made.append(tones[note].tobytes() if len(x) else b"")
+                note = np.clip(np.round((x / max(x.std(), 1e-9) + 2.5) * 24 / 5), 0, 23).astype(int)[first:last] if len(x) else []
+                samples = tones[note].ravel() if len(note) else np.zeros(0, "<i2")
+                if noise:
+                    samples = (samples + np.random.default_rng(abs(key or 0)).integers(-noise, noise, len(samples))).astype("<i2")
+                made.append(samples.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").cast(pa.int64()), pa.array(made, pa.binary())], names=["id", "media"])
 
     return embeddings.select("vec_id", "embedding").mapInArrow(run, "id long, media binary")
 
 
 def op6_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignments of every recording whose id is divisible by 50 with all recordings."""
-    prints = written(fingerprints(recordings(read_table(spark, sf_dir, "embeddings"))), "fingerprints")
-    return align(prints, prints.filter("id % 50 = 0"))
+    """Where noisy excerpts of the recordings whose id is divisible by 50 align with all recordings."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    known = fingerprints(recordings(vectors))
+    asked = fingerprints(recordings(vectors.filter("vec_id % 50 = 0"), first=16, last=56, noise=600))
+    return align(known, asked)
