@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from ticklake.plans import tape_queries
+
+QUERIES: dict = {**tape_queries.QUERIES}
+SQL: dict[str, str] = {**tape_queries.SQL}
