@@ -16,22 +16,26 @@ def merge(spans: DataFrame, *key: str) -> DataFrame:
     return rows.groupBy(*key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
-def intersect(a: DataFrame, b: DataFrame, *key: str) -> DataFrame:
-    """What both cover, in pieces of positive length."""
-    a, b = merge(a, *key), merge(b, *key)
+def intersect(a: DataFrame, b: DataFrame, *key: str, disjoint: bool = False) -> DataFrame:
+    """What both cover, in pieces of positive length. ``disjoint``: the spans of either side don't overlap, so they needn't be merged."""
+    if not disjoint:
+        a, b = merge(a, *key), merge(b, *key)
     other = b.withColumnsRenamed({"start": "_s", "end": "_e"})
     both = a.join(other, list(key)).filter("start < _e and _s < end")
     return both.select(*key, F.greatest("start", "_s").alias("start"), F.least("end", "_e").alias("end"))
 
 
-def subtract(a: DataFrame, b: DataFrame, *key: str) -> DataFrame:
-    """What ``a`` covers and ``b`` doesn't."""
-    a = merge(a, *key).withColumnsRenamed({"start": "_s", "end": "_e"})
-    cuts = a.join(merge(b, *key), list(key)).filter("start < _e and _s < end")
+def subtract(a: DataFrame, b: DataFrame, *key: str, disjoint: bool = False) -> DataFrame:
+    """What ``a`` covers and ``b`` doesn't. ``disjoint`` as in ``intersect``."""
+    if not disjoint:
+        a, b = merge(a, *key), merge(b, *key)
+    a = a.select(*key, "start", "end").filter("start < end").withColumnsRenamed({"start": "_s", "end": "_e"})
+    cuts = a.join(b.select(*key, "start", "end").filter("start < end"), list(key)).filter("start < _e and _s < end")
     w = Window.partitionBy(*key, "_s").orderBy("start")
     holes = cuts.select(*key, "_s", F.col("end").alias("start"), F.coalesce(F.lead("start").over(w), F.col("_e")).alias("end"))
     heads = cuts.groupBy(*key, "_s").agg(F.min("start").alias("end")).withColumn("start", F.col("_s"))
     whole = a.join(cuts.select(*key, "_s").distinct(), [*key, "_s"], "left_anti").select(*key, F.col("_s").alias("start"), F.col("_e").alias("end"))
+    # a cut that begins before its span leaves no head; the filter below drops it
     rest = holes.select(*key, "start", "end").unionByName(heads.select(*key, "start", "end")).unionByName(whole)
     return rest.filter("start < end")
 
