@@ -78,7 +78,7 @@ def coverage_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     its first half, every eleventh blocks the disk for a minute; an error
     disconnects its symbol's trades for a minute.
     """
-    e = events(spark, sf_dir).withColumn("h", F.expr(f"recv_ns div {HOUR}"))
+    e = events(spark, sf_dir).withColumn("h", F.expr(f"recv_ns div {HOUR}")).persist()
     hour = F.date_format(F.timestamp_seconds(F.col("h") * 3600), "yyyy-MM-dd'T'HH").alias("hour")
     start, end = F.col("h") * HOUR, (F.col("h") + 1) * HOUR
     hours = e.select("h").distinct()
@@ -87,7 +87,7 @@ def coverage_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     whole = F.substring("symbol", 2, 9).cast("int") % 3 == 0
     first = first.withColumn("start", F.when(whole, start).otherwise(F.col("start")))
     grants = first.select(hour, F.lit(1).alias("rec"), F.lit("all").alias("tier"), "symbol", feeds.alias("feed"), "start", end.alias("end"))
-    grants = grants.withColumn("topic", F.concat_ws(".", "feed", "symbol"))
+    grants = grants.withColumn("topic", F.concat_ws(".", "feed", "symbol")).persist()
     minute = 60 * 10**9
     return {
         "hours": hours.select(hour, start.alias("start"), end.alias("end")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticklake.plans import history_queries, tape_queries
+from ticklake.plans import history_queries, lake_queries, tape_queries
 
-QUERIES: dict = {**tape_queries.QUERIES, **history_queries.QUERIES}
-SQL: dict[str, str] = {**tape_queries.SQL, **history_queries.SQL}
+QUERIES: dict = {**tape_queries.QUERIES, **history_queries.QUERIES, **lake_queries.QUERIES}
+SQL: dict[str, str] = {**tape_queries.SQL, **history_queries.SQL, **lake_queries.SQL}

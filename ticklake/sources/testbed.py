@@ -116,3 +116,29 @@ lv AS (
   UNION ALL SELECT symbol, seq, recv_ns, i, epoch, 'ask', 1, p + 2, 2.0 FROM v WHERE valid AND snapshot
   UNION ALL SELECT symbol, seq, recv_ns, i, epoch, 'ask', 2, p + 3, 3.0 FROM v WHERE valid AND snapshot)
 """
+
+
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as raw venue frames: even users on one venue, odd ones on the other."""
+    e = events(spark, sf_dir)
+    bybit = F.substring("symbol", 2, 9).cast("int") % 2 == 0
+    ms = F.expr("recv_ns div 1000000 - 3").cast("string")
+    v, q = F.col("value").cast("string"), (1 + F.col("k") % 5).cast("string")
+    buy = F.col("seq") % 2 == 0
+    low = F.lower("symbol")
+    liquid, ticker = F.col("event_type") == "error", F.col("event_type") == "signup"
+    side = F.when(buy, "Buy").otherwise("Sell")
+    first = (
+        F.when(liquid, F.format_string('{"topic":"allLiquidation.%s","ts":%s,"data":[{"s":"%s","S":"%s","T":%s,"v":"%s","p":"%s"}]}', "symbol", ms, "symbol", side, ms, q, v))
+        .when(ticker, F.format_string('{"topic":"tickers.%s","type":"%s","ts":%s,"cs":%d,"data":{"symbol":"%s","markPrice":"%s","lastPrice":"","openInterest":"%d"}}', "symbol", F.when(buy, "snapshot").otherwise("delta"), ms, "k", "symbol", v, "k"))
+        .otherwise(F.format_string('{"topic":"publicTrade.%s","ts":%s,"data":[{"s":"%s","S":"%s","T":%s,"i":"t%d","p":"%s","v":"%s"}]}', "symbol", ms, low, side, ms, "seq", v, q))
+    )
+    second = (
+        F.when(liquid, F.format_string('{"stream":"!forceOrder@arr","data":{"E":%s,"o":{"s":"%s","S":"%s","q":"%s","p":"%s","T":%s}}}', ms, "symbol", F.when(buy, "SELL").otherwise("BUY"), q, v, ms))
+        .when(ticker, F.format_string('{"stream":"%s@markPrice@1s","data":{"s":"%s","E":%s,"p":"%s","i":"x","r":"","T":0}}', low, "symbol", ms, v))
+        .otherwise(F.format_string('{"stream":"%s@trade","data":{"s":"%s","E":%s,"T":%s,"t":%d,"p":"%s","q":"%s","m":%s,"X":"%s"}}', low, "symbol", ms, ms, "seq", v, q, F.when(buy, "false").otherwise("true"), F.when(F.col("k") % 7 == 0, "NA").otherwise("MARKET")))
+    )
+    return e.select(
+        F.when(bybit, "bybit").otherwise("binance").alias("venue"), F.when(bybit, first).otherwise(second).alias("raw"), "recv_ns",
+        F.col("recv_ns").alias("mono_ns"), F.col("seq").alias("arrival_seq"), F.lit("all").alias("tier"),
+    )
