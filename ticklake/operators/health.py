@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: A status older than this is stale.
 FRESH_MS = 120_000
@@ -18,7 +19,7 @@ STATUS = (
 )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def fixed(value: pd.Series, digits: pd.Series) -> pd.Series:
     """Rounded as fixed formatting does: on the binary value, ties to even. No built-in rounds so."""
     return pd.Series([None if pd.isna(v) else float(f"{v:.{int(d)}f}") for v, d in zip(value, digits, strict=True)], dtype="float64")

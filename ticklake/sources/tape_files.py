@@ -36,7 +36,8 @@ def day_range(start: str, end: str) -> list[str]:
 def globs(root: str, hours: list[str] | None, symbols: list[str] | None, name: str) -> list[str]:
     """Path patterns of some hours and symbols, so that only their files are listed."""
     days = [f"{h[:10]}/{h[11:13]}" for h in hours] if hours else ["*/*"]
-    return [f"{root}/{d}/{s}/{name}" for d in days for s in ([x.upper() for x in symbols] if symbols else ["*"])]
+    letters = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in x) for x in symbols] if symbols else ["*"]
+    return [f"{root}/{d}/{s}/{name}" for d in days for s in letters]
 
 
 def located(rows: DataFrame) -> DataFrame:
@@ -55,7 +56,9 @@ def read_json_tape(spark: SparkSession, root: str, hours: list[str] | None = Non
     reader = spark.read.schema(f"{TAPE}, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
     rows = located(reader.json(globs(root, hours, symbols, "segment-*"))).filter(F.col("dir") != META)
     good = rows.filter("_bad is null").drop("_bad").withColumn("symbol", F.upper(F.coalesce("symbol", "dir"))).withColumnRenamed("line", "seq").drop("dir")
-    return good, rows.filter("_bad is not null").select("day", "hour", "dir", "member", "line", "_bad")
+    # Spark refuses to read the corrupt column alone, so another one goes with it
+    text = F.concat("_bad", F.coalesce(F.substring("kind", 1, 0), F.lit("")))
+    return good, rows.filter("_bad is not null").select("day", "hour", "dir", "member", "line", text.alias("_bad"))
 
 
 def skipped(bad: DataFrame) -> DataFrame:
@@ -124,14 +127,12 @@ def file_digests(spark: SparkSession, root: str) -> DataFrame:
 def read_meta(spark: SparkSession, root: str, hours: list[str] | None = None) -> DataFrame:
     """Instrument and ticker snapshots, a row for each table row as a map."""
     schema = "kind string, venue string, market string, recorded_at_ns bigint, rows array<map<string,string>>"
-    paths = globs(root, hours, [META.upper()], "*")
-    docs = spark.read.schema(schema).json([p.replace(f"/{META.upper()}/", f"/{META}/") for p in paths])
+    docs = spark.read.schema(schema).json(globs(root, hours, [META], "*"))
     return docs.filter(F.col("kind").isin("instruments_snapshot", "tickers_snapshot")).select("kind", "venue", "market", "recorded_at_ns", F.explode("rows").alias("row"))
 
 
 def read_coverage(spark: SparkSession, root: str, hours: list[str] | None = None) -> DataFrame:
-    paths = globs(root, hours, [META.upper()], "coverage-*")
-    return spark.read.schema(RECORD).json([p.replace(f"/{META.upper()}/", f"/{META}/") for p in paths])
+    return spark.read.schema(RECORD).json(globs(root, hours, [META], "coverage-*"))
 
 
 def fold_receipts(receipts: DataFrame, order: str = "line") -> DataFrame:
