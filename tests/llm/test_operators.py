@@ -1,0 +1,367 @@
+"""Each operator against brute force on small, awkward tables: nulls, empty and long texts, ties, repeated rows, clashing columns."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ticklake.llm import chat_format, exact_dedup, media, mixing, ngram_join, packing, quality, substring_dedup, suffix_dedup, url_filter
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, d string, size string, _h string, digest string"
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(n))
+
+
+def awkward(unique_ids=True):
+    rng = random.Random(3)
+    base = [words(rng, n) for n in (400, 60, 60, 30, 12, 13, 14, 3, 1)]
+    passage = words(rng, 40)
+    texts = [*base, base[0], base[1], base[1] + " tail", "head " + base[2], base[3].replace(" ", "\t", 2), None, "", " \n ", passage + " " + words(rng, 9), words(rng, 9) + " " + passage]
+    texts += [f"{passage} {words(rng, 5)}" for _ in range(6)] + ["ab " * 300, "ab " * 300 + "c", "ä ß 漢字 " * 40, "a" * 5000, "a" * 350, base[4] + "\n" + base[4]]
+    long = words(rng, 3000).split()
+    texts += [" ".join(long), " ".join(long[:1500] + ["x"] + long[1500:])]
+    rows = [(i * 3 + 1, t, "en" if i % 3 else None, f"s{i % 4}" if i % 5 else None, len(t or ""), "x", "y", "z", "w") for i, t in enumerate(texts)]
+    if not unique_ids:
+        rows += [rows[0], rows[1], (None, base[1], None, None, None, None, None, None, None), (None, "other text", None, None, 3, None, None, None, None), (4, base[5] + " changed", "en", "s1", 1, "x", "y", "z", "w")]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(awkward(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def messy(spark):
+    return spark.createDataFrame(awkward(False), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def texts_of(df):
+    return {r.doc_id: r.text or "" for r in df.select("doc_id", "text").collect()}
+
+
+def sha(b):
+    return hashlib.sha256(b).hexdigest()
+
+
+def test_exact_dedup(docs, messy, none):
+    texts = texts_of(docs)
+    got = {r.doc_id: r for r in exact_dedup.DigestIndex(docs.sparkSession).add(docs).collect()}
+    assert len(got) == len(texts)
+    for i, t in texts.items():
+        same = [j for j, x in texts.items() if x == t]
+        r = got[i]
+        assert (r.keep_id, r.group_size, r.kept, r.text_sha256) == (max(same), len(same), i == max(same), sha(t.encode()))
+    rows = exact_dedup.DigestIndex(docs.sparkSession).add(messy).collect()
+    assert len(rows) == messy.count()
+    assert sum(r.kept for r in rows) == len({r.text_sha256 for r in rows})
+    kept = exact_dedup.exact_dedup_rows(messy)
+    assert kept.columns == messy.columns and kept.count() == len({r.text_sha256 for r in rows})
+    assert exact_dedup.DigestIndex(docs.sparkSession).add(none).count() == 0
+
+
+def test_digest_index_keeps_earlier_batches(docs):
+    index = exact_dedup.DigestIndex(docs.sparkSession)
+    first, second = docs.filter("doc_id < 40"), docs.filter("doc_id >= 40")
+    index.add(first).count()
+    again = exact_dedup.DigestIndex(docs.sparkSession, path=index.path, buckets=index.buckets)
+    got = again.add(second).collect()
+    before = set(t for i, t in texts_of(first).items())
+    for r in got:
+        if texts_of(second)[r.doc_id] in before:
+            assert not r.kept and r.keep_id < 40
+    assert again.rows().count() == len(set(texts_of(docs).values()))
+
+
+def brute_bytes(rows, n):
+    seen, out = set(), []
+    for i, t in rows:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for s in range(len(b) - n + 1):
+            if b[s : s + n] in seen:
+                gone[s : s + n] = b"\1" * n
+            seen.add(b[s : s + n])
+        spans = sum(1 for k in range(len(b)) if gone[k] and (k == 0 or not gone[k - 1]))
+        out.append((i, len(b), sum(gone), spans, sha(bytes(x for x, y in zip(b, gone) if not y))))
+    return sorted(out, key=str)
+
+
+def in_order(df):
+    """Rows as the operators order them when ids repeat or are null; ties of one id have no defined order but for their text."""
+    return sorted(((r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()), key=lambda r: (r[0] is None, r[0] or 0))
+
+
+def test_suffix_dedup(docs, messy, none):
+    got = sorted((tuple(r) for r in suffix_dedup.suffix_dedup(docs).collect()), key=str)
+    assert got == brute_bytes(in_order(docs), 100)
+    r = suffix_dedup.suffix_dedup(messy, texts=True).collect()
+    assert len(r) == messy.count() and all(sha(bytes(x.kept)) == x.kept_sha256 for x in r)
+    assert sum(x.n_removed for x in r) == sum(x[2] for x in brute_bytes(in_order(messy), 100))
+    assert suffix_dedup.suffix_dedup(none).count() == 0
+
+
+def test_suffix_dedup_long_texts_are_cut(docs, monkeypatch):
+    from ticklake.llm import kernels
+
+    values = np.random.default_rng(0).integers(0, 3, 5000, dtype=np.uint64)
+    bounds = np.array([0, 4000, 4010, 5000])
+    whole = kernels.groups(values, bounds, 30, 8)
+    monkeypatch.setattr(kernels, "UNITS", 500)
+    cut = kernels.groups(values, bounds, 30, 8)
+    for found in (whole, cut):
+        assert sum(found[2]) == sum(max(0, n - 29) for n in np.diff(bounds))
+
+
+def brute_words(rows, n):
+    first, out = {}, []
+    for order, (i, t) in enumerate(rows):
+        w = t.encode().split()
+        gone = [False] * len(w)
+        for s in range(len(w) - n + 1):
+            if first.setdefault(tuple(w[s : s + n]), order) < order:
+                gone[s : s + n] = [True] * n
+        out.append((i, len(w), sum(gone), sha(b" ".join(x for x, y in zip(w, gone) if not y))))
+    return sorted(out, key=str)
+
+
+def test_substring_dedup(docs, messy, none):
+    got = sorted((tuple(r) for r in substring_dedup.substring_dedup(docs).collect()), key=str)
+    assert got == brute_words(in_order(docs), 13)
+    r = substring_dedup.substring_dedup(messy, texts=True).collect()
+    assert len(r) == messy.count() and all(sha(x.kept.encode()) == x.kept_sha256 for x in r)
+    assert sum(x.n_removed for x in r) == sum(x[2] for x in brute_words(in_order(messy), 13))
+    assert substring_dedup.substring_dedup(none).count() == 0
+
+
+def test_fm_index_against_brute_force():
+    from ticklake.llm.fm_index import FMIndex
+
+    rng = np.random.default_rng(5)
+    rows = [rng.integers(0, 3, rng.integers(4, 30)).astype(np.uint64) for _ in range(40)]
+    bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
+    labels = rng.permutation(40)
+    starts = np.concatenate([np.arange(bounds[i], bounds[i + 1] - 3) for i in range(40)])
+    got = FMIndex(np.concatenate(rows), bounds, labels, 4).smallest_label(starts, 4)
+    where = {}
+    for i, r in enumerate(rows):
+        for s in range(len(r) - 3):
+            where.setdefault(tuple(r[s : s + 4]), []).append(labels[i])
+    text = np.concatenate(rows)
+    assert got.tolist() == [min(where[tuple(text[s : s + 4])]) for s in starts]
+
+
+def brute_join(rows):
+    sets = {}
+    for i, t in rows:
+        w = t.encode().split()
+        sets[i] = frozenset([tuple(w)] if 0 < len(w) < 5 else [tuple(w[k : k + 5]) for k in range(len(w) - 4)])
+    root = {i: i for i in sets}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    links = dict.fromkeys(sets, 0)
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: (find(i), links[i]) for i in sets}
+
+
+def near_copies(spark):
+    rng = random.Random(11)
+    rows, i = [], 0
+    for _ in range(12):
+        base = words(rng, rng.randint(30, 120)).split()
+        for _ in range(rng.randint(1, 7)):
+            w = list(base)
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(len(w))] = "zz" + str(rng.random())
+            rows.append((i, " ".join(w)))
+            i += 1
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_ngram_join(spark, docs, messy, none, monkeypatch):
+    for table in (docs, near_copies(spark)):
+        got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_join(table).collect()}
+        assert got == brute_join(in_order(table))
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 2)  # large groups come in blocks
+    table = near_copies(spark)
+    assert {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_join(table).collect()} == brute_join(in_order(table))
+    assert ngram_join.ngram_join(messy).count() == messy.count()
+    kept = ngram_join.one_of_each(messy)
+    assert kept.columns == messy.columns and 0 < kept.count() < messy.count()
+    assert ngram_join.ngram_join(none).count() == 0
+
+
+def test_bayesian_limits():
+    needed = dict(ngram_join.least_matches())
+    assert all(0 < m < 0.8 * n for n, m in needed.items())
+    rng = np.random.default_rng(0)
+    for n, m in needed.items():  # pairs at the threshold hardly ever fall below
+        assert (rng.binomial(n, 0.8, 200_000) < m).mean() < 1e-4
+
+
+def test_mix(docs, messy, none):
+    rows = mixing.mix(docs).collect()
+    assert rows and sorted(map(str, mixing.mix(docs).collect())) == sorted(map(str, rows))
+    source = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    size = {i: len(t.encode().split()) for i, t in texts_of(docs).items()}
+    names = sorted(set(source.values()), key=lambda s: (s is None, s or ""))
+    sizes = {s: sum(n for i, n in size.items() if source[i] == s) for s in names}
+    targets = mixing.share_out(sizes, {s: (1, 2, 3)[k % 3] for k, s in enumerate(names)})
+    assert abs(sum(targets.values()) - sum(sizes.values())) < 1e-6 and all(targets[s] <= 3 * sizes[s] + 1e-9 for s in names)
+    for r in rows:
+        assert r.size == size[r.doc_id] and r.source_size == sizes[source[r.doc_id]] and abs(r.target - targets[source[r.doc_id]]) < 1e-6 and r.taken <= 3 * r.size
+    for s in names:
+        taken = sum(r.taken for r in rows if source[r.doc_id] == s)
+        assert abs(taken - targets[s]) <= max(size[i] for i in size if source[i] == s)
+    assert mixing.mix(messy).count() == messy.count() and mixing.mix(none).count() == 0
+    assert mixing.mixed_rows(messy).columns == messy.columns and mixing.mixed_rows(none).count() == 0
+
+
+def test_route_prefers_first_uses_and_overlaps():
+    flow = mixing.route({("a",): 100, ("a", "b"): 100, ("b",): 10}, {"a": 150, "b": 60})
+    assert sum(flow.values()) == 210 and all(flow[p] <= n for p, n in {("a",): 100, ("a", "b"): 100, ("b",): 10}.items())
+    assert mixing.route({("a",): 10}, {"a": 30}) == {("a",): 30}
+    assert mixing.route({("a",): 10}, {"a": 90}) == {("a",): 30}
+
+
+def test_mix_overlapping_sources(spark):
+    rows = [(i, "w " * (i % 7 + 1), ["a"] if i % 3 else ["a", "b"]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
+    got = mixing.mix(df).collect()
+    assert len(got) == 300 and abs(sum(r.taken for r in got) - sum(r.size for r in got)) < 30
+
+
+def test_quality_learns_held_out_rows(spark, none):
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        text = " ".join((w + "###") if bad else w for w in words(rng, 40).split())
+        rows.append((i, None if i == 7 else text))
+        if i % 2 == 0 or i < 100:
+            labels.append((i, 0 if bad else 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id long, quality int")
+    model = quality.QualityModel.fit(docs, known)
+    got = {r.doc_id: r for r in model.score(docs).collect()}
+    assert len(got) == 400 and all(0 <= r.score <= 1 for r in got.values())
+    assert np.mean([(got[i].score >= 0.5) == bool(i % 4) for i in range(400) if i not in dict(labels)]) > 0.97
+    assert model.keep(docs.withColumn("score", F.lit(1))).columns == ["doc_id", "text", "score"]
+    assert model.score(none).count() == 0
+    unlabelled = quality.QualityModel.fit(docs, known.limit(0))
+    assert {r.score for r in unlabelled.score(docs).collect()} == {0.5}
+
+
+def test_pack_round_trip(docs, messy, none):
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    for table in (docs, messy):
+        rows = packing.pack(table, path).collect()
+        ids = {}
+        for i, t in in_order(table):
+            ids.setdefault(i, []).append([*tokenizer.encode(t, add_special_tokens=False).ids, 1])
+        assert sum(r.length for r in rows) == sum(len(x) for xs in ids.values() for x in xs)
+        for r in rows:
+            want = {zlib.crc32(np.array(x[r.start : r.start + r.length], "<u4").tobytes()) for x in ids[r.doc_id] if len(x) == r.doc_tokens}
+            assert r.ids_crc32 in want
+        by = {}
+        for r in rows:
+            by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for parts in by.values():
+            end = 0
+            for offset, length in sorted(parts):
+                assert offset == end
+                end += length
+            assert end <= packing.SEQUENCE
+        assert len(by) <= -(-sum(r.length for r in rows) // packing.SEQUENCE) + 1
+    assert packing.pack(none, path).count() == 0
+
+
+def test_pack_balances_cost():
+    rng = random.Random(2)
+    lengths = [rng.randint(1, 1500) for _ in range(3000)]
+    parts = packing.place(lengths, [n <= packing.FILLER for n in lengths])
+    used, spent = {}, {}
+    for n, ps in zip(lengths, parts):
+        assert sum(p[3] for p in ps) == n
+        for b, _, _, k in ps:
+            used[b] = used.get(b, 0) + k
+            spent[b] = spent.get(b, 0) + packing.cost(k)
+    assert max(used.values()) <= packing.SEQUENCE and len(used) <= sum(lengths) / packing.SEQUENCE * 1.05 + 1
+    assert np.std(list(spent.values())) < 0.15 * np.mean(list(spent.values()))
+
+
+def test_encoder_equals_the_tokenizer():
+    encoder = packing.Encoder(packing.default_tokenizer())
+    texts = ["", "  ", "a  b", "\na", "a\n", "a \nb", "foo, bar.\nqux.", "x\ty z", "don't. I'll", "<|endoftext|> a", "\0a b", "a\x01", "trail. ", "é. ×, 3, x.5", "漢字。 ab"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want == encoder.encode(texts)
+
+
+def test_url_filter(spark):
+    urls = ["http://a.net/x", "https://EXAMPLE.net/en/1?q=1", "http://m.example.com/de/5.html", "http://x.org/fr/9#t", "http://y.org/en/7", None, "no scheme", "http://b.net", "http://b.net?x", "ftp://u@h.example.com:80/de/"]
+    urls += [f"http://shop.test/p{i}/spam" for i in range(20)] + [f"http://shop.test/item/{i}" for i in range(20)]
+    pages = spark.createDataFrame([*enumerate(urls), (0, urls[0])], "page_id long, url string").withColumn("host", F.lit("clash"))
+    got = {r.page_id: r for r in url_filter.judge_urls(pages).collect()}
+    want = {0: ("a.net", "/x", "net/", "block"), 1: ("example.net", "/en/1", "example.net/en/", "allow"), 2: ("m.example.com", "/de/5.html", "example.com/de/", "block"), 3: ("x.org", "/fr/9", "org/fr/", "allow"),
+            4: ("y.org", "/en/7", None, "allow"), 5: ("", "", None, "allow"), 6: ("", "", None, "allow"), 7: ("b.net", "", None, "allow"), 8: ("b.net", "", None, "allow"), 9: ("u@h.example.com:80", "/de/", None, "allow")}
+    for i, w in want.items():
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == w
+    labels = spark.createDataFrame([(i, 1) for i in range(10, 20)] + [(i, 0) for i in range(30, 45)], "page_id long, bad int")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages, labels=labels).collect()}
+    assert got[25].verdict == "block" and got[48].verdict == "allow" and got[25].template != got[48].template
+    assert url_filter.judge_urls(pages.limit(0)).count() == 0
+
+
+def test_preference_format(spark):
+    rows = [
+        (1, [("user", "hi"), ("assistant", "yes")], [("user", "hi"), ("assistant", "no"), ("user", None)]),
+        (2, [("user", "hi")], [("user", "hi")]),
+        (3, None, [("assistant", "a")]),
+        (4, [(None, None)], []),
+    ]
+    got = {r.pair: r for r in chat_format.preference_format(spark.createDataFrame(rows, f"pair long, chosen {chat_format.TURNS}, rejected {chat_format.TURNS}")).collect()}
+    assert got[1].prompt == "<|user|>\nhi\n<|end|>\n" and got[1].prompt_turns == 1
+    assert [got[1].chosen_text[s.start : s.end] for s in got[1].chosen_mask] == ["yes\n<|end|>"]
+    assert [got[1].rejected_text[s.start : s.end] for s in got[1].rejected_mask] == ["no\n<|end|>"]
+    assert got[2].chosen_text == got[2].rejected_text == "" and got[2].prompt_turns == 1
+    assert got[3].prompt == "" and got[3].chosen_text == "" and len(got[3].rejected_mask) == 1
+    assert got[4].prompt_turns == 0
+    turns = [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (1, 0, "user", "q"), (1, 1, "assistant", "b"), (1, 2, "user", "more"), (2, 0, "user", "x"), (None, 0, "user", "y")]
+    pairs = chat_format.swapped_pairs(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")).collect()
+    assert {p.conv_id: p.rejected[-1].text for p in pairs} == {0: "b", 1: "a"}
+
+
+def test_fingerprints_align(spark):
+    rng = np.random.default_rng(4)
+    vectors = [(i, rng.normal(size=64).tolist()) for i in range(12)] + [(50, None), (51, []), (None, [0.0] * 64)]
+    vectors += [(60, vectors[3][1]), (3, vectors[3][1])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    known = media.fingerprints(media.recordings(df))
+    asked = media.derived_prints(df.filter("vec_id in (3, 5)"), 10, 50, 400)
+    got = {(r.query_id, r.id) for r in media.align(known, asked).collect()}
+    assert got == {(3, 3), (3, 60), (5, 5)}
+    prints = {r.id: np.array(r.prints, np.int32).view(np.uint32) for r in known.collect()}
+    bits, n = media.errors(prints[3], prints[60], 0)
+    assert bits == 0 and n == len(prints[3]) and len(prints[50]) == 0
+    assert media.align(known.limit(0), asked.limit(0)).count() == 0
