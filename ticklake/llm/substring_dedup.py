@@ -20,7 +20,7 @@ from ticklake.llm.suffix_dedup import listed, merged
 #: Words of a window.
 WINDOW = 13
 #: Words of an anchor.
-ANCHOR = 3
+ANCHOR = 4
 #: Words of a shard's index, on average.
 SHARD = 1_000_000
 
