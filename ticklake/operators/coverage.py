@@ -69,7 +69,7 @@ def reasons(tables: dict[str, DataFrame]) -> DataFrame:
     cells = grants.select(*CELL).distinct()
     hour_cells = cells.join(hours, "hour")
     granted = granted_spans(grants, hour_cells).persist()  # read by every reason; a lost block is computed again
-    covered = intersect(merge(tables["windows"], "hour"), hours, "hour", disjoint=True)
+    covered = intersect(merge(tables["windows"], "hour"), hours, "hour", disjoint=True).persist()
     named = granted.select(*CELL).distinct()
     down = subtract(hours, covered, "hour", disjoint=True).join(named, "hour")
     partial = subtract(covered.join(named, "hour"), granted, *CELL, disjoint=True)

@@ -29,15 +29,17 @@ def subtract(a: DataFrame, b: DataFrame, *key: str, disjoint: bool = False) -> D
     """What ``a`` covers and ``b`` doesn't. ``disjoint`` as in ``intersect``."""
     if not disjoint:
         a, b = merge(a, *key), merge(b, *key)
-    a = a.select(*key, "start", "end").filter("start < end").withColumnsRenamed({"start": "_s", "end": "_e"})
-    cuts = a.join(b.select(*key, "start", "end").filter("start < end"), list(key)).filter("start < _e and _s < end")
+    a = a.filter("start < end").select(*key, F.col("start").alias("_s"), F.col("end").alias("_e"))
+    b = b.filter("start < end").select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(key)), "start", "end")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
+    cuts = a.join(b, [*same, F.col("start") < F.col("_e"), F.col("_s") < F.col("end")], "left")
     w = Window.partitionBy(*key, "_s").orderBy("start")
-    holes = cuts.select(*key, "_s", F.col("end").alias("start"), F.coalesce(F.lead("start").over(w), F.col("_e")).alias("end"))
-    heads = cuts.groupBy(*key, "_s").agg(F.min("start").alias("end")).withColumn("start", F.col("_s"))
-    whole = a.join(cuts.select(*key, "_s").distinct(), [*key, "_s"], "left_anti").select(*key, F.col("_s").alias("start"), F.col("_e").alias("end"))
-    # a cut that begins before its span leaves no head; the filter below drops it
-    rest = holes.select(*key, "start", "end").unionByName(heads.select(*key, "start", "end")).unionByName(whole)
-    return rest.filter("start < end")
+    cuts = cuts.withColumns({"_first": F.row_number().over(w) == 1, "_next": F.lead("start").over(w)})
+    head = F.when(F.col("_first"), F.struct(F.col("_s").alias("start"), F.coalesce("start", "_e").alias("end")))
+    hole = F.when(F.col("start").isNotNull(), F.struct(F.col("end").alias("start"), F.coalesce("_next", "_e").alias("end")))
+    # a cut that begins before its span leaves an empty head; the filter drops it
+    rest = cuts.select(*key, F.explode(F.array(head, hole)).alias("x"))
+    return rest.select(*key, "x.start", "x.end").filter("start < end")
 
 
 def fold_transitions(changes: DataFrame, *key: str, end: int | None = None) -> DataFrame:
