@@ -313,3 +313,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)
+      UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4),
+c AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS same FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y, a.same AS sx, b.same AS sy FROM p JOIN c a ON a.doc_id = x JOIN c b ON b.doc_id = y WHERE i >= 0.8 * (a.n + b.n - i) - 1e-9),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.other),
+k AS (SELECT doc_id, min(other) AS class_id FROM r GROUP BY doc_id),
+t AS (SELECT x AS doc_id, count(*) AS n_links, count(DISTINCT sy) FILTER (sy <> sx) AS n_linked_texts FROM l GROUP BY x)
+SELECT k.doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_linked_texts, 0) AS n_linked_texts FROM k LEFT JOIN t ON t.doc_id = k.doc_id
+"""

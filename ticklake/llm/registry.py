@@ -6,10 +6,10 @@ from ticklake.llm.chat_format import OP3_SQL, op3_preference_format
 from ticklake.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from ticklake.llm.media import op6_chroma_fingerprints
 from ticklake.llm.mixing import op8_mix
-from ticklake.llm.ngram_join import op1_ngram_join
+from ticklake.llm.ngram_join import OP1_SQL, op1_ngram_join
 from ticklake.llm.packing import op10_pack
 from ticklake.llm.quality import op9_quality
-from ticklake.llm.substring_dedup import op2_substring_dedup
+from ticklake.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from ticklake.llm.suffix_dedup import op5_suffix_dedup
 from ticklake.llm.url_filter import op7_url_filter
 
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
 }
-SQL = {"op3_preference_format": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+SQL = {"op1_ngram_join": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op3_preference_format": OP3_SQL, "op4_exact_dedup": OP4_SQL}

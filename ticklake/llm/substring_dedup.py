@@ -167,3 +167,16 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = False)
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+n AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
+k AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS key FROM n),
+m AS (SELECT key, min(doc_id) AS first FROM k GROUP BY key),
+hit AS (SELECT DISTINCT k.doc_id, unnest(range(k.i, k.i + 13)) AS pos FROM k JOIN m ON k.key = m.key WHERE m.first < k.doc_id),
+a AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
+o AS (SELECT a.doc_id, string_agg(word, ' ' ORDER BY a.pos) FILTER (hit.pos IS NULL) AS kept, count(hit.pos) AS gone
+      FROM a LEFT JOIN hit ON a.doc_id = hit.doc_id AND a.pos = hit.pos GROUP BY a.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN o ON w.doc_id = o.doc_id
+"""
