@@ -200,6 +200,7 @@ def test_ngram_join(spark, docs, messy, none, monkeypatch):
         got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_join(table).collect()}
         assert got == brute_join(in_order(table))
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 2)  # large groups come in blocks
+    monkeypatch.setattr(ngram_join, "GATHER", 50)
     table = near_copies(spark)
     assert {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_join(table).collect()} == brute_join(in_order(table))
     assert ngram_join.ngram_join(messy).count() == messy.count()
