@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one kernel call works on; a longer document is worked on alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _U = np.uint64
 _SEPARATOR = np.zeros(256, bool)

@@ -21,9 +21,10 @@ BAND, BANDS = 6, 48
 #: MinHash values compared at a time, and the posterior probability of reaching the threshold under which a pair is dropped.
 STEP, TOLERANCE = 32, 1e-8
 #: Documents and shingles of a block of a large group of candidates.
-BLOCK_DOCS, BLOCK_SHINGLES = 2048, 4_000_000
-#: Pairs compared at once.
-TILE = 1 << 18
+BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2_000_000
+#: Pairs compared at once; shingles looked up at once while they are verified are GATHER.
+TILE = 1 << 17
+GATHER = 1 << 20
 
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, BAND * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SIGNED = "d long, g1 long, g2 long, shingles long, signature binary"
@@ -151,7 +152,7 @@ class Block:
         self.signature = signatures(table.column("signature").combine_chunks())
         sets = [np.frombuffer(x, np.uint64) for x in table.column("names").to_pylist()]
         self.count = np.array([len(x) for x in sets])
-        _, self.number = np.unique(np.concatenate(sets), return_inverse=True)
+        self.number = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
         self.bounds = np.concatenate(([0], np.cumsum(self.count)))
         self.seen = np.zeros(int(self.number.max()) + 1, bool)
 
@@ -162,10 +163,16 @@ class Block:
         for x, y in zip(edges[:-1], edges[1:], strict=True):
             own = self.number[self.bounds[left[x]] : self.bounds[left[x] + 1]]
             self.seen[own] = True
-            size = self.count[right[x:y]]
-            first = np.cumsum(size) - size
-            at = np.arange(size.sum()) + np.repeat(self.bounds[right[x:y]] - first, size)
-            out[x:y] = np.add.reduceat(self.seen[self.number[at]].astype(np.int64), first)
+            upto = np.cumsum(self.count[right[x:y]])
+            a = x
+            while a < y:
+                done = upto[a - x - 1] if a > x else 0
+                b = max(a + 1, x + int(np.searchsorted(upto, done + GATHER, side="right")))
+                size = self.count[right[a:b]]
+                first = np.cumsum(size) - size
+                at = np.arange(size.sum()) + np.repeat(self.bounds[right[a:b]] - first, size)
+                out[a:b] = np.add.reduceat(self.seen[self.number[at]], first, dtype=np.int64)
+                a = b
             self.seen[own] = False
         return out
 
