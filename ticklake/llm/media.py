@@ -21,7 +21,10 @@ CONTEXT = 8
 #: Quarter tones of a note: samples that one value of a derived recording sounds.
 NOTE = 512
 #: An alignment counts with a bit error rate up to ERRORS over at least OVERLAP numbers.
-ERRORS, OVERLAP = 0.15, 32
+ERRORS, OVERLAP = 0.05, 48
+PRINTS = "id long, prints array<int>"
+#: Three numbers that stand so far apart form a landmark; a shared landmark is a vote, and an offset needs VOTES.
+APART, VOTES = 5, 3
 
 #: The bank: each filter is (frames, first pitch class, pitch classes, how its rectangle is halved).
 FILTERS = [(w, c, h, kind) for kind in ("whole", "time", "pitch", "cross") for w, c, h in ((2, 0, 12), (4, 0, 6), (4, 6, 6), (8, 3, 6))]
@@ -73,18 +76,20 @@ def fingerprint(samples: np.ndarray) -> np.ndarray:
     return out
 
 
+def fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [fingerprint(np.frombuffer(x[: len(x) & ~1], "<i2")).view(np.int32).tolist() if x else [] for x in batch.column("media").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.int64()), pa.array(made, pa.list_(pa.int32()))], names=["id", "prints"])
+
+
 def fingerprints(media: DataFrame) -> DataFrame:
     """``(id, prints)`` from (id, media): media holds 16-bit mono samples at RATE; prints are the packed numbers.
 
-    A null, empty or too short recording has none.
+    A null, empty or too short recording has none. A batch of Spark's Arrow
+    transfer is in memory at a time: for long recordings set
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` accordingly.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [fingerprint(np.frombuffer(x[: len(x) & ~1], "<i2")).view(np.int32).tolist() if x else [] for x in batch.column("media").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.int64()), pa.array(made, pa.list_(pa.int32()))], names=["id", "prints"])
-
-    return media.select("id", "media").mapInArrow(run, "id long, prints array<int>")
+    return media.select("id", "media").mapInArrow(fingerprinted, PRINTS)
 
 
 def errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
@@ -110,11 +115,18 @@ def classes_of(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(rows.select("id", "h", "g").join(reps.select("h", "g", "r"), ["h", "g"]).select("id", "r"), "members"), reps.select("r", "prints")
 
 
+def landmarks(prints: str) -> F.Column:
+    """A key for each number and the ones APART and twice APART later."""
+    n = F.size(prints) - 2 * APART
+    triples = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*(F.get(F.col(prints), i + k * APART) for k in range(3))))
+    return F.when(n > 0, triples).otherwise(F.array().cast("array<bigint>"))
+
+
 def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
     """Recordings of ``prints`` that align with a recording of ``queries`` (both: id, prints).
 
-    Equal fingerprints (whole lists) form a class, searched once. Numbers that a
-    query shares with a recording vote for their offset; the offset with the most
+    Equal fingerprints (whole lists) form a class, searched once. Landmarks that a
+    query shares with a recording vote for their offset; of those with VOTES or more the offset with the most
     votes (ties: least shift) is checked by its bit errors. Returns query_id, id,
     shift, votes, overlap and ber for alignments with a rate up to ERRORS over
     OVERLAP numbers or more, each recording of a class by itself. Rows without an
@@ -122,14 +134,14 @@ def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
     """
     member, reps = classes_of(prints)
     wanted, asked = classes_of(queries)
-    searched = asked.select(F.col("r").alias("q"), F.posexplode("prints").alias("i", "number"))
-    numbers = reps.select("r", F.posexplode("prints").alias("j", "number"))
-    # a number's places in one recording are listed, so that a shared number costs a row for each recording
+    searched = asked.select(F.col("r").alias("q"), F.posexplode(landmarks("prints")).alias("i", "number"))
+    numbers = reps.select("r", F.posexplode(landmarks("prints")).alias("j", "number"))
+    # a landmark's places in one recording are listed, so that a shared one costs a row for each recording
     asked_at = searched.groupBy("number", "q").agg(F.collect_list("i").alias("at"))
     known_at = numbers.groupBy("number", "r").agg(F.collect_list("j").alias("to"))
     votes = asked_at.join(known_at, "number").select("q", "r", F.explode(F.flatten(F.transform("at", lambda i: F.transform("to", lambda j: i - j)))).alias("shift"))
     best = Window.partitionBy("q", "r").orderBy(F.desc("votes"), "shift")
-    votes = votes.groupBy("q", "r", "shift").agg(F.count("*").alias("votes")).withColumn("rank", F.row_number().over(best)).filter("rank = 1").drop("rank")
+    votes = votes.groupBy("q", "r", "shift").agg(F.count("*").alias("votes")).filter(F.col("votes") >= VOTES).withColumn("rank", F.row_number().over(best)).filter("rank = 1").drop("rank")
     both = votes.join(asked.select(F.col("r").alias("q"), F.col("prints").alias("a")), "q").join(reps.select("r", F.col("prints").alias("b")), "r")
     checked = both.mapInArrow(bit_errors, "q long, r long, shift long, votes long, overlap long, ber double")
     good = written(checked.filter((F.col("ber") <= ERRORS) & (F.col("overlap") >= OVERLAP)), "aligned")
@@ -137,18 +149,12 @@ def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
     return out.select("query_id", "id", "shift", "votes", "overlap", "ber")
 
 
-def recordings(embeddings: DataFrame, first: int = 0, last: int | None = None, noise: int = 0) -> DataFrame:
-    """``(id, media)``: a recording derived from each vector, a tone of NOTE samples for each value.
-
-    The value's standing among the vector's values picks one of 24 semitones from
-    220 Hz. ``first`` and ``last`` cut an excerpt of values; ``noise`` is the range
-    of the noise added to it, seeded by the id.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        time = np.arange(NOTE) / RATE
-        tones = (np.sin(2 * np.pi * 220.0 * 2 ** (np.arange(24) / 12)[:, None] * time) * 12000).astype("<i2")
-        for batch in batches:
+def synthesised(batches: Iterator[pa.RecordBatch], first: int, last: int | None, noise: int) -> Iterator[pa.RecordBatch]:
+    time = np.arange(NOTE) / RATE
+    tones = (np.sin(2 * np.pi * 220.0 * 2 ** (np.arange(24) / 12)[:, None] * time) * 12000).astype("<i2")
+    for whole in batches:
+        for at in range(0, whole.num_rows, 128):  # a recording is large against its vector
+            batch = whole.slice(at, 128)
             made = []
             for key, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
                 x = np.nan_to_num(np.array([v or 0.0 for v in vector or []], float))
@@ -159,12 +165,24 @@ def recordings(embeddings: DataFrame, first: int = 0, last: int | None = None, n
                 made.append(samples.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").cast(pa.int64()), pa.array(made, pa.binary())], names=["id", "media"])
 
-    return embeddings.select("vec_id", "embedding").mapInArrow(run, "id long, media binary")
+
+def recordings(embeddings: DataFrame, first: int = 0, last: int | None = None, noise: int = 0) -> DataFrame:
+    """``(id, media)``: a recording derived from each vector, a tone of NOTE samples for each value.
+
+    The value's standing among the vector's values picks one of 24 semitones from
+    220 Hz. ``first`` and ``last`` cut an excerpt of values; ``noise`` is the range
+    of the noise added to it, seeded by the id.
+    """
+    return embeddings.select("vec_id", "embedding").mapInArrow(lambda it: synthesised(it, first, last, noise), "id long, media binary")
+
+
+def derived_prints(embeddings: DataFrame, first: int = 0, last: int | None = None, noise: int = 0) -> DataFrame:
+    """Fingerprints of ``recordings`` without their samples leaving the task."""
+    return embeddings.select("vec_id", "embedding").mapInArrow(lambda it: fingerprinted(synthesised(it, first, last, noise)), PRINTS)
 
 
 def op6_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where noisy excerpts of the recordings whose id is divisible by 50 align with all recordings."""
     vectors = read_table(spark, sf_dir, "embeddings")
-    known = fingerprints(recordings(vectors))
-    asked = fingerprints(recordings(vectors.filter("vec_id % 50 = 0"), first=16, last=56, noise=600))
-    return align(known, asked)
+    asked = derived_prints(vectors.filter("vec_id % 50 = 0"), first=16, last=56, noise=600)
+    return align(derived_prints(vectors), asked)
