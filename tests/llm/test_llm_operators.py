@@ -366,3 +366,32 @@ def test_fingerprints_align(spark):
     bits, n = media.errors(prints[3], prints[60], 0)
     assert bits == 0 and n == len(prints[3]) and len(prints[50]) == 0
     assert media.align(known.limit(0), asked.limit(0)).count() == 0
+
+
+def test_alignments_reach_the_limits(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    known = {i: rng.integers(0, 2**32, n, dtype=np.uint32) for i, n in enumerate([120] * 12 + [32, 33, 40, 57, 31, 64])}
+
+    def noisy(x, rate):
+        wrong = rng.random((len(x), 32)) < rate
+        return x ^ (wrong * (np.uint32(1) << np.arange(32, dtype=np.uint32))).sum(1).astype(np.uint32)
+
+    other = lambda n: rng.integers(0, 2**32, n, dtype=np.uint32)
+    asked = {100 + i: noisy(known[i][20:92], 0.13) for i in range(8)}  # hardly any equal number
+    asked |= {200 + i: np.concatenate((other(40), noisy(known[i][:33], 0.1))) for i in range(4)}  # short overlaps at the ends
+    asked |= {300 + i: np.concatenate((noisy(known[i][-32:], 0.1), other(9))) for i in range(4)}
+    asked |= {400 + i: noisy(known[i], 0.08) for i in range(12, 18)} | {500: known[3][:31], 501: noisy(known[13], 0.145)}
+    want = {}
+    for q, a in asked.items():
+        for r, b in known.items():
+            for s in range(32 - len(a), len(b) - 31):
+                bits, n = media.errors(b, a, s)
+                if n >= 32 and bits / (32 * n) <= 0.15:
+                    want[q, r] = min(want.get((q, r), (1, 0, 0)), (bits / (32 * n), -n, s))
+    assert len(want) >= 8 + 4 + 4 + 5
+    table = lambda rows: spark.createDataFrame([(i, x.view(np.int32).tolist()) for i, x in rows.items()], media.PRINTS)
+    for block, tile in ((1 << 18, 1024), (300, 3)):
+        monkeypatch.setattr(media, "BLOCK", block)
+        monkeypatch.setattr(media, "TILE", tile)
+        got = {(r.query_id, r.id): (r.ber, -r.overlap, r["shift"]) for r in media.align(table(known), table(asked)).collect()}
+        assert got == want
