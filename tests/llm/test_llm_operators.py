@@ -395,3 +395,24 @@ def test_alignments_reach_the_limits(spark, monkeypatch):
         monkeypatch.setattr(media, "TILE", tile)
         got = {(r.query_id, r.id): (r.ber, -r.overlap, r["shift"]) for r in media.align(table(known), table(asked)).collect()}
         assert got == want
+
+
+def test_substring_dedup_splits_hot_names(spark, monkeypatch):
+    rng = random.Random(8)
+    line = words(rng, 6)  # shared, with other words on either side: one anchor, a group of its own for each place
+    rows = [(i, f"{words(rng, 12)} {line} {words(rng, 12)}") for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(5)] + [(300, f"{rows[7][1]} and {rows[7][1]}"), (301, f"{line} {line} {line} {line}"), (302, f"{line} {line} {line} {line}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    indexed = substring_dedup.Shard.__init__
+
+    def bounded(self, batches, window):
+        assert sum(b.num_rows for b in batches) <= 100, "one index holds a hot name"
+        indexed(self, batches, window)
+
+    monkeypatch.setattr(substring_dedup, "SHARD", 800)
+    monkeypatch.setattr(substring_dedup.Shard, "__init__", bounded)
+    hot = []
+    found = substring_dedup.hot_spans
+    monkeypatch.setattr(substring_dedup, "hot_spans", lambda texts, window, names: hot.extend(names) or found(texts, window, names))
+    got = sorted((tuple(r) for r in substring_dedup.substring_dedup(docs).collect()), key=str)
+    assert hot and got == brute_words(in_order(docs), 13)

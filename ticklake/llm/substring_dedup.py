@@ -21,8 +21,8 @@ from ticklake.llm.suffix_dedup import listed, merged
 WINDOW = 13
 #: Words of an anchor.
 ANCHOR = 4
-#: Words of a shard's index, on average.
-SHARD = 1_000_000
+#: Words of a shard's index, on average; a name with more than a HOT part of them is dealt by its windows.
+SHARD, HOT = 1_000_000, 4
 
 FIELDS = (*R.FIELDS, "kind", "text")
 ROUTED = R.GROUP + ", kind int, text binary"
@@ -114,6 +114,33 @@ class Shard:
             yield spans_of(d[part], start[part], n[part], self.least, self.first[which[part]])
 
 
+def hot_windows(batches: Iterator[pa.RecordBatch], window: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The windows whose anchor is one of ``hot``, each with two 64-bit names of its words."""
+    for batch in batches:
+        d = batch.column("d").to_numpy(zero_copy_only=False)
+        text = K.text_column(batch.column("text"))
+        for at, to in K.chunks(text):
+            values, bounds = K.word_values(*K.joined(text, at, to))
+            row, start, n, name, _ = K.groups(values, bounds, window, ANCHOR)
+            pick = np.isin(name.view(np.int64), hot)
+            row, start, n = row[pick], start[pick], n[pick]
+            if not len(row):
+                continue
+            group = np.repeat(np.arange(len(n)), n)
+            begin = start[group] + np.arange(len(group)) - (np.cumsum(n) - n)[group]
+            unit = bounds[row[group]] + begin
+            w, v = (K.doubled(x, window)[unit].view(np.int64) for x in (values, K.mix(values ^ K._U(0xA5A5A5A5A5A5A5A5))))
+            yield R.batch_of({"w": w, "v": v, "d": d[at:to][row[group]], "start": begin.astype(np.int64)})
+
+
+def hot_spans(texts_of: DataFrame, window: int, hot: list[int]) -> DataFrame:
+    """Windows under the names ``hot`` that an earlier document holds; they meet by their own words, not by their anchor."""
+    names = np.array(hot, np.int64)
+    windows = written(texts_of.mapInArrow(lambda it: hot_windows(it, window, names), "w long, v long, d long, start long"), "windows")
+    first = written(windows.groupBy("w", "v").agg(F.min("d").alias("first"), F.max("d").alias("last")).filter("first < last").drop("last"), "first")
+    return windows.join(first, ["w", "v"]).filter("first < d").select("d", "start", F.lit(1).cast("long").alias("n"))
+
+
 def cut_words(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept"] * texts]
     kinds = [pa.int64()] * 3 + [pa.string()] * (1 + texts)
@@ -140,7 +167,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = False)
     grouped by anchor; groups whose anchor comes once hold no repeat. The distinct
     other groups are dealt by anchor to shards, so that equal windows meet in one
     shard; each shard is a compressed FM-index over its groups' words, and the
-    windows of all documents' groups are searched backwards in it. Returns per
+    windows of all documents' groups are searched backwards in it. A name whose
+    groups would fill a large part of an index is not indexed: its windows are
+    dealt singly, by two 64-bit names of their own words. Returns per
     row doc_id, n_words, n_removed, kept_sha256 and with ``texts`` the kept words.
     A null or empty text has no words; texts shorter than ``window`` are kept
     whole; rows that share an id (or have none) are separate documents in the
@@ -153,6 +182,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = False)
     sorted_groups = R.by_name(texts_of.mapInArrow(lambda it: grouped(it, window), R.GROUP))
     found = written(sorted_groups.mapInArrow(lambda it: R.sorted_out(it, all_firsts=True), R.FOUND), "groups")
     firsts = found.filter(F.col("kind") == R.OPEN)
+    held = firsts.groupBy("name").agg(F.sum(F.col("n") + window - 1).alias("words"))
+    hot = [r["name"] for r in held.filter(F.col("words") > SHARD // HOT).select("name").collect()]  # fewer than HOT for each shard
+    if hot:
+        found = found.join(F.broadcast(spark.createDataFrame([(x,) for x in hot], "name long")), "name", "left_anti")
+        firsts = found.filter(F.col("kind") == R.OPEN)
     total = firsts.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SHARD))
     lists = firsts.groupBy("d").agg(F.collect_list(F.struct("name", "digest", "start", "n")).alias("spans"))
@@ -160,6 +194,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = False)
     copies = found.filter(F.col("kind") == R.COPY).select(*R.FIELDS, "kind", F.lit(None).cast("binary").alias("text"))
     routed = indexed.unionByName(copies).repartition(shards, "name").sortWithinPartitions(F.col("kind").desc())
     spans = written(routed.mapInArrow(lambda it: search_shard(it, window), "d long, start long, n long"), "spans")
+    if hot:
+        spans = spans.unionByName(hot_spans(texts_of, window, hot))
     joined = rows.join(listed(spans).hint("merge"), "d", "left").select("doc_id", "text", "spans")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts
     return joined.mapInArrow(lambda it: cut_words(it, window, texts), schema)
