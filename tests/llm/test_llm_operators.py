@@ -416,3 +416,9 @@ def test_substring_dedup_splits_hot_names(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "hot_spans", lambda texts, window, names: hot.extend(names) or found(texts, window, names))
     got = sorted((tuple(r) for r in substring_dedup.substring_dedup(docs).collect()), key=str)
     assert hot and got == brute_words(in_order(docs), 13)
+
+
+def test_ngram_join_empty_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 1)  # as many blocks as documents: some stay empty
+    table = near_copies(spark)
+    assert {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_join(table).collect()} == brute_join(in_order(table))

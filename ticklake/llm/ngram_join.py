@@ -181,7 +181,9 @@ def linked(table: pa.Table) -> pa.RecordBatch:
     """Links of a block: for each of its documents the number of similar ones, their copies, and the least document reached."""
     block = Block(table)
     n = len(block.d)
-    across = block.side.any() and not block.side.all()
+    across = bool(table.column("across")[0].as_py())
+    if across and block.side.all() == block.side.any():  # one of the two blocks has no documents
+        return batch_of({k: block.d[:0] for k in ("d", "root", "links", "docs")})
     root = np.arange(n)
     links, docs = np.zeros(n, np.int64), np.zeros(n, np.int64)
     rows = max(1, TILE // n)
@@ -278,8 +280,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     sets = sets.mapInArrow(named, "cluster long, d long, weight long, signature binary, blocks long, names binary")
     own = F.pmod(F.xxhash64("d"), F.col("blocks"))
     sets = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    sets = sets.withColumn("pair", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).withColumn("side", (F.col("own") > F.col("other")).cast("int"))
-    units = sets.select("cluster", "pair", "side", "d", "weight", "signature", "names").repartition(parts, "cluster", "pair").sortWithinPartitions("cluster", "pair")
+    sets = sets.withColumn("pair", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).withColumn("side", (F.col("own") > F.col("other")).cast("int")).withColumn("across", F.col("own") != F.col("other"))
+    units = sets.select("cluster", "pair", "side", "across", "d", "weight", "signature", "names").repartition(parts, "cluster", "pair").sortWithinPartitions("cluster", "pair")
     links = written(units.mapInArrow(link_groups, "d long, root long, links long, docs long"), "links")
     sums = links.groupBy("d").agg(F.sum("links").alias("links"), F.sum("docs").alias("docs"))
     roots = components(links.select(F.col("d").alias("a"), F.col("root").alias("b"))).withColumnRenamed("v", "d")
