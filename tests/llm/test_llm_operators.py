@@ -422,3 +422,21 @@ def test_ngram_join_empty_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 1)  # as many blocks as documents: some stay empty
     table = near_copies(spark)
     assert {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.ngram_join(table).collect()} == brute_join(in_order(table))
+
+
+def test_url_filter_keeps_labelled_sections_apart(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    urls, bad = [], []
+    for c in letters:  # a wide host of equal sections: section c is bad, the others clean
+        urls += [f"http://wide.test/{c}sec/{x}{y}" for x in letters for y in "xyz"]
+        bad += [int(c == "c")] * 78
+    for x in letters:  # branches that differ below the sixth level only
+        urls += [f"http://deep.test/a/b/c/d/e/f/good/{x}", f"http://deep.test/a/b/c/d/e/f/spam/{x}"]
+        bad += [0, 1]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, b in enumerate(bad) if i % 3 != 1], "page_id long, bad int")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages, (), labels).collect()}
+    assert {i: got[i].verdict for i in got} == {i: "block" if b else "allow" for i, b in enumerate(bad)}
+    judged = {r.page_id: r for r in url_filter.judge_urls(pages, (("wide.test", "/csec/", "block"), ("wide.test", "/dsec/", "block"))).collect()}
+    clean = [i for i, u in enumerate(urls) if "wide" in u and "/csec/" not in u and "/dsec/" not in u]
+    assert len(judged) == len(urls) and {judged[i].verdict for i in clean} == {"allow"}

@@ -9,9 +9,7 @@ from ticklake.llm.shared import read_table, written
 
 #: (host, path, verdict); the longest fitting rule wins.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Levels of the tree; what lies deeper is one segment.
-DEPTH = 6
-#: A node with more children than FAN turns those with less than SHARE of its pages into one wildcard.
+#: A node with more children than FAN turns those with less than SHARE of its pages into one wildcard, unless their own labels set them apart.
 FAN, SHARE = 8, 0.05
 #: Sibling branches with at least EVIDENCE labelled pages each are merged if their share of bad pages differs from the node's by less than Z standard errors.
 EVIDENCE, Z = 5, 1.96
@@ -39,8 +37,6 @@ def rule_of(host, path, rules=RULES) -> F.Column:
 def raw_template(path) -> F.Column:
     """Segments of a path with numbers, hexadecimal names, dates and other mixed or long names as wildcards, file endings kept."""
     segments = F.filter(F.split(F.col(path), "/"), lambda s: s != "")
-    deep = F.concat(F.slice(segments, 1, DEPTH - 1), F.array(F.lit("**")))
-    cut = F.when(F.size(segments) > DEPTH, deep).otherwise(segments)
 
     def general(s):
         ending = F.regexp_extract(s, r"(\.[A-Za-z]{1,5})$", 1)
@@ -48,35 +44,40 @@ def raw_template(path) -> F.Column:
         varies = stem.rlike(r"[0-9]|%[0-9A-Fa-f]{2}") | (F.length(stem) > 24)
         return F.when(varies, F.concat(F.lit("*"), ending)).otherwise(s)
 
-    return F.transform(cut, general)
+    return F.transform(segments, general)
 
 
 def template_tree(pages: DataFrame) -> DataFrame:
     """``(host, raw, template, purity)`` from rows with host, raw (segments) and bad (1, 0 or null: unlabelled).
 
-    Works on sums for each host and raw template. Level by level, rare children
-    of a wide node become ``*``, and labelled siblings whose shares of bad pages
-    don't differ become ``~``; the sums of a template then give its smoothed purity.
+    Works on sums for each host and raw template. Level by level, down to the
+    deepest path, rare children of a wide node become ``*`` if they have too few
+    labels for a test or their shares of bad pages don't differ, and other labelled
+    siblings whose shares don't differ become ``~``; the sums of a template then
+    give its smoothed purity. Where all labels of a node are bad they tell nothing
+    of its unlabelled children, so children with enough labels stay out of ``*``.
     """
     sums = [F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count("bad").alias("labelled")]
     tree = written(pages.groupBy("host", "raw").agg(*sums).withColumn("prefix", F.lit("")), "templates")
-    for level in range(DEPTH):
-        deep = tree.filter(F.size("raw") > level)
-        if deep.isEmpty():
-            break
+    ended = tree.filter(F.size("raw") == 0)
+    for level in range(tree.agg(F.max(F.size("raw"))).first()[0] or 0):
+        tree = tree.filter(F.size("raw") > level)
         tree = tree.withColumn("segment", F.get("raw", F.lit(level)))
-        kids = tree.groupBy("host", "prefix", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "bad", "labelled"))).filter("segment is not null")
+        kids = tree.groupBy("host", "prefix", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "bad", "labelled")))
         node = kids.groupBy("host", "prefix").agg(F.count("*").alias("fan"), *(F.sum(c).alias("all_" + c) for c in ("n", "bad", "labelled")))
         near = kids.join(node, ["host", "prefix"])
         rate = F.col("all_bad") / F.col("all_labelled")
         error = F.sqrt(rate * (1 - rate) / F.col("labelled"))
         alike = (F.col("labelled") >= EVIDENCE) & (F.col("all_labelled") - F.col("labelled") >= EVIDENCE) & (F.abs(F.col("bad") / F.col("labelled") - rate) <= Z * error)
         rare = (F.col("fan") > FAN) & (F.col("n") < SHARE * F.col("all_n"))
-        becomes = F.when(rare | F.col("segment").startswith("*"), F.when(F.col("segment").startswith("*"), F.col("segment")).otherwise("*")).when(alike, F.lit("~")).otherwise(F.col("segment"))
+        only_bad = F.col("all_bad") == F.col("all_labelled")
+        vague = (F.col("labelled") < EVIDENCE) | (alike & ~only_bad)
+        becomes = F.when(F.col("segment").startswith("*"), F.col("segment")).when(rare & vague, F.lit("*")).when(alike, F.lit("~")).otherwise(F.col("segment"))
         near = written(near.select("host", "prefix", "segment", becomes.alias("becomes")), "nodes")
-        tree = tree.join(near, ["host", "prefix", "segment"], "left")
-        tree = tree.withColumn("prefix", F.when(F.col("becomes").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "becomes")))
-        tree = written(tree.drop("segment", "becomes"), "templates")
+        tree = tree.join(near, ["host", "prefix", "segment"])
+        tree = written(tree.withColumn("prefix", F.concat("prefix", F.lit("/"), "becomes")).drop("segment", "becomes"), "templates")
+        ended = ended.unionByName(tree.filter(F.size("raw") == level + 1))
+    tree = ended
     found = tree.groupBy("host", "prefix").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
     found = found.select("host", "prefix", ((F.col("bad") + PRIOR) / (F.col("labelled") + 2 * PRIOR)).alias("purity"))
     return tree.select("host", "raw", "prefix").join(found, ["host", "prefix"]).select("host", "raw", F.col("prefix").alias("template"), "purity")
