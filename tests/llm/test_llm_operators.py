@@ -440,3 +440,13 @@ def test_url_filter_keeps_labelled_sections_apart(spark):
     judged = {r.page_id: r for r in url_filter.judge_urls(pages, (("wide.test", "/csec/", "block"), ("wide.test", "/dsec/", "block"))).collect()}
     clean = [i for i, u in enumerate(urls) if "wide" in u and "/csec/" not in u and "/dsec/" not in u]
     assert len(judged) == len(urls) and {judged[i].verdict for i in clean} == {"allow"}
+
+
+def test_quality_scores_do_not_depend_on_neighbours():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    model = quality.QualityModel(rng.normal(size=quality.TABLE).astype(np.float32), 0.1)
+    texts = ["free", "free", "free now", "now", "", None, "now now", "now", " ", "x"]
+    alone = [model.scores(pa.array([t], pa.string()))[0] for t in texts]
+    assert np.allclose(model.scores(pa.array(texts, pa.string())), alone, rtol=0, atol=1e-12)

@@ -24,12 +24,15 @@ EPOCHS = 12
 RATE = 2.0
 
 
-def features(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(positions, buckets)`` of the words, of words that repeat the one before (the one word bigram kept), and of each n-gram size; n-grams stay inside words and count bytes."""
+def features(data: np.ndarray, rows: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(positions, buckets)`` of the words, of words that repeat the one before (the one word bigram kept), and of each n-gram size; n-grams stay inside words and count bytes. ``rows``: where each joined text starts; its first word repeats none."""
     starts, ends = K.words(data)
     hashes = K.word_hashes(data, starts, ends)
     yield starts, (hashes % K._U(BUCKETS)).astype(np.int32)
-    again = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+    same = np.concatenate(([False], hashes[1:] == hashes[:-1], [False]))
+    if rows is not None:
+        same[np.searchsorted(starts, rows)] = False
+    again = np.flatnonzero(same[: len(starts)])
     yield starts[again], np.full(len(again), 2 * BUCKETS, np.int32)
     names, have = K._LETTER[data], 1
     sizes = np.zeros(len(data), np.int32)
@@ -126,7 +129,7 @@ class QualityModel:
         for at, to in K.chunks(column):
             data, starts = K.joined(column, at, to)
             sums, counts = np.zeros(to - at), np.zeros(to - at)
-            for position, buckets in features(data):
+            for position, buckets in features(data, starts):
                 upto = np.concatenate(([0.0], np.cumsum(self.weights[buckets], dtype=np.float64)))
                 bound = K.per_doc(position, starts)
                 sums += upto[bound[1:]] - upto[bound[:-1]]
