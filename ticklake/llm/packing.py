@@ -37,13 +37,14 @@ class Encoder:
 
     Latin texts, nearly all of them, take a faster encoder that is built from the
     file's own vocabulary; texts with other characters, whose classes two regex
-    engines might see differently, go through the tokenizer itself. The tests
-    hold both against each other.
+    engines might see differently, or with the content of an added token go
+    through the tokenizer itself. The tests hold both against each other.
     """
 
     #: Fixed value: how the byte-level pre-tokenizer splits texts.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    other = re.compile("[^\t\n\r -~\u00A1-\u024F\u2010-\u2027\u2030-\u205E\u20AC]")
+    #: Characters outside the Latin ranges that both engines class alike.
+    OTHER = "[^\t\n\r -~\u00A1-\u024F\u2010-\u2027\u2030-\u205E\u20AC]"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -51,7 +52,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.other = re.compile("|".join([self.OTHER, *added]))
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if all(c in byte_of for c in token)}
