@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticklake.llm.shared import read_table
 
 TURNS = "array<struct<role:string,text:string>>"
+MADE = ("prompt", "prompt_turns", "chosen_text", "chosen_mask", "rejected_text", "rejected_mask")
 #: The role whose turns are trained on.
 TRAINED = "assistant"
 
@@ -18,9 +19,10 @@ def rendered(turn) -> F.Column:
 
 
 def common_turns(a: str, b: str) -> F.Column:
-    """Length of the longest common prefix of two arrays of turns."""
+    """Length of the longest common prefix of two arrays of turns; turns are equal if role and text are (null: empty)."""
     n = F.least(F.size(a), F.size(b))
-    same = F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: rendered(x) == rendered(y))
+    equal = lambda x, y, f: F.coalesce(x[f], F.lit("")) == F.coalesce(y[f], F.lit(""))
+    same = F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: equal(x, y, "role") & equal(x, y, "text"))
     first = F.array_position(same, False)
     return F.when(first == 0, n).otherwise((first - 1).cast("int"))
 
@@ -46,12 +48,15 @@ def preference_format(pairs: DataFrame) -> DataFrame:
     prompt; what follows in either is its completion. A mask lists the character
     spans of the completion that count in training: the assistant's text and end
     mark. A null conversation counts as one without turns; if both are equal the
-    completions are empty and their masks too. Nothing is shuffled.
+    completions are empty and their masks too. Other columns stay, but for those
+    named like one of the six, which give way. Repeated rows are formatted alike;
+    an empty table gives no rows. Nothing is shuffled.
     """
     empty = F.array().cast(TURNS)
-    rows = pairs.select(F.struct(*(c for c in pairs.columns if c not in ("chosen", "rejected"))).alias("row"), *(F.coalesce(F.col(c).cast(TURNS), empty).alias(c) for c in ("chosen", "rejected")))
+    stay = [c for c in pairs.columns if c not in ("chosen", "rejected", *MADE)]
+    rows = pairs.select(F.struct(F.lit(0).alias("_"), *stay).alias("row"), *(F.coalesce(F.col(c).cast(TURNS), empty).alias(c) for c in ("chosen", "rejected")))
     rows = rows.withColumn("n", common_turns("chosen", "rejected"))
-    out = [F.col("row.*"), F.array_join(F.transform(F.slice("chosen", F.lit(1), F.col("n")), rendered), "").alias("prompt"), F.col("n").alias("prompt_turns")]
+    out = [*(F.col("row")[c].alias(c) for c in stay), F.array_join(F.transform(F.slice("chosen", F.lit(1), F.col("n")), rendered), "").alias("prompt"), F.col("n").alias("prompt_turns")]
     for c in ("chosen", "rejected"):
         rest = F.slice(c, F.col("n") + 1, F.size(c))
         out += [F.array_join(F.transform(rest, rendered), "").alias(f"{c}_text"), spans(rest).alias(f"{c}_mask")]
