@@ -15,7 +15,9 @@ class DigestIndex:
 
     The index is an external Parquet table. A new batch is reduced to one row
     per digest, deduplicated against the index by a sort-merge anti-join (the
-    index side needs no shuffle: it is read by bucket) and appended.
+    index side needs no shuffle: it is read by bucket) and appended under the
+    batch's name. A batch that is added again, say after its job died, finds what
+    it had appended and neither appends it twice nor takes it for known.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
@@ -25,7 +27,7 @@ class DigestIndex:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.table = f"ticklake_digests_{uuid.uuid4().hex[:12]}"
         spark.sql(
-            f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
         )
 
@@ -33,27 +35,42 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
-    def add(self, docs: DataFrame, normalise=None) -> DataFrame:
+    def close(self) -> None:
+        """Forget the table's name in the catalog; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+    def compacted(self, path: str) -> DigestIndex:
+        """The same index with one sorted file for each bucket, at another path; the old one stays until its owner deletes it."""
+        new = DigestIndex(self.spark, path, self.buckets)
+        new._append(self.rows())
+        return new
+
+    def _append(self, rows: DataFrame) -> None:
+        rows.select("digest", "keep_id", "batch").repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
+
+    def add(self, docs: DataFrame, normalise=None, batch: str | None = None) -> DataFrame:
         """Judge every row of ``docs`` and append the new digests.
 
         Returns per row: doc_id, keep_id, group_size (rows of the batch with
         this text), kept, text_sha256. Of equal texts new to the index the row
         with the largest doc_id stays (nulls smallest; of rows that repeat an id
-        exactly one stays). A text that the index already had is kept by its
-        earlier row, whose id is the keep_id. A null text counts as empty.
-        Other columns of ``docs`` are ignored; an empty batch gives no rows.
+        exactly one stays). A text that an earlier batch had is kept by its row
+        there, whose id is the keep_id. ``batch`` names the batch, so that it can
+        be added again; without a name each call is a batch of its own. A null
+        text counts as empty. Other columns of ``docs`` are ignored; an empty
+        batch gives no rows.
         """
+        batch = batch or uuid.uuid4().hex
         text = F.coalesce(F.col("text"), F.lit(""))
         text = normalise(text) if normalise else text
         seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
         seen = written(seen.withColumn("row", F.monotonically_increasing_id()), "digests")
         last = F.max(F.struct(F.col("doc_id").isNotNull().alias("has"), F.col("doc_id"), F.col("row")))
         groups = seen.groupBy("digest").agg(last.alias("last"), F.count("*").alias("group_size"))
-        old = self.rows().withColumnRenamed("keep_id", "old_id").withColumn("known", F.lit(True))
+        old = self.rows().filter(F.col("batch") != batch).select("digest", F.col("keep_id").alias("old_id"), F.lit(True).alias("known"))
         judged = written(groups.join(old.hint("merge"), "digest", "left"), "judged")
-        old_digests = self.rows().select("digest").hint("merge")
-        fresh = groups.join(old_digests, "digest", "left_anti").select("digest", F.col("last.doc_id").alias("keep_id"))
-        fresh.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
+        fresh = judged.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+        self._append(fresh.select("digest", F.col("last.doc_id").alias("keep_id"), F.lit(batch).alias("batch")))
         # Both sides are plain scans, so a digest with very many rows can be split by adaptive execution.
         known = F.coalesce("known", F.lit(False))
         return seen.join(judged, "digest").select(
@@ -65,12 +82,20 @@ class DigestIndex:
         )
 
 
+def judged_once(docs: DataFrame) -> DataFrame:
+    """Verdicts of ``DigestIndex.add`` on an index of its own."""
+    index = DigestIndex(docs.sparkSession)
+    found = index.add(docs)
+    index.close()
+    return found
+
+
 def exact_dedup_rows(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text a row of larger doc_id repeats; same columns and order of columns.
 
     Of repeated rows with one id and one text a single one stays.
     """
-    judged = written(DigestIndex(docs.sparkSession).add(docs), "kept")
+    judged = written(judged_once(docs), "kept")
     keep = judged.filter("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("row_id"), sha.alias("row_sha"))
@@ -82,7 +107,7 @@ def exact_dedup_rows(docs: DataFrame) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DigestIndex(spark).add(read_table(spark, sf_dir, "documents"))
+    return judged_once(read_table(spark, sf_dir, "documents"))
 
 
 OP4_SQL = """
