@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +13,8 @@ REPEAT_COSTS = (1, 4, 9)
 MAX_PATTERNS = 50_000
 #: Hash ranges of a pattern's documents; only one range of each pattern is ordered row by row.
 RANGES = 1 << 14
+#: Rows that fill up what a pattern's rest lacks at its end.
+FILL = 3
 
 
 def share_out(sizes: dict, weights: dict, most: int = len(REPEAT_COSTS)) -> dict:
@@ -36,63 +36,73 @@ def share_out(sizes: dict, weights: dict, most: int = len(REPEAT_COSTS)) -> dict
     return targets
 
 
+def blocking_flows(graph: list[list[int]], to: list[int], room: list[int], source: int, sink: int) -> None:
+    """Augment along shortest paths of the residual graph until none is left; arc i ^ 1 is the reverse of arc i."""
+    while True:
+        level, queue = {source: 0}, [source]
+        for x in queue:
+            for i in graph[x]:
+                if room[i] and to[i] not in level:
+                    level[to[i]] = level[x] + 1
+                    queue.append(to[i])
+        if sink not in level:
+            return
+        next_arc, path, x = [0] * len(graph), [], source
+        while True:
+            while x != sink and next_arc[x] < len(graph[x]) and not (room[i := graph[x][next_arc[x]]] and level.get(to[i]) == level[x] + 1):
+                next_arc[x] += 1
+            if x == sink:
+                flow = min(room[i] for i in path)
+                for i in path:
+                    room[i] -= flow
+                    room[i ^ 1] += flow
+                full = next(k for k, i in enumerate(path) if not room[i])
+                x = to[path[full] ^ 1]
+                del path[full:]
+            elif next_arc[x] < len(graph[x]):
+                path.append(i)
+                x = to[i]
+            elif path:
+                x = to[path.pop() ^ 1]
+                next_arc[x] += 1
+            else:
+                break
+
+
 def route(patterns: dict[tuple, int], quotas: dict, costs=REPEAT_COSTS) -> dict[tuple, int]:
     """Tokens to take of each pattern: a min-cost flow from patterns to the sources they belong to.
 
     ``patterns``: tokens by tuple of sources; ``quotas``: tokens by source. Each
     pattern offers its tokens once per entry of ``costs`` at that marginal cost.
-    Successive shortest augmenting paths with integer capacities and costs; the
-    graph has a node for each pattern and source only.
+    Only the arcs into the patterns cost anything, and an augmentation never
+    takes flow back from them; so the shortest paths are those over the cheapest
+    uses left, and the flow is completed for one marginal cost after the other.
     """
     names, sources = sorted(patterns, key=str), sorted(quotas, key=str)
-    node = {("p", p): i + 2 for i, p in enumerate(names)}
-    node |= {("s", s): len(node) + 2 + i for i, s in enumerate(sources)}
-    arcs: list[list[int]] = []  # to, capacity, cost; arc i ^ 1 is its reverse
-    out: list[list[int]] = [[] for _ in range(len(node) + 2)]
-
-    def arc(a: int, b: int, capacity: int, cost: int) -> None:
-        for x, y, c, w in ((a, b, capacity, cost), (b, a, 0, -cost)):
-            out[x].append(len(arcs))
-            arcs.append([y, c, w])
-
-    for p in names:
-        for cost in costs:
-            arc(0, node["p", p], patterns[p], cost)
+    node = {s: i + 2 for i, s in enumerate(sources)}
+    graph: list[list[int]] = [[] for _ in range(len(sources) + len(names) + 2)]
+    to: list[int] = []
+    room: list[int] = []
+
+    def arc(a: int, b: int, capacity: int) -> int:
+        for x, y, c in ((a, b, capacity), (b, a, 0)):
+            graph[x].append(len(to))
+            to.append(y)
+            room.append(c)
+        return len(to) - 2
+
+    offer = [arc(0, len(sources) + 2 + k, 0) for k in range(len(names))]
+    for k, p in enumerate(names):
         for s in dict.fromkeys(p):
             if s in quotas:
-                arc(node["p", p], node["s", s], sum(patterns.values()) * len(costs), 0)
+                arc(len(sources) + 2 + k, node[s], patterns[p] * len(costs))
     for s in sources:
-        arc(node["s", s], 1, quotas[s], 0)
-    potential = [0] * len(out)
-    while True:
-        far, via = {0: 0}, {}
-        heap, done = [(0, 0)], set()
-        while heap:
-            d, x = heapq.heappop(heap)
-            if x in done:
-                continue
-            done.add(x)
-            for i in out[x]:
-                y, capacity, cost = arcs[i]
-                if capacity and y not in done and (e := d + cost + potential[x] - potential[y]) < far.get(y, e + 1):
-                    far[y], via[y] = e, i
-                    heapq.heappush(heap, (e, y))
-        if 1 not in far:
-            break
-        for x in range(len(out)):
-            potential[x] += min(far.get(x, far[1]), far[1])
-        path, y = [], 1
-        while y:
-            path.append(via[y])
-            y = arcs[via[y] ^ 1][0]
-        flow = min(arcs[i][1] for i in path)
-        for i in path:
-            arcs[i][1] -= flow
-            arcs[i ^ 1][1] += flow
-    taken = dict.fromkeys(names, 0)
-    for p in names:
-        taken[p] = sum(arcs[i ^ 1][1] for i in out[node["p", p]] if i % 2 == 0)
-    return taken
+        arc(node[s], 1, quotas[s])
+    for _ in sorted(costs):
+        for k, p in enumerate(names):
+            room[offer[k]] += patterns[p]
+        blocking_flows(graph, to, room, 0, 1)
+    return {p: room[offer[k] ^ 1] for k, p in enumerate(names)}
 
 
 def measured(docs: DataFrame, sources: str, seed: int) -> DataFrame:
@@ -107,12 +117,15 @@ def measured(docs: DataFrame, sources: str, seed: int) -> DataFrame:
 
 
 def cut_off(rows: DataFrame, taken: DataFrame) -> DataFrame:
-    """``(pattern, full, last)``: rows of the pattern with ``_h <= last`` are used once more than ``full`` times.
+    """``(pattern, full, last, more)``: rows of the pattern with ``_h <= last`` or ``_h`` in ``more`` are used once more than ``full`` times.
 
     ``taken``: pattern, full, rest, one row for each pattern (at most
     MAX_PATTERNS, broadcast). The order's hash ranges are summed first; a window
-    then orders only the one range in which a pattern's rest ends.
+    then orders only the one range in which a pattern's rest ends. What the rest
+    still lacks there is filled by FILL later rows, each time the largest that
+    fits, and at last by the smallest row if that comes nearer.
     """
+    spark = rows.sparkSession
     bits = 63 - (RANGES.bit_length() - 1)
     rows = rows.select(F.col("_pattern").alias("pattern"), F.col("_size").alias("size"), "_h", F.shiftright("_h", bits).alias("_range"))
     upto = Window.partitionBy("pattern").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -121,9 +134,25 @@ def cut_off(rows: DataFrame, taken: DataFrame) -> DataFrame:
     edge = edge.select("pattern", F.col("_range").alias("edge"), (F.col("upto") - F.col("words")).alias("before"), "rest")
     order = Window.partitionBy("pattern").orderBy("_h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     inside = rows.join(F.broadcast(edge), "pattern").filter("_range = edge").withColumn("at", F.sum("size").over(order))
-    last = inside.filter("before + at - size / 2 <= rest").groupBy("pattern").agg(F.max("_h").alias("last"))
-    ends = edge.join(last, "pattern", "left").select("pattern", F.coalesce("last", F.shiftleft("edge", bits) - 1).alias("last"))
-    return taken.join(ends, "pattern", "left").withColumn("last", F.coalesce("last", F.when(F.col("rest") > 0, F.lit(2**63 - 1)).otherwise(F.lit(-1)))).drop("rest")
+    last = inside.filter("before + at <= rest").groupBy("pattern").agg(F.max("_h").alias("last"), F.max("at").alias("at"))
+    ends = edge.join(last, "pattern", "left").select("pattern", F.coalesce("last", F.shiftleft("edge", bits) - 1).alias("last"), (F.col("rest") - F.col("before") - F.coalesce("at", F.lit(0))).alias("gap"))
+    lack = {r.pattern: [r["last"], r.gap, []] for r in ends.collect()}
+    for largest in [True] * FILL + [False]:
+        short = [(p, end, gap, more) for p, (end, gap, more) in lack.items() if gap > 0]
+        if not short:
+            break
+        open_ = spark.createDataFrame(short, "pattern string, last long, gap long, more array<long>")
+        later = rows.join(F.broadcast(open_), "pattern").filter("size > 0 and _h > last and not array_contains(more, _h)")
+        if largest:
+            pick = F.max(F.when(F.col("size") <= F.col("gap"), F.struct("size", (-F.col("_h")).alias("h"))))
+        else:
+            pick = F.min(F.when((F.col("size") > F.col("gap")) & (F.col("size") < 2 * F.col("gap")), F.struct("size", F.col("_h").alias("h"))))
+        for r in later.groupBy("pattern").agg(pick.alias("pick")).filter("pick is not null").collect():
+            lack[r.pattern][1] -= r.pick.size
+            lack[r.pattern][2].append(abs(r.pick.h))
+    told = spark.createDataFrame([(p, end, more) for p, (end, _, more) in lack.items()], "pattern string, last long, more array<long>")
+    out = taken.join(F.broadcast(told), "pattern", "left").withColumn("last", F.coalesce("last", F.when(F.col("rest") > 0, F.lit(2**63 - 1)).otherwise(F.lit(-1))))
+    return out.select("pattern", "full", "last", F.coalesce("more", F.array().cast("array<long>")).alias("more"))
 
 
 def share_out_of(patterns: dict, sizes: dict, weights: dict) -> dict:
@@ -133,7 +162,7 @@ def share_out_of(patterns: dict, sizes: dict, weights: dict) -> dict:
 
 
 def plan_mix(rows: DataFrame, weights) -> DataFrame:
-    """``(pattern, full, last, source_size, target)``, a row for each membership pattern of ``measured`` rows.
+    """``(pattern, full, last, more, source_size, target)``, a row for each membership pattern of ``measured`` rows.
 
     Only sums for each pattern reach the driver, where the flow is solved.
     """
@@ -158,16 +187,16 @@ def plan_mix(rows: DataFrame, weights) -> DataFrame:
         told.append((r["_pattern"], sum(sizes[s] for s in p), float(sum(targets[s] for s in p))))
     ends = cut_off(rows, spark.createDataFrame(plan, "pattern string, full long, rest long")).collect()
     more = {p: (size, target) for p, size, target in told}
-    schema = "pattern string, full long, last long, source_size long, target double"
-    return spark.createDataFrame([(r.pattern, r.full, r.last, *more[r.pattern]) for r in ends], schema)
+    schema = "pattern string, full long, last long, more array<long>, source_size long, target double"
+    return spark.createDataFrame([(r.pattern, r.full, r["last"], r.more, *more[r.pattern]) for r in ends], schema)
 
 
 def mixed(docs: DataFrame, weights, seed: int, sources: str) -> DataFrame:
     """``docs`` with _size, source_size, target and _copies, the times that the mix uses the row. Nothing is shuffled: each row meets its pattern's cut-off."""
     rows = measured(docs, sources, seed)
     sums = written(rows.select("_pattern", "_members", "_size", "_h"), "sizes")
-    plan = plan_mix(sums, weights).withColumnRenamed("pattern", "_pattern").withColumnsRenamed({"source_size": "_source_size", "target": "_target", "full": "_full", "last": "_last"})
-    return rows.join(F.broadcast(plan), "_pattern").withColumn("_copies", F.col("_full") + (F.col("_h") <= F.col("_last")).cast("long"))
+    plan = plan_mix(sums, weights).withColumnRenamed("pattern", "_pattern").withColumnsRenamed({"source_size": "_source_size", "target": "_target", "full": "_full", "last": "_last", "more": "_more"})
+    return rows.join(F.broadcast(plan), "_pattern").withColumn("_copies", F.col("_full") + ((F.col("_h") <= F.col("_last")) | F.array_contains("_more", F.col("_h"))).cast("long"))
 
 
 def mix(docs: DataFrame, weights=(1, 2, 3), seed: int = 0, sources: str = "source") -> DataFrame:
@@ -179,7 +208,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), seed: int = 0, sources: str = "sourc
     overlapping sources source_size and target are sums over the document's
     sources. A null or empty text has size 0 and takes 0 words. A null source or
     an empty array counts as the null source. Rows that repeat id and text are
-    used alike; all other ties are ordered by the seeded hash of id and text, so
+    used alike (and may so miss a target by their number); all other ties are ordered by the seeded hash of id and text, so
     reruns agree. Other columns are ignored; an empty table gives no rows.
     """
     rows = mixed(docs.select("doc_id", "text", sources), weights, seed, sources)
