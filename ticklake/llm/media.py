@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm.ngram_join import by_group
+from ticklake.llm import kernels as K
 from ticklake.llm.repeats import batch_of
 from ticklake.llm.shared import read_table, written
 
@@ -25,8 +24,8 @@ NOTE = 512
 #: An alignment counts with a bit error rate up to ERRORS over at least OVERLAP numbers.
 ERRORS, OVERLAP = 0.15, 32
 PRINTS = "id long, prints array<int>"
-#: Numbers of a block of recordings or queries, on average, and recordings that a query meets at once.
-BLOCK, TILE = 1 << 19, 4096
+#: A landmark: the bits of a mask in the numbers at these distances. One that two recordings share is a vote for its offset.
+SPAN, MASKS = (0, 8, 16), (0x0000FFFF, 0x00FFFF00, 0xFFFF0000)
 
 #: The bank: each filter is (frames, first pitch class, pitch classes, how its rectangle is halved).
 FILTERS = [(w, c, h, kind) for kind in ("whole", "time", "pitch", "cross") for w, c, h in ((2, 0, 12), (4, 0, 6), (4, 6, 6), (8, 3, 6))]
@@ -101,76 +100,36 @@ def errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
     return int(np.bitwise_count(a[i : i + n] ^ b[j : j + n]).sum()), n
 
 
-class Tile:
-    """Recordings that queries are slid along together: numbers and pairs of neighbours, a recording in each column."""
-
-    def __init__(self, prints: list[np.ndarray]):
-        self.size = np.array([len(x) for x in prints])
-        self.numbers = np.zeros((int(self.size.max()), len(prints)), np.uint32)
-        for k, x in enumerate(prints):
-            self.numbers[: len(x), k] = x
-        self.pairs = self.numbers[:-1] | self.numbers[1:].astype(np.uint64) << np.uint64(32)
-        self.ragged = bool((self.size != self.size[0]).any())
-        self.room = np.empty((len(self.numbers) // 2 + 1, len(prints)), np.uint64), np.empty((len(self.numbers) // 2 + 1, len(prints)), np.uint8)
-
-    def differing(self, a: np.ndarray, twos: np.ndarray, i: int, j: int, n: int, which: np.ndarray | None = None) -> np.ndarray:
-        """Differing bits where n numbers of ``a`` (``twos``: pairs of its neighbours) from i on meet those of the recordings from j on."""
-        if which is None:
-            differ, count = (x[: n // 2] for x in self.room)
-            np.bitwise_xor(self.pairs[j : j + n - 1 : 2], twos[i : i + n - 1 : 2, None], out=differ)
-            return np.bitwise_count(differ, out=count).sum(0, dtype=np.uint16 if n < 2048 else np.int64)
-        out = np.bitwise_count(self.pairs[j : j + n - 1 : 2, which] ^ twos[i : i + n - 1 : 2, None]).sum(0, dtype=np.int64)
-        return out + np.bitwise_count(self.numbers[j + n - 1, which] ^ a[i + n - 1]) if n % 2 else out
-
-    def aligned(self, a: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Each recording with an alignment to ``a`` within the limits: (recording, shift, overlap, differing bits) of the one with the least rate (ties: longest, then least shift)."""
-        bits, overlap, shift = np.ones(len(self.size), np.int64), np.zeros(len(self.size), np.int64), np.zeros(len(self.size), np.int64)
-        twos = a[:-1] | a[1:].astype(np.uint64) << np.uint64(32)
-        for s in range(OVERLAP - len(a), len(self.numbers) - OVERLAP + 1):
-            i, j = max(0, -s), max(0, s)
-            most = min(len(a) - i, len(self.numbers) - j)
-            if most < OVERLAP:
-                continue
-            # bits only grow: what has too many in the first numbers can't come back under the limit
-            begun = (OVERLAP if self.ragged else most) // 4 * 2
-            first = self.differing(a, twos, i, j, begun)
-            which = np.flatnonzero(first <= ERRORS * 32 * most + 1)
-            if not len(which):
-                continue
-            found, n = first[which].astype(np.int64), np.minimum(len(a) - i, self.size[which] - j)
-            if not self.ragged:
-                found += self.differing(a, twos, i + begun, j + begun, most - begun, which)
-            else:
-                for size in np.unique(n[n >= OVERLAP]):
-                    same = np.flatnonzero(n == size)
-                    found[same] += self.differing(a, twos, i + begun, j + begun, int(size) - begun, which[same])
-            ok = np.flatnonzero((n >= OVERLAP) & (found / np.maximum(32 * n, 1) <= ERRORS))
-            which, found, n = which[ok], found[ok], n[ok]
-            left, right = found * overlap[which], bits[which] * n  # rates compared as whole numbers
-            better = (overlap[which] == 0) | (left < right) | ((left == right) & (n > overlap[which]))
-            which = which[better]
-            bits[which], overlap[which], shift[which] = found[better], n[better], s
-        hit = np.flatnonzero(overlap)
-        return hit, shift[hit], overlap[hit], bits[hit]
-
-
-def slid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Alignments of each pair of blocks: queries have side 0, recordings side 1."""
-    for table in by_group(batches):
-        side, r = (table.column(c).to_numpy() for c in ("side", "r"))
-        prints = [np.asarray(x, np.int32).view(np.uint32) for x in table.column("prints").to_numpy()]
-        asked = np.flatnonzero(side == 0)
-        known = [k for k in np.flatnonzero(side == 1).tolist() if len(prints[k]) >= OVERLAP]
-        known.sort(key=lambda k: len(prints[k]))
-        for at in range(0, len(known), TILE):
-            rows = np.array(known[at : at + TILE])
-            tile = Tile([prints[k] for k in rows])
-            for q in asked:
-                hit, shift, n, bits = tile.aligned(prints[q])
-                if len(hit):
-                    i, j = np.maximum(0, -shift), np.maximum(0, shift)
-                    votes = [int((prints[q][x : x + m] == prints[k][y : y + m]).sum()) for k, x, y, m in zip(rows[hit], i, j, n, strict=True)]
-                    yield batch_of({"q": np.full(len(hit), r[q]), "r": r[rows[hit]], "shift": shift, "votes": np.array(votes, np.int64), "overlap": n, "ber": bits / (32 * n)})
+def landmarks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(key, r, at)``: each landmark of each recording and where it starts."""
+    for batch in batches:
+        lists = batch.column("prints")
+        size = np.array([len(x) for x in lists])
+        numbers = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
+        ends = np.cumsum(size)
+        place = np.arange(len(numbers)) - np.repeat(ends - size, size)
+        whole = np.flatnonzero(np.repeat(size, size) - place > SPAN[-1])
+        r = np.repeat(batch.column("r").to_numpy(zero_copy_only=False), size)[whole]
+        for k, mask in enumerate(MASKS):
+            key = np.full(len(whole), k + 1, np.uint64)
+            for step in SPAN:
+                key = K.mix(key * K._U(K._BASE) + (numbers[whole + step] & np.uint32(mask)).astype(np.uint64))
+            yield batch_of({"key": key.view(np.int64), "r": r, "at": place[whole].astype(np.int32)})
+
+
+def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bit errors of candidates (q, r, shift, asked, known); those within the limits stay."""
+    for batch in batches:
+        q, r, shift = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("q", "r", "shift"))
+        out = []
+        for i, (a, b) in enumerate(zip(batch.column("asked"), batch.column("known"), strict=True)):
+            a, b = (x.values.to_numpy(zero_copy_only=False).view(np.uint32) for x in (a, b))
+            bits, n = errors(b, a, int(shift[i]))
+            if n >= OVERLAP and bits <= ERRORS * 32 * n:
+                x, y = max(0, -int(shift[i])), max(0, int(shift[i]))
+                out.append((q[i], r[i], shift[i], int((a[x : x + n] == b[y : y + n]).sum()), n, bits / (32 * n)))
+        columns = [np.array(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5 + [np.zeros(0)]
+        yield batch_of(dict(zip(("q", "r", "shift", "votes", "overlap", "ber"), [*(c.astype(np.int64) for c in columns[:5]), columns[5]], strict=True)))
 
 
 def classes_of(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -181,37 +140,35 @@ def classes_of(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(rows.select("id", "h", "g").join(reps.select("h", "g", "r"), ["h", "g"]).select("id", "r"), "members"), reps.select("r", "prints")
 
 
-def in_blocks(reps: DataFrame) -> tuple[DataFrame, int]:
-    """The classes with the number of their block, and how many blocks there are."""
-    total = reps.agg(F.sum(F.size("prints"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / BLOCK))
-    return reps.select(F.pmod(F.xxhash64("r"), F.lit(blocks)).alias("block"), "r", "prints"), blocks
-
-
 def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
     """Recordings of ``prints`` that align with a recording of ``queries`` (both: id, prints).
 
-    Equal fingerprints (whole lists) form a class, searched once. Every query is
-    slid along every recording over all offsets, so that no pair within the limits is
-    missed: both are cut into blocks, and each pair of blocks is one unit of work
-    that emits alignments only. Returns query_id, id, shift, votes (equal numbers),
-    overlap and ber for alignments with a rate up to ERRORS over OVERLAP numbers
-    or more, for each pair the one of the least rate (ties: longest overlap, then
-    least shift), each recording of a class by itself. Rows without an id or
-    numbers align with nothing.
+    Equal fingerprints (whole lists) form a class, searched once. A landmark takes
+    half of the bits of three numbers, in three ways; every recording is indexed
+    by all of its landmarks, and those it shares with a query are counted by
+    offset. Every offset of the histogram is then compared bit by bit. Returns
+    query_id, id, shift, votes (equal numbers), overlap and ber for alignments
+    with a rate up to ERRORS over OVERLAP numbers or more, for each pair the one
+    of the least rate (ties: longest overlap, then least shift), each recording
+    of a class by itself. An alignment without a common landmark is missed: the
+    README has the recall against comparing all offsets of all pairs. Ids that
+    repeat with other fingerprints, and rows that repeat, are recordings of their
+    own; rows without an id or numbers align with nothing; other columns are
+    ignored; empty tables give no rows.
     """
     member, reps = classes_of(prints)
     wanted, asked = classes_of(queries)
-    known, known_blocks = in_blocks(reps)
-    searched, asked_blocks = in_blocks(asked)
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    sides = searched.select(F.col("block").alias("cluster"), every(known_blocks).alias("pair"), F.lit(0).alias("side"), "r", "prints")
-    sides = sides.unionByName(known.select(every(asked_blocks).alias("cluster"), F.col("block").alias("pair"), F.lit(1).alias("side"), "r", "prints"))
-    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = sides.repartition(max(parts, asked_blocks * known_blocks), "cluster", "pair").sortWithinPartitions("cluster", "pair")
-    good = written(units.mapInArrow(slid, "q long, r long, shift long, votes long, overlap long, ber double"), "aligned")
+    marks = "key long, r long, at int"
+    known = reps.mapInArrow(landmarks, marks)
+    searched = asked.mapInArrow(landmarks, marks).withColumnsRenamed({"r": "q", "at": "asked_at"})
+    offsets = searched.join(known, "key").groupBy("q", "r", (F.col("at") - F.col("asked_at")).alias("shift")).agg(F.count("*").alias("landmarks"))
+    offsets = written(offsets.select("q", "r", F.col("shift").cast("long")), "offsets")
+    both = offsets.join(asked.select(F.col("r").alias("q"), F.col("prints").alias("asked")), "q").join(reps.select("r", F.col("prints").alias("known")), "r")
+    good = both.select("q", "r", "shift", "asked", "known").mapInArrow(compared, "q long, r long, shift long, votes long, overlap long, ber double")
+    best = F.min(F.struct("ber", (-F.col("overlap")).alias("less"), "shift", "votes")).alias("x")
+    good = written(good.groupBy("q", "r").agg(best), "aligned")
     out = good.join(member, "r").join(wanted.select(F.col("r").alias("q"), F.col("id").alias("query_id")), "q")
-    return out.select("query_id", "id", "shift", "votes", "overlap", "ber")
+    return out.select("query_id", "id", F.col("x.shift").alias("shift"), F.col("x.votes").alias("votes"), (-F.col("x.less")).alias("overlap"), F.col("x.ber").alias("ber"))
 
 
 def synthesised(batches: Iterator[pa.RecordBatch], first: int, last: int | None, noise: int) -> Iterator[pa.RecordBatch]:
