@@ -16,27 +16,6 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LETTER = np.random.default_rng(20260101).integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
 _BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 1 << 64)
-
-
-class _Powers:
-    """Powers of the base and its inverse modulo 2^64."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, CHUNK + (1 << 18))
-            step = np.full(size, _BASE, np.uint64)
-            step[0] = 1
-            back = np.full(size, _UNBASE, np.uint64)
-            back[0] = 1
-            self.up, self.down = np.cumprod(step), np.cumprod(back)
-        return self.up, self.down
-
-
-_POWERS = _Powers()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -82,11 +61,22 @@ def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, the same wherever the word stands."""
-    up, down = _POWERS.upto(len(data) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * up[: len(data)])))
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, the same wherever the word stands.
+
+    The sum of a mixed value for each (byte, place in the word): no polynomial,
+    whose structure would give long words of two letters equal values. Another
+    ``salt`` gives an independent hash.
+    """
+    length = ends - starts
+    if not len(length):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(length) - length
+    place = np.arange(int(length.sum()))
+    at = place + np.repeat(starts - first, length)
+    place -= np.repeat(first, length)
+    terms = mix(_LETTER[data[at]] + place.astype(np.uint64) * _U(_BASE) + _U(salt * 0x632BE59BD9B4E019 & (1 << 64) - 1))
+    return mix(np.add.reduceat(terms, first) + length.astype(np.uint64))
 
 
 def doubled(names: np.ndarray, length: int, have: int = 1) -> np.ndarray:
@@ -124,7 +114,8 @@ def anchored(values: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -
     ``values``: a 64-bit value of each unit; ``bounds``: where each row's units
     start. A window's anchor is the leftmost of its runs of ``anchor`` units with
     the least name, so equal windows have the same anchor at the same place.
-    ``name`` is the anchor's name, ``digest`` one of all units under the group.
+    ``name`` is the anchor's name, ``digest`` one of all units under the group,
+    made of the doubled names of its first and last window.
     """
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     if len(values) < window:
@@ -139,10 +130,9 @@ def anchored(values: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -
     if not len(start):
         return none
     ends = np.flatnonzero(whole & np.concatenate((~whole[1:] | edge[1:], [True]))) + 1
-    up, down = _POWERS.upto(len(values) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)])))
-    stop = ends + window - 1
-    digest = mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
+    stop = ends - 1  # the last window; a group's windows all hold its anchor, so the first and the last cover every unit
+    runs = doubled(names, window, anchor)
+    digest = mix(runs[start] * _U(_BASE) + (runs[stop] ^ _U(0xA5A5A5A5A5A5A5A5)) + (stop - start).astype(np.uint64))
     return row[start], start - bounds[row[start]], ends - start, names[least[start].astype(np.int64)], digest
 
 
@@ -171,7 +161,7 @@ def groups(values: np.ndarray, bounds: np.ndarray, window: int, anchor: int) ->
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else anchored(values[:0], np.zeros(1, np.int64), window, anchor)
 
 
-def word_values(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_values(data: np.ndarray, starts: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of joined rows, and where each row's words start."""
     first, last = words(data)
-    return word_hashes(data, first, last), np.searchsorted(first, starts)
+    return word_hashes(data, first, last, salt), np.searchsorted(first, starts)

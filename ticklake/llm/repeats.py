@@ -14,12 +14,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 GROUP = "name long, digest long, d long, start long, n long"
 FIELDS = ("name", "digest", "d", "start", "n")
 #: Kinds of ``sorted_out``: a copy of an earlier group, or the first of differing groups with one name.
 COPY, OPEN = 0, 1
 FOUND = "kind int, " + GROUP
+#: Hot names are looked for in one document of SAMPLE_OF: those with HOT_SEEN groups there and over a PART of an even partition's. Each is dealt to SALTS parts.
+SAMPLE_OF, HOT_SEEN, PART, SALTS = 50, 20, 8, 64
 
 
 def batch_of(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -32,18 +35,37 @@ def group_batch(d: np.ndarray, found: tuple[np.ndarray, ...], base: np.ndarray |
     return batch_of({"name": name.view(np.int64), "digest": digest.view(np.int64), "d": d[row], "start": (start + at).astype(np.int64), "n": count.astype(np.int64)})
 
 
-def by_name(rows: DataFrame) -> DataFrame:
-    """Groups dealt by name and sorted. A name has at most one group for each of its places in a document, a small share of all groups."""
+def hot_names(rows: DataFrame, groups) -> list[int]:
+    """Names that would fill a large part of a task, found in the groups of one document in SAMPLE_OF.
+
+    ``groups``: an Arrow function from (d, text) rows to groups. Only where the
+    rows of these names go depends on the sample, never a result; there are no
+    more than PART for each partition.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = rows.filter(F.pmod(F.xxhash64("d", F.lit(11)), F.lit(SAMPLE_OF)) == 0)
+    counts = some.mapInArrow(groups, GROUP).groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") >= HOT_SEEN)
+    total = some.mapInArrow(groups, GROUP).groupBy().agg(F.count("*").alias("total"))
+    found = counts.join(F.broadcast(total), F.col("n") * PART * parts > F.col("total")).select("name").collect()
+    return sorted(r["name"] for r in found)
+
+
+def by_name(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """Groups dealt by name and sorted; those of a hot name are dealt to SALTS parts by their documents."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "name").sortWithinPartitions("name", "digest", "d", "start")
+    salt = F.when(F.col("name").isin(hot), F.pmod(F.xxhash64("d"), F.lit(SALTS))).otherwise(F.lit(0)) if hot else F.lit(0)
+    return rows.repartition(n, "name", salt).sortWithinPartitions("name", "digest", "d", "start")
 
 
-def sorted_out(batches: Iterator[pa.RecordBatch], all_firsts: bool = False) -> Iterator[pa.RecordBatch]:
+def sorted_out(batches: Iterator[pa.RecordBatch], all_firsts: bool = False, hot: list[int] | None = None) -> Iterator[pa.RecordBatch]:
     """Copies and open groups of sorted groups; what comes once is dropped.
 
     With ``all_firsts`` the first group of each digest of a repeated name is open,
-    even if the name has no other digest. Keeps one row between batches.
+    even if the name has no other digest. A hot name's groups are only those of
+    its part, so the first of each digest there stays open. Keeps one row between
+    batches.
     """
+    always = np.array(hot or [], np.int64)
     last: tuple | None = None  # name and digest of the row before
     held: list | None = None  # a name's first row, until it is known whether another follows
     for batch in batches:
@@ -57,10 +79,10 @@ def sorted_out(batches: Iterator[pa.RecordBatch], all_firsts: bool = False) -> I
         other = np.zeros(len(name), bool)  # a first whose name has another digest after it
         at = np.flatnonzero(first)
         other[at[:-1]] = ~new_name[at[1:]]
-        is_open = first & (~new_name | other | (follows if all_firsts else False))
+        is_open = first & (~new_name | other | (follows if all_firsts else False) | np.isin(name, always))
         out = []
         if held is not None:
-            if (not new_name[0]) if all_firsts else (len(at) and not new_name[at[0]]):
+            if (not new_name[0]) if all_firsts else (len(at) and not new_name[at[0]]):  # never a hot name, whose firsts are open at once
                 out.append((np.array([OPEN], np.int32), [np.array([x]) for x in held]))
                 held = None
             elif len(at):

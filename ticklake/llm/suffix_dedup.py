@@ -16,7 +16,7 @@ from ticklake.llm.shared import ordered_key, read_table, removed, written
 
 #: Bytes of a repeated string.
 THRESHOLD = 100
-#: Prefix lengths of the rounds before the threshold; names double from one to the next.
+#: Prefix lengths at which anchors alone are ranked, before every position that is left.
 ROUNDS = (16, 64)
 
 SPANS = "array<struct<start:bigint,n:bigint>>"
@@ -34,16 +34,54 @@ def ranked(batches: Iterator[pa.RecordBatch], threshold: int, length: int) -> It
             yield R.group_batch(d[at:to], found, base[at:to])
 
 
-def last_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Names are final: of each name all but the first position repeat."""
-    last = None
+def prefixes(batches: Iterator[pa.RecordBatch], threshold: int, length: int) -> Iterator[pa.RecordBatch]:
+    """``(name, other, d, piece, at)``: two independent names of the ``length`` bytes at each position from which whole windows can be put together."""
     for batch in batches:
-        if batch.num_rows:
-            c = {f: batch.column(f).to_numpy(zero_copy_only=False) for f in R.FIELDS}
-            key = c["name"], c["digest"]
-            same = np.concatenate(([last == (key[0][0], key[1][0])], (key[0][1:] == key[0][:-1]) & (key[1][1:] == key[1][:-1])))
-            last = key[0][-1], key[1][-1]
-            yield R.batch_of({"kind": np.zeros(same.sum(), np.int32)} | {f: x[same] for f, x in c.items()})
+        d, base = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("d", "base"))
+        text = K.text_column(batch.column("text"))
+        for at, to in K.chunks(text):
+            data, bounds = K.joined(text, at, to, b"")
+            size = np.diff(bounds)
+            row = np.repeat(np.arange(to - at), size)
+            place = np.arange(len(data)) - bounds[row]
+            pick = np.flatnonzero((size[row] >= threshold) & (size[row] - place >= length))
+            if not len(pick):
+                continue
+            names = [K.doubled(x, length)[pick].view(np.int64) for x in (K._LETTER[data], K.mix(K._LETTER[data] + K._U(K._BASE)))]
+            owner = row[pick]
+            yield R.batch_of({"name": names[0], "other": names[1], "d": d[at:to][owner], "piece": base[at:to][owner], "at": (place[pick] + base[at:to][owner]).astype(np.int64)})
+
+
+def doubled_ranks(rows: DataFrame, threshold: int, start: int) -> DataFrame:
+    """Repeats ``(d, start, n)`` of rows (d, base, text) by prefix doubling over positions.
+
+    Names of prefixes of ``start`` bytes that come more than once get a rank. Then
+    each position meets the rank at a growing offset; Spark groups the pairs of
+    ranks, those that come once are unique and leave, the others get a new rank.
+    A position whose partner has left is unique too. At the threshold all but the
+    first position of a pair repeat it. Sums precede every shuffle of a rank, and
+    the joins are plain ones, so that adaptive execution can split a hot rank.
+    """
+    names = rows.mapInArrow(lambda it: prefixes(it, threshold, start), "name long, other long, d long, piece long, at long")
+    ranks = names.groupBy("name", "other").agg(F.count("*").alias("n")).filter("n > 1")
+    ranks = written(ranks.select("name", "other", F.monotonically_increasing_id().alias("rank")), "ranks")
+    places = written(names.join(ranks, ["name", "other"]).select("d", "piece", "at", "rank"), "places")
+    have = start
+    while True:
+        step = min(have, threshold - have)
+        ahead = places.select("d", "piece", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
+        pairs = written(places.join(ahead, ["d", "piece", "at"]), "pairs")
+        removed(rows.sparkSession, ranks, places)
+        ranks = pairs.groupBy("rank", "next").agg(F.count("*").alias("n"), F.min(F.struct("d", "at")).alias("first")).filter("n > 1")
+        have += step
+        if have == threshold:
+            repeats = pairs.join(ranks, ["rank", "next"]).filter(F.struct("d", "at") > F.col("first"))
+            out = written(repeats.select("d", F.col("at").alias("start"), F.lit(1).cast("long").alias("n")), "last")
+            removed(rows.sparkSession, pairs)
+            return out
+        ranks = written(ranks.select("rank", "next", F.monotonically_increasing_id().alias("new")), "ranks")
+        places = written(pairs.join(ranks, ["rank", "next"]).select("d", "piece", "at", F.col("new").alias("rank")), "places")
+        removed(rows.sparkSession, pairs)
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,26 +126,29 @@ def listed(rows: DataFrame) -> DataFrame:
     return rows.groupBy("d").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
-def repeated_windows(rows: DataFrame, threshold: int = THRESHOLD, rounds=ROUNDS) -> list[DataFrame]:
+def repeated_windows(rows: DataFrame, threshold: int = THRESHOLD, rounds=ROUNDS, start: int | None = None) -> list[DataFrame]:
     """Spans ``(d, start, n)``: n window starts from ``start`` whose ``threshold`` bytes also start earlier.
 
-    ``rows``: d (the order of documents), base, text. Prefix doubling: a round
-    names the prefixes of its length from those of half the length, Spark sorts
-    the (name, position) pairs, positions with a name of their own are unique and
-    leave, and the rest meets the next length until the threshold is reached.
-    Two windows are equal only if the prefixes at their anchors are, so a round
-    ranks one anchor for a group of neighbouring windows; the last one ranks
-    every window that is left.
+    ``rows``: d (the order of documents), base, text. Two windows are equal only
+    if the prefixes at their anchors are; so the first rounds rank one anchor for
+    a group of neighbouring windows: Spark sorts the (name, position) pairs, and
+    positions with a name of their own are unique and leave, as do groups that
+    repeat an earlier group whole. Every position that is left goes through
+    ``doubled_ranks``, from prefixes of ``start`` bytes (half of the threshold).
     """
     spark, spans = rows.sparkSession, []
     for length in rounds:
-        pairs = R.by_name(rows.mapInArrow(lambda it, n=length: ranked(it, threshold, n), R.GROUP))
-        found = written(pairs.mapInArrow(R.sorted_out, R.FOUND), f"round{length}")
+        named = lambda it, n=length: ranked(it, threshold, n)
+        pieces_of = rows.select("d", "base", "text")
+        hot = R.hot_names(pieces_of, named)
+        pairs = R.by_name(pieces_of.mapInArrow(named, R.GROUP), hot)
+        found = written(pairs.mapInArrow(lambda it, hot=hot: R.sorted_out(it, hot=hot), R.FOUND), f"round{length}")
         spans.append(found.filter(F.col("kind") == R.COPY).select("d", "start", "n"))
         still = listed(found.filter(F.col("kind") == R.OPEN))
-        rows = written(rows.join(still.hint("merge"), "d").mapInArrow(lambda it: pieces(it, threshold), PIECE), "pieces")
-    pairs = R.by_name(rows.mapInArrow(lambda it: ranked(it, threshold, threshold), R.GROUP))
-    spans.append(written(pairs.mapInArrow(last_round, R.FOUND), "last").select("d", "start", "n"))
+        before, rows = rows, written(rows.join(still.hint("merge"), "d").mapInArrow(lambda it: pieces(it, threshold), PIECE), "pieces")
+        if length != rounds[0]:
+            removed(spark, before)
+    spans.append(doubled_ranks(rows, threshold, start or (threshold + 1) // 2))
     removed(spark, rows)
     return spans
 
@@ -140,7 +181,8 @@ def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = Fals
     texts shorter than ``threshold`` are kept whole; rows that share an id (or
     have none) are separate documents in the order of their texts, nulls last.
     Other columns are ignored; an empty table gives no rows. Strings are compared
-    by two 64-bit names.
+    by two names of 64 bits each, made of nonlinear steps: among 10^14 strings two
+    different ones have the same pair with a probability under 10^-10.
     """
     rows = ordered_key(docs)
     windows = repeated_windows(rows.select("d", F.lit(0).cast("long").alias("base"), "text"), threshold)
