@@ -86,13 +86,41 @@ def search_shard(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         yield from index.judge(index.groups)
 
 
+def exact_values(data: np.ndarray, starts: np.ndarray, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """A value for each word that differs for words of different bytes: its hash, unless ``known`` (bytes by hash) has that for another word."""
+    first, last = K.words(data)
+    values = K.word_hashes(data, first, last)
+    _, at, number = np.unique(values, return_index=True, return_inverse=True)
+    length = last - first
+    same = length == length[at][number]
+    size = np.where(same, length, 0)
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    wrong = data[place + np.repeat(first, size)] != data[place + np.repeat(first[at][number], size)]
+    clash = ~same
+    clash[np.repeat(np.arange(len(size)), size)[wrong]] = True
+    raw = data.tobytes()
+
+    def settled(i: int) -> int:
+        word, value = raw[first[i] : last[i]], int(values[i])
+        while known.setdefault(value, word) != word:
+            value = (value + 1) % 2**64
+        return value
+
+    own = {int(i): settled(int(i)) for i in np.flatnonzero(clash)}
+    values = np.array([settled(i) for i in at.tolist()], np.uint64)[number]
+    for i, value in own.items():
+        values[i] = value
+    return values, np.searchsorted(first, starts)
+
+
 class Shard:
     def __init__(self, batches: list[pa.RecordBatch], window: int):
         table = pa.Table.from_batches(batches).combine_chunks()
         text = K.text_column(table.column("text").chunk(0))
         values, counts = [], []
+        known: dict = {}
         for at, to in K.chunks(text):
-            v, bounds = K.word_values(*K.joined(text, at, to))
+            v, bounds = exact_values(*K.joined(text, at, to), known)
             values.append(v)
             counts.append(np.diff(bounds))
         values, counts = np.concatenate(values), np.concatenate(counts)
@@ -115,7 +143,7 @@ class Shard:
 
 
 def hot_windows(batches: Iterator[pa.RecordBatch], window: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The windows whose anchor is one of ``hot``, each with two 64-bit names of its words."""
+    """The windows whose anchor is one of ``hot``, each with two independent 64-bit names of its words."""
     for batch in batches:
         d = batch.column("d").to_numpy(zero_copy_only=False)
         text = K.text_column(batch.column("text"))
@@ -129,7 +157,8 @@ def hot_windows(batches: Iterator[pa.RecordBatch], window: int, hot: np.ndarray)
             group = np.repeat(np.arange(len(n)), n)
             begin = start[group] + np.arange(len(group)) - (np.cumsum(n) - n)[group]
             unit = bounds[row[group]] + begin
-            w, v = (K.doubled(x, window)[unit].view(np.int64) for x in (values, K.mix(values ^ K._U(0xA5A5A5A5A5A5A5A5))))
+            other, _ = K.word_values(*K.joined(text, at, to), salt=1)
+            w, v = (K.doubled(x, window)[unit].view(np.int64) for x in (values, other))
             yield R.batch_of({"w": w, "v": v, "d": d[at:to][row[group]], "start": begin.astype(np.int64)})
 
 
@@ -174,16 +203,21 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, texts: bool = False)
     A null or empty text has no words; texts shorter than ``window`` are kept
     whole; rows that share an id (or have none) are separate documents in the
     order of their texts, nulls last. Other columns are ignored; an empty table
-    gives no rows. Words are compared by 64-bit hashes.
+    gives no rows. In an index words are compared by their bytes; whole groups,
+    and the windows of hot names, by two 64-bit names, which two of 10^14 different
+    strings share with a probability under 10^-10.
     """
     spark = docs.sparkSession
     rows = ordered_key(docs)
     texts_of = rows.select("d", "text")
-    sorted_groups = R.by_name(texts_of.mapInArrow(lambda it: grouped(it, window), R.GROUP))
-    found = written(sorted_groups.mapInArrow(lambda it: R.sorted_out(it, all_firsts=True), R.FOUND), "groups")
+    named = lambda it: grouped(it, window)
+    often = R.hot_names(texts_of, named)
+    sorted_groups = R.by_name(texts_of.mapInArrow(named, R.GROUP), often)
+    found = written(sorted_groups.mapInArrow(lambda it: R.sorted_out(it, all_firsts=True, hot=often), R.FOUND), "groups")
     firsts = found.filter(F.col("kind") == R.OPEN)
     held = firsts.groupBy("name").agg(F.sum(F.col("n") + window - 1).alias("words"))
-    hot = [r["name"] for r in held.filter(F.col("words") > SHARD // HOT).select("name").collect()]  # fewer than HOT for each shard
+    large = held.filter(F.col("words") > SHARD // HOT).select("name").collect()  # fewer than HOT for each shard
+    hot = sorted({*often, *(r["name"] for r in large)})
     if hot:
         found = found.join(F.broadcast(spark.createDataFrame([(x,) for x in hot], "name long")), "name", "left_anti")
         firsts = found.filter(F.col("kind") == R.OPEN)
