@@ -10,30 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import kernels as K
-from ticklake.llm.shared import read_table
+from ticklake.llm.shared import read_table, written
 
-#: Hash buckets of words, and as many of character n-grams.
+#: Hash buckets of words, as many of word bigrams, and as many of character n-grams.
 BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
-#: All buckets; the last stands for a word that repeats the one before.
-TABLE = 2 * BUCKETS + 1
+TABLE = 3 * BUCKETS
 DIM = 8
-#: Documents that the training reads at most, taken in seeded order from all labelled ones.
-SAMPLE = 2000
+#: Documents that the training reads at most, taken in seeded order from all labelled ones, and distinct features of them in all.
+SAMPLE, FEATURES = 2000, 20_000_000
 EPOCHS = 12
-RATE = 2.0
+RATE = 10.0
 
 
 def features(data: np.ndarray, rows: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(positions, buckets)`` of the words, of words that repeat the one before (the one word bigram kept), and of each n-gram size; n-grams stay inside words and count bytes. ``rows``: where each joined text starts; its first word repeats none."""
+    """``(positions, buckets)`` of the words, of the word bigrams (any word twice is one bigram), and of each n-gram size; n-grams stay inside words and count bytes. ``rows``: where each joined text starts; bigrams stay inside a text."""
     starts, ends = K.words(data)
     hashes = K.word_hashes(data, starts, ends)
     yield starts, (hashes % K._U(BUCKETS)).astype(np.int32)
-    same = np.concatenate(([False], hashes[1:] == hashes[:-1], [False]))
+    inner = np.ones(len(starts), bool)  # words with a word before them
+    inner[:1] = False
     if rows is not None:
-        same[np.searchsorted(starts, rows)] = False
-    again = np.flatnonzero(same[: len(starts)])
-    yield starts[again], np.full(len(again), 2 * BUCKETS, np.int32)
+        first = np.searchsorted(starts, rows)
+        inner[first[first < len(starts)]] = False
+    second = np.flatnonzero(inner)
+    pairs = (K.doubled(hashes, 2)[second - 1] >> K._U(20) & K._U(BUCKETS - 1)).astype(np.int32)
+    pairs[hashes[second] == hashes[second - 1]] = 0
+    yield starts[second], pairs + 2 * BUCKETS
     names, have = K._LETTER[data], 1
     sizes = np.zeros(len(data), np.int32)
     if len(starts):
@@ -59,14 +62,16 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = K.text_column(batch.column("text"))
         made = [doc_features(t.as_py()) for t in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("y").cast(pa.int64()), pa.array([b.tobytes() for b, _ in made], pa.binary()), pa.array([s.tobytes() for _, s in made], pa.binary())], names=["y", "buckets", "shares"])
+        yield pa.RecordBatch.from_arrays([batch.column("place").cast(pa.int64()), batch.column("y").cast(pa.int64()), pa.array([b.tobytes() for b, _ in made], pa.binary()), pa.array([s.tobytes() for _, s in made], pa.binary())], names=["place", "y", "buckets", "shares"])
 
 
 def train(examples: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 0) -> tuple[np.ndarray, float]:
-    """Stochastic gradient descent; returns what each bucket adds to the log odds, and the bias.
+    """Stochastic gradient descent on the cross entropy; returns what each bucket adds to the log odds, and the bias.
 
     A document's vector is the mean of its features' vectors, the output a
-    softmax over the two labels.
+    softmax over the two labels. The step falls linearly from RATE to 0; the
+    output layer, which sees means and no shares, takes a tenth of it and the bias
+    a thousandth.
     """
     rng = np.random.default_rng(seed)
     table = ((rng.random((TABLE, DIM)) - 0.5) / DIM).astype(np.float32)
@@ -85,10 +90,9 @@ def train(examples: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 0) ->
             slip = odds / odds.sum()
             slip[y] -= 1
             back = out @ slip
-            out -= rate * np.outer(hidden, slip)
-            bias -= np.float32(0.01) * rate * slip
-            # the mean's gradient is spread by share; scaled up since shares are small
-            table[buckets] -= np.outer(np.minimum(shares * np.float32(len(buckets)), 8), back) * rate * np.float32(0.05)
+            out -= rate / 10 * np.outer(hidden, slip)
+            bias -= rate / 1000 * slip
+            table[buckets] -= rate * np.outer(shares, back)
     gap = out[:, 1] - out[:, 0]
     return (table @ gap).astype(np.float32), float(bias[1] - bias[0])
 
@@ -101,22 +105,27 @@ class QualityModel:
 
     @classmethod
     def fit(cls, docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, seed: int = 0) -> QualityModel:
-        """Train on at most ``sample`` labelled documents, chosen in seeded order of their ids.
+        """Train on at most ``sample`` labelled documents, chosen in seeded order of their ids, as long as they have no more than FEATURES distinct features together.
 
         The sample is drawn from the label table alone, so only its ids are
         broadcast (a bounded number); the documents are scanned once for their
         texts. Rows whose label or id is null are left out; of an id with several
-        labels the largest counts. Without examples of both labels every text
-        scores the smoothed share of label 1.
+        labels the largest counts, with several texts the least. Without examples
+        of both labels every text scores the smoothed share of label 1.
         """
         known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("y")).filter("_id is not null and y in (0, 1)")
         chosen = known.groupBy("_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(sample).collect()
         spark = docs.sparkSession
-        ids = spark.createDataFrame([(r["_id"], r.y) for r in chosen], "_id long, y int")
-        texts = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("y", "text")
-        rows = texts.limit(2 * sample).mapInArrow(_examples, "y long, buckets binary, shares binary").collect()
-        rows.sort(key=lambda r: (r.y, bytes(r.buckets), bytes(r.shares)))
-        examples = [(r.y, np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.shares, "<f4")) for r in rows if len(r.buckets)]
+        ids = spark.createDataFrame([(i, r["_id"], r.y) for i, r in enumerate(chosen)], "place int, _id long, y int")
+        texts = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).groupBy("place", "y").agg(F.min("text").alias("text"))
+        rows = written(texts.mapInArrow(_examples, "place long, y long, buckets binary, shares binary"), "examples").orderBy("place")
+        examples, held = [], 0
+        for r in rows.toLocalIterator():
+            held += len(r.buckets) // 4
+            if held > FEATURES:
+                break
+            if len(r.buckets):
+                examples.append((r.y, np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.shares, "<f4")))
         if len({y for y, _, _ in examples}) < 2:
             good = sum(y for y, _, _ in examples)
             return cls(np.zeros(TABLE, np.float32), float(np.log((good + 1) / (len(examples) - good + 1))))
