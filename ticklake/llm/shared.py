@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -16,11 +17,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (single-machine tests) is a folder of this process used instead.
+    A cluster names it in ``spark.checkpoint.dir``; only where that is unset and
+    the driver is the only machine (tests) is a folder of this process used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-ticklake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
