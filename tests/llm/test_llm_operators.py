@@ -406,8 +406,9 @@ def test_derived_recordings_are_all_found(spark):
             found = (media.errors(b, a, s) for s in range(32 - len(a), len(b) - 31))
             if any(n >= 32 and bits <= 0.15 * 32 * n for bits, n in found):
                 want.add((q, r))
-    got = {(r.query_id, r.id) for r in media.op6_chroma_fingerprints(spark, sf).collect()}
-    assert got <= want and len(got) >= 0.9 * len(want) and len(want) >= len(asked)
+    rows = media.op6_chroma_fingerprints(spark, sf).collect()
+    assert {(r.query_id, r.id) for r in rows} <= want and len(rows) == len({r.query_id for r in rows}) and len(want) >= len(asked)
+    assert 0.9 * len(want) <= sum(r.n_links for r in rows) <= len(want)
 
 
 def test_substring_dedup_splits_hot_names(spark, monkeypatch):

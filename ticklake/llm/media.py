@@ -203,8 +203,19 @@ def derived_prints(embeddings: DataFrame, first: int = 0, last: int | None = Non
     return embeddings.select("vec_id", "embedding").mapInArrow(lambda it: fingerprinted(synthesised(it, first, last, noise)), PRINTS)
 
 
+def links_of(aligned: DataFrame) -> DataFrame:
+    """One row for each query of ``align``'s pairs: class_id (least recording it aligns with), n_links (how many) and the alignment of the least rate.
+
+    Near copies of a recording all align with one query, so the pairs of a group
+    grow with its square; these rows grow with the queries.
+    """
+    best = F.min(F.struct("ber", (-F.col("overlap")).alias("less"), "id", "shift", "votes")).alias("x")
+    rows = aligned.groupBy("query_id").agg(F.min("id").alias("class_id"), F.count("*").alias("n_links"), best)
+    return rows.select("query_id", "class_id", "n_links", F.col("x.id").alias("id"), F.col("x.shift").alias("shift"), F.col("x.votes").alias("votes"), (-F.col("x.less")).alias("overlap"), F.col("x.ber").alias("ber"))
+
+
 def op6_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where noisy excerpts of the recordings whose id is divisible by 50 align with all recordings."""
+    """With which recordings, of all, the noisy excerpts of those whose id is divisible by 50 align: a row for each excerpt."""
     vectors = read_table(spark, sf_dir, "embeddings")
     asked = derived_prints(vectors.filter("vec_id % 50 = 0"), first=16, last=56, noise=600)
-    return align(derived_prints(vectors), asked)
+    return links_of(align(derived_prints(vectors), asked))
