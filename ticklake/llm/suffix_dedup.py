@@ -17,7 +17,7 @@ from ticklake.llm.shared import ordered_key, read_table, removed, written
 #: Bytes of a repeated string.
 THRESHOLD = 100
 #: Prefix lengths at which anchors alone are ranked, before every position that is left.
-ROUNDS = (16, 64)
+ROUNDS = (24, 48, 96)
 
 SPANS = "array<struct<start:bigint,n:bigint>>"
 PIECE = "d long, base long, text binary"
@@ -34,8 +34,25 @@ def ranked(batches: Iterator[pa.RecordBatch], threshold: int, length: int) -> It
             yield R.group_batch(d[at:to], found, base[at:to])
 
 
+def steps_of(threshold: int, start: int) -> list[int]:
+    """Offsets of the rounds that double prefixes from ``start`` to ``threshold`` bytes."""
+    steps, have = [], start
+    while have < threshold:
+        steps.append(min(have, threshold - have))
+        have += steps[-1]
+    return steps
+
+
+def places_of(threshold: int, start: int) -> list[int]:
+    """Places of a window whose prefixes of ``start`` bytes the rounds need."""
+    out = {0}
+    for step in reversed(steps_of(threshold, start)):
+        out |= {x + step for x in out}
+    return sorted(out)
+
+
 def prefixes(batches: Iterator[pa.RecordBatch], threshold: int, length: int) -> Iterator[pa.RecordBatch]:
-    """``(name, other, d, piece, at)``: two independent names of the ``length`` bytes at each position from which whole windows can be put together."""
+    """``(name, other, d, piece, at)``: two independent names of the ``length`` bytes at the places of which whole windows are put together."""
     for batch in batches:
         d, base = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("d", "base"))
         text = K.text_column(batch.column("text"))
@@ -44,7 +61,12 @@ def prefixes(batches: Iterator[pa.RecordBatch], threshold: int, length: int) ->
             size = np.diff(bounds)
             row = np.repeat(np.arange(to - at), size)
             place = np.arange(len(data)) - bounds[row]
-            pick = np.flatnonzero((size[row] >= threshold) & (size[row] - place >= length))
+            whole = size[row] - place >= threshold  # a window starts here
+            use = whole.copy()
+            for step in places_of(threshold, length):  # and these are the places at which it is put together
+                if 0 < step < len(data):
+                    use[step:] |= whole[:-step] & (row[step:] == row[:-step])
+            pick = np.flatnonzero(use & (size[row] - place >= length))
             if not len(pick):
                 continue
             names = [K.doubled(x, length)[pick].view(np.int64) for x in (K._LETTER[data], K.mix(K._LETTER[data] + K._U(K._BASE)))]
@@ -66,22 +88,20 @@ def doubled_ranks(rows: DataFrame, threshold: int, start: int) -> DataFrame:
     ranks = names.groupBy("name", "other").agg(F.count("*").alias("n")).filter("n > 1")
     ranks = written(ranks.select("name", "other", F.monotonically_increasing_id().alias("rank")), "ranks")
     places = written(names.join(ranks, ["name", "other"]).select("d", "piece", "at", "rank"), "places")
-    have = start
-    while True:
-        step = min(have, threshold - have)
+    steps = steps_of(threshold, start)
+    for i, step in enumerate(steps):
         ahead = places.select("d", "piece", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
         pairs = written(places.join(ahead, ["d", "piece", "at"]), "pairs")
         removed(rows.sparkSession, ranks, places)
         ranks = pairs.groupBy("rank", "next").agg(F.count("*").alias("n"), F.min(F.struct("d", "at")).alias("first")).filter("n > 1")
-        have += step
-        if have == threshold:
-            repeats = pairs.join(ranks, ["rank", "next"]).filter(F.struct("d", "at") > F.col("first"))
-            out = written(repeats.select("d", F.col("at").alias("start"), F.lit(1).cast("long").alias("n")), "last")
+        if i < len(steps) - 1:
+            ranks = written(ranks.select("rank", "next", F.monotonically_increasing_id().alias("new")), "ranks")
+            places = written(pairs.join(ranks, ["rank", "next"]).select("d", "piece", "at", F.col("new").alias("rank")), "places")
             removed(rows.sparkSession, pairs)
-            return out
-        ranks = written(ranks.select("rank", "next", F.monotonically_increasing_id().alias("new")), "ranks")
-        places = written(pairs.join(ranks, ["rank", "next"]).select("d", "piece", "at", F.col("new").alias("rank")), "places")
-        removed(rows.sparkSession, pairs)
+    repeats = pairs.join(ranks, ["rank", "next"]).filter(F.struct("d", "at") > F.col("first"))
+    out = written(repeats.select("d", F.col("at").alias("start"), F.lit(1).cast("long").alias("n")), "last")
+    removed(rows.sparkSession, pairs)
+    return out
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
