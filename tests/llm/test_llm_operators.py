@@ -494,7 +494,10 @@ def test_words_of_one_hash_stay_apart(monkeypatch):
 
 def test_suffix_dedup_doubles_ranks_more_than_once(docs):
     rows = docs.selectExpr("doc_id as d", "0L as base", "coalesce(text, '') as text")
-    for start in (13, 50, 100):
+    exact = words(random.Random(1), 40)[:100]  # windows without neighbours
+    alone = docs.sparkSession.createDataFrame([(1, 0, exact), (2, 0, exact), (3, 0, "z" + exact[1:]), (4, 0, exact[:99] + "z")], "d long, base long, text string")
+    for start in (13, 50, 99):
+        assert [tuple(r) for r in suffix_dedup.doubled_ranks(alone, 100, start).collect()] == [(2, 0, 1)]
         found = {(r.d, r.start + i) for r in suffix_dedup.doubled_ranks(rows, 100, start).collect() for i in range(r.n)}
         seen, want = set(), set()
         for d, t in in_order(docs):
