@@ -92,20 +92,6 @@ def signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
 
 
-def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from the first document of each sorted bucket to its others."""
-    key = head = None
-    for batch in batches:
-        keys, d = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "d"))
-        if not len(keys):
-            continue
-        new = np.concatenate(([key is None or key != keys[0]], keys[1:] != keys[:-1]))
-        at = np.maximum.accumulate(np.where(new, np.arange(len(keys)), -1))
-        heads = np.where(at >= 0, d[at], head if head is not None else 0)
-        key, head = keys[-1], heads[-1]
-        yield batch_of({"a": heads[~new], "b": d[~new]})
-
-
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
     """(values compared, matches needed): with fewer the posterior of a similarity of ``threshold`` or more is under ``tolerance``.
 
@@ -270,8 +256,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     alike = written(alike, "candidates")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = alike.select("d", "signature").mapInArrow(banded, "key long, d long")
-    near = buckets.repartition(parts, "key").sortWithinPartitions("key", "d").mapInArrow(stars, "a long, b long")
-    groups = components(near)
+    heads = buckets.groupBy("key").agg(F.min("d").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a")
+    groups = components(buckets.join(heads, "key").filter("d > a").select("a", F.col("d").alias("b")))
     member = alike.join(groups.withColumnRenamed("v", "d"), "d").withColumnRenamed("root", "cluster")
     member = written(member.select("cluster", "d", "weight", "shingles", "signature"), "members")
     sizes = member.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("shingles") / BLOCK_SHINGLES)).alias("blocks"))
