@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.operators.book import book_rows, chain, spread_bp, tops
+from ticklake.operators.book import book_rows, spread_bp, tops, verdicts
 from ticklake.operators.order import RECV, ord_
 
 TICKER_COLUMNS = ("mark_price", "index_price", "funding_rate", "open_interest")
@@ -75,7 +75,7 @@ def build_bars(tape: DataFrame, seconds: float = 60.0, with_book: bool = True) -
     aggregates = flow_columns() | ticker_columns()
     bars = rows.groupBy(*KEY).agg(*(c.alias(n) for n, c in aggregates.items()))
     if with_book:
-        bars = bars.join(top_columns(tops(chain(book_rows(tape))), step), list(KEY), "left")
+        bars = bars.join(top_columns(tops(verdicts(book_rows(tape))), step), list(KEY), "left")
     else:
         bars = bars.withColumns({"best_bid": F.lit(None).cast("double"), "best_ask": F.lit(None).cast("double")})
     return bars.select(

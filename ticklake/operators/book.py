@@ -8,8 +8,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.operators.order import RECV, arrival, ord_
-from ticklake.schema import level_numbers
+from ticklake.operators.carry import carried
+from ticklake.operators.order import RECV, ord_
+from ticklake.operators.universe import as_of
+from ticklake.schema import NS_PER_HOUR, level_numbers
+from ticklake.sources.normalize import DIFF_DEPTH
+from ticklake.sources.scratch import stored
 
 KEY = ("venue", "symbol", "depth")
 
@@ -18,10 +22,9 @@ def book_rows(tape: DataFrame) -> DataFrame:
     return tape.filter(F.col("kind").isin("orderbook_snapshot", "orderbook_delta")).withColumn("snapshot", F.col("kind") == "orderbook_snapshot")
 
 
-def epochs(rows: DataFrame) -> DataFrame:
+def epochs(rows: DataFrame, more: dict[str, F.Column] | None = None) -> DataFrame:
     """Adds ``epoch``: how many snapshots the book has had up to the row, and the update id before it."""
-    w = arrival(*KEY)
-    return rows.withColumn("epoch", F.sum(F.col("snapshot").cast("int")).over(w)).withColumn("last_id", F.lag("update_id").over(w))
+    return carried(rows, KEY, before={"last_id": F.col("update_id")} | (more or {}), counts={"epoch": F.col("snapshot")})
 
 
 def mark_gaps(rows: DataFrame) -> DataFrame:
@@ -31,9 +34,8 @@ def mark_gaps(rows: DataFrame) -> DataFrame:
     earlier delta since the snapshot did. Before the first snapshot the topic
     counts as unhealthy once a delta has come.
     """
-    w = arrival(*KEY)
     run = Window.partitionBy(*KEY, "epoch").orderBy(RECV, "seq")
-    rows = epochs(rows).withColumn("previous_cross_sequence", F.coalesce(F.lag("cross_sequence").over(w), F.lit(0)))
+    rows = epochs(rows, {"_cross": F.col("cross_sequence")}).withColumn("previous_cross_sequence", F.coalesce("_cross", F.lit(0))).drop("_cross")
     broken = ~F.col("snapshot") & (F.coalesce("last_id", F.lit(0)) > 0) & (F.col("update_id") != F.col("last_id") + 1)
     seen = F.sum(broken.cast("int")).over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     gap = ~F.col("snapshot") & ((F.col("epoch") == 0) | (seen > 0))
@@ -42,6 +44,10 @@ def mark_gaps(rows: DataFrame) -> DataFrame:
     return rows.withColumn("previous_update_id", F.coalesce("last_id", F.lit(0))).drop("last_id")
 
 
+#: What a diff-stream book stands on (null for other books).
+BASE = "struct<taken:boolean,fits:boolean,anchor:bigint,last:bigint,arrived:bigint>"
+
+
 def chain(rows: DataFrame) -> DataFrame:
     """Adds ``valid``: the book after this row is the venue's book.
 
@@ -52,31 +58,32 @@ def chain(rows: DataFrame) -> DataFrame:
     run = Window.partitionBy(*KEY, "epoch").orderBy(RECV, "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = epochs(rows)
     broken = ~F.col("snapshot") & (F.coalesce("sequence_gap", F.lit(False)) | ~F.coalesce(F.col("update_id") == F.col("last_id") + 1, F.lit(False)))
-    return rows.withColumn("valid", (F.col("epoch") > 0) & (F.sum(broken.cast("int")).over(run) == 0)).drop("last_id")
+    rows = rows.withColumn("valid", (F.col("epoch") > 0) & (F.sum(broken.cast("int")).over(run) == 0)).drop("last_id")
+    return rows.withColumns({"used": F.col("snapshot"), **{n: F.lit(None).cast(t) for n, t in (("diffs", "bigint"), ("at", "bigint"), ("base", BASE))}})
 
 
-def level_changes(chained: DataFrame) -> DataFrame:
-    """A row for each level of each valid book row: side, price, size, in the order of ``seq`` and ``pos``."""
-    rows = chained.filter("valid")
+def level_changes(applied: DataFrame) -> DataFrame:
+    """A row for each level of each row of ``applied_rows``: side, price, size, in the order of ``seq``, ``sub`` and ``pos``."""
     parts = []
     for side, column in (("bid", "bids"), ("ask", "asks")):
-        parts.append(rows.select(*KEY, "epoch", RECV, "seq", F.lit(side).alias("side"), F.posexplode(level_numbers(column)).alias("pos", "level")))
+        parts.append(applied.select(*KEY, "epoch", RECV, "seq", "sub", F.lit(side).alias("side"), F.posexplode(level_numbers(column)).alias("pos", "level")))
     return parts[0].unionByName(parts[1]).select("*", "level.price", "level.size").drop("level")
 
 
-def books_at(chained: DataFrame, moments: DataFrame) -> DataFrame:
+def books_at(judged: DataFrame, moments: DataFrame) -> DataFrame:
     """Levels of every book at every moment ``(symbol, at_ns)``: symbol, depth, at_ns, side, price, size.
 
-    The moment meets the last epoch that had begun; in it the last size of each
-    price counts if it is above zero. Nothing is held for a moment at which the
-    chain was broken.
+    ``judged``: rows of ``verdicts``. A moment meets the last row of its book by
+    one as-of step; if the book was the venue's then, the last size of each price
+    in that row's epoch counts if it is above zero.
     """
-    starts = chained.filter("snapshot").select(*KEY, "epoch", F.col(RECV).alias("from_ns"))
-    begun = starts.join(moments, "symbol").filter("from_ns <= at_ns").groupBy(*KEY, "at_ns").agg(F.max("epoch").alias("epoch"))
-    broken = chained.filter("not valid and epoch > 0").groupBy(*KEY, "epoch").agg(F.min(RECV).alias("broken_ns"))
-    begun = begun.join(broken, [*KEY, "epoch"], "left").filter("broken_ns is null or broken_ns > at_ns").drop("broken_ns")
-    changes = level_changes(chained).join(begun, [*KEY, "epoch"]).filter(F.col(RECV) <= F.col("at_ns"))
-    last = changes.groupBy(*KEY, "at_ns", "side", "price").agg(F.max_by("size", F.struct(RECV, "seq", "pos")).alias("size"))
+    books = judged.select(*KEY).distinct()
+    asked = moments.join(books, "symbol").withColumn("book", F.concat_ws("\x1f", *KEY))
+    states = judged.select(F.concat_ws("\x1f", *KEY).alias("book"), RECV, F.struct("seq", F.struct("valid", "epoch").alias("s")).alias("state"))
+    states = states.groupBy("book", RECV).agg(F.max("state").alias("state"))  # several rows of one stamp: the last
+    begun = as_of(asked, states, ["state"], "at_ns", key="book").filter("then_state.s.valid").select(*KEY, "at_ns", F.col("then_state.s.epoch").alias("epoch"))
+    changes = level_changes(applied_rows(judged)).join(begun, [*KEY, "epoch"]).filter(F.col(RECV) <= F.col("at_ns"))
+    last = changes.groupBy(*KEY, "at_ns", "side", "price").agg(F.max_by("size", F.struct(RECV, "seq", "sub", "pos")).alias("size"))
     return last.filter("size > 0")
 
 
@@ -111,14 +118,14 @@ def spread_bp(bid: str, ask: str) -> F.Column:
     return F.when(mid != 0, (F.col(ask) - F.col(bid)) / mid * 1e4)
 
 
-TOP = "venue string, symbol string, depth int, local_receive_ts_ns bigint, seq bigint, best_bid double, best_ask double"
+TOP = "venue string, symbol string, depth int, local_receive_ts_ns bigint, seq bigint, best_bid double, best_ask double, bid_size double, ask_size double"
 
 
 def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Best prices after each row; rows come sorted by book, epoch and arrival, and one book is held at a time."""
+    """Best prices and sizes after each row that ends a step; rows come sorted by book, epoch and order, and one book is held at a time."""
     key, sides, best = None, ({}, {}), [None, None]
     for batch in batches:
-        out: list[list] = [[] for _ in range(7)]
+        out: list[list] = [[] for _ in range(9)]
         for r in batch.to_pylist():
             now = (r["venue"], r["symbol"], r["depth"], r["epoch"])
             if now != key:
@@ -135,21 +142,22 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         best[i] = price if best[i] is None else pick(best[i], price)
                     elif book.pop(price, None) is not None and price == best[i]:
                         best[i] = pick(book, default=None)
-            for column, v in zip(out, (*now[:3], r[RECV], r["seq"], *best), strict=True):
-                column.append(v)
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["venue", "symbol", "depth", RECV, "seq", "best_bid", "best_ask"])
+            if r["final"]:
+                for column, v in zip(out, (*now[:3], r[RECV], r["seq"], *best, sides[0].get(best[0]), sides[1].get(best[1])), strict=True):
+                    column.append(v)
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), *(pa.float64(),) * 4)
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=[x.split()[0] for x in TOP.split(", ")])
 
 
-def tops(chained: DataFrame) -> DataFrame:
-    """Best bid and ask after each valid row.
+def tops(judged: DataFrame) -> DataFrame:
+    """Best bid and ask, and their sizes, after each valid row of ``verdicts``.
 
     A snapshot replaces everything, so books are dealt by epoch, not by symbol:
     a hot symbol spreads over as many tasks as it has snapshots.
     """
-    n = int(chained.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = chained.filter("valid").select(*KEY, "epoch", RECV, "seq", "snapshot", level_numbers("bids").alias("bids"), level_numbers("asks").alias("asks"))
-    dealt = rows.repartition(n, *KEY, "epoch").sortWithinPartitions(*KEY, "epoch", RECV, "seq")
+    n = int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = applied_rows(judged).select(*KEY, "epoch", RECV, "seq", "sub", "final", "snapshot", level_numbers("bids").alias("bids"), level_numbers("asks").alias("asks"))
+    dealt = rows.repartition(n, *KEY, "epoch").sortWithinPartitions(*KEY, "epoch", RECV, "seq", "sub")
     return dealt.mapInArrow(_tops, TOP)
 
 
@@ -161,133 +169,141 @@ def gap_spans(marked: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- diff streams
-VERDICT = "venue string, symbol string, depth int, local_receive_ts_ns bigint, seq bigint, valid boolean, rows_applied bigint, held bigint, passed bigint, last_id bigint, best_bid double, best_ask double"
-#: Diffs held while no snapshot fits, and applied ones kept to re-base by.
+#: Diffs kept while no snapshot fits, and applied ones kept to re-base by.
 HELD, RECENT = 12_000, 1_200
+DIFF_VENUES = ("binance",)
+BASES = "venue string, symbol string, depth int, local_receive_ts_ns bigint, seq bigint, taken boolean, fits boolean, anchor bigint, last bigint, arrived bigint, passed bigint"
 
 
-class DiffBook:
-    """A book whose snapshots arrive beside its diff stream, one row at a time.
+def is_diff_stream() -> F.Column:
+    """Books whose snapshots arrive beside their stream of diffs."""
+    return F.regexp_extract("venue", "^[a-z]+", 0).isin(*DIFF_VENUES) & (F.col("depth") == DIFF_DEPTH)
 
-    Diffs name the one before them. Without a fitting snapshot they are held; a
-    snapshot drops the held ones it covers, the next must span its id and the
-    others must follow one another. A snapshot on a good book is re-based by the
-    recent diffs, or passed over if they can't bracket it.
-    """
 
-    def __init__(self):
-        from collections import deque
-
-        self.held, self.recent = deque(maxlen=HELD), deque(maxlen=RECENT)
-        self.sides: tuple[dict, dict] = ({}, {})
-        self.last = self.base = self.applied = self.passed = 0
-        self.valid = self.waits = False
-
-    @staticmethod
-    def _whole(row: dict) -> tuple[dict, dict]:
-        return tuple({x["price"]: x["size"] for x in row[c] or [] if x["size"] > 0} for c in ("bids", "asks"))
-
-    @staticmethod
-    def _changed(sides: tuple[dict, dict], row: dict) -> None:
-        for side, c in zip(sides, ("bids", "asks"), strict=True):
-            for x in row[c] or []:
-                if x["size"] > 0:
-                    side[x["price"]] = x["size"]
-                else:
-                    side.pop(x["price"], None)
-
-    def take(self, row: dict) -> bool:
-        """Whether the book is the venue's book after ``row``."""
-        if row["snapshot"]:
-            fits = self._rebase(row) if self.valid else self._start(row)
-            self.applied += fits
-            self.passed += not fits
-            return self.valid
-        if self.valid and self._diff(row):
-            return True
-        self.held.append(row)
-        return False
-
-    def _start(self, row: dict) -> bool:
-        self.sides, self.last, self.base = self._whole(row), row["update_id"], row["update_id"]
-        self.valid = self.waits = True
-        self.recent.clear()
-        queue = list(self.held)
-        self.held.clear()
-        for i, diff in enumerate(queue):
-            if not self._diff(diff):
-                self.held.extend(queue[i:])
-                break
-        return True
-
-    def _rebase(self, row: dict) -> bool:
-        at = row["update_id"]
-        later = [d for d in self.recent if d["update_id"] >= at]
-        if not later:
-            if at < self.last:
-                return False
-            self.sides, self.last, self.base, self.waits = self._whole(row), at, at, True
-            self.recent.clear()
-            return True
-        linked = all(b["previous_update_id"] == a["update_id"] for a, b in zip(later, later[1:], strict=False))
-        if not (later[0]["first_update_id"] <= at <= later[0]["update_id"] and linked):
-            return False
-        self.sides = self._whole(row)
-        for d in later:
-            self._changed(self.sides, d)
-        self.base, self.last, self.waits = at, later[-1]["update_id"], False
-        self.recent.clear()
-        self.recent.extend(later)
-        return True
-
-    def _diff(self, row: dict) -> bool:
-        if row["update_id"] < self.base:
-            return True
-        fits = row["first_update_id"] <= self.base <= row["update_id"] if self.waits else not row["sequence_gap"] and row["previous_update_id"] == self.last
-        if not fits:
-            self.valid = False
-            self.recent.clear()
-            return False
-        self.waits = False
-        self._changed(self.sides, row)
-        self.last = row["update_id"]
-        self.applied += 1
-        self.recent.append(row)
-        return True
-
-
-def diff_verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    key = book = None
-    names = [x.split()[0] for x in VERDICT.split(", ")]
-    kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-    for batch in batches:
-        out: list[list] = [[] for _ in names]
-        for r in batch.to_pylist():
-            if key != (now := (r["venue"], r["symbol"], r["depth"])):
-                key, book = now, DiffBook()
-            valid = book.take(r)
-            bid, ask = max(book.sides[0], default=None), min(book.sides[1], default=None)
-            for c, v in zip(out, (*now, r[RECV], r["seq"], valid, book.applied, len(book.held), book.passed, book.last, bid if valid else None, ask if valid else None), strict=True):
-                c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
+def runs(rows: DataFrame) -> DataFrame:
+    """Adds ``diffs`` (that had arrived with the row), for a diff its place ``at``, and ``run``: the island of diffs that each name the one before them."""
+    diff = ~F.col("snapshot")
+    rows = carried(rows, KEY, before={"_before": F.when(diff, F.col("update_id"))}, counts={"diffs": diff})
+    broken = diff & (F.coalesce("sequence_gap", F.lit(False)) | ~F.coalesce(F.col("previous_update_id") == F.col("_before"), F.lit(False)))
+    return carried(rows.withColumn("_broken", broken), KEY, counts={"run": F.col("_broken")}).withColumn("at", F.when(diff, F.col("diffs") - 1)).drop("_before")
 
 
-def diff_chain(rows: DataFrame) -> DataFrame:
-    """Verdict, counters and best prices after each row of diff-stream books.
+def anchors(rows: DataFrame) -> DataFrame:
+    """For each snapshot of ``runs`` the first diff whose ids reach the snapshot's id: anchor (its place), fits (it spans the id), last (the place at which its run ends).
 
-    A later snapshot decides about earlier diffs, so a book is a sequential
-    machine; rows are dealt by book and streamed through it in arrival order with
-    at most HELD + RECENT rows in memory.
+    Ids grow with arrival, so the hour that holds the anchor is found on a table
+    of hours, and the anchor among that hour's diffs.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    flat = rows.select(
-        *KEY, RECV, "seq", "snapshot", *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("update_id", "previous_update_id", "first_update_id")),
-        F.coalesce("sequence_gap", F.lit(False)).alias("sequence_gap"), level_numbers("bids").alias("bids"), level_numbers("asks").alias("asks"),
-    )
-    return flat.repartition(n, *KEY).sortWithinPartitions(*KEY, RECV, "seq").mapInArrow(diff_verdicts, VERDICT)
+    diffs = rows.filter("not snapshot").withColumn("_hour", F.expr(f"{RECV} div {NS_PER_HOUR}"))
+    shots = rows.filter("snapshot").select(*KEY, RECV, "seq", F.col("update_id").alias("id"), F.col("diffs").alias("arrived"))
+    hours = diffs.groupBy(*KEY, "_hour").agg(F.max("update_id").alias("id"))
+    blank = hours.withColumns({"_who": F.lit(None).cast("struct<ns:bigint,seq:bigint,arrived:bigint>"), "_last": F.lit(1)})
+    probe = shots.select(*KEY, F.lit(None).cast("bigint").alias("_hour"), "id", F.struct(F.col(RECV).alias("ns"), "seq", "arrived").alias("_who"), F.lit(0).alias("_last"))
+    ahead = Window.partitionBy(*KEY).orderBy("id", "_last").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = blank.select(probe.columns).unionByName(probe).withColumn("_hour", F.first("_hour", ignorenulls=True).over(ahead)).filter("_last = 0")
+    inside = diffs.select(*KEY, "_hour", F.col("update_id").alias("id"), F.lit(None).cast("struct<ns:bigint,seq:bigint,arrived:bigint>").alias("_who"), F.lit(1).alias("_last"), F.struct("at", F.col("first_update_id").alias("first"), "run").alias("_diff"))
+    asked = found.filter("_hour is not null").withColumn("_diff", F.lit(None).cast(inside.schema["_diff"].dataType))
+    near = Window.partitionBy(*KEY, "_hour").orderBy("id", "_last").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    met = inside.unionByName(asked.select(inside.columns)).withColumn("_diff", F.min("_diff").over(near)).filter("_last = 0")
+    none = found.filter("_hour is null").withColumn("_diff", F.lit(None).cast(inside.schema["_diff"].dataType))
+    met = met.unionByName(none.select(met.columns)).select(*KEY, F.col("_who.ns").alias(RECV), F.col("_who.seq").alias("seq"), F.col("_who.arrived").alias("arrived"), F.col("_diff.at").alias("anchor"), (F.col("_diff.first") <= F.col("id")).alias("fits"), F.col("_diff.run").alias("run"))
+    ends = rows.filter("_broken").select(*KEY, (F.col("run") - 1).alias("run"), (F.col("at") - 1).alias("last"))
+    return met.join(ends, [*KEY, "run"], "left").drop("run")
+
+
+def taken_bases(shots: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which snapshots a book takes as its base, in arrival order; the only step that depends on the one before, over snapshots alone.
+
+    A book that isn't whole takes any. A whole one takes a snapshot ahead of all
+    its diffs, or one that its last RECENT diffs bracket; it passes over others.
+    """
+    names = [x.split()[0] for x in BASES.split(", ")]
+    book, base, passed = None, None, 0
+    for batch in shots:
+        rows = batch.to_pylist()
+        for r in rows:
+            if book != (now := (r["venue"], r["symbol"], r["depth"])):
+                book, base, passed = now, None, 0
+            seen, anchor = r["arrived"], r["anchor"]
+            behind = anchor is not None and anchor < seen
+            whole = base is not None and whole_at(base, seen)
+            r["fits"] = bool(r["fits"]) and not (behind and anchor < seen - HELD)
+            r["taken"] = not whole or not behind or (r["fits"] and anchor >= max(seen - RECENT, base["anchor"] if base["anchor"] is not None else seen))
+            base, passed = (r, passed) if r["taken"] else (base, passed + 1)
+            r["passed"] = passed
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), *(pa.int64(),) * 4)
+        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True)], names=names)
+
+
+def whole_at(base: dict, diffs: int) -> bool:
+    """Whether a book on ``base`` is the venue's once ``diffs`` diffs have arrived."""
+    anchor, last = base["anchor"], base["last"]
+    return anchor is None or anchor >= diffs or (base["fits"] and (last is None or diffs - 1 <= last))
 
 
-def last_of_book(verdicts: DataFrame) -> DataFrame:
-    """The description of each book after its last row."""
-    last = F.max_by(F.struct("valid", "rows_applied", "held", "passed", "last_id", "best_bid", "best_ask"), ord_())
-    return verdicts.groupBy(*KEY).agg(last.alias("x")).select(*KEY, "x.*")
+def diff_chain(rows: DataFrame) -> DataFrame:
+    """Rows of diff-stream books with ``valid``, ``epoch`` (the base's number), ``base``, ``diffs``, ``at`` and the counters held, passed and rows_applied.
+
+    Links between neighbouring diffs make runs; a snapshot is good from its
+    arrival until the run of the diff that spans its id ends. Only the choice
+    among snapshots is a walk, over snapshots alone. Update ids must not fall
+    with arrival. Covered diffs count as applied.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = rows.select(*KEY, RECV, "seq", "snapshot", "sequence_gap", *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("update_id", "previous_update_id", "first_update_id")))
+    linked = stored(runs(ids), "runs")
+    shots = anchors(linked).select(*KEY, RECV, "seq", F.lit(False).alias("taken"), "fits", "anchor", "last", "arrived", F.lit(0).cast("bigint").alias("passed"))
+    bases = shots.repartition(n, *KEY).sortWithinPartitions(*KEY, RECV, "seq").mapInArrow(taken_bases, BASES)
+    told = stored(bases.select(*KEY, RECV, "seq", F.struct("taken", "fits", "anchor", "last", "arrived").alias("_own"), "passed"), "bases")
+    all_ = linked.join(told, [*KEY, RECV, "seq"], "left")
+    taken = F.coalesce(F.col("_own.taken"), F.lit(False))
+    all_ = carried(all_, KEY, before={"_old": F.when(taken, F.col("_own")), "_passed": F.col("passed")}, counts={"epoch": taken, "_rows": F.lit(1)})
+    base = F.when(taken, F.col("_own")).otherwise(F.col("_old"))
+    all_ = all_.withColumns({"base": base, "passed": F.coalesce("passed", "_passed", F.lit(0))})
+    ahead = F.col("base.anchor").isNull() | (F.col("base.anchor") >= F.col("diffs"))
+    chained = F.col("base.fits") & (F.col("base.last").isNull() | (F.col("diffs") - 1 <= F.col("base.last")))
+    valid = F.col("base").isNotNull() & (ahead | F.coalesce(chained, F.lit(False)))
+    since = F.when(F.col("base").isNull(), F.lit(0)).when(F.coalesce(F.col("base.fits"), F.lit(False)), F.col("base.last") + 1).otherwise(F.col("base.anchor"))
+    waiting = F.when(valid, F.lit(0)).otherwise(F.col("diffs") - since)
+    all_ = all_.withColumns({"valid": valid, "held": F.least(waiting, F.lit(HELD)), "rows_applied": F.col("_rows") - waiting - F.col("passed"), "used": taken})
+    told = stored(all_.select(*KEY, RECV, "seq", "epoch", "valid", "used", "diffs", "at", "base", "held", "passed", "rows_applied"), "verdicts")
+    return rows.join(told, [*KEY, RECV, "seq"])
+
+
+JUDGED = ("epoch", "valid", "used", "diffs", "at", "base")
+
+
+def verdicts(rows: DataFrame) -> DataFrame:
+    """Every book row with ``valid`` (the book after it is the venue's) and ``epoch``, by the rule of its venue."""
+    same = [c for c in rows.columns if c not in JUDGED]
+    plain = chain(rows.filter(~is_diff_stream())).select(*same, *JUDGED)
+    diffs = rows.filter(is_diff_stream())
+    return plain if diffs.isEmpty() else plain.unionByName(diff_chain(diffs).select(*same, *JUDGED))
+
+
+def applied_rows(judged: DataFrame) -> DataFrame:
+    """The steps of each epoch's book: the valid rows, and after a base snapshot the earlier diffs that it replays, at its place.
+
+    ``sub`` orders steps of one place, ``final`` marks the last of them. Rows
+    that change nothing (covered diffs, snapshots passed over) come without levels.
+    """
+    base = F.col("base")
+    none = F.array().cast("array<array<string>>")
+    replays = F.when(base.isNotNull() & F.col("used") & (base["anchor"] < base["arrived"]), base["arrived"] - base["anchor"]).otherwise(0)
+    idle = base.isNotNull() & F.when(F.col("snapshot"), ~F.col("used")).otherwise(F.coalesce(F.col("at") < base["anchor"], F.lit(False)))
+    own = judged.filter("valid").withColumns({"sub": F.lit(0).cast("bigint"), "_n": replays})
+    steps = own.withColumns({"final": F.col("_n") == 0, **{c: F.when(idle, none).otherwise(F.col(c)) for c in ("bids", "asks")}, "snapshot": F.col("used")})
+    bases = own.filter("_n > 0").select(*KEY, RECV, "seq", "epoch", F.col("base.anchor").alias("_from"), F.col("_n"), F.explode(F.sequence(F.col("base.anchor"), F.col("base.arrived") - 1)).alias("at"))
+    diffs = judged.filter("base is not null or at is not null").filter("not snapshot").drop(RECV, "seq", "epoch", "snapshot", "valid", "used", "base", "diffs")
+    again = bases.join(diffs, [*KEY, "at"]).withColumns({"sub": F.col("at") - F.col("_from") + 1, "snapshot": F.lit(False)}).withColumn("final", F.col("sub") == F.col("_n"))
+    keep = [c for c in steps.columns if c not in ("_n", "valid", "used", "diffs", "at", "base")]
+    return steps.select(keep).unionByName(again.select(keep))
+
+
+def last_of_book(chained: DataFrame) -> DataFrame:
+    """The description of each diff-stream book after its last row: verdict, counters, last id, best prices and sizes."""
+    last = F.max_by(F.struct("valid", "rows_applied", "held", "passed", "update_id"), ord_())
+    best = tops(chained).groupBy(*KEY).agg(F.max_by(F.struct("best_bid", "best_ask", "bid_size", "ask_size"), ord_()).alias("t"))
+    out = chained.groupBy(*KEY).agg(last.alias("x")).join(best, list(KEY), "left")
+    shown = (F.when(F.col("x.valid"), F.col(f"t.{c}")).alias(c) for c in ("best_bid", "best_ask", "bid_size", "ask_size"))
+    return out.select(*KEY, "x.valid", "x.rows_applied", "x.held", "x.passed", F.col("x.update_id").alias("last_id"), *shown)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,10 +22,10 @@ def quantile_edges() -> list[float]:
 def bytes_by_minute(frames: DataFrame) -> DataFrame:
     """Bytes of each minute by key: ``all``, ``tier:T`` and ``feed:T:class`` from one pass with grouping sets."""
     rows = frames.withColumn("minute", F.expr(f"recv_ns div {MINUTE}"))
-    rows.createOrReplaceTempView("_ticklake_frames")
-    level = "grouping(tier) + grouping(feed)"
-    key = f"CASE {level} WHEN 2 THEN 'all' WHEN 1 THEN concat('tier:', tier) ELSE concat('feed:', tier, ':', feed) END"
-    return rows.sparkSession.sql(f"SELECT {key} AS key, minute, sum(bytes) AS bytes FROM _ticklake_frames GROUP BY minute, tier, feed GROUPING SETS ((minute), (minute, tier), (minute, tier, feed))")
+    level = F.grouping("tier") + F.grouping("feed")
+    key = F.when(level == 2, F.lit("all")).when(level == 1, F.concat(F.lit("tier:"), F.col("tier"))).otherwise(F.concat(F.lit("feed:"), F.col("tier"), F.lit(":"), F.col("feed")))
+    sets = rows.groupingSets([["minute"], ["minute", "tier"], ["minute", "tier", "feed"]], "minute", "tier", "feed")
+    return sets.agg(key.alias("key"), F.sum("bytes").alias("bytes")).select("key", "minute", "bytes")
 
 
 def trailing(minutes: DataFrame) -> DataFrame:
@@ -52,33 +53,38 @@ def budget_ticks(ticks: DataFrame, order: list[str], limit: float, restore_below
 
     ``ticks``: recorder, tick (minutes), total_gb and gb (map of pair to GB a
     month). A tick's decision depends on the one before, so each recorder's ticks
-    are streamed in order; the state is the list of shed pairs.
+    are streamed in order; the state is how many pairs of the order are gone.
     """
 
+    place = {p: i for i, p in enumerate(order)}
+
+    def decided(gone: int, acted: int | None, row: dict, paid: list[float]) -> tuple[int, bool]:
+        """How many pairs of the order are gone after a tick, and whether it acted."""
+        gb = [row["gb"].get(p, 0.0) for p in order]
+        if acted is not None and row["tick"] - acted < act_every:
+            return gone, False
+        if row["projected"] > limit:
+            sums = itertools.accumulate(gb[gone:], initial=0.0)  # what each longer cut saves
+            cut = next((k for k, saved in enumerate(sums) if row["projected"] - saved <= limit), len(gb) - gone)
+            paid[gone : gone + cut] = gb[gone : gone + cut]
+            return gone + cut, True
+        back = gone > 0 and row["projected"] + paid[gone - 1] < limit * restore_below
+        return gone - back, back
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        who, shed, acted, cost = None, [], None, {}
+        who, gone, acted, paid = None, 0, None, []
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for r in batch.to_pylist():
+            rows = batch.to_pylist()
+            for r in rows:
                 if r["recorder"] != who:
-                    who, shed, acted, cost = r["recorder"], [], None, {}
-                gb = dict(r["gb"] or [])
-                projected = max(0.0, r["total_gb"] - sum(gb.get(p, 0.0) for p in shed))
-                due = acted is None or r["tick"] - acted >= act_every
-                if due and projected > limit:
-                    acted, left = r["tick"], projected
-                    while left > limit and len(shed) < len(order):
-                        p = order[len(shed)]
-                        cost[p] = gb.get(p, 0.0)
-                        shed.append(p)
-                        left -= cost[p]
-                elif due and shed and projected + cost.get(shed[-1], 0.0) < limit * restore_below:
-                    shed.pop()
-                    acted = r["tick"]
-                for c, v in zip(out, (who, r["tick"], projected, ",".join(shed)), strict=True):
-                    c.append(v)
-            kinds = (pa.string(), pa.int64(), pa.float64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["recorder", "tick", "projected", "shed"])
+                    who, gone, acted, paid = r["recorder"], 0, None, [0.0] * len(order)
+                r["gb"] = {p: v for p, v in (r["gb"] or []) if p in place}
+                r["projected"] = max(0.0, r["total_gb"] - sum(r["gb"].get(p, 0.0) for p in order[:gone]))
+                gone, acts = decided(gone, acted, r, paid)
+                acted = r["tick"] if acts else acted
+                r["shed"] = ",".join(order[:gone])
+            columns = [pa.array([r[c] for r in rows], k) for c, k in (("recorder", pa.string()), ("tick", pa.int64()), ("projected", pa.float64()), ("shed", pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["recorder", "tick", "projected", "shed"])
 
     n = int(ticks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return ticks.repartition(n, "recorder").sortWithinPartitions("recorder", "tick").mapInArrow(run, "recorder string, tick bigint, projected double, shed string")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticklake.operators.book import KEY as BOOK_KEY
-from ticklake.operators.book import book_rows, chain
+from ticklake.operators.book import book_rows, verdicts
 from ticklake.operators.order import RECV, arrival, ord_
 from ticklake.schema import LANE_KINDS, feed
 
@@ -108,10 +108,10 @@ def build_quality(tape: DataFrame) -> DataFrame:
         F.count_if("step").alias("clock_steps"),
     )
     names = rows.filter("kind = 'ticker'").select(*CELL, F.explode(F.map_keys("values")).alias("name")).distinct().groupBy(*CELL).agg(F.count("*").alias("ticker_fields"))
-    chained = chain(book_rows(tape)).withColumn("feed", feed())
-    verdicts = chained.groupBy(*CELL).agg(F.count_if(~F.col("snapshot") & ~F.col("valid")).alias("refused"), F.max_by("valid", ord_()).alias("chained"))
+    chained = verdicts(book_rows(tape)).withColumn("feed", feed())
+    judged = chained.groupBy(*CELL).agg(F.count_if(~F.col("snapshot") & ~F.col("valid")).alias("refused"), F.max_by("valid", ord_()).alias("chained"))
     twice = duplicate_ids(tape).withColumn("feed", F.lit("trades"))
-    out = base.join(skew_quantiles(rows), list(CELL), "left").join(names, list(CELL), "left").join(verdicts, list(CELL), "left").join(twice, list(CELL), "left")
+    out = base.join(skew_quantiles(rows), list(CELL), "left").join(names, list(CELL), "left").join(judged, list(CELL), "left").join(twice, list(CELL), "left")
     zero = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("refused", "ticker_fields", "duplicate_trade_ids")]
     return out.select(
         *CELL, "rows", "first_receive_ns", "last_receive_ns", "max_silence_ms", "skew_min_ms", "skew_p50_ms", "skew_p99_ms", "skew_max_ms",

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake.operators.order import RECV
@@ -70,31 +71,84 @@ def windowed(now: DataFrame, samples: DataFrame, window_ns: int) -> DataFrame:
 def ranked(scores: DataFrame, top: int, leave_top: int | None = None, sticky_ns: int = 0) -> DataFrame:
     """Members ``(tick_ns, symbol, rank)`` of a ranked universe at each tick.
 
-    ``scores``: tick_ns, symbol, score (null: unranked). Rank by score, then
-    symbol. A name enters inside ``top`` and leaves behind ``leave_top``, or when
-    it misses a tick; the last of these events decides. With ``sticky_ns`` it
-    stays that long after its last tick inside ``top``. The rank of a tick is a
-    window over the tick's symbols, a universe of some thousands.
+    ``scores``: a row for each allowed name at each tick: tick_ns, symbol, score
+    (null: unranked). Rank by score, then symbol. A name enters inside ``top``;
+    with ``sticky_ns`` its floor lasts that long after its last tick there, and it
+    is a member for all of it, with a score or without (null rank). Outside its
+    floor it leaves behind ``leave_top`` or without a score. A tick at which it
+    isn't allowed clears the name. The rank of a tick is a window over the tick's
+    symbols, a universe of some thousands.
     """
     leave = max(leave_top or top, top)
-    order = Window.partitionBy("tick_ns").orderBy(F.desc("score"), "symbol")
-    rows = scores.filter("score is not null").withColumn("rank", F.row_number().over(order))
+    order = Window.partitionBy("tick_ns", F.col("score").isNull()).orderBy(F.desc("score"), "symbol")
+    rows = scores.withColumn("rank", F.when(F.col("score").isNotNull(), F.row_number().over(order)))
     ticks = scores.select("tick_ns").distinct()
     before = ticks.select(F.col("tick_ns"), F.lag("tick_ns").over(Window.partitionBy(F.lit(0)).orderBy("tick_ns")).alias("_before"))
     rows = rows.join(before, "tick_ns")
     w = Window.partitionBy("symbol").orderBy("tick_ns")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = F.col("rank") <= top
+    inside = F.coalesce(F.col("rank") <= top, F.lit(False))
     rows = rows.withColumn("_seen", F.lag("tick_ns").over(w))
-    rows = rows.withColumn("_run", F.sum((~F.col("_seen").eqNullSafe(F.col("_before"))).cast("int")).over(upto))
-    stamp = F.max(F.when(inside, F.col("tick_ns"))).over(upto)
-    rows = rows.withColumn("_floor", F.coalesce(F.col("tick_ns") - stamp < sticky_ns, F.lit(False)))
-    event = F.when(inside, True).when((F.col("rank") > leave) & ~F.col("_floor"), False)
+    rows = rows.withColumn("_run", F.sum((~F.col("_seen").eqNullSafe(F.col("_before"))).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     run = Window.partitionBy("symbol", "_run").orderBy("tick_ns").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_member", F.coalesce(F.last(event, ignorenulls=True).over(run), F.lit(False)) | F.col("_floor"))
+    stamp = F.max(F.when(inside, F.col("tick_ns"))).over(run)
+    rows = rows.withColumn("_floor", F.coalesce(F.col("tick_ns") - stamp < sticky_ns, F.lit(False)))
+    event = F.when(inside | F.col("_floor"), True).when(F.coalesce(F.col("rank") > leave, F.lit(True)), False)
+    rows = rows.withColumn("_member", F.coalesce(F.last(event, ignorenulls=True).over(run), F.lit(False)))
     return rows.filter("_member").select("tick_ns", "symbol", "rank")
 
 
+#: How each threshold universe measures a row of ``live_state`` (with ``windowed`` columns, and ``baseline`` turnovers) against its threshold.
+THRESHOLDS = {
+    "funding_below": lambda limit: -F.col("funding_rate") * 10_000.0 >= limit,
+    "funding_above": lambda limit: F.col("funding_rate") * 10_000.0 >= limit,
+    "turnover_surge": lambda limit: (F.col("baseline") > 0) & (F.col("turnover_24h") >= limit * F.col("baseline")),
+    "price_move": lambda limit: F.abs("price_change_24h") >= limit,
+    "price_burst": lambda limit: F.col("price_burst") >= limit,
+    "oi_change": lambda limit: F.col("oi_change") >= limit,
+    "volume_burst": lambda limit: F.col("volume_burst") >= limit,
+}
+
+
+def qualifies(kind: str, limit: float) -> Column:
+    """Whether a state reaches a threshold: basis points for funding, ratios for turnover and volume, shares for moves; an unknown value doesn't."""
+    return F.coalesce(THRESHOLDS[kind](limit), F.lit(False))
+
+
+def seeded(tickers: DataFrame, funding: DataFrame, turnovers: DataFrame, at_ns: int) -> DataFrame:
+    """Ticker rows led by what the venue's tables knew at ``at_ns``: funding (symbol, funding_rate), turnovers (symbol, turnover_24h)."""
+    both = funding.join(turnovers, "symbol", "full")
+    pairs = F.array(*(F.struct(F.lit(n).alias("key"), F.col(n).cast("double").alias("value")) for n in ("funding_rate", "turnover_24h")))
+    values = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+    seed = both.select("symbol", F.lit("ticker").alias("kind"), F.lit(at_ns).cast("bigint").alias(RECV), F.lit(-1).cast("bigint").alias("seq"), values.alias("values"))
+    return tickers.unionByName(seed, allowMissingColumns=True)
+
+
+def with_baseline(state: DataFrame, turnovers: DataFrame) -> DataFrame:
+    """States with the turnover that the venue's table had for the symbol."""
+    return state.join(turnovers.select("symbol", F.col("turnover_24h").cast("double").alias("baseline")), "symbol", "left")
+
+
+def allowed(live: DataFrame, listed: DataFrame | None, quote: str | None = None) -> DataFrame:
+    """Symbols that a universe may take: the listed ones, or before any table is known the live ones of letters and digits that end in the quote."""
+    if listed is not None:
+        return listed.select("symbol").distinct()
+    rows = live.select("symbol").distinct()
+    return rows if quote is None else rows.filter(F.col("symbol").rlike("^[A-Za-z0-9]+$") & F.col("symbol").endswith(quote))
+
+
+def static_members(spark: SparkSession, kind: str, given: list[str] | str | DataFrame) -> DataFrame:
+    """Members of a universe that no tick changes: ``symbols`` (a list), ``file`` (a path, a symbol a line, ``#`` begins a remark), ``listed`` (a table with symbol)."""
+    if kind == "symbols":
+        rows = spark.createDataFrame([(s,) for s in given], "symbol string")
+    elif kind == "file":
+        rows = spark.read.text(given).select(F.trim(F.regexp_replace("value", "#.*", "")).alias("symbol")).filter("symbol <> ''")
+    elif kind == "listed":
+        rows = given
+    else:
+        raise ValueError(f"no static universe: {kind}")
+    return rows.select(F.upper("symbol").alias("symbol")).distinct()
+
+
 def sticky(qualified: DataFrame, sticky_ns: int) -> DataFrame:
     """Members of a threshold universe: ``(tick_ns, symbol)`` while less than ``sticky_ns`` has gone since they last qualified.
 
@@ -107,10 +161,20 @@ def sticky(qualified: DataFrame, sticky_ns: int) -> DataFrame:
     return rows.filter(live).select("tick_ns", "symbol")
 
 
-def resolve(tiers: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Tier members without those of the tiers they exclude: (tick_ns, tier, symbol) and pairs (tier, other)."""
-    others = tiers.join(excluded, tiers["tier"] == excluded["other"]).select("tick_ns", excluded["tier"], "symbol")
-    return tiers.join(others, ["tick_ns", "tier", "symbol"], "left_anti")
+def resolve(tiers: DataFrame, excluded: dict[str, list[str]], order: list[str]) -> DataFrame:
+    """Members ``(tick_ns, tier, symbol)`` of each tier without what the tiers it excludes have resolved to.
+
+    ``order``: the tiers as configured; a tier sees only those before it, after
+    their own exclusions.
+    """
+    done: dict[str, DataFrame] = {}
+    for tier in order:
+        mine = tiers.filter(F.col("tier") == tier)
+        for other in excluded.get(tier, []):
+            if other in done:
+                mine = mine.join(done[other].select("tick_ns", "symbol"), ["tick_ns", "symbol"], "left_anti")
+        done[tier] = mine.select("tick_ns", "tier", "symbol")
+    return reduce(DataFrame.unionByName, done.values(), tiers.select("tick_ns", "tier", "symbol").limit(0))
 
 
 def plan_topics(members: DataFrame, feeds: DataFrame, shed: DataFrame) -> DataFrame:

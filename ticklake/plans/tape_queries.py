@@ -138,7 +138,7 @@ ROWS_VALIDATED_SQL = f"""{TAPE_SQL} SELECT CASE WHEN seq % 29 = 0 THEN 'unknown
 
 
 def chained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return book.chain(book.book_rows(book_tape(spark, sf_dir)))
+    return book.verdicts(book.book_rows(book_tape(spark, sf_dir)))
 
 
 def book_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,12 +253,40 @@ a AS (SELECT feed, count(DISTINCT symbol) AS symbols, CAST(sum(rows) AS BIGINT)
 SELECT feed, symbols, rows, skew_p50_ms, skew_p99_ms, max_silence_ms, clock_steps, sequence_gaps, refused, duplicate_trade_ids,
   array_to_string(uc[1:20], ',') AS unchained, array_to_string(ua[1:20], ',') AS unanchored FROM a"""
 
+# ---------------------------------------------------------------- diff streams
+def diff_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same books as a diff stream: every delta names the id before its own, and may span that of the snapshot before it."""
+    rows = book_tape(spark, sf_dir).withColumns({"venue": F.lit("binance"), "depth": F.lit(1000)})
+    return rows.withColumns({"previous_update_id": F.col("update_id") - 1, "first_update_id": F.col("update_id") - 1})
+
+
+def diff_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of diff-stream books, which break where an id is skipped until the next snapshot."""
+    return book.verdicts(book.book_rows(diff_tape(spark, sf_dir))).select("symbol", "seq", "valid")
+
+
+def diff_tops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return book.tops(book.verdicts(book.book_rows(diff_tape(spark, sf_dir)))).select("symbol", "seq", "best_bid", "best_ask")
+
+
+def bars_diff_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-day bars of a tape whose books are diff streams."""
+    return rounded(bars.build_bars(tape(spark, sf_dir).withColumn("venue", F.lit("binance")).unionByName(diff_tape(spark, sf_dir)), 86_400))
+
+
+def quality_diff_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality columns of a tape whose books are diff streams."""
+    return quality.build_quality(tape(spark, sf_dir).withColumn("venue", F.lit("binance")).unionByName(diff_tape(spark, sf_dir))).drop("venue")
+
+
 QUERIES = {
+    "diff_chain": diff_chain, "diff_tops": diff_tops, "bars_diff_books": bars_diff_books, "quality_diff_books": quality_diff_books,
     "bars_full": bars_full, "bars_hourly": bars_hourly, "bars_rolled": bars_rolled, "tape_statistics": tape_statistics, "scan_filtered": scan_filtered,
     "late_rows_clamped": late_rows_clamped, "rows_validated": rows_validated, "book_chain": book_chain, "book_marks": book_marks, "book_gaps": book_gaps,
     "book_tops": book_tops, "book_levels_at": book_levels_at, "book_shapes": book_shapes, "quality_report": quality_report, "quality_summary": quality_summary,
 }
 SQL = {
+    "diff_chain": f"{BOOK_SQL} SELECT symbol, seq, valid FROM v", "diff_tops": BOOK_TOPS_SQL, "bars_diff_books": BARS_FULL_SQL.replace(f"'{VENUE}'", "'binance'"), "quality_diff_books": QUALITY_SQL.replace("book:50", "book:1000"),
     "bars_full": BARS_FULL_SQL, "bars_hourly": BARS_HOURLY_SQL, "bars_rolled": BARS_ROLLED_SQL, "tape_statistics": TAPE_STATISTICS_SQL, "scan_filtered": SCAN_FILTERED_SQL,
     "late_rows_clamped": LATE_ROWS_SQL, "rows_validated": ROWS_VALIDATED_SQL, "book_chain": BOOK_CHAIN_SQL, "book_marks": BOOK_MARKS_SQL, "book_gaps": BOOK_GAPS_SQL,
     "book_tops": BOOK_TOPS_SQL, "book_levels_at": BOOK_LEVELS_AT_SQL, "book_shapes": BOOK_SHAPES_SQL, "quality_report": QUALITY_SQL, "quality_summary": QUALITY_SUMMARY_SQL,

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``), or in a temporary one where that is unset."""
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); where that is unset and the driver is the only machine, in a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-ticklake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/ticklake-{uuid.uuid4().hex[:12]}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` in the shared folder and read it again: a plan that uses it several times computes it once, and a lost executor costs a read."""
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
