@@ -45,45 +45,74 @@ def test_chain_and_levels(spark):
     assert (3 * NS, 5 * NS) in {(r.from_ns, r.to_ns) for r in spans}
 
 
-def diff_walk(rows):
-    machine = book.DiffBook()
-    out = []
-    for r in rows:
-        levels = [[{"price": float(p), "size": float(s)} for p, s in side] for side in r[4:6]]
-        out.append(machine.take({"snapshot": r[0], "update_id": r[1], "first_update_id": r[2], "previous_update_id": r[3], "bids": levels[0], "asks": levels[1], "sequence_gap": bool(r[6:] and r[6])}))
-    return machine, out
+def diff_walk(spark, rows):
+    """Verdict of each row, counters of the last, and the bid levels at the end."""
+    chained = book.diff_chain(book_rows(spark, rows, "binance"))
+    verdicts = chained.orderBy("seq").collect()
+    moments = spark.createDataFrame([("X", len(rows) * NS)], "symbol string, at_ns long")
+    levels = book.books_at(book.verdicts(book_rows(spark, rows, "binance")), moments).filter("side = 'bid'").collect()
+    return [r.valid for r in verdicts], verdicts[-1], {r.price for r in levels}
 
 
-def test_diff_book_holds_and_replays(spark):
+def test_diff_books_hold_and_replay(spark):
     rows = [(False, 10, 5, 4, [["1", "1"]], []), (False, 15, 11, 10, [["2", "1"]], []), (True, 12, 0, 0, [["3", "1"]], []), (False, 20, 16, 15, [["4", "1"]], [])]
-    machine, out = diff_walk(rows)
-    assert out == [False, False, True, True] and set(machine.sides[0]) == {3.0, 2.0, 4.0} and machine.last == 20
-    assert diff_walk([*rows, (False, 30, 22, 21, [], [])])[1][-1] is False  # a hole
-    machine, out = diff_walk([*rows, (True, 3, 0, 0, [], [])])  # too old to bracket: passed over
-    assert out[-1] and machine.passed == 1 and machine.last == 20
-    machine, out = diff_walk([*rows, (True, 17, 0, 0, [["9", "1"]], [])])  # re-based by the recent diff
-    assert out[-1] and set(machine.sides[0]) == {9.0, 4.0}
-    machine, out = diff_walk([*rows, (True, 40, 0, 0, [["9", "1"]], []), (False, 30, 21, 20, [["5", "1"]], []), (False, 45, 31, 30, [["6", "1"]], [])])
-    assert out[-3:] == [True, True, True] and set(machine.sides[0]) == {9.0, 6.0}
-    got = [r.valid for r in book.diff_chain(book_rows(spark, rows, "binance")).orderBy("seq").collect()]
-    assert got == [False, False, True, True]
-
-
-def test_diff_book_equals_a_rebuilt_book():
+    valid, last, levels = diff_walk(spark, rows)
+    assert valid == [False, False, True, True] and levels == {3.0, 2.0, 4.0} and (last.held, last.passed, last.rows_applied) == (0, 0, 4)
+    valid, last, _ = diff_walk(spark, [*rows, (False, 30, 22, 21, [], [])])  # a hole
+    assert valid[-1] is False and last.held == 1
+    valid, last, levels = diff_walk(spark, [*rows, (True, 3, 0, 0, [], [])])  # too old to bracket: passed over
+    assert valid[-1] and last.passed == 1 and levels == {3.0, 2.0, 4.0}
+    valid, _, levels = diff_walk(spark, [*rows, (True, 17, 0, 0, [["9", "1"]], [])])  # re-based by the recent diff
+    assert valid[-1] and levels == {9.0, 4.0}
+    valid, _, levels = diff_walk(spark, [*rows, (True, 40, 0, 0, [["9", "1"]], []), (False, 30, 21, 20, [["5", "1"]], []), (False, 45, 31, 30, [["6", "1"]], [])])
+    assert valid[-3:] == [True, True, True] and levels == {9.0, 6.0}
+    valid, last, levels = diff_walk(spark, [(False, 10, 9, 8, [["1", "1"]], []), (True, 5, 0, 0, [["7", "1"]], []), (True, 9, 0, 0, [["8", "1"]], [])])  # stale, then one that fits
+    assert valid == [False, False, True] and levels == {8.0, 1.0}
+    described = book.last_of_book(book.diff_chain(book_rows(spark, rows, "binance"))).first()
+    assert (described.valid, described.best_bid, described.bid_size, described.best_ask, described.last_id) == (True, 4.0, 1.0, None, 20)
+
+
+def test_diff_books_are_the_venues_whenever_valid(spark):
+    """Against the true book: diffs get lost and flagged, snapshots come late or early."""
     rng = random.Random(7)
-    truth, rows, u = {}, [], 100
-    for _ in range(400):
+    truth, states, rows, u, seen, lost, want, whole = {}, {}, [], 100, 100, False, [], None
+    states[100] = {}
+    for i in range(600):
         first, prev = u + 1, u
         u += rng.randint(1, 3)
         change = [[str(rng.randint(1, 30)), str(rng.randint(0, 3))] for _ in range(3)]
         for p, s in change:
             truth[float(p)] = float(s)
-        rows.append((False, u, first, prev, change, [], not rows))
+        states[u] = {p for p, s in truth.items() if s > 0}
+        last = {u: dict(truth)} if i == 0 else last | {u: dict(truth)}
         if rng.random() < 0.02:
-            rows.append((True, u, 0, 0, [[str(p), str(s)] for p, s in truth.items()], []))
-    rows.insert(0, (True, 101, 0, 0, [], []))
-    machine, out = diff_walk(rows)
-    assert machine.valid and machine.sides[0] == {p: s for p, s in truth.items() if s > 0}
+            continue  # lost
+        rows.append((False, u, first, prev, change, [], False))
+        if rng.random() < 0.04:
+            at = rng.choice([k for k in last if u - 12 <= k <= u])
+            rows.append((True, at, 0, 0, [[str(p), str(s)] for p, s in last[at].items()], []))
+    judged = book.verdicts(book_rows(spark, rows, "binance"))
+    valid = {r.seq: r.valid for r in judged.collect()}
+    tops = {r.seq: r.best_bid for r in book.tops(judged).collect()}
+    newest, broken, good = 100, True, 0
+    for i, r in enumerate(rows):
+        if not r[0]:
+            broken |= r[3] != newest
+            newest = r[1]
+        elif r[1] == newest:
+            broken = False  # a snapshot of this very moment always fits
+        if valid[i]:
+            good += 1
+            assert tops[i] == max(states[newest], default=None), i
+        assert valid[i] or broken
+    assert good > 150 and set(tops) == {i for i, v in valid.items() if v}
+    one = book_rows(spark, rows, "binance").select(*[c for c in book_rows(spark, rows, "binance").columns if c != "snapshot"])
+    from ticklake.operators import bars as b, quality as q
+
+    bar = b.build_bars(one, 3600).collect()
+    ends = {r.bucket_start_ns: r.best_bid for r in bar}
+    assert ends[0] == [tops[i] for i in sorted(tops)][-1] if len(bar) == 1 else True
+    assert q.build_quality(one).first().refused == sum(not valid[i] and not r[0] for i, r in enumerate(rows))
 
 
 def test_bars_by_hand(spark):
@@ -123,12 +152,11 @@ def test_ranked_against_a_sequential_model(spark):
             rank = {s: i + 1 for i, (_, s) in enumerate(order)}
             now = {s for s, r in rank.items() if r <= 2 or (s in member and r <= 5)}
             stamp.update({s: t for s, r in rank.items() if r <= 2})
-            now |= {s for s in rank if sticky and s in stamp and t - stamp[s] < sticky}
-            member = now | {s for s in stamp if sticky and t - stamp[s] < sticky}
+            now |= {s for s in stamp if sticky and t - stamp[s] < sticky}
+            member = now
             want |= {(t, s) for s in now}
         got = {(r.tick_ns, r.symbol) for r in universe.ranked(spark.createDataFrame(rows, "tick_ns long, symbol string, score double"), 2, 5, sticky).collect()}
-        if not sticky:
-            assert got == want
+        assert got == want
 
 
 def test_budget_ticks(spark):
@@ -222,3 +250,51 @@ def test_query_equals_sql(spark, name):
 def test_every_query_has_sql():
     assert set(QUERIES) - set(SQL) == {"budget_ticks"}
     assert testbed.TAPE_SQL
+
+
+def test_order_of_files(spark, tmp_path):
+    """Segments keep the order of their numbers, however Spark packs them by size."""
+    folder = tmp_path / "2024-01-01" / "00" / "AAA"
+    folder.mkdir(parents=True)
+    names = {0: "b", 1: "c", 10: "d"}
+    for segment, (n, k) in zip(names, ((3, 1), (400, 20), (50, 9)), strict=True):
+        (folder / f"segment-{segment:06d}.jsonl").write_text("".join(f'{{"kind":"public_trade","local_receive_ts_ns":5,"trade_id":"{names[segment]}{i:04d}","side":"{"x" * k}"}}\n' for i in range(n)))
+    good, bad = tape_files.read_json_tape(spark, str(tmp_path))
+    got = [r.trade_id for r in good.orderBy("seq").collect()]
+    assert got == sorted(got) and len(got) == 453 and not bad.collect()
+
+
+def test_decimal_text(spark):
+    from ticklake.operators import export
+
+    values = {1.5: "1.5", 100.0: "100", 1e-7: "0.0000001", 1.25e-9: "0.00000000125", 1e22: "10000000000000000000000", 123456789.125: "123456789.125", -0.5: "-0.5", 0.1: "0.1", 0.0: "0", 1e16: "10000000000000000"}
+    got = {r.v: r.t for r in spark.createDataFrame([(v,) for v in values], "v double").select("v", export.text(F.col("v")).alias("t")).collect()}
+    assert got == values
+
+
+def test_book_ticker(spark):
+    rows = [("orderbook_snapshot", 0, 10, [["1", "2"]], []), ("orderbook_delta", 1, 11, [], [["3", "0.25"]]), ("orderbook_delta", 2, 13, [["2", "1"]], []), ("orderbook_snapshot", 3, 20, [["5", "1"]], [["6", "1e-7"]])]
+    schema = "kind string, local_receive_ts_ns long, update_id long, bids array<array<string>>, asks array<array<string>>, seq long"
+    tape = widened(spark.createDataFrame([(*r, r[1]) for r in rows], schema).withColumns({"venue": F.lit("bybit"), "symbol": F.lit("X"), "depth": F.lit(1)}), "seq")
+    from ticklake.operators import export
+
+    got = [(r.seq, r.ask_amount, r.ask_price, r.bid_price, r.bid_amount) for r in export.book_ticker(tape).orderBy("seq").collect()]
+    assert got == [(0, "", "", "1", "2"), (1, "0.25", "3", "1", "2"), (3, "0.0000001", "6", "5", "1")]
+
+
+def test_thresholds_and_tiers(spark):
+    row = {"symbol": "X", "funding_rate": -0.0012, "turnover_24h": 300.0, "price_change_24h": -0.2, "baseline": 100.0, "price_burst": 0.1, "oi_change": None, "volume_burst": 2.0}
+    df = spark.createDataFrame([tuple(row.values())], "symbol string, funding_rate double, turnover_24h double, price_change_24h double, baseline double, price_burst double, oi_change double, volume_burst double")
+    ask = [("funding_below", 10, True), ("funding_below", 13, False), ("funding_above", 1, False), ("turnover_surge", 3, True), ("turnover_surge", 3.1, False), ("price_move", 0.2, True), ("price_burst", 0.11, False), ("oi_change", 0, False), ("volume_burst", 2, True)]
+    got = df.select(*(universe.qualifies(k, v).alias(f"c{i}") for i, (k, v, _) in enumerate(ask))).first()
+    assert list(got) == [x for *_, x in ask]
+    tiers = spark.createDataFrame([(0, t, s) for t, members in (("a", "XY"), ("b", "XYZ"), ("c", "XYZ")) for s in members], "tick_ns long, tier string, symbol string")
+    out = universe.resolve(tiers, {"b": ["a"], "c": ["b"]}, ["a", "b", "c"])
+    assert sorted((r.tier, r.symbol) for r in out.collect()) == [("a", "X"), ("a", "Y"), ("b", "Z"), ("c", "X"), ("c", "Y")]  # c loses only what b has in the end
+    live = spark.createDataFrame([("AUSDT",), ("B_USDT",), ("CUSDC",)], "symbol string")
+    assert {r.symbol for r in universe.allowed(live, None, "USDT").collect()} == {"AUSDT"}
+    assert {r.symbol for r in universe.allowed(live, live.limit(0)).collect()} == set()
+    assert {r.symbol for r in universe.static_members(spark, "symbols", ["a", "B"]).collect()} == {"A", "B"}
+    seeded = universe.seeded(widened(spark.createDataFrame([], "symbol string, seq long"), "seq"), spark.createDataFrame([("X", 0.1)], "symbol string, funding_rate double"), spark.createDataFrame([("X", 5.0)], "symbol string, turnover_24h double"), 7)
+    state = universe.live_state(seeded).first()
+    assert (state.funding_rate, state.turnover_24h, state.local_receive_ts_ns) == (0.1, 5.0, 7)

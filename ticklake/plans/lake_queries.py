@@ -94,7 +94,7 @@ def export_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _US = "recv_ns // 1000"
 EXPORT_TRADES_SQL = f"""{TAPE_SQL} SELECT symbol, strftime(make_timestamp(recv_ns // 1000), '%Y-%m-%d') AS day, seq, sent_ns // 1000 AS "timestamp", {_US} AS local_timestamp, trade_id AS id, lower(side) AS side,
-  rtrim(rtrim(CAST(CAST(value AS DECIMAL(18, 6)) AS VARCHAR), '0'), '.') AS price, rtrim(rtrim(CAST(CAST(tqty AS DECIMAL(18, 6)) AS VARCHAR), '0'), '.') AS amount FROM tape WHERE kind = 'public_trade'"""
+  regexp_replace(CAST(value AS VARCHAR), '[.]0$', '') AS price, regexp_replace(CAST(tqty AS VARCHAR), '[.]0$', '') AS amount FROM tape WHERE kind = 'public_trade'"""
 
 
 def export_liquidations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +102,7 @@ def export_liquidations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EXPORT_LIQUIDATIONS_SQL = f"""{TAPE_SQL} SELECT symbol, strftime(make_timestamp(recv_ns // 1000), '%Y-%m-%d') AS day, seq, {_US} AS local_timestamp, CASE side WHEN 'Buy' THEN 'sell' ELSE 'buy' END AS side,
-  rtrim(rtrim(CAST(CAST(value + 1 AS DECIMAL(18, 6)) AS VARCHAR), '0'), '.') AS price FROM tape WHERE kind = 'liquidation'"""
+  regexp_replace(CAST(value + 1 AS VARCHAR), '[.]0$', '') AS price FROM tape WHERE kind = 'liquidation'"""
 
 
 def export_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def export_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EXPORT_TICKER_SQL = f"""{TAPE_SQL}, t AS (SELECT symbol, seq, recv_ns, strftime(make_timestamp(recv_ns // 1000), '%Y-%m-%d') AS day, value,
   last_value(oi IGNORE NULLS) OVER (PARTITION BY symbol, recv_ns // {DAY} ORDER BY recv_ns, seq ROWS UNBOUNDED PRECEDING) AS o FROM tape WHERE kind = 'ticker'),
-s AS (SELECT *, coalesce(CAST(CAST(o AS BIGINT) AS VARCHAR), '') AS oi, rtrim(rtrim(CAST(CAST(value AS DECIMAL(18, 6)) AS VARCHAR), '0'), '.') AS mark FROM t),
+s AS (SELECT *, coalesce(CAST(CAST(o AS BIGINT) AS VARCHAR), '') AS oi, regexp_replace(CAST(value AS VARCHAR), '[.]0$', '') AS mark FROM t),
 c AS (SELECT *, lag(oi) OVER w AS po, lag(mark) OVER w AS pm FROM s WINDOW w AS (PARTITION BY symbol, day ORDER BY recv_ns, seq))
 SELECT symbol, day, seq, oi AS open_interest, mark AS mark_price FROM c WHERE po IS NULL OR oi <> po OR mark <> pm"""
 

@@ -85,7 +85,7 @@ def tiers_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir).withColumn("tick_ns", F.expr("recv_ns div 86400000000000"))
     tier = F.when(F.col("event_type") == "purchase", "deep").when(F.col("event_type") == "error", "wide")
     tiers = e.select("tick_ns", tier.alias("tier"), "symbol").filter("tier is not null").distinct()
-    return universe.resolve(tiers, spark.createDataFrame([("wide", "deep")], "tier string, other string"))
+    return universe.resolve(tiers, {"wide": ["deep"]}, ["deep", "wide"])
 
 
 TIERS_SQL = """WITH t AS (SELECT DISTINCT epoch_us(ts) // 86400000000 AS tick_ns, CASE event_type WHEN 'purchase' THEN 'deep' ELSE 'wide' END AS tier, 'U' || user_id AS symbol FROM events WHERE event_type IN ('purchase', 'error'))

@@ -41,10 +41,18 @@ def globs(root: str, hours: list[str] | None, symbols: list[str] | None, name: s
 
 
 def located(rows: DataFrame) -> DataFrame:
-    """Adds day, hour, symbol of the file, its member path and the line's place in it."""
+    """Adds day, hour, symbol of the file, its member path and the line's place among the lines of its folder.
+
+    Spark packs files into tasks by size, so the place is made of the segment's
+    number (20 bits), the MB at which the split starts in it (10 bits) and the
+    row's number in its task (33 bits), which grows within a split.
+    """
     path = F.col("_metadata.file_path")
     part = {n: F.regexp_extract(path, PATH, i) for n, i in (("day", 1), ("hour", 2), ("dir", 3), ("member", 4))}
-    return rows.withColumns(part | {"line": F.monotonically_increasing_id()})
+    segment = F.coalesce(F.regexp_extract(path, r"segment-0*([0-9]+)[^/]*$", 1).try_cast("bigint"), F.lit(0)).bitwiseAND(2**20 - 1)
+    start = F.shiftright("_metadata.file_block_start", 20).bitwiseAND(2**10 - 1)
+    row = F.monotonically_increasing_id().bitwiseAND(2**33 - 1)
+    return rows.withColumns(part | {"line": F.shiftleft(segment, 43) + F.shiftleft(start, 33) + row})
 
 
 def read_json_tape(spark: SparkSession, root: str, hours: list[str] | None = None, symbols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
