@@ -54,6 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``documents`` after all stages, each written before the next reads it.
+
+    Null texts and ids, empty texts, repeated rows and other columns go through
+    as the operators define; an empty table gives no rows.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = written(stage(spark, docs, sf_dir), f"stage{i}")
