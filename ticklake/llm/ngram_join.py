@@ -21,7 +21,7 @@ BAND, BANDS = 6, 48
 #: MinHash values compared at a time, and the posterior probability of reaching the threshold under which a pair is dropped.
 STEP, TOLERANCE = 32, 1e-8
 #: Documents and shingles of a block of a large group of candidates.
-BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 512, 1_000_000
 #: Pairs compared at once; shingles looked up at once while they are verified are GATHER.
 TILE = 1 << 17
 GATHER = 1 << 20
