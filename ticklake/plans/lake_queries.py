@@ -14,8 +14,7 @@ from ticklake.sources.testbed import TAPE_SQL, events, frames, read, tape
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frames(spark, sf_dir)
-    return normalize.bybit(f).unionByName(normalize.binance(f))
+    return normalize.normalized(frames(spark, sf_dir))
 
 
 NORM_SQL = """WITH e AS (SELECT event_id AS seq, 'U' || user_id AS symbol, user_id % 2 = 0 AS first, epoch_us(ts) * 1000 AS recv_ns, ((epoch_us(ts) * 1000) // 1000000 - 3) * 1000000 AS sent,

@@ -1,4 +1,4 @@
-"""Raw venue frames to tape rows: JSON functions and projections only.
+"""Raw venue frames to tape rows in one pass: JSON functions and projections only.
 
 A frames table has venue, raw, recv_ns, mono_ns and arrival_seq. Objects are
 parsed as maps of text, since the venues' keys differ in case only.
@@ -6,8 +6,6 @@ parsed as maps of text, since the venues' keys differ in case only.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,100 +74,146 @@ def as_list(text: Column) -> Column:
     return F.when(F.ltrim(text).startswith("["), F.from_json(text, LIST)).otherwise(F.array(F.from_json(text, OBJECT)))
 
 
-def _head(frames: DataFrame) -> DataFrame:
-    m = F.from_json("raw", OBJECT)
-    return frames.select("venue", F.col("recv_ns").alias("local_receive_ts_ns"), F.col("mono_ns").alias("local_receive_mono_ns"), F.col("arrival_seq").alias("seq"), m.alias("m"))
-
-
 def _symbol(c: Column) -> Column:
     return F.upper(F.coalesce(c, F.lit("")))
 
 
-def bybit(frames: DataFrame) -> DataFrame:
-    """Book, trade, ticker, liquidation and kline frames, told by their topic; other frames give nothing."""
-    rows = _head(frames.filter("venue = 'bybit'")).withColumns({"topic": at("m", "topic"), "data": at("m", "data"), "ts": ns(at("m", "ts"))})
-    topic = F.split("topic", "[.]")
-
-    def branch(prefix: str) -> DataFrame:
-        return rows.filter(F.col("topic").startswith(prefix + "."))
-
-    b = branch("orderbook").withColumn("d", F.from_json("data", OBJECT)).withColumns({"symbol": _symbol(at("d", "s")), "update_id": whole(at("d", "u")), "depth": topic[1].try_cast("int")})
-    snapshot = (F.lower(F.coalesce(at("m", "type"), F.lit(""))) != "delta") | (F.col("update_id") == 1)
-    book = b.filter("symbol <> '' and depth is not null").select(
-        *KEYS, "symbol", "depth", F.when(snapshot, "orderbook_snapshot").otherwise("orderbook_delta").alias("kind"), F.col("ts").alias("exchange_system_ts_ns"),
-        ns(at("m", "cts")).alias("exchange_engine_ts_ns"), levels(at("d", "b")).alias("bids"), levels(at("d", "a")).alias("asks"), "update_id", F.lit(0).alias("first_update_id"),
-        whole(at("d", "seq")).alias("cross_sequence"), (F.col("update_id") == 1).alias("restart_snapshot"),
-    )
-    t = branch("publicTrade").select("*", F.explode(F.from_json("data", LIST)).alias("d")).withColumn("symbol", _symbol(at("d", "s")))
-    own = F.when(whole(at("d", "T")) != 0, ns(at("d", "T"))).otherwise(F.col("ts"))
-    trades = t.filter(at("d", "S").isin("Buy", "Sell") & (F.col("symbol") != "")).select(
-        *KEYS, "symbol", F.lit("public_trade").alias("kind"), F.col("ts").alias("exchange_system_ts_ns"), own.alias("exchange_ts_ns"), F.coalesce(at("d", "i"), F.lit("")).alias("trade_id"),
-        number(at("d", "p")).alias("price"), number(at("d", "v")).alias("qty"), at("d", "S").alias("side"),
-    )
-    k = branch("tickers").withColumn("d", F.from_json("data", OBJECT)).withColumn("symbol", _symbol(at("d", "symbol")))
-    ticker = k.filter("symbol <> ''").select(
-        *KEYS, "symbol", F.lit("ticker").alias("kind"), F.col("ts").alias("exchange_system_ts_ns"), F.lower(F.coalesce(at("m", "type"), F.lit(""))).alias("message_type"),
-        whole(at("m", "cs")).alias("cross_sequence"), ticker_values("d", BYBIT_TICKER).alias("values"),
-    )
-    x = branch("allLiquidation").select("*", F.explode(as_list(F.col("data"))).alias("d")).withColumn("symbol", _symbol(at("d", "s")))
-    liquidations = x.filter(at("d", "S").isin("Buy", "Sell") & (F.col("symbol") != "")).select(
-        *KEYS, "symbol", F.lit("liquidation").alias("kind"), F.col("ts").alias("exchange_system_ts_ns"), ns(at("d", "T")).alias("exchange_ts_ns"), at("d", "S").alias("position_side"),
-        number(at("d", "v")).alias("qty"), number(at("d", "p")).alias("bankruptcy_price"),
-    )
-    names = F.create_map(*(F.lit(v) for kv in BYBIT_INTERVALS.items() for v in kv))
-    c = branch("kline").filter(F.size(topic) == 3).select("*", F.explode(F.from_json("data", LIST)).alias("d"))
-    prices = {n: number(at("d", n)) for n in ("open", "high", "low", "close", "volume", "turnover")}
-    klines = c.select(
-        *KEYS, F.upper(topic[2]).alias("symbol"), F.lit("kline").alias("kind"), F.coalesce(F.try_element_at(names, topic[1]), topic[1]).alias("interval"), F.col("ts").alias("exchange_system_ts_ns"),
-        whole(at("d", "start")).alias("start_ms"), whole(at("d", "end")).alias("end_ms"), *(v.alias(n) for n, v in prices.items()), F.coalesce(at("d", "confirm") == "true", F.lit(False)).alias("confirmed"),
+#: What a frame's envelope may hold; ``data`` stays text until its kind is known.
+ENVELOPE = "topic string, type string, ts string, cts string, cs string, stream string, data string"
+BYBIT_TOPICS = ("orderbook", "publicTrade", "tickers", "allLiquidation", "kline")
+
+
+def frame_kind() -> Column:
+    """``venue.what`` of a frame, told by its topic or stream; null for frames that hold no rows."""
+    prefix, tail = F.split("topic", "[.]")[0], F.col("tail")
+    first = F.when(prefix.isin(*BYBIT_TOPICS) & F.contains("topic", F.lit(".")), F.concat(F.lit("bybit."), prefix))
+    second = (
+        F.when(F.col("stream") == "!forceOrder@arr", "binance.forceOrder").when(tail == "bookTicker", "binance.top").when(tail.startswith("depth"), "binance.depth").when(tail == "trade", "binance.trade")
+        .when(tail.startswith("markPrice"), "binance.mark").when(tail == "ticker", "binance.day").when(tail.startswith("kline_"), "binance.kline")
     )
-    return united(book, trades, ticker, liquidations, klines)
+    return F.when(F.col("venue") == "bybit", first).when(F.col("venue") == "binance", second)
 
 
-def binance(frames: DataFrame) -> DataFrame:
-    """Top of book, partial and diff books, trades, tickers, liquidations and klines, told by their stream."""
-    rows = _head(frames.filter("venue = 'binance'")).withColumns({"stream": at("m", "stream"), "data": at("m", "data")}).filter("stream is not null")
-    rows = rows.withColumns({"tail": F.regexp_replace("stream", "^[^@]*@", "")})
-    x = rows.filter("stream = '!forceOrder@arr'").select("*", F.explode(as_list(F.col("data"))).alias("d")).withColumn("o", F.from_json(at("d", "o"), OBJECT))
-    side = F.when(F.upper(at("o", "S")) == "SELL", "Buy").when(F.upper(at("o", "S")) == "BUY", "Sell")
-    liquidations = x.select(
-        *KEYS, _symbol(at("o", "s")).alias("symbol"), F.lit("liquidation").alias("kind"), ns(at("d", "E")).alias("exchange_system_ts_ns"), ns(at("o", "T")).alias("exchange_ts_ns"),
-        side.alias("position_side"), number_or_null(at("o", "q")).alias("qty"), number_or_null(at("o", "p")).alias("bankruptcy_price"),
-    ).filter("symbol <> '' and position_side is not null and qty is not null and bankruptcy_price is not null")
-    one = rows.filter("stream <> '!forceOrder@arr'").withColumn("d", F.from_json("data", OBJECT)).withColumn("symbol", _symbol(at("d", "s"))).filter("symbol <> ''")
-    sent = {"exchange_system_ts_ns": ns(at("d", "E")), "exchange_engine_ts_ns": ns(at("d", "T"))}
-    stamps = [v.alias(n) for n, v in sent.items()]
-    tail = F.col("tail")
-    diff = tail == "depth@100ms"
-    top = one.filter(tail == "bookTicker").select(
-        *KEYS, "symbol", F.lit(1).alias("depth"), F.lit("orderbook_snapshot").alias("kind"), *stamps, one_level(at("d", "b"), at("d", "B")).alias("bids"),
-        one_level(at("d", "a"), at("d", "A")).alias("asks"), whole(at("d", "u")).alias("update_id"),
+def entries(frames: DataFrame) -> DataFrame:
+    """One row for each entry of each frame: its frame's kind and envelope, the entry ``d`` and the object ``o`` inside it.
+
+    Every text is parsed once: a generator stands between parsing and use, and no
+    filter or projection is pushed through it.
+    """
+    rows = frames.select(
+        "venue", F.col("recv_ns").alias("local_receive_ts_ns"), F.col("mono_ns").alias("local_receive_mono_ns"), F.col("arrival_seq").alias("seq"), F.inline(F.array(F.from_json("raw", ENVELOPE)))
+    )
+    rows = rows.withColumn("tail", F.regexp_replace("stream", "^[^@]*@", "")).withColumn("what", frame_kind()).filter("what is not null")
+    what = F.col("what")
+    held = (
+        F.when(what.isin("bybit.publicTrade", "bybit.kline"), F.from_json("data", LIST)).when(what.isin("bybit.allLiquidation", "binance.forceOrder"), as_list(F.col("data")))
+        .otherwise(F.array(F.from_json("data", OBJECT)))
     )
+    rows = rows.select("*", F.explode(held).alias("d"))
+    inner = F.when(what == "binance.forceOrder", at("d", "o")).when(what == "binance.kline", at("d", "k"))
+    return rows.select("*", F.explode(F.array(F.from_json(inner, OBJECT))).alias("o"))
+
+
+def bybit_fields() -> dict[str, tuple[Column, dict[str, Column]]]:
+    """For each kind of frame: which entries count, and their columns."""
+    topic, sent, kind = F.split("topic", "[.]"), ns(F.col("ts")), F.lower(F.coalesce("type", F.lit("")))
+    symbol = _symbol(at("d", "s"))
+    told = at("d", "S").isin("Buy", "Sell") & (symbol != "")
+    update = whole(at("d", "u"))
+    depth = topic[1].try_cast("int")
+    own = F.when(whole(at("d", "T")) != 0, ns(at("d", "T"))).otherwise(sent)
+    names = F.create_map(*(F.lit(v) for kv in BYBIT_INTERVALS.items() for v in kv))
+    return {
+        "bybit.orderbook": ((symbol != "") & depth.isNotNull(), {
+            "symbol": symbol, "depth": depth, "kind": F.when((kind != "delta") | (update == 1), "orderbook_snapshot").otherwise("orderbook_delta"), "exchange_system_ts_ns": sent,
+            "exchange_engine_ts_ns": ns(F.col("cts")), "bids": levels(at("d", "b")), "asks": levels(at("d", "a")), "update_id": update, "first_update_id": F.lit(0),
+            "cross_sequence": whole(at("d", "seq")), "restart_snapshot": update == 1,
+        }),
+        "bybit.publicTrade": (told, {
+            "symbol": symbol, "kind": F.lit("public_trade"), "exchange_system_ts_ns": sent, "exchange_ts_ns": own, "trade_id": F.coalesce(at("d", "i"), F.lit("")),
+            "price": number(at("d", "p")), "qty": number(at("d", "v")), "side": at("d", "S"),
+        }),
+        "bybit.tickers": (_symbol(at("d", "symbol")) != "", {
+            "symbol": _symbol(at("d", "symbol")), "kind": F.lit("ticker"), "exchange_system_ts_ns": sent, "message_type": kind, "cross_sequence": whole(F.col("cs")), "values": ticker_values("d", BYBIT_TICKER),
+        }),
+        "bybit.allLiquidation": (told, {
+            "symbol": symbol, "kind": F.lit("liquidation"), "exchange_system_ts_ns": sent, "exchange_ts_ns": ns(at("d", "T")), "position_side": at("d", "S"), "qty": number(at("d", "v")),
+            "bankruptcy_price": number(at("d", "p")),
+        }),
+        "bybit.kline": (F.size(topic) == 3, {
+            "symbol": F.upper(F.get(topic, F.lit(2))), "kind": F.lit("kline"), "interval": F.coalesce(F.try_element_at(names, topic[1]), topic[1]), "exchange_system_ts_ns": sent,
+            "start_ms": whole(at("d", "start")), "end_ms": whole(at("d", "end")), **{n: number(at("d", n)) for n in ("open", "high", "low", "close", "volume", "turnover")},
+            "confirmed": F.coalesce(at("d", "confirm") == "true", F.lit(False)),
+        }),
+    }
+
+
+def binance_fields() -> dict[str, tuple[Column, dict[str, Column]]]:
+    """As ``bybit_fields``. Diff books have the depth of ``DIFF_DEPTH``."""
+    tail, symbol = F.col("tail"), _symbol(at("d", "s"))
+    named = symbol != ""
+    sent = {"exchange_system_ts_ns": ns(at("d", "E"))}
+    both = sent | {"exchange_engine_ts_ns": ns(at("d", "T"))}
+    diff = tail == "depth@100ms"
     depth = F.when(diff, DIFF_DEPTH).otherwise(F.regexp_extract("tail", "^depth([0-9]+)", 1).try_cast("int"))
-    books = one.filter(tail.startswith("depth")).withColumn("depth", depth).filter("depth is not null").select(
-        *KEYS, "symbol", "depth", F.when(diff, "orderbook_delta").otherwise("orderbook_snapshot").alias("kind"), *stamps, levels(at("d", "b")).alias("bids"), levels(at("d", "a")).alias("asks"),
-        whole(at("d", "u")).alias("update_id"), whole(at("d", "pu")).alias("previous_update_id"), whole(at("d", "U")).alias("first_update_id"),
-    )
-    print_ = at("d", "X").isNull() | at("d", "X").isin(*BINANCE_PRINTS)
+    price, qty = number_or_null(at("d", "p")), number_or_null(at("d", "q"))
     own = F.when(whole(at("d", "T")) != 0, ns(at("d", "T"))).otherwise(ns(at("d", "E")))
-    trades = one.filter((tail == "trade") & print_).select(
-        *KEYS, "symbol", F.lit("public_trade").alias("kind"), stamps[0], own.alias("exchange_ts_ns"), F.coalesce(at("d", "t"), F.lit("")).alias("trade_id"),
-        number_or_null(at("d", "p")).alias("price"), number_or_null(at("d", "q")).alias("qty"), F.when(at("d", "m") == "true", "Sell").otherwise("Buy").alias("side"),
-    ).filter("price is not null and qty is not null")
-    mark = tail.startswith("markPrice")
-    values = F.when(mark, ticker_values("d", BINANCE_MARK)).otherwise(ticker_values("d", BINANCE_DAY, percent=True))
-    ticker = one.filter(mark | (tail == "ticker")).select(*KEYS, "symbol", F.lit("ticker").alias("kind"), stamps[0], F.lit("delta").alias("message_type"), values.alias("values"))
-    c = one.filter(tail.startswith("kline_")).withColumn("k", F.from_json(at("d", "k"), OBJECT)).filter("k is not null")
-    prices = {n: number(at("k", v)) for n, v in (("open", "o"), ("high", "h"), ("low", "l"), ("close", "c"), ("volume", "v"), ("turnover", "q"))}
-    klines = c.select(
-        *KEYS, "symbol", F.lit("kline").alias("kind"), F.coalesce(at("k", "i"), F.substring("tail", 7, 9)).alias("interval"), stamps[0], whole(at("k", "t")).alias("start_ms"),
-        whole(at("k", "T")).alias("end_ms"), *(v.alias(n) for n, v in prices.items()), F.coalesce(at("k", "x") == "true", F.lit(False)).alias("confirmed"),
-    )
-    return united(top, books, trades, ticker, liquidations, klines)
+    closed = F.when(F.upper(at("o", "S")) == "SELL", "Buy").when(F.upper(at("o", "S")) == "BUY", "Sell")
+    lost, at_price = number_or_null(at("o", "q")), number_or_null(at("o", "p"))
+    ticker = {"symbol": symbol, "kind": F.lit("ticker"), **sent, "message_type": F.lit("delta")}
+    prices = {"open": "o", "high": "h", "low": "l", "close": "c", "volume": "v", "turnover": "q"}
+    return {
+        "binance.forceOrder": ((_symbol(at("o", "s")) != "") & closed.isNotNull() & lost.isNotNull() & at_price.isNotNull(), {
+            "symbol": _symbol(at("o", "s")), "kind": F.lit("liquidation"), **sent, "exchange_ts_ns": ns(at("o", "T")), "position_side": closed, "qty": lost, "bankruptcy_price": at_price,
+        }),
+        "binance.top": (named, {
+            "symbol": symbol, "depth": F.lit(1), "kind": F.lit("orderbook_snapshot"), **both, "bids": one_level(at("d", "b"), at("d", "B")), "asks": one_level(at("d", "a"), at("d", "A")),
+            "update_id": whole(at("d", "u")),
+        }),
+        "binance.depth": (named & depth.isNotNull(), {
+            "symbol": symbol, "depth": depth, "kind": F.when(diff, "orderbook_delta").otherwise("orderbook_snapshot"), **both, "bids": levels(at("d", "b")), "asks": levels(at("d", "a")),
+            "update_id": whole(at("d", "u")), "previous_update_id": whole(at("d", "pu")), "first_update_id": whole(at("d", "U")),
+        }),
+        "binance.trade": (named & (at("d", "X").isNull() | at("d", "X").isin(*BINANCE_PRINTS)) & price.isNotNull() & qty.isNotNull(), {
+            "symbol": symbol, "kind": F.lit("public_trade"), **sent, "exchange_ts_ns": own, "trade_id": F.coalesce(at("d", "t"), F.lit("")), "price": price, "qty": qty,
+            "side": F.when(at("d", "m") == "true", "Sell").otherwise("Buy"),
+        }),
+        "binance.mark": (named, ticker | {"values": ticker_values("d", BINANCE_MARK)}),
+        "binance.day": (named, ticker | {"values": ticker_values("d", BINANCE_DAY, percent=True)}),
+        "binance.kline": (named & F.col("o").isNotNull(), {
+            "symbol": symbol, "kind": F.lit("kline"), "interval": F.coalesce(at("o", "i"), F.substring("tail", 7, 9)), **sent, "start_ms": whole(at("o", "t")), "end_ms": whole(at("o", "T")),
+            **{n: number(at("o", v)) for n, v in prices.items()}, "confirmed": F.coalesce(at("o", "x") == "true", F.lit(False)),
+        }),
+    }
+
+
+def normalized(frames: DataFrame) -> DataFrame:
+    """Tape rows of both venues' frames in one pass over them; other frames and entries give nothing.
+
+    Of each column only the expression of the frame's own kind is evaluated.
+    """
+    fields = bybit_fields() | binance_fields()
 
+    def chosen(by_kind: dict[str, Column]) -> Column:
+        out = F
+        for what, value in by_kind.items():
+            out = out.when(F.col("what") == what, value)
+        return out
 
-def united(*parts: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, (widened(p, "seq") for p in parts))
+    rows = entries(frames).filter(chosen({what: keep for what, (keep, _) in fields.items()}))
+    names = dict.fromkeys(n for _, columns in fields.values() for n in columns)
+    columns = {n: chosen({what: columns[n] for what, (_, columns) in fields.items() if n in columns}) for n in names}
+    return widened(rows.select(*KEYS, *(c.alias(n) for n, c in columns.items())), "seq")
+
+
+def bybit(frames: DataFrame) -> DataFrame:
+    """Rows of one venue's frames: books, trades, tickers, liquidations and klines, told by their topic."""
+    return normalized(frames.filter("venue = 'bybit'"))
+
+
+def binance(frames: DataFrame) -> DataFrame:
+    """Rows of the other venue's: top of book, partial and diff books, trades, tickers, liquidations and klines, told by their stream."""
+    return normalized(frames.filter("venue = 'binance'"))
 
 
 def mark_diffs(rows: DataFrame, resets: DataFrame | None = None) -> DataFrame:
