@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.functions.scalars import hour_key
+from ticklake.operators.order import RECV
 from ticklake.operators.spans import contiguous, intersect, merge, subtract
+from ticklake.schema import NS_PER_HOUR
+from ticklake.sources.normalize import BYBIT_INTERVALS
+from ticklake.sources.scratch import stored
 
 SPAN = "array<bigint>"
-#: A coverage document of one process and hour.
+#: The fields of a coverage document of one process and hour.
 RECORD = (
     "venue string, market string, day string, hour string, pid bigint, window struct<from_ns:bigint,to_ns:bigint>, hour_span struct<from_ns:bigint,to_ns:bigint>, "
     f"tiers array<struct<name:string,feeds:array<string>,members:map<string,array<{SPAN}>>>>, shards array<struct<index:bigint,tier:string,topics:array<string>>>, "
@@ -41,8 +46,7 @@ def exploded(records: DataFrame) -> dict[str, DataFrame]:
 def topic() -> F.Column:
     """The venue's topic of (venue, symbol, feed); empty for venues and feeds without one."""
     name, arg, low = F.split("feed", ":")[0], F.try_element_at(F.split("feed", ":"), F.lit(2)), F.lower("symbol")
-    codes = {"1m": "1", "3m": "3", "5m": "5", "15m": "15", "30m": "30", "1h": "60", "2h": "120", "4h": "240", "6h": "360", "12h": "720", "1d": "D", "1w": "W", "1M": "M"}
-    code = F.try_element_at(F.create_map(*(F.lit(x) for kv in codes.items() for x in kv)), arg)
+    code = F.try_element_at(F.create_map(*(F.lit(x) for code, interval in BYBIT_INTERVALS.items() for x in (interval, code))), arg)
     bybit = (
         F.when(name == "book", F.concat_ws(".", F.lit("orderbook"), arg, "symbol")).when(name == "trades", F.concat(F.lit("publicTrade."), "symbol"))
         .when(name == "ticker", F.concat(F.lit("tickers."), "symbol")).when(name == "liquidations", F.concat(F.lit("allLiquidation."), "symbol"))
@@ -68,8 +72,8 @@ def reasons(tables: dict[str, DataFrame]) -> DataFrame:
     hours = tables["hours"]
     cells = grants.select(*CELL).distinct()
     hour_cells = cells.join(hours, "hour")
-    granted = granted_spans(grants, hour_cells).persist()  # read by every reason; a lost block is computed again
-    covered = intersect(merge(tables["windows"], "hour"), hours, "hour", disjoint=True).persist()
+    granted = stored(granted_spans(grants, hour_cells), "granted")  # read by every reason
+    covered = intersect(merge(tables["windows"], "hour"), hours, "hour", disjoint=True)
     named = granted.select(*CELL).distinct()
     down = subtract(hours, covered, "hour", disjoint=True).join(named, "hour")
     partial = subtract(covered.join(named, "hour"), granted, *CELL, disjoint=True)
@@ -112,6 +116,38 @@ def observed_by_symbol(receipts: DataFrame) -> DataFrame:
     return rows.groupBy("hour", "symbol").agg(F.sum("records").alias("records"), F.min(stamp["first_receive_ns"]).alias("first_receive_ns"), F.max(stamp["last_receive_ns"]).alias("last_receive_ns"))
 
 
+def observed_by_feed(tape: DataFrame) -> DataFrame:
+    """Rows and stamps of (hour, symbol, feed) from the rows themselves; rows of no feed don't count, stamps of 0 tell nothing."""
+    from ticklake.schema import feed
+
+    stamp = F.when(F.col(RECV) > 0, F.col(RECV))
+    rows = tape.select(hour_key(RECV).alias("hour"), F.upper(F.coalesce("symbol", F.lit(""))).alias("symbol"), feed().alias("feed"), stamp.alias("ns")).filter("feed <> ''")
+    return rows.groupBy(*CELL).agg(F.count("*").alias("records"), F.min("ns").alias("first_receive_ns"), F.max("ns").alias("last_receive_ns"))
+
+
+def rolled(spans: DataFrame, windows: DataFrame, *key: str, keep_open: bool = False) -> DataFrame:
+    """What each hour's record tells of spans that run over hours: (hour, key, from_ns, to_ns).
+
+    ``spans``: key, start, end (null: still open); ``windows``: hour, from_ns,
+    to_ns of the time that the process was up in it, of which spans meet the
+    hours they cover only. A span is cut to the window; one that is open at its
+    end is cut there too, or with ``keep_open`` has no end.
+    """
+    last = windows.agg(F.max("to_ns")).first()[0] or 0
+    rows = spans.withColumn("_last", F.coalesce("end", F.lit(last).cast("bigint")) - 1).filter("start <= _last")
+    rows = rows.withColumn("_h", F.explode(F.sequence(F.expr(f"start div {NS_PER_HOUR}"), F.expr(f"_last div {NS_PER_HOUR}"))))
+    both = rows.join(windows.withColumn("_h", F.expr(f"from_ns div {NS_PER_HOUR}")), "_h")
+    start, end = F.greatest("start", "from_ns"), F.least(F.coalesce("end", "to_ns"), "to_ns")
+    still = F.col("end").isNull() | (F.col("end") > F.col("to_ns")) if keep_open else F.lit(False)
+    return both.filter(start < end).select("hour", *key, start.alias("from_ns"), F.when(~still, end).alias("to_ns"))
+
+
+def counter_deltas(readings: DataFrame, counters: list[str], *key: str) -> DataFrame:
+    """Counters as what they grew by since the record before: ``readings`` has key, to_ns and running totals; a process starts at 0."""
+    w = Window.partitionBy(*key).orderBy("to_ns")
+    return readings.withColumns({c: F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(0)) for c in counters})
+
+
 def ledger(tables: dict[str, DataFrame], observed: DataFrame | None = None, wanted: DataFrame | None = None) -> DataFrame:
     """One row for each cell: status, reason_codes (distinct, by their first span), records and stamps.
 

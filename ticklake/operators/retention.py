@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,10 +12,10 @@ def finished_hours(files: DataFrame, now_s: int, grace_s: int) -> DataFrame:
     return rows.filter(((F.col("h") + 1) * 3600 + grace_s <= now_s) & ~F.col("raw") & (F.col("archived") > 0)).select("h")
 
 
-def last_of_ledger(ledger: DataFrame, stores: DataFrame) -> DataFrame:
-    """The last row of each remote path, if one of the current stores confirms it."""
-    w = Window.partitionBy("path").orderBy(F.desc("line"))
-    return ledger.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n").join(stores, "store", "left_semi")
+def last_of_ledger(ledger: DataFrame, stores: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The last row of each remote path, if one of the current stores confirms it; and the last rows that none confirms."""
+    last = ledger.groupBy("path").agg(F.max_by(F.struct(*ledger.columns), "line").alias("r")).select("r.*")
+    return last.join(stores, "store", "left_semi"), last.join(stores, "store", "left_anti")
 
 
 def bytes_since(ledger: DataFrame, since_ns: int) -> DataFrame:
@@ -29,18 +29,35 @@ def prunable(files: DataFrame, shipped: DataFrame, now_s: int, keep_hours: int)
 
 
 def retention_plan(files: DataFrame, expired_before: int, cap: int) -> DataFrame:
-    """Files (age order ``pos``, size, meta) to delete: what is expired, then the oldest until the rest fits ``cap``.
+    """Files (path, size, meta, written_s) to delete: what is expired, then the oldest until the rest fits ``cap``.
 
-    Meta files go by age only and count towards the total. Running sums over an
-    inventory replace the loop: a file goes if what is left before it is above the cap.
+    Meta files go by age only and count towards the total. A file goes if what is
+    left before it is above the cap, files being ordered by (written_s, path).
+    What is freed before a file is the sum of the days before, of the day's
+    seconds before and of the second's paths before, so only a table with a row
+    for each day is summed in one task.
     """
     rows = files.withColumn("expired", F.col("written_s") < expired_before)
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    gone_by_age = rows.filter("expired").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    w = Window.partitionBy(F.lit(0)).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    freed = F.coalesce(F.sum(F.when(~F.col("expired") & ~F.col("meta"), F.col("size"))).over(w), F.lit(0))
-    rows = rows.withColumn("_left", F.lit(total - gone_by_age) - freed)
-    return rows.filter(F.col("expired") | ~F.col("meta") & (F.col("_left") > cap)).select("pos", "path", "size", F.when(F.col("expired"), "age").otherwise("space").alias("why"))
+    freed = F.when(~F.col("expired") & ~F.col("meta"), F.col("size")).otherwise(0)
+    rest = rows.agg(F.coalesce(F.sum(F.when(~F.col("expired"), F.col("size"))), F.lit(0))).first()[0]
+    earlier = (Window.unboundedPreceding, -1)
+
+    def before(c: str, w) -> Column:
+        return F.coalesce(F.sum(c).over(w.rowsBetween(*earlier)), F.lit(0))
+
+    rows = rows.withColumns({"_freed": freed, "_day": F.expr("written_s div 86400")})
+    seconds = rows.groupBy("_day", "written_s").agg(F.sum("_freed").alias("_sum"))
+    days = seconds.groupBy("_day").agg(F.sum("_sum").alias("_sum"))
+    days = days.select("_day", before("_sum", Window.partitionBy(F.lit(0)).orderBy("_day")).alias("_days"))
+    seconds = seconds.withColumn("_seconds", before("_sum", Window.partitionBy("_day").orderBy("written_s"))).drop("_sum")
+    rows = rows.join(seconds.join(days, "_day").drop("_day"), "written_s").withColumn("_paths", before("_freed", Window.partitionBy("written_s").orderBy("path")))
+    left = F.lit(rest) - F.col("_days") - F.col("_seconds") - F.col("_paths")
+    return rows.filter(F.col("expired") | ~F.col("meta") & (left > cap)).select("path", "size", "written_s", F.when(F.col("expired"), "age").otherwise("space").alias("why"))
+
+
+def cap_for_space(total: int, free: int, target_free: int) -> int:
+    """The size that files may keep so that ``target_free`` bytes of the disk are free."""
+    return max(0, total - max(0, target_free - free))
 
 
 def fetch_plan(requests: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticklake.operators import coverage, meter, spans, universe
 from ticklake.plans.tape_queries import DAY, HOUR, rounded
+from ticklake.sources.scratch import stored
 from ticklake.sources.testbed import TAPE_SQL, events, read, tape
 
 # ------------------------------------------------------------ interval algebra
@@ -76,18 +77,21 @@ def coverage_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     for all of it; every seventh
     hour starts late, every fifth ends early, every sixth sheds the ticker for
     its first half, every eleventh blocks the disk for a minute; an error
-    disconnects its symbol's trades for a minute.
+    disconnects its symbol's trades for a minute, some tickers' events break the
+    book of every fourth symbol, the only ones with a book.
     """
-    e = events(spark, sf_dir).withColumn("h", F.expr(f"recv_ns div {HOUR}")).persist()
+    e = events(spark, sf_dir).withColumn("h", F.expr(f"recv_ns div {HOUR}"))
     hour = F.date_format(F.timestamp_seconds(F.col("h") * 3600), "yyyy-MM-dd'T'HH").alias("hour")
     start, end = F.col("h") * HOUR, (F.col("h") + 1) * HOUR
     hours = e.select("h").distinct()
     first = e.groupBy("h", "symbol").agg(F.min("recv_ns").alias("start"))
-    feeds = F.explode(F.array(F.lit("trades"), F.lit("ticker")))
-    whole = F.substring("symbol", 2, 9).cast("int") % 3 == 0
+    number = F.substring("symbol", 2, 9).cast("int")
+    some = F.array(F.lit("trades"), F.lit("ticker"))
+    feeds = F.explode(F.when(number % 4 == 0, F.array_append(some, F.lit("book:50"))).otherwise(some))
+    whole = number % 3 == 0
     first = first.withColumn("start", F.when(whole, start).otherwise(F.col("start")))
     grants = first.select(hour, F.lit(1).alias("rec"), F.lit("all").alias("tier"), "symbol", feeds.alias("feed"), "start", end.alias("end"))
-    grants = grants.withColumn("topic", F.concat_ws(".", "feed", "symbol")).persist()
+    grants = stored(grants.withColumn("topic", F.concat_ws(".", "feed", "symbol")), "grants")
     minute = 60 * 10**9
     return {
         "hours": hours.select(hour, start.alias("start"), end.alias("end")),
@@ -95,7 +99,7 @@ def coverage_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "grants": grants,
         "shed": hours.filter("h % 6 = 0").select(hour, F.lit(1).alias("rec"), F.lit("all").alias("tier"), F.lit("ticker").alias("feed"), start.alias("start"), (start + 30 * minute).alias("end")),
         "disconnects": e.filter("event_type = 'error'").select(hour, F.lit(1).alias("rec"), F.concat(F.lit("trades."), "symbol").alias("topic"), F.col("recv_ns").alias("start"), (F.col("recv_ns") + minute).alias("end")),
-        "book_gaps": e.limit(0).select(hour, "symbol", F.lit("book:50").alias("feed"), F.col("recv_ns").alias("start"), F.col("recv_ns").alias("end")),
+        "book_gaps": e.filter("event_type = 'signup' and k % 9 = 0").select(hour, "symbol", F.lit("book:50").alias("feed"), F.col("recv_ns").alias("start"), (F.col("recv_ns") + minute).alias("end")),
         "disk_blocked": hours.filter("h % 11 = 0").select(hour, (start + minute).alias("start"), (start + 2 * minute).alias("end")),
         "overruns": e.filter("event_type = 'purchase' and k = 7").select(hour, F.lit(1).alias("rec"), F.concat(F.lit("ticker."), "symbol").alias("topic"), F.col("recv_ns").alias("ns")),
     }
@@ -109,13 +113,14 @@ def coverage_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 COVERAGE_SQL = f"""WITH e AS (SELECT 'U' || user_id AS symbol, epoch_us(ts) * 1000 AS ns, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, (epoch_us(ts) * 1000) // {HOUR} AS h FROM events),
 g AS (SELECT h, symbol, feed, CASE WHEN CAST(substr(symbol, 2) AS INTEGER) % 3 = 0 THEN h * {HOUR} ELSE min(ns) END AS ms, h * {HOUR} AS s, (h + 1) * {HOUR} AS x,
   h * {HOUR} + CASE WHEN h % 7 = 0 THEN 300000000000 ELSE 0 END AS ws, (h + 1) * {HOUR} - CASE WHEN h % 5 = 0 THEN 600000000000 ELSE 0 END AS we
-  FROM e, (VALUES ('trades'), ('ticker')) f(feed) GROUP BY h, symbol, feed),
+  FROM e, (VALUES ('trades'), ('ticker'), ('book:50')) f(feed) WHERE feed <> 'book:50' OR CAST(substr(symbol, 2) AS INTEGER) % 4 = 0 GROUP BY h, symbol, feed),
 r AS (
   SELECT h, symbol, feed, 'recorder_down' AS code, s AS from_ns FROM g WHERE ws > s
   UNION ALL SELECT h, symbol, feed, 'recorder_down', we FROM g WHERE we < x
   UNION ALL SELECT h, symbol, feed, 'tier_membership_partial', ws FROM g WHERE least(ms, we) > ws
   UNION ALL SELECT h, symbol, feed, 'shed', ms FROM g WHERE feed = 'ticker' AND h % 6 = 0 AND ms < s + 1800000000000
   UNION ALL SELECT g.h, g.symbol, feed, 'shard_disconnected', e.ns FROM g JOIN e ON e.h = g.h AND e.symbol = g.symbol AND event_type = 'error' WHERE feed = 'trades'
+  UNION ALL SELECT g.h, g.symbol, feed, 'book_gap', e.ns FROM g JOIN e ON e.h = g.h AND e.symbol = g.symbol AND event_type = 'signup' AND k % 9 = 0 WHERE feed = 'book:50'
   UNION ALL SELECT h, symbol, feed, 'disk_blocked', greatest(ms, s + 60000000000) FROM g WHERE h % 11 = 0 AND ms < s + 120000000000
   UNION ALL SELECT g.h, g.symbol, feed, 'queue_overrun', e.ns FROM g JOIN e ON e.h = g.h AND e.symbol = g.symbol AND event_type = 'purchase' AND k = 7 WHERE feed = 'ticker'),
 c AS (SELECT h, symbol, feed, string_agg(code, ',' ORDER BY from_ns, code) AS codes FROM (SELECT h, symbol, feed, code, min(from_ns) AS from_ns FROM r GROUP BY ALL) GROUP BY ALL),

@@ -209,22 +209,19 @@ AUDIT_HOURS_SQL = f"""{RECEIPTS_SQL} SELECT day AS hour, count(*) FILTER (user_i
 
 # ----------------------------------------------------------------- inventories
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as stored files, oldest first by ship date."""
-    from pyspark.sql import Window
-
+    """Line items as stored files, written on their ship date."""
     line = read(spark, sf_dir, "lineitem")
     path = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    rows = line.select(path.alias("path"), F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("written_s"), (F.col("l_quantity") * 1000).cast("bigint").alias("size"), (F.col("l_linenumber") == 7).alias("meta"), "l_suppkey", "l_orderkey")
-    return rows.withColumn("pos", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("written_s", "path")))
+    return line.select(path.alias("path"), F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("written_s"), (F.col("l_quantity") * 1000).cast("bigint").alias("size"), (F.col("l_linenumber") == 7).alias("meta"), "l_suppkey", "l_orderkey")
 
 
 INVENTORY_SQL = """WITH i AS (SELECT *, row_number() OVER (ORDER BY written_s, path) AS pos FROM (SELECT l_orderkey || '/' || l_linenumber AS path, epoch_us(l_shipdate) // 1000000 AS written_s,
   CAST(l_quantity * 1000 AS BIGINT) AS size, l_linenumber = 7 AS meta, l_suppkey, l_orderkey FROM lineitem))"""
-EXPIRED = 725_846_400  # 1993-01-01
+EXPIRED = 820_454_400  # 1996-01-01
 
 
 def retention_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What to delete so that files from before 1993 go and the rest fits half of its size."""
+    """What to delete so that files from before 1996 go and the rest fits half of its size."""
     files = inventory(spark, sf_dir)
     cap = files.agg(F.expr("sum(size) div 2")).first()[0] or 0
     return retention.retention_plan(files, EXPIRED, cap).select("path", "size", "why")
@@ -239,7 +236,7 @@ def ranges_coalesced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads of every supplier's line items, laid one after another, of which each third is wanted."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("l_suppkey").orderBy("pos")
+    w = Window.partitionBy("l_suppkey").orderBy("written_s", "path")
     files = inventory(spark, sf_dir).withColumn("offset", F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     wanted = files.filter(F.col("l_orderkey") % 3 == 0).select(F.col("l_suppkey").alias("archive"), "offset", "size")
     return retention.coalesced_ranges(wanted, gap=60_000)

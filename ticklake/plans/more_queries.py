@@ -158,13 +158,29 @@ def tier_status_sql() -> str:
 
 
 def rows_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 500 rows in total order as compact JSON with sorted keys (a top-k report)."""
-    t = tape(spark, sf_dir).filter("kind = 'liquidation'")
+    """Every row of the tape as compact JSON with sorted keys, counted by symbol, kind and keys."""
+    rows = tape_files.rows_as_json(tape(spark, sf_dir))
+    keys = F.concat_ws(",", F.json_object_keys("value"))
+    told = {n: F.get_json_object("value", f"$.{n}") for n in ("kind", "local_receive_ts_ns", "symbol")}
+    return rows.select(keys.alias("keys"), *(v.alias(n) for n, v in told.items())).groupBy("symbol", "kind", "keys").agg(F.count("*").alias("n"), F.min(F.col("local_receive_ts_ns").cast("bigint")).alias("first_ns"), F.max(F.col("local_receive_ts_ns").cast("bigint")).alias("last_ns"))
+
+
+KEYS_OF = {
+    "public_trade": "exchange_system_ts_ns,exchange_ts_ns,kind,local_receive_mono_ns,local_receive_ts_ns,price,qty,side,symbol,trade_id,venue",
+    "ticker": "exchange_system_ts_ns,exchange_ts_ns,kind,local_receive_mono_ns,local_receive_ts_ns,message_type,symbol,values,venue",
+    "liquidation": "bankruptcy_price,exchange_system_ts_ns,exchange_ts_ns,kind,local_receive_mono_ns,local_receive_ts_ns,position_side,qty,symbol,venue",
+}
+ROWS_JSON_SQL = f"""{TAPE_SQL} SELECT symbol, kind, CASE kind {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in KEYS_OF.items())} END AS keys, count(*) AS n, min(recv_ns) AS first_ns, max(recv_ns) AS last_ns FROM tape GROUP BY ALL"""
+
+
+def rows_json_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 500 liquidations in total order as compact JSON with sorted keys (a top-k report)."""
+    t = tape(spark, sf_dir).filter("kind = 'liquidation'").select("symbol", "kind", "position_side", "qty", "local_receive_ts_ns", "seq")
     rows = t.orderBy("local_receive_ts_ns", "symbol", "seq").limit(500)
     return rows.select("seq", scalars.sorted_json(["symbol", "kind", "position_side", "qty"]).alias("value"))
 
 
-ROWS_JSON_SQL = f"""{TAPE_SQL} SELECT seq, '{{"kind":"liquidation","position_side":"' || side || '","qty":' || CASE WHEN value = floor(value) THEN CAST(CAST(value AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(value AS VARCHAR) END || ',"symbol":"' || symbol || '"}}' AS value
+ROWS_JSON_TOP_SQL = f"""{TAPE_SQL} SELECT seq, '{{"kind":"liquidation","position_side":"' || side || '","qty":' || CASE WHEN value = floor(value) THEN CAST(CAST(value AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(value AS VARCHAR) END || ',"symbol":"' || symbol || '"}}' AS value
 FROM tape WHERE kind = 'liquidation' ORDER BY recv_ns, symbol, seq LIMIT 500"""
 
 
@@ -178,9 +194,9 @@ BYTES_RANK_SQL = f"{FRAMES_SQL} SELECT tier, feed, CAST(sum(bytes) AS BIGINT) AS
 
 QUERIES = {
     "book_ladder": book_ladder, "export_book": export_book, "clean_hours": clean_hours, "open_interest_polls": open_interest_polls, "history_incremental": history_incremental, "tiers_resolved": tiers_resolved,
-    "health_samples": health_samples, "budget_ticks": budget_ticks, "receipts_by_hour": receipts_by_hour, "meta_cadence": meta_cadence, "tier_status": tier_status, "rows_json": rows_json, "bytes_rank": bytes_rank,
+    "health_samples": health_samples, "budget_ticks": budget_ticks, "receipts_by_hour": receipts_by_hour, "meta_cadence": meta_cadence, "tier_status": tier_status, "rows_json": rows_json, "rows_json_top": rows_json_top, "bytes_rank": bytes_rank,
 }
 SQL = {
     "book_ladder": BOOK_LADDER_SQL, "export_book": EXPORT_BOOK_SQL, "clean_hours": CLEAN_HOURS_SQL, "open_interest_polls": OPEN_INTEREST_SQL, "history_incremental": HISTORY_SQL, "tiers_resolved": TIERS_SQL,
-    "health_samples": HEALTH_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "bytes_rank": BYTES_RANK_SQL,
+    "health_samples": HEALTH_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "rows_json_top": ROWS_JSON_TOP_SQL, "bytes_rank": BYTES_RANK_SQL,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.schema import LEVELS, widened
+from ticklake.schema import LEVELS, finite, widened
 
 # --- fixed values: venue names of fields and codes --------------------------
 BYBIT_TICKER = {
@@ -250,13 +250,51 @@ def history_rows(answers: DataFrame, kind: str, stamp: str, fields: dict[str, st
     """
     rows = answers.select("venue", "symbol", F.col("recv_ns").alias("local_receive_ts_ns"), F.posexplode(F.from_json("payload", LIST)).alias("seq", "d"))
     rows = rows.withColumn(column, at("d", stamp).try_cast("bigint")).withColumns({c: number_or_null(at("d", v)) for v, c in fields.items()})
-    for c in (column, *fields.values()):
-        rows = rows.filter(F.col(c).isNotNull())
+    rows = rows.filter(F.col(column).isNotNull())
+    for c in fields.values():
+        rows = rows.filter(finite(c))
     if after is not None:
         rows = rows.join(after, "symbol", "left").filter(F.col(column) > F.coalesce("seen_ms", F.lit(-1))).drop("seen_ms")
     return rows.withColumn("kind", F.lit(kind)).drop("d")
 
 
+#: Fixed values: (kind, stamp, fields, column) of each REST history by venue and feed; the second venue's statistics are stored under one period.
+RATIOS = {"longAccount": "buy_ratio", "shortAccount": "sell_ratio"}
+HISTORIES = {
+    ("bybit", "funding"): ("funding_settlement", "fundingRateTimestamp", {"fundingRate": "funding_rate"}, "funding_time_ms"),
+    ("bybit", "account_ratio"): ("account_ratio", "timestamp", {"buyRatio": "buy_ratio", "sellRatio": "sell_ratio"}, "ts_ms"),
+    ("binance", "funding"): ("funding_settlement", "fundingTime", {"fundingRate": "funding_rate"}, "funding_time_ms"),
+    ("binance", "account_ratio"): ("account_ratio", "timestamp", RATIOS, "ts_ms"),
+    ("binance", "top_account_ratio"): ("top_account_ratio", "timestamp", RATIOS, "ts_ms"),
+    ("binance", "top_position_ratio"): ("top_position_ratio", "timestamp", RATIOS, "ts_ms"),
+    ("binance", "taker_volume"): ("taker_volume", "timestamp", {"buyVol": "buy_volume", "sellVol": "sell_volume"}, "ts_ms"),
+}
+STORED_PERIOD = "5min"
+
+
+def histories(answers: DataFrame, venue: str, feed: str, after: DataFrame | None = None, period: str | None = None) -> DataFrame:
+    """Tape rows of one venue's REST history, by ``history_rows``; ratios and taker volumes carry their period."""
+    kind, stamp, fields, column = HISTORIES[venue, feed]
+    rows = history_rows(answers.filter(F.col("venue") == venue), kind, stamp, fields, column, after)
+    if feed != "funding":
+        rows = rows.withColumn("period", F.lit(STORED_PERIOD if venue == "binance" else period))
+    return widened(rows, "seq")
+
+
+def table_numbers(table: DataFrame, venue: str) -> tuple[DataFrame, DataFrame]:
+    """Turnovers (symbol, turnover_24h) and funding rates (symbol, funding_rate) that a venue's ticker table tells.
+
+    ``table``: a map of text ``row`` for each symbol. The first venue's missing or
+    blank turnover counts as 0, the second's says nothing; unreadable numbers say nothing.
+    """
+    turnover, rate = {"bybit": ("turnover24h", "fundingRate"), "binance": ("quoteVolume", "lastFundingRate")}[venue]
+    rows = table.select(_symbol(at("row", "symbol")).alias("symbol"), F.nullif(at("row", turnover), F.lit("")).alias("turnover"), number_or_null(at("row", rate)).alias("funding_rate")).filter("symbol <> ''")
+    value = F.col("turnover").try_cast("double")
+    value = F.when(F.col("turnover").isNull(), 0.0).otherwise(value) if venue == "bybit" else value
+    turnovers = rows.select("symbol", value.alias("turnover_24h")).filter("turnover_24h is not null")
+    return turnovers, rows.select("symbol", "funding_rate").filter("funding_rate is not null")
+
+
 def depth_answers(answers: DataFrame) -> DataFrame:
     """REST depth answers as snapshot rows; the update id is the answer's last."""
     rows = answers.withColumn("d", F.from_json("payload", OBJECT))

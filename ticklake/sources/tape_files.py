@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ticklake.operators.coverage import RECORD
 from ticklake.operators.order import RECV, utc_day_hour
@@ -119,9 +120,14 @@ def rows_as_json(tape: DataFrame, limit: int | None = None) -> DataFrame:
     return ordered.select(F.to_json(F.struct(*sorted(c for c, _ in tape_columns()))).alias("value"))
 
 
+def file_name(path: Column) -> Column:
+    """A file's path in one spelling; local ones come with one slash or three."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
 def segment_receipts(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
     """Records, stamps, bytes and SHA-256 of each file that ``rows`` were read from."""
-    count = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("records"), F.min(RECV).alias("first_receive_ns"), F.max(RECV).alias("last_receive_ns"))
+    count = rows.groupBy(file_name(F.col("_metadata.file_path")).alias("file")).agg(F.count("*").alias("records"), F.min(RECV).alias("first_receive_ns"), F.max(RECV).alias("last_receive_ns"))
     stored = file_digests(spark, root)
     return count.join(stored, "file").withColumnRenamed("bytes", "compressed_bytes")
 
@@ -129,7 +135,7 @@ def segment_receipts(spark: SparkSession, root: str, rows: DataFrame) -> DataFra
 def file_digests(spark: SparkSession, root: str) -> DataFrame:
     """Bytes and SHA-256 of every file below ``root``; a file is one row of its task."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select(file_name(F.col("path")).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def read_meta(spark: SparkSession, root: str, hours: list[str] | None = None) -> DataFrame:
@@ -157,9 +163,79 @@ def first_of_cadence(snapshots: DataFrame, cadence: str = "day") -> DataFrame:
     return snapshots.withColumn("slot", slot).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
+def write_coverage(records: DataFrame, root: str) -> None:
+    """Coverage documents (columns of ``RECORD``) filed under their hour (key=value folders), a line for each process; ``read_stored_coverage`` reads them."""
+    names = [f.name for f in StructType.fromDDL(RECORD).fields]
+    rows = records.select(F.col("day").alias("on_day"), F.col("hour").alias("in_hour"), F.to_json(F.struct(*names)).alias("value"))
+    rows.repartition("on_day", "in_hour").write.partitionBy("on_day", "in_hour").mode("append").option("compression", "gzip").text(root)
+
+
+def read_stored_coverage(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(f"{RECORD}, on_day string, in_hour string").json(root).drop("on_day", "in_hour")
+
+
+def write_frame(frame: DataFrame, path: str, form: str = "parquet") -> None:
+    """Bars, quality, ledgers or summaries as ``parquet``, ``csv`` with a header or ``json`` lines; lists become comma-separated text in CSV."""
+    if form == "csv":
+        frame = frame.select(*(F.array_join(f"`{f.name}`", ",").alias(f.name) if f.dataType.typeName() == "array" else F.col(f"`{f.name}`") for f in frame.schema.fields))
+        frame.write.mode("overwrite").option("header", True).csv(path)
+    elif form in ("parquet", "json"):
+        frame.write.mode("overwrite").format(form).save(path)
+    else:
+        raise ValueError(f"no such form: {form}")
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, on whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found) if found else []
+
+
+def read_tape(spark: SparkSession, root: str, hours: list[str] | None = None, symbols: list[str] | None = None, venue: str | None = None) -> DataFrame:
+    """Rows of a tape in whatever layout ``root`` holds it, with ``source_venue``; bad lines are left out (``read_json_tape`` returns them).
+
+    Layouts: segments by day, hour and symbol; what ``write_json_tape`` and
+    ``write_columnar`` wrote; tars of hours. Raises where there is none, more
+    than one, or no venue: that of status.json, of the folder's name, or the given one.
+    """
+    status = folders(spark, f"{root}/status.json")
+    told = spark.read.schema("venue string").option("multiLine", True).json(status[0]).first() if status else None
+    source = venue_of(root.rstrip("/").rsplit("/", 1)[-1].rsplit(":", 1)[-1], venue, told.venue if told else None)
+    shapes = {"segments": "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]", "json": "day=*", "columnar": "venue=*", "archives": "*.tar"}
+    held = {name: folders(spark, f"{root}/{shape}") for name, shape in shapes.items()}
+    kinds = [name for name, paths in held.items() if paths]
+    if len(kinds) != 1:
+        raise ValueError(f"{root} holds {' and '.join(kinds) or 'no tape'}")
+    if kinds == ["segments"]:
+        rows, _ = read_json_tape(spark, root, hours, symbols)
+    elif kinds == ["json"]:
+        rows = located_stored(spark.read.schema(f"{TAPE}, day string, hour string, dir string").json(root))
+    elif kinds == ["columnar"]:
+        rows = spark.read.option("basePath", root).schema(f"{TAPE}, seq bigint, day string, hour string").parquet(root)
+    else:
+        from ticklake.sources.archive import read_archives
+
+        lines = read_archives(spark, *(p.removeprefix("file:") for p in held["archives"]))
+        rows = lines.select("day", "hour", "member", F.col("symbol").alias("_dir"), F.col("line").alias("seq"), F.inline(F.array(F.from_json("value", TAPE))))
+        rows = rows.filter("kind is not null").withColumn("symbol", F.upper(F.coalesce("symbol", "_dir"))).drop("_dir")
+    if hours is not None:
+        rows = rows.filter(F.concat_ws("T", "day", "hour").isin(hours))
+    if symbols is not None:
+        rows = rows.filter(F.col("symbol").isin([s.upper() for s in symbols]))
+    return rows.withColumn("source_venue", F.lit(source))
+
+
+def located_stored(rows: DataFrame) -> DataFrame:
+    """Rows of stored JSON segments with ``seq``, their place in their file."""
+    start = F.shiftright("_metadata.file_block_start", 20).bitwiseAND(2**10 - 1)
+    return rows.withColumn("seq", F.shiftleft(start, 33) + F.monotonically_increasing_id().bitwiseAND(2**33 - 1)).drop("dir")
+
+
 def venue_of(name: str, given: str | None = None, status: str | None = None) -> str:
-    """The venue of a source: its status document's, else what comes before a dash in its name, else the given one."""
-    for found in (status, name.split("-", 1)[0] if "-" in name else None, given):
+    """The venue of a source: the given one, else its status document's, else the letters before a dash in its name."""
+    head, dash, _ = name.partition("-")
+    for found in (given, status, head if dash and head.isalpha() else None):
         if found:
             return found.lower()
     raise ValueError(f"no venue for {name}; name one")
