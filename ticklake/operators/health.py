@@ -129,9 +129,12 @@ def upload_fields(stamps: DataFrame) -> DataFrame:
     """What the last upload counted, from ``stamp`` (``key=value`` lines, the last of a key counts) written at ``modified_ms``, and its age at ``now_ms``."""
     lines = F.transform(F.split("stamp", "\\R"), lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("key"), F.when(F.contains(x, F.lit("=")), F.trim(F.substring(x, F.instr(x, "=") + 1, F.length(x))).try_cast("double")).alias("value")))
     out = stamps.withColumn("_lines", F.filter(lines, lambda p: p["value"].isNotNull()))
-    told = {n: F.try_element_at(F.filter("_lines", lambda p, k=k: p["key"] == k), F.lit(-1))["value"] for k, n in UPLOAD.items()}
+
+    def last(key: str) -> Column:
+        return F.try_element_at(F.filter("_lines", lambda p: p["key"] == key), F.lit(-1))["value"]
+
     age = F.bround(F.greatest(F.lit(0.0), F.col("now_ms") - F.col("modified_ms").cast("double")))
-    return out.withColumns({"upload_age_ms": age} | told).drop("_lines")
+    return out.withColumns({"upload_age_ms": age} | {n: last(k) for k, n in UPLOAD.items()}).drop("_lines")
 
 
 def write_samples(samples: DataFrame, root: str) -> None:
