@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.operators.health import fixed
+
 MINUTE = 60 * 1_000_000_000
 DAY_MINUTES = 1440
 MONTH_SECONDS = 30 * 86_400
@@ -29,11 +31,15 @@ def bytes_by_minute(frames: DataFrame) -> DataFrame:
 
 
 def trailing(minutes: DataFrame) -> DataFrame:
-    """Adds the sum of the last 1,440 minutes, the total so far and the minutes of the window that were seen."""
-    day = Window.partitionBy("key").orderBy("minute").rangeBetween(1 - DAY_MINUTES, 0)
+    """Adds the sum of the last 1,440 minutes, the total so far and the minutes of the window that were seen.
+
+    The sum is that of two running totals, which grow by a row at a time, where a
+    sliding frame would be summed anew for every minute.
+    """
+    before = Window.partitionBy("key").orderBy("minute").rangeBetween(Window.unboundedPreceding, -DAY_MINUTES)
     ever = Window.partitionBy("key").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = F.least(F.lit(DAY_MINUTES), F.greatest(F.lit(0), F.col("minute") - F.min("minute").over(ever)))
-    return minutes.withColumns({"last_day": F.sum("bytes").over(day), "total": F.sum("bytes").over(ever), "seen": seen})
+    return minutes.withColumns({"last_day": F.sum("bytes").over(ever) - F.coalesce(F.sum("bytes").over(before), F.lit(0)), "total": F.sum("bytes").over(ever), "seen": seen})
 
 
 def month_gb(last_day: str = "last_day", seen: str = "seen") -> F.Column:
@@ -93,7 +99,7 @@ def budget_ticks(ticks: DataFrame, order: list[str], limit: float, restore_below
 def clock_windows(readings: DataFrame, seconds: int) -> DataFrame:
     """Count, mean, least and largest reading (ms) of each interval."""
     slot = F.expr(f"recv_ns div {seconds * 1_000_000_000}")
-    return readings.groupBy(slot.alias("slot")).agg(F.count("ms").alias("n"), F.round(F.avg("ms"), 3).alias("mean"), F.round(F.min("ms"), 3).alias("least"), F.round(F.max("ms"), 3).alias("most"))
+    return readings.groupBy(slot.alias("slot")).agg(F.count("ms").alias("n"), *(fixed(v, F.lit(3)).alias(n) for n, v in (("mean", F.avg("ms")), ("least", F.min("ms")), ("most", F.max("ms")))))
 
 
 def bucketed_quantiles(readings: DataFrame, fractions: dict[str, float], *key: str) -> DataFrame:

@@ -285,12 +285,12 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clock_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clock readings by day: count and bounds."""
-    return meter.clock_windows(readings(spark, sf_dir), 86_400).drop("mean")
+    """Clock readings by day: count, mean and bounds."""
+    return meter.clock_windows(readings(spark, sf_dir), 86_400)
 
 
 READINGS_SQL = "WITH r AS (SELECT event_type, epoch_us(ts) * 1000 AS recv_ns, (CAST(json_extract_string(props, '$.k') AS BIGINT) - 20) * value / 10 AS ms FROM events)"
-CLOCK_WINDOWS_SQL = f"{READINGS_SQL} SELECT recv_ns // {DAY} AS slot, count(*) AS n, round(min(ms), 3) AS least, round(max(ms), 3) AS most FROM r GROUP BY ALL"
+CLOCK_WINDOWS_SQL = f"{READINGS_SQL} SELECT recv_ns // {DAY} AS slot, count(*) AS n, round(avg(ms), 3) AS mean, round(min(ms), 3) AS least, round(max(ms), 3) AS most FROM r GROUP BY ALL"
 
 
 def clock_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:

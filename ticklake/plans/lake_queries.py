@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake.operators import audit, export, order, retention
@@ -50,8 +50,6 @@ NORMALIZE_LIQUIDATIONS_SQL = f"""{NORM_SQL} SELECT CASE WHEN first THEN 'bybit'
 
 def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final daily candles from kline frames that repeat each day's candle after every event, confirmed by every second."""
-    from pyspark.sql import Window
-
     e = events(spark, sf_dir).withColumn("day", F.expr(f"recv_ns div {DAY}"))
     w = Window.partitionBy("symbol", "day").orderBy("recv_ns", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     e = e.withColumns({"o": F.first("value").over(w), "h": F.max("value").over(w), "l": F.min("value").over(w)})
@@ -105,14 +103,14 @@ EXPORT_LIQUIDATIONS_SQL = f"""{TAPE_SQL} SELECT symbol, strftime(make_timestamp(
 
 
 def export_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.derivative_ticker(tape(spark, sf_dir)).select("symbol", "day", "seq", "open_interest", "mark_price")
+    return export.derivative_ticker(tape(spark, sf_dir)).select("symbol", "day", "seq", "timestamp", *export.TICKER, "restamped")
 
 
-EXPORT_TICKER_SQL = f"""{TAPE_SQL}, t AS (SELECT symbol, seq, recv_ns, strftime(make_timestamp(recv_ns // 1000), '%Y-%m-%d') AS day, value,
+EXPORT_TICKER_SQL = f"""{TAPE_SQL}, t AS (SELECT symbol, seq, recv_ns, sent_ns, strftime(make_timestamp(recv_ns // 1000), '%Y-%m-%d') AS day, value,
   last_value(oi IGNORE NULLS) OVER (PARTITION BY symbol, recv_ns // {DAY} ORDER BY recv_ns, seq ROWS UNBOUNDED PRECEDING) AS o FROM tape WHERE kind = 'ticker'),
 s AS (SELECT *, coalesce(CAST(CAST(o AS BIGINT) AS VARCHAR), '') AS oi, regexp_replace(CAST(value AS VARCHAR), '[.]0$', '') AS mark FROM t),
 c AS (SELECT *, lag(oi) OVER w AS po, lag(mark) OVER w AS pm FROM s WINDOW w AS (PARTITION BY symbol, day ORDER BY recv_ns, seq))
-SELECT symbol, day, seq, oi AS open_interest, mark AS mark_price FROM c WHERE po IS NULL OR oi <> po OR mark <> pm"""
+SELECT symbol, day, seq, sent_ns // 1000 AS "timestamp", oi AS open_interest, mark AS mark_price, '' AS funding_timestamp, '' AS funding_rate, '' AS last_price, '' AS index_price, false AS restamped FROM c WHERE po IS NULL OR oi <> po OR mark <> pm"""
 
 
 def export_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,16 +193,25 @@ AUDIT_SQL = f"""{RECEIPTS_SQL} SELECT day AS hour, path, CASE user_id WHEN 1 THE
 UNION ALL SELECT DISTINCT day, '', 'no_coverage' FROM kept WHERE day LIKE '%-07'"""
 
 
+def walked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rows of the made files say: lines in arrival order, but user 5's files have their first line last, and user 6 has a torn line in each."""
+    e = order_day(events(spark, sf_dir).withColumnRenamed("recv_ns", "local_receive_ts_ns"))
+    number = F.substring("symbol", 2, 9).cast("int")
+    w = Window.partitionBy("day", "symbol").orderBy("local_receive_ts_ns", "seq")
+    rows = e.select("day", "symbol", "local_receive_ts_ns", F.row_number().over(w).alias("line"), number.alias("n"))
+    rows = rows.withColumn("line", F.when((F.col("n") == 5) & (F.col("line") == 1), 1_000_000).otherwise(F.col("line"))).withColumn("bad", (F.col("n") == 6) & (F.col("line") == 1))
+    return audit.walked(rows.select(F.col("day").alias("hour"), F.concat_ws("/", "day", "symbol", F.lit("segment-0.jsonl")).alias("path"), "line", "local_receive_ts_ns", "bad"))
+
+
 def audit_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = tape_files.fold_receipts(receipts_of(spark, sf_dir))
     number = F.substring("symbol", 2, 9).cast("int")
     files = rec.filter(number != 2).select("hour", "path", "sha256")
-    none = rec.limit(0).select("hour", "path", F.col("records").alias("seen"), F.col("records").alias("first_ns"), F.col("records").alias("last_ns"), F.col("records").alias("late_line"), F.col("records").alias("bad_lines"))
-    return audit.audit(files, rec, none, rec.select("hour").distinct()).select("hour", "files", "receipts", "findings", "ok", "sound")
+    return audit.audit(files, rec, walked_files(spark, sf_dir), rec.select("hour").distinct()).select("hour", "files", "receipts", "findings", "ok", "sound")
 
 
-AUDIT_HOURS_SQL = f"""{RECEIPTS_SQL} SELECT day AS hour, count(*) FILTER (user_id <> 2) AS files, count(*) AS receipts, count(*) FILTER (user_id = 2) AS findings,
-  count(*) FILTER (user_id = 2) = 0 AS ok, count(*) FILTER (user_id = 2) = 0 AS sound FROM kept GROUP BY day"""
+AUDIT_HOURS_SQL = f"""{RECEIPTS_SQL} SELECT day AS hour, count(*) FILTER (user_id <> 2) AS files, count(*) AS receipts, count(*) FILTER (fault) AS findings,
+  count(*) FILTER (fault) = 0 AS ok, count(*) FILTER (fault) = 0 AS sound FROM (SELECT *, user_id IN (2, 6) OR (user_id = 5 AND first_ns < last_ns) AS fault FROM kept) GROUP BY day"""
 
 
 # ----------------------------------------------------------------- inventories
@@ -234,8 +241,6 @@ SELECT path, size, CASE WHEN written_s < {EXPIRED} THEN 'age' ELSE 'space' END A
 
 def ranges_coalesced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads of every supplier's line items, laid one after another, of which each third is wanted."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("l_suppkey").orderBy("written_s", "path")
     files = inventory(spark, sf_dir).withColumn("offset", F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     wanted = files.filter(F.col("l_orderkey") % 3 == 0).select(F.col("l_suppkey").alias("archive"), "offset", "size")
