@@ -123,6 +123,21 @@ def budget_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(meter.budget_ticks(ticks, ["view", "click", "signup"], 0.6 * mean, 0.9, 120))
 
 
+BUDGET_TICKS_SQL = """WITH RECURSIVE f AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS recorder, event_type AS feed, (epoch_us(ts) // 60000000) // 60 * 60 AS tick,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) * 100 + length(event_type) AS bytes FROM events),
+t AS (SELECT recorder, tick, sum(bytes) / 1e3 AS total, coalesce(sum(bytes) FILTER (feed = 'view'), 0) / 1e3 AS a, coalesce(sum(bytes) FILTER (feed = 'click'), 0) / 1e3 AS b, coalesce(sum(bytes) FILTER (feed = 'signup'), 0) / 1e3 AS c,
+  row_number() OVER (PARTITION BY recorder ORDER BY tick) AS i FROM f GROUP BY recorder, tick), m AS (SELECT 0.6 * avg(total) AS top FROM t),
+r AS (
+  SELECT DISTINCT recorder, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS tick, CAST(0 AS DOUBLE) AS projected, 0 AS gone, CAST(-1000000 AS BIGINT) AS acted, CAST(0 AS DOUBLE) AS pa, CAST(0 AS DOUBLE) AS pb, CAST(0 AS DOUBLE) AS pc FROM t
+  UNION ALL
+  SELECT recorder, i, tick, projected, new, CASE WHEN NOT waits AND (projected > top OR new < gone) THEN tick ELSE acted END, CASE WHEN new > gone AND gone < 1 THEN a ELSE pa END, CASE WHEN new >= 2 AND gone < 2 THEN b ELSE pb END, CASE WHEN new >= 3 AND gone < 3 THEN c ELSE pc END
+  FROM (SELECT *, CASE WHEN waits THEN gone WHEN projected > top THEN CASE WHEN gone >= 2 THEN 3 WHEN gone = 1 THEN CASE WHEN projected - b <= top THEN 2 ELSE 3 END WHEN projected - a <= top THEN 1 WHEN projected - (a + b) <= top THEN 2 ELSE 3 END
+      WHEN gone > 0 AND projected + CASE gone WHEN 1 THEN pa WHEN 2 THEN pb ELSE pc END < top * 0.9 THEN gone - 1 ELSE gone END AS new
+    FROM (SELECT t.recorder, t.i, t.tick, a, b, c, r.gone, r.acted, pa, pb, pc, top, t.tick - r.acted < 120 AS waits,
+        greatest(0, total - CASE WHEN gone > 0 THEN a ELSE 0 END - CASE WHEN gone > 1 THEN b ELSE 0 END - CASE WHEN gone > 2 THEN c ELSE 0 END) AS projected FROM r JOIN t ON t.recorder = r.recorder AND t.i = r.i + 1, m) x) y)
+SELECT recorder, tick, round(projected, 6) AS projected, CASE gone WHEN 0 THEN '' WHEN 1 THEN 'view' WHEN 2 THEN 'view,click' ELSE 'view,click,signup' END AS shed FROM r WHERE i > 0"""
+
+
 def receipts_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path parts of made receipt paths, and rows by day."""
     e = events(spark, sf_dir)
@@ -198,5 +213,5 @@ QUERIES = {
 }
 SQL = {
     "book_ladder": BOOK_LADDER_SQL, "export_book": EXPORT_BOOK_SQL, "clean_hours": CLEAN_HOURS_SQL, "open_interest_polls": OPEN_INTEREST_SQL, "history_incremental": HISTORY_SQL, "tiers_resolved": TIERS_SQL,
-    "health_samples": HEALTH_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "rows_json_top": ROWS_JSON_TOP_SQL, "bytes_rank": BYTES_RANK_SQL,
+    "health_samples": HEALTH_SQL, "budget_ticks": BUDGET_TICKS_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "rows_json_top": ROWS_JSON_TOP_SQL, "bytes_rank": BYTES_RANK_SQL,
 }
