@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -172,7 +172,7 @@ def gap_spans(marked: DataFrame) -> DataFrame:
 #: Diffs kept while no snapshot fits, and applied ones kept to re-base by.
 HELD, RECENT = 12_000, 1_200
 DIFF_VENUES = ("binance",)
-BASES = "venue string, symbol string, depth int, local_receive_ts_ns bigint, seq bigint, taken boolean, fits boolean, anchor bigint, last bigint, arrived bigint, passed bigint"
+BASES = "venue string, symbol string, depth int, local_receive_ts_ns bigint, seq bigint, taken boolean, fits boolean, anchor bigint, last bigint, arrived bigint, passed bigint, id bigint, flagged bigint"
 
 
 def is_diff_stream() -> F.Column:
@@ -181,58 +181,72 @@ def is_diff_stream() -> F.Column:
 
 
 def runs(rows: DataFrame) -> DataFrame:
-    """Adds ``diffs`` (that had arrived with the row), for a diff its place ``at``, and ``run``: the island of diffs that each name the one before them."""
+    """Adds ``diffs`` (that had arrived with the row), for a diff its place ``at``, ``run``: the island of diffs that each name the one before them, and ``flagged``: the place of the last diff before that the recorder flagged."""
     diff = ~F.col("snapshot")
     rows = carried(rows, KEY, before={"_before": F.when(diff, F.col("update_id"))}, counts={"diffs": diff})
     broken = diff & (F.coalesce("sequence_gap", F.lit(False)) | ~F.coalesce(F.col("previous_update_id") == F.col("_before"), F.lit(False)))
-    return carried(rows.withColumn("_broken", broken), KEY, counts={"run": F.col("_broken")}).withColumn("at", F.when(diff, F.col("diffs") - 1)).drop("_before")
+    rows = rows.withColumns({"_broken": broken, "at": F.when(diff, F.col("diffs") - 1)})
+    return carried(rows, KEY, before={"flagged": F.when(diff & F.coalesce("sequence_gap", F.lit(False)), F.col("at"))}, counts={"run": F.col("_broken")}).drop("_before")
 
 
 def anchors(rows: DataFrame) -> DataFrame:
-    """For each snapshot of ``runs`` the first diff whose ids reach the snapshot's id: anchor (its place), fits (it spans the id), last (the place at which its run ends).
+    """For each snapshot of ``runs`` its id, what had arrived, and the first diff whose ids reach its id: anchor (its place), fits (it spans the id), last (the place at which its run ends).
 
     Ids grow with arrival, so the hour that holds the anchor is found on a table
     of hours, and the anchor among that hour's diffs.
     """
     diffs = rows.filter("not snapshot").withColumn("_hour", F.expr(f"{RECV} div {NS_PER_HOUR}"))
-    shots = rows.filter("snapshot").select(*KEY, RECV, "seq", F.col("update_id").alias("id"), F.col("diffs").alias("arrived"))
+    shots = rows.filter("snapshot").select(*KEY, RECV, "seq", F.col("update_id").alias("id"), F.col("diffs").alias("arrived"), "flagged")
+    who = "struct<ns:bigint,seq:bigint,arrived:bigint,flagged:bigint>"
     hours = diffs.groupBy(*KEY, "_hour").agg(F.max("update_id").alias("id"))
-    blank = hours.withColumns({"_who": F.lit(None).cast("struct<ns:bigint,seq:bigint,arrived:bigint>"), "_last": F.lit(1)})
-    probe = shots.select(*KEY, F.lit(None).cast("bigint").alias("_hour"), "id", F.struct(F.col(RECV).alias("ns"), "seq", "arrived").alias("_who"), F.lit(0).alias("_last"))
+    blank = hours.withColumns({"_who": F.lit(None).cast(who), "_last": F.lit(1)})
+    probe = shots.select(*KEY, F.lit(None).cast("bigint").alias("_hour"), "id", F.struct(F.col(RECV).alias("ns"), "seq", "arrived", "flagged").alias("_who"), F.lit(0).alias("_last"))
     ahead = Window.partitionBy(*KEY).orderBy("id", "_last").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     found = blank.select(probe.columns).unionByName(probe).withColumn("_hour", F.first("_hour", ignorenulls=True).over(ahead)).filter("_last = 0")
-    inside = diffs.select(*KEY, "_hour", F.col("update_id").alias("id"), F.lit(None).cast("struct<ns:bigint,seq:bigint,arrived:bigint>").alias("_who"), F.lit(1).alias("_last"), F.struct("at", F.col("first_update_id").alias("first"), "run").alias("_diff"))
+    inside = diffs.select(*KEY, "_hour", F.col("update_id").alias("id"), F.lit(None).cast(who).alias("_who"), F.lit(1).alias("_last"), F.struct("at", F.col("first_update_id").alias("first"), "run").alias("_diff"))
     asked = found.filter("_hour is not null").withColumn("_diff", F.lit(None).cast(inside.schema["_diff"].dataType))
     near = Window.partitionBy(*KEY, "_hour").orderBy("id", "_last").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     met = inside.unionByName(asked.select(inside.columns)).withColumn("_diff", F.min("_diff").over(near)).filter("_last = 0")
     none = found.filter("_hour is null").withColumn("_diff", F.lit(None).cast(inside.schema["_diff"].dataType))
-    met = met.unionByName(none.select(met.columns)).select(*KEY, F.col("_who.ns").alias(RECV), F.col("_who.seq").alias("seq"), F.col("_who.arrived").alias("arrived"), F.col("_diff.at").alias("anchor"), (F.col("_diff.first") <= F.col("id")).alias("fits"), F.col("_diff.run").alias("run"))
+    met = met.unionByName(none.select(met.columns)).select(*KEY, F.col("_who.ns").alias(RECV), F.col("_who.seq").alias("seq"), F.col("_who.arrived").alias("arrived"), F.col("_who.flagged").alias("flagged"), "id", F.col("_diff.at").alias("anchor"), (F.col("_diff.first") <= F.col("id")).alias("fits"), F.col("_diff.run").alias("run"))
     ends = rows.filter("_broken").select(*KEY, (F.col("run") - 1).alias("run"), (F.col("at") - 1).alias("last"))
     return met.join(ends, [*KEY, "run"], "left").drop("run")
 
 
-def taken_bases(shots: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def walk(choose: Callable[[dict | None, dict], bool]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Which snapshots a book takes as its base, in arrival order; the only step that depends on the one before, over snapshots alone.
 
-    A book that isn't whole takes any. A whole one takes a snapshot ahead of all
-    its diffs, or one that its last RECENT diffs bracket; it passes over others.
+    ``choose(base, snapshot)`` says whether it is taken, and may set what it stands on.
     """
     names = [x.split()[0] for x in BASES.split(", ")]
-    book, base, passed = None, None, 0
-    for batch in shots:
-        rows = batch.to_pylist()
-        for r in rows:
-            if book != (now := (r["venue"], r["symbol"], r["depth"])):
-                book, base, passed = now, None, 0
-            seen, anchor = r["arrived"], r["anchor"]
-            behind = anchor is not None and anchor < seen
-            whole = base is not None and whole_at(base, seen)
-            r["fits"] = bool(r["fits"]) and not (behind and anchor < seen - HELD)
-            r["taken"] = not whole or not behind or (r["fits"] and anchor >= max(seen - RECENT, base["anchor"] if base["anchor"] is not None else seen))
-            base, passed = (r, passed) if r["taken"] else (base, passed + 1)
-            r["passed"] = passed
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), *(pa.int64(),) * 4)
-        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True)], names=names)
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), *(pa.int64(),) * 6)
+
+    def bases(shots: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book, base, passed = None, None, 0
+        for batch in shots:
+            rows = batch.to_pylist()
+            for r in rows:
+                if book != (now := (r["venue"], r["symbol"], r["depth"])):
+                    book, base, passed = now, None, 0
+                r["fits"] = bool(r["fits"])
+                r["taken"] = choose(base, r)
+                base, passed = (r, passed) if r["taken"] else (base, passed + 1)
+                r["passed"] = passed
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True)], names=names)
+
+    return bases
+
+
+def takes(base: dict | None, shot: dict) -> bool:
+    """A book that isn't whole takes any snapshot. A whole one takes one ahead of all its diffs and not behind its base, or one that its last RECENT diffs bracket; it passes over others."""
+    seen, anchor = shot["arrived"], shot["anchor"]
+    behind = anchor is not None and anchor < seen
+    shot["fits"] = shot["fits"] and not (behind and anchor < seen - HELD)
+    if base is None or not whole_at(base, seen):
+        return True
+    if not behind:
+        return base["id"] <= shot["id"]
+    return shot["fits"] and anchor >= max(seen - RECENT, base["anchor"] if base["anchor"] is not None else seen)
 
 
 def whole_at(base: dict, diffs: int) -> bool:
@@ -241,7 +255,7 @@ def whole_at(base: dict, diffs: int) -> bool:
     return anchor is None or anchor >= diffs or (base["fits"] and (last is None or diffs - 1 <= last))
 
 
-def diff_chain(rows: DataFrame) -> DataFrame:
+def diff_chain(rows: DataFrame, choose: Callable[[dict | None, dict], bool] = takes) -> DataFrame:
     """Rows of diff-stream books with ``valid``, ``epoch`` (the base's number), ``base``, ``diffs``, ``at`` and the counters held, passed and rows_applied.
 
     Links between neighbouring diffs make runs; a snapshot is good from its
@@ -252,8 +266,8 @@ def diff_chain(rows: DataFrame) -> DataFrame:
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = rows.select(*KEY, RECV, "seq", "snapshot", "sequence_gap", *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("update_id", "previous_update_id", "first_update_id")))
     linked = stored(runs(ids), "runs")
-    shots = anchors(linked).select(*KEY, RECV, "seq", F.lit(False).alias("taken"), "fits", "anchor", "last", "arrived", F.lit(0).cast("bigint").alias("passed"))
-    bases = shots.repartition(n, *KEY).sortWithinPartitions(*KEY, RECV, "seq").mapInArrow(taken_bases, BASES)
+    shots = anchors(linked).select(*KEY, RECV, "seq", F.lit(False).alias("taken"), "fits", "anchor", "last", "arrived", F.lit(0).cast("bigint").alias("passed"), "id", "flagged")
+    bases = shots.repartition(n, *KEY).sortWithinPartitions(*KEY, RECV, "seq").mapInArrow(walk(choose), BASES)
     told = stored(bases.select(*KEY, RECV, "seq", F.struct("taken", "fits", "anchor", "last", "arrived").alias("_own"), "passed"), "bases")
     all_ = linked.join(told, [*KEY, RECV, "seq"], "left")
     taken = F.coalesce(F.col("_own.taken"), F.lit(False))
@@ -273,27 +287,29 @@ def diff_chain(rows: DataFrame) -> DataFrame:
 JUDGED = ("epoch", "valid", "used", "diffs", "at", "base")
 
 
-def verdicts(rows: DataFrame) -> DataFrame:
-    """Every book row with ``valid`` (the book after it is the venue's) and ``epoch``, by the rule of its venue."""
+def verdicts(rows: DataFrame, choose: Callable[[dict | None, dict], bool] = takes) -> DataFrame:
+    """Every book row with ``valid`` (the book after it is the venue's) and ``epoch``, by the rule of its venue; ``choose`` is that of diff streams."""
     same = [c for c in rows.columns if c not in JUDGED]
     plain = chain(rows.filter(~is_diff_stream())).select(*same, *JUDGED)
     diffs = rows.filter(is_diff_stream())
-    return plain if diffs.isEmpty() else plain.unionByName(diff_chain(diffs).select(*same, *JUDGED))
+    return plain if diffs.isEmpty() else plain.unionByName(diff_chain(diffs, choose).select(*same, *JUDGED))
 
 
-def applied_rows(judged: DataFrame) -> DataFrame:
+def applied_rows(judged: DataFrame, broken_off: bool = False) -> DataFrame:
     """The steps of each epoch's book: the valid rows, and after a base snapshot the earlier diffs that it replays, at its place.
 
     ``sub`` orders steps of one place, ``final`` marks the last of them. Rows
     that change nothing (covered diffs, snapshots passed over) come without levels.
+    ``broken_off``: also bases whose replay meets a break, with the diffs up to it.
     """
     base = F.col("base")
     none = F.array().cast("array<array<string>>")
-    replays = F.when(base.isNotNull() & F.col("used") & (base["anchor"] < base["arrived"]), base["arrived"] - base["anchor"]).otherwise(0)
-    idle = base.isNotNull() & F.when(F.col("snapshot"), ~F.col("used")).otherwise(F.coalesce(F.col("at") < base["anchor"], F.lit(False)))
-    own = judged.filter("valid").withColumns({"sub": F.lit(0).cast("bigint"), "_n": replays})
+    upto = F.least(base["arrived"], F.coalesce(base["last"] + 1, base["arrived"]))
+    replays = F.when(base.isNotNull() & F.col("used") & base["fits"] & (base["anchor"] < base["arrived"]), upto - base["anchor"]).otherwise(0)
+    idle = base.isNotNull() & F.when(F.col("snapshot"), ~F.col("used")).otherwise(F.coalesce(F.col("at") < base["anchor"], F.lit(True)))
+    own = judged.filter("valid or used" if broken_off else "valid").withColumns({"sub": F.lit(0).cast("bigint"), "_n": replays})
     steps = own.withColumns({"final": F.col("_n") == 0, **{c: F.when(idle, none).otherwise(F.col(c)) for c in ("bids", "asks")}, "snapshot": F.col("used")})
-    bases = own.filter("_n > 0").select(*KEY, RECV, "seq", "epoch", F.col("base.anchor").alias("_from"), F.col("_n"), F.explode(F.sequence(F.col("base.anchor"), F.col("base.arrived") - 1)).alias("at"))
+    bases = own.filter("_n > 0").select(*KEY, RECV, "seq", "epoch", F.col("base.anchor").alias("_from"), F.col("_n"), F.explode(F.sequence(F.col("base.anchor"), F.col("base.anchor") + F.col("_n") - 1)).alias("at"))
     diffs = judged.filter("base is not null or at is not null").filter("not snapshot").drop(RECV, "seq", "epoch", "snapshot", "valid", "used", "base", "diffs")
     again = bases.join(diffs, [*KEY, "at"]).withColumns({"sub": F.col("at") - F.col("_from") + 1, "snapshot": F.lit(False)}).withColumn("final", F.col("sub") == F.col("_n"))
     keep = [c for c in steps.columns if c not in ("_n", "valid", "used", "diffs", "at", "base")]

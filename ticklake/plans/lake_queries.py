@@ -86,7 +86,7 @@ SELECT symbol, coalesce(b.price, a.price) AS price, coalesce(c.low, a.low) AS lo
 
 # ---------------------------------------------------------------------- export
 def export_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.trades(tape(spark, sf_dir)).drop("venue", "restamped")
+    return export.trades(tape(spark, sf_dir)).drop("venue", "restamped", "local_receive_ts_ns")
 
 
 _US = "recv_ns // 1000"

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from ticklake.operators.coverage import RECORD
 from ticklake.operators.order import RECV, utc_day_hour
 from ticklake.schema import TAPE, tape_columns
+from ticklake.sources.line_files import write_lines
 
 META = "_meta"
 RECEIPT = (
@@ -41,25 +42,44 @@ def globs(root: str, hours: list[str] | None, symbols: list[str] | None, name: s
     return [f"{root}/{d}/{s}/{name}" for d in days for s in letters]
 
 
-def located(rows: DataFrame) -> DataFrame:
-    """Adds day, hour, symbol of the file, its member path and the line's place among the lines of its folder.
+#: Bits of a row's place in its symbol's tape: hours since 2010, segment, MB at which the split starts, row.
+HOUR_BITS, SEGMENT_BITS, START_BITS, ROW_BITS = 18, 14, 7, 24
 
-    Spark packs files into tasks by size, so the place is made of the segment's
-    number (20 bits), the MB at which the split starts in it (10 bits) and the
-    row's number in its task (33 bits), which grows within a split.
-    """
+
+def tape_place(day: Column, hour: Column, segment: Column, start_mb: Column, row: Column) -> Column:
+    """A row's place among all rows of its symbol's tape, as one number that grows over hours, segments and lines; raises where a part is too large for its bits."""
+
+    def part(value: Column, bits: int, name: str) -> Column:
+        value = F.coalesce(value.cast("bigint"), F.lit(0))
+        return F.when(value < 2**bits, value).otherwise(F.raise_error(F.concat(F.lit(f"{name} over {2**bits - 1}: "), value.cast("string"))).cast("bigint"))
+
+    hours = F.datediff(day.try_cast("date"), F.lit("2010-01-01").cast("date")) * 24 + hour.try_cast("int")
+    out = part(hours, HOUR_BITS, "hours since 2010")
+    for value, bits, name in ((segment, SEGMENT_BITS, "segment"), (start_mb, START_BITS, "megabytes before a split of a segment"), (row, ROW_BITS, "rows of a read task (lower spark.sql.files.maxPartitionBytes)")):
+        out = F.shiftleft(out, bits) + part(value, bits, name)
+    return out
+
+
+def segment_number(path: Column) -> Column:
+    return F.regexp_extract(path, r"segment-0*([0-9]+)[^/]*$", 1).try_cast("bigint")
+
+
+def row_of_task() -> Column:
+    """The row's number in its task, which grows within a split."""
+    return F.monotonically_increasing_id().bitwiseAND(2**33 - 1)
+
+
+def located(rows: DataFrame) -> DataFrame:
+    """Adds day, hour, symbol of the file, its member path and the line's place in the tape of its folder's symbol."""
     path = F.col("_metadata.file_path")
     part = {n: F.regexp_extract(path, PATH, i) for n, i in (("day", 1), ("hour", 2), ("dir", 3), ("member", 4))}
-    segment = F.coalesce(F.regexp_extract(path, r"segment-0*([0-9]+)[^/]*$", 1).try_cast("bigint"), F.lit(0)).bitwiseAND(2**20 - 1)
-    start = F.shiftright("_metadata.file_block_start", 20).bitwiseAND(2**10 - 1)
-    row = F.monotonically_increasing_id().bitwiseAND(2**33 - 1)
-    return rows.withColumns(part | {"line": F.shiftleft(segment, 43) + F.shiftleft(start, 33) + row})
+    return rows.withColumns(part | {"line": tape_place(part["day"], part["hour"], segment_number(path), F.shiftright("_metadata.file_block_start", 20), row_of_task())})
 
 
 def read_json_tape(spark: SparkSession, root: str, hours: list[str] | None = None, symbols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of the segments (any compression that Spark reads) and the lines that don't parse.
 
-    Rows: the wide columns, day, hour, member and ``seq``, the line's order. Bad
+    Rows: the wide columns, day, hour, member and ``seq``, the line's place in the symbol's whole tape. Bad
     lines: day, hour, dir, member, line and text; none is lost.
     """
     reader = spark.read.schema(f"{TAPE}, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
@@ -96,6 +116,18 @@ def write_json_tape(tape: DataFrame, root: str, rows_per_file: int = 1_000_000,
     rows.select(*(c for c, _ in tape_columns()), "day", "hour", "dir").write.partitionBy(*by).option("maxRecordsPerFile", rows_per_file).option("compression", "gzip").json(root)
 
 
+def write_segments(tape: DataFrame, root: str, rows_per_segment: int = 500_000) -> None:
+    """Segments ``day/hour/SYMBOL/segment-NNNNNN.jsonl.gz`` with rows in order, and a receipt of each in ``segments-*.jsonl``.
+
+    A symbol's hour is numbered in one sorted group, which also puts its segments in one task.
+    """
+    w = Window.partitionBy("day", "hour", "dir").orderBy(RECV, "seq")
+    rows = filed(tape).withColumn("dir", F.upper("symbol")).withColumn("_n", F.row_number().over(w))
+    name = F.concat(F.lit("segment-"), F.lpad(F.expr(f"(_n - 1) div {rows_per_segment}").cast("string"), 6, "0"), F.lit(".jsonl.gz"))
+    lines = rows.select("day", "hour", "dir", "_n", F.concat_ws("/", "day", "hour", "dir", name).alias("path"), F.to_json(F.struct(*(c for c, _ in tape_columns()))).alias("line"))
+    write_lines(lines.sortWithinPartitions("day", "hour", "dir", "_n"), root, receipts="segments")
+
+
 def read_partitioned_json(spark: SparkSession, root: str) -> DataFrame:
     """Segments that ``write_json_tape`` wrote; day and hour prune folders."""
     return spark.read.schema(f"{TAPE}, day string, hour string, dir string").json(root)
@@ -217,7 +249,8 @@ def read_tape(spark: SparkSession, root: str, hours: list[str] | None = None, sy
         from ticklake.sources.archive import read_archives
 
         lines = read_archives(spark, *(p.removeprefix("file:") for p in held["archives"]))
-        rows = lines.select("day", "hour", "member", F.col("symbol").alias("_dir"), F.col("line").alias("seq"), F.inline(F.array(F.from_json("value", TAPE))))
+        place = tape_place(F.col("day"), F.col("hour"), segment_number(F.col("member")), F.lit(0), F.col("line"))
+        rows = lines.select("day", "hour", "member", F.col("symbol").alias("_dir"), place.alias("seq"), F.inline(F.array(F.from_json("value", TAPE))))
         rows = rows.filter("kind is not null").withColumn("symbol", F.upper(F.coalesce("symbol", "_dir"))).drop("_dir")
     if hours is not None:
         rows = rows.filter(F.concat_ws("T", "day", "hour").isin(hours))
@@ -227,9 +260,10 @@ def read_tape(spark: SparkSession, root: str, hours: list[str] | None = None, sy
 
 
 def located_stored(rows: DataFrame) -> DataFrame:
-    """Rows of stored JSON segments with ``seq``, their place in their file."""
-    start = F.shiftright("_metadata.file_block_start", 20).bitwiseAND(2**10 - 1)
-    return rows.withColumn("seq", F.shiftleft(start, 33) + F.monotonically_increasing_id().bitwiseAND(2**33 - 1)).drop("dir")
+    """Rows of stored JSON segments with ``seq``, their place in the symbol's tape; a task that wrote several files numbered them."""
+    number = F.regexp_extract("_metadata.file_name", r"\.c([0-9]+)\.", 1).try_cast("bigint")
+    place = tape_place(F.col("day"), F.col("hour"), number, F.shiftright("_metadata.file_block_start", 20), row_of_task())
+    return rows.withColumn("seq", place).drop("dir")
 
 
 def venue_of(name: str, given: str | None = None, status: str | None = None) -> str:
