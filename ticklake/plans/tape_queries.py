@@ -260,6 +260,47 @@ def diff_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"previous_update_id": F.col("update_id") - 1, "first_update_id": F.col("update_id") - 1})
 
 
+def late_diff_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diff-stream books whose snapshots come as REST reads do: up to four diffs late, some far too old, some ahead of the diffs; each diff names the one before it unless ids were skipped."""
+    rows = book_tape(spark, sf_dir).withColumns({"venue": F.lit("binance"), "depth": F.lit(1000), "_shot": F.col("kind") == "orderbook_snapshot"})
+    behind = F.when(F.col("seq") % 3 == 0, 30).when(F.col("seq") % 7 == 0, -3).otherwise(F.col("seq") % 5)
+    after = F.coalesce(F.lag("_shot").over(order.arrival("symbol")), F.lit(False))
+    rows = rows.withColumn("_named", F.col("update_id") - 1 - after.cast("int"))
+    told = {"previous_update_id": F.when(~F.col("_shot"), F.col("_named")), "first_update_id": F.when(~F.col("_shot"), F.col("_named") + 1), "update_id": F.col("update_id") - F.when(F.col("_shot"), behind).otherwise(0)}
+    return rows.withColumns(told).drop("_shot", "_named")
+
+
+def diff_late_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts where snapshots must be held for, replayed, re-based on and passed over."""
+    return book.verdicts(book.book_rows(late_diff_tape(spark, sf_dir))).select("symbol", "seq", "valid")
+
+
+def diff_late_tops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return book.tops(book.verdicts(book.book_rows(late_diff_tape(spark, sf_dir)))).select("symbol", "seq", "best_bid", "best_ask")
+
+
+#: A book is whole if the newest snapshot by id lies in the present run of diffs, or ahead of it; that snapshot is its base.
+LATE_SQL = BOOK_SQL[: BOOK_SQL.index("v1 AS (")] + """
+s1 AS (SELECT *, CASE WHEN snapshot THEN u - CASE WHEN seq % 3 = 0 THEN 30 WHEN seq % 7 = 0 THEN -3 ELSE seq % 5 END ELSE u END AS id,
+    u - CASE WHEN coalesce(lag(snapshot) OVER (PARTITION BY symbol ORDER BY recv_ns, seq), false) THEN 2 ELSE 1 END AS named FROM b),
+s2 AS (SELECT *, last_value(CASE WHEN NOT snapshot THEN id END IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY recv_ns, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s1),
+s3 AS (SELECT *, last_value(CASE WHEN NOT snapshot AND named IS DISTINCT FROM before THEN named + 1 END IGNORE NULLS) OVER w AS run_first,
+    max(CASE WHEN snapshot THEN id END) OVER w AS newest, max(CASE WHEN snapshot THEN CAST(id AS HUGEINT) * 1000000000 + i END) OVER w % 1000000000 AS base_i
+    FROM s2 WINDOW w AS (PARTITION BY symbol ORDER BY recv_ns, seq)),
+v AS (SELECT *, newest IS NOT NULL AND (run_first IS NULL OR newest >= run_first) AS valid FROM s3)
+"""
+LATE_TOPS_SQL = LATE_SQL + """
+, lx AS (SELECT symbol, i, id, snapshot, 'bid' AS side, 0 AS pos, p AS price, CAST(k % 4 AS DOUBLE) AS size FROM v WHERE k % 2 = 0
+  UNION ALL SELECT symbol, i, id, snapshot, 'bid', 1, p - 1, 2.0 FROM v WHERE k % 2 = 0 AND snapshot UNION ALL SELECT symbol, i, id, snapshot, 'bid', 2, p - 2, 3.0 FROM v WHERE k % 2 = 0 AND snapshot
+  UNION ALL SELECT symbol, i, id, snapshot, 'ask', 0, p + 1, CAST(k % 4 AS DOUBLE) FROM v WHERE k % 2 = 1 OR snapshot
+  UNION ALL SELECT symbol, i, id, snapshot, 'ask', 1, p + 2, 2.0 FROM v WHERE snapshot UNION ALL SELECT symbol, i, id, snapshot, 'ask', 2, p + 3, 3.0 FROM v WHERE snapshot),
+st AS (SELECT r.symbol, r.i, l.side, l.price, arg_max(l.size, CASE WHEN l.snapshot THEN 0 ELSE l.i END * 10 + l.pos) AS size
+  FROM v r JOIN lx l ON l.symbol = r.symbol AND ((l.snapshot AND l.i = r.base_i) OR (NOT l.snapshot AND l.i <= r.i AND l.id >= r.newest)) WHERE r.valid GROUP BY ALL)
+SELECT r.symbol, r.seq, max(price) FILTER (side = 'bid' AND size > 0) AS best_bid, min(price) FILTER (side = 'ask' AND size > 0) AS best_ask
+FROM v r LEFT JOIN st ON st.symbol = r.symbol AND st.i = r.i WHERE r.valid GROUP BY ALL
+"""
+
+
 def diff_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of diff-stream books, which break where an id is skipped until the next snapshot."""
     return book.verdicts(book.book_rows(diff_tape(spark, sf_dir))).select("symbol", "seq", "valid")
@@ -280,12 +321,14 @@ def quality_diff_books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "diff_late_chain": diff_late_chain, "diff_late_tops": diff_late_tops,
     "diff_chain": diff_chain, "diff_tops": diff_tops, "bars_diff_books": bars_diff_books, "quality_diff_books": quality_diff_books,
     "bars_full": bars_full, "bars_hourly": bars_hourly, "bars_rolled": bars_rolled, "tape_statistics": tape_statistics, "scan_filtered": scan_filtered,
     "late_rows_clamped": late_rows_clamped, "rows_validated": rows_validated, "book_chain": book_chain, "book_marks": book_marks, "book_gaps": book_gaps,
     "book_tops": book_tops, "book_levels_at": book_levels_at, "book_shapes": book_shapes, "quality_report": quality_report, "quality_summary": quality_summary,
 }
 SQL = {
+    "diff_late_chain": f"{LATE_SQL} SELECT symbol, seq, valid FROM v", "diff_late_tops": LATE_TOPS_SQL,
     "diff_chain": f"{BOOK_SQL} SELECT symbol, seq, valid FROM v", "diff_tops": BOOK_TOPS_SQL, "bars_diff_books": BARS_FULL_SQL.replace(f"'{VENUE}'", "'binance'"), "quality_diff_books": QUALITY_SQL.replace("book:50", "book:1000"),
     "bars_full": BARS_FULL_SQL, "bars_hourly": BARS_HOURLY_SQL, "bars_rolled": BARS_ROLLED_SQL, "tape_statistics": TAPE_STATISTICS_SQL, "scan_filtered": SCAN_FILTERED_SQL,
     "late_rows_clamped": LATE_ROWS_SQL, "rows_validated": ROWS_VALIDATED_SQL, "book_chain": BOOK_CHAIN_SQL, "book_marks": BOOK_MARKS_SQL, "book_gaps": BOOK_GAPS_SQL,

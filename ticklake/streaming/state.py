@@ -1,7 +1,7 @@
 """Structured Streaming forms of the tape operators.
 
-Windowed sums use watermarks; what depends on arrival order keeps a small state
-for each key. Late rows are clamped before any watermark, so none is dropped.
+Windowed sums of bytes and clock readings use watermarks; what depends on arrival
+order keeps a small state for each key and drops no row. Bars are in ``live_bars``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
-from ticklake.operators.bars import flow_columns
 from ticklake.operators.order import RECV
 
 
@@ -22,14 +21,6 @@ def event_time(rows: DataFrame, delay: str, column: str = RECV) -> DataFrame:
     return rows.withColumn("event_ts", F.timestamp_micros(F.expr(f"{column} div 1000"))).withWatermark("event_ts", delay)
 
 
-def stream_bars(tape: DataFrame, interval: str, delay: str = "10 minutes") -> DataFrame:
-    """Additive and OHLC bar columns of each closed interval."""
-    rows = event_time(tape, delay).groupBy("venue", "symbol", F.window("event_ts", interval))
-    out = rows.agg(*(c.alias(n) for n, c in flow_columns().items()))
-    start = F.unix_micros(F.col("window.start")) * 1000
-    return out.withColumn("bucket_start_ns", start).drop("window").withColumn("vwap", F.when(F.col("volume") > 0, F.col("notional") / F.col("volume")))
-
-
 def stream_bytes(frames: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Bytes of each minute by tier and feed."""
     rows = event_time(frames, delay, "recv_ns").groupBy("tier", "feed", F.window("event_ts", "1 minute"))
