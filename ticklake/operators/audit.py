@@ -23,21 +23,23 @@ def walked(rows: DataFrame) -> DataFrame:
 def findings(files: DataFrame, receipts: DataFrame, content: DataFrame, coverage_hours: DataFrame) -> DataFrame:
     """One row for each finding: hour, path, finding.
 
-    ``files``: hour, path, sha256 (null: unreadable); ``receipts``: hour, path,
+    ``files``: hour, path, sha256 (null: unreadable) and, if a walk met one, ``error``; ``receipts``: hour, path,
     sha256, records, first_receive_ns, last_receive_ns; ``content``: from
     ``walked``; ``coverage_hours``: hours with a coverage file. One full outer
     join on the path serves digest, missing and unreceipted; stamps are compared
     only in ordered files. An hour with neither file nor receipt isn't found.
     """
     r = receipts.select("hour", "path", F.col("sha256").alias("told"), "records", "first_receive_ns", "last_receive_ns", F.lit(True).alias("receipted"))
-    f = files.select("hour", "path", "sha256", F.lit(True).alias("held"))
-    both = f.join(r, ["hour", "path"], "full").join(content, ["hour", "path"], "left")
+    failed = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
+    f = files.select("hour", "path", "sha256", failed.alias("error"), F.lit(True).alias("held"))
+    said = content.select("hour", "path", "seen", "bad_lines", "first_ns", "last_ns", "late_line")
+    both = f.join(r, ["hour", "path"], "full").join(said, ["hour", "path"], "left")
     held, receipted = F.col("held").isNotNull(), F.col("receipted").isNotNull()
     stamps = F.col("late_line").isNull() & ~(F.col("first_ns").eqNullSafe(F.col("first_receive_ns")) & F.col("last_ns").eqNullSafe(F.col("last_receive_ns")))
     tests = {
         "missing": ~held & receipted,
         "unreceipted": held & ~receipted,
-        "unreadable": held & F.col("sha256").isNull(),
+        "unreadable": held & (F.col("sha256").isNull() | F.col("error").isNotNull()),
         "digest": held & receipted & (F.col("sha256") != F.col("told")),
         "rows": held & F.col("seen").isNotNull() & ((F.col("bad_lines") > 0) | receipted & ((F.col("seen") != F.col("records")) | stamps)),
         "order": held & F.col("late_line").isNotNull(),

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from ticklake.operators.coverage import RECORD
 from ticklake.operators.order import RECV, utc_day_hour
 from ticklake.schema import TAPE, tape_columns
-from ticklake.sources.line_files import write_lines
+from ticklake.sources.line_files import read_receipts, write_lines
 
 META = "_meta"
 RECEIPT = (
@@ -116,16 +116,22 @@ def write_json_tape(tape: DataFrame, root: str, rows_per_file: int = 1_000_000,
     rows.select(*(c for c, _ in tape_columns()), "day", "hour", "dir").write.partitionBy(*by).option("maxRecordsPerFile", rows_per_file).option("compression", "gzip").json(root)
 
 
-def write_segments(tape: DataFrame, root: str, rows_per_segment: int = 500_000) -> None:
-    """Segments ``day/hour/SYMBOL/segment-NNNNNN.jsonl.gz`` with rows in order, and a receipt of each in ``segments-*.jsonl``.
+def write_segments(tape: DataFrame, root: str, rows_per_segment: int = 500_000) -> DataFrame:
+    """Segments ``day/hour/SYMBOL/segment-NNNNNN.jsonl.gz`` with rows in order; returns their receipts: hour, path (below the hour), records, stamps, compressed bytes and SHA-256.
 
-    A symbol's hour is numbered in one sorted group, which also puts its segments in one task.
+    A symbol's hour is numbered in one sorted group, which also puts its segments
+    in one task. What the sink saw of each file stays in ``segments-*.jsonl``.
     """
     w = Window.partitionBy("day", "hour", "dir").orderBy(RECV, "seq")
     rows = filed(tape).withColumn("dir", F.upper("symbol")).withColumn("_n", F.row_number().over(w))
     name = F.concat(F.lit("segment-"), F.lpad(F.expr(f"(_n - 1) div {rows_per_segment}").cast("string"), 6, "0"), F.lit(".jsonl.gz"))
-    lines = rows.select("day", "hour", "dir", "_n", F.concat_ws("/", "day", "hour", "dir", name).alias("path"), F.to_json(F.struct(*(c for c, _ in tape_columns()))).alias("line"))
+    rows = rows.withColumn("path", F.concat_ws("/", "day", "hour", "dir", name))
+    lines = rows.select("day", "hour", "dir", "_n", "path", F.to_json(F.struct(*(c for c, _ in tape_columns()))).alias("line"))
     write_lines(lines.sortWithinPartitions("day", "hour", "dir", "_n"), root, receipts="segments")
+    told = rows.groupBy("path").agg(F.count("*").alias("records"), F.min(RECV).alias("first_receive_ns"), F.max(RECV).alias("last_receive_ns"))
+    seen = read_receipts(tape.sparkSession, root, "segments").select("path", F.col("bytes").alias("compressed_bytes"), "sha256")
+    hour = F.concat_ws("T", F.split("path", "/")[0], F.split("path", "/")[1])
+    return told.join(seen, "path").withColumn("hour", hour).withColumn("path", F.substring_index("path", "/", -2))
 
 
 def read_partitioned_json(spark: SparkSession, root: str) -> DataFrame:
@@ -165,9 +171,10 @@ def segment_receipts(spark: SparkSession, root: str, rows: DataFrame) -> DataFra
 
 
 def file_digests(spark: SparkSession, root: str) -> DataFrame:
-    """Bytes and SHA-256 of every file below ``root``; a file is one row of its task."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(file_name(F.col("path")).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """Bytes and SHA-256 of every file below ``root``, hashed in blocks; both null where a file can't be read."""
+    from ticklake.sources.file_audit import walked_files
+
+    return walked_files(spark, root, rows=False).select(file_name(F.col("file")).alias("file"), "bytes", "sha256")
 
 
 def read_meta(spark: SparkSession, root: str, hours: list[str] | None = None) -> DataFrame:
