@@ -73,16 +73,16 @@ def reasons(tables: dict[str, DataFrame]) -> DataFrame:
     cells = grants.select(*CELL).distinct()
     hour_cells = cells.join(hours, "hour")
     granted = stored(granted_spans(grants, hour_cells), "granted")  # read by every reason
-    covered = intersect(merge(tables["windows"], "hour"), hours, "hour", disjoint=True)
+    covered = intersect(merge(tables["windows"], "hour"), hours, "hour")
     named = granted.select(*CELL).distinct()
-    down = subtract(hours, covered, "hour", disjoint=True).join(named, "hour")
-    partial = subtract(covered.join(named, "hour"), granted, *CELL, disjoint=True)
+    down = subtract(hours, covered, "hour").join(named, "hour")
+    partial = subtract(covered.join(named, "hour"), granted, *CELL)
     tier = ("rec", "tier", *CELL)
     cut = tables["shed"].join(grants.select(*tier).distinct(), ["hour", "rec", "tier", "feed"])
     touched = cut.select(*CELL).distinct()
     left = merge(subtract(grants.join(touched, list(CELL), "left_semi"), cut, *tier), *CELL)
-    live = intersect(left, hour_cells, *CELL, disjoint=True)
-    shed = subtract(granted.join(touched, list(CELL), "left_semi"), live, *CELL, disjoint=True)
+    live = intersect(left, hour_cells, *CELL)
+    shed = subtract(granted.join(touched, list(CELL), "left_semi"), live, *CELL)
     heard = grants.filter("topic <> ''").select("rec", *CELL, "topic").distinct()
     off = intersect_each(tables["disconnects"].join(heard, ["hour", "rec", "topic"]), granted)
     gaps = intersect_each(tables["book_gaps"], granted)
@@ -99,7 +99,7 @@ def reasons(tables: dict[str, DataFrame]) -> DataFrame:
 
 def granted_spans(grants: DataFrame, hour_cells: DataFrame) -> DataFrame:
     """What the records grant each cell inside its hour."""
-    return intersect(merge(grants, *CELL), hour_cells, *CELL, disjoint=True)
+    return intersect(merge(grants, *CELL), hour_cells, *CELL)
 
 
 def intersect_each(spans: DataFrame, granted: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Interval algebra on (key, start, end) rows: windows and range joins."""
+"""Interval algebra on (key, start, end) rows by windows over their ends."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,30 +18,39 @@ def merge(spans: DataFrame, *key: str) -> DataFrame:
     return rows.groupBy(*key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
-def intersect(a: DataFrame, b: DataFrame, *key: str, disjoint: bool = False) -> DataFrame:
-    """What both cover, in pieces of positive length. ``disjoint``: the spans of either side don't overlap, so they needn't be merged."""
-    if not disjoint:
-        a, b = merge(a, *key), merge(b, *key)
-    other = b.withColumnsRenamed({"start": "_s", "end": "_e"})
-    both = a.join(other, list(key)).filter("start < _e and _s < end")
-    return both.select(*key, F.greatest("start", "_s").alias("start"), F.least("end", "_e").alias("end"))
-
-
-def subtract(a: DataFrame, b: DataFrame, *key: str, disjoint: bool = False) -> DataFrame:
-    """What ``a`` covers and ``b`` doesn't. ``disjoint`` as in ``intersect``."""
-    if not disjoint:
-        a, b = merge(a, *key), merge(b, *key)
-    a = a.filter("start < end").select(*key, F.col("start").alias("_s"), F.col("end").alias("_e"))
-    b = b.filter("start < end").select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(key)), "start", "end")
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
-    cuts = a.join(b, [*same, F.col("start") < F.col("_e"), F.col("_s") < F.col("end")], "left")
-    w = Window.partitionBy(*key, "_s").orderBy("start")
-    cuts = cuts.withColumns({"_first": F.row_number().over(w) == 1, "_next": F.lead("start").over(w)})
-    head = F.when(F.col("_first"), F.struct(F.col("_s").alias("start"), F.coalesce("start", "_e").alias("end")))
-    hole = F.when(F.col("start").isNotNull(), F.struct(F.col("end").alias("start"), F.coalesce("_next", "_e").alias("end")))
-    # a cut that begins before its span leaves an empty head; the filter drops it
-    rest = cuts.select(*key, F.explode(F.array(head, hole)).alias("x"))
-    return rest.select(*key, "x.start", "x.end").filter("start < end")
+def swept(a: DataFrame, b: DataFrame, key: tuple[str, ...], inside: Callable[[Column, Column], Column]) -> DataFrame:
+    """The stretches of each key in which ``inside`` holds of how many spans of ``a`` and of ``b`` are open.
+
+    All ends of both sides meet in one sorted group of their key and are counted
+    as they pass; spans never meet each other, so a key with many of them costs
+    a sort, and neither side needs to be merged first.
+    """
+
+    def ends(rows: DataFrame, side: int) -> DataFrame:
+        def turn(at: str, by: int) -> Column:
+            return F.struct(F.col(at).alias("at"), F.lit(by if side == 0 else 0).alias("da"), F.lit(by if side else 0).alias("db"))
+
+        return rows.filter("start < end").select(*key, F.inline(F.array(turn("start", 1), turn("end", -1))))
+
+    order = Window.partitionBy(*key).orderBy("at")
+    upto = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = ends(a, 0).unionByName(ends(b, 1)).withColumns({"_a": F.sum("da").over(upto), "_b": F.sum("db").over(upto), "_to": F.lead("at").over(order)})
+    rows = rows.withColumn("_in", inside(F.col("_a"), F.col("_b"))).filter("_to is null or at < _to")  # of the ends at one moment the last one says what follows
+    turns = rows.withColumn("_was", F.lag("_in").over(order)).filter("_in <> coalesce(_was, false)")
+    return turns.withColumn("end", F.lead("at").over(order)).filter("_in").select(*key, F.col("at").alias("start"), "end")
+
+
+def intersect(a: DataFrame, b: DataFrame, *key: str) -> DataFrame:
+    """What both cover, in pieces of positive length; a null key has no spans."""
+    named = None
+    for k in key:
+        named = F.col(k).isNotNull() if named is None else named & F.col(k).isNotNull()
+    return swept(a.filter(named), b.filter(named), key, lambda x, y: (x > 0) & (y > 0))
+
+
+def subtract(a: DataFrame, b: DataFrame, *key: str) -> DataFrame:
+    """What ``a`` covers and ``b`` doesn't."""
+    return swept(a, b, key, lambda x, y: (x > 0) & (y == 0))
 
 
 def fold_transitions(changes: DataFrame, *key: str, end: int | None = None) -> DataFrame:
