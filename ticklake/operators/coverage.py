@@ -125,21 +125,22 @@ def observed_by_feed(tape: DataFrame) -> DataFrame:
     return rows.groupBy(*CELL).agg(F.count("*").alias("records"), F.min("ns").alias("first_receive_ns"), F.max("ns").alias("last_receive_ns"))
 
 
-def rolled(spans: DataFrame, windows: DataFrame, *key: str, keep_open: bool = False) -> DataFrame:
+def rolled(spans: DataFrame, windows: DataFrame, *key: str, keep_open: bool = False, of: tuple[str, ...] = ()) -> DataFrame:
     """What each hour's record tells of spans that run over hours: (hour, key, from_ns, to_ns).
 
     ``spans``: key, start, end (null: still open); ``windows``: hour, from_ns,
     to_ns of the time that the process was up in it, of which spans meet the
     hours they cover only. A span is cut to the window; one that is open at its
-    end is cut there too, or with ``keep_open`` has no end.
+    end is cut there too, or with ``keep_open`` has no end. ``of``: the columns,
+    of both tables and of the result, that say whose windows and spans they are.
     """
     last = windows.agg(F.max("to_ns")).first()[0] or 0
     rows = spans.withColumn("_last", F.coalesce("end", F.lit(last).cast("bigint")) - 1).filter("start <= _last")
     rows = rows.withColumn("_h", F.explode(F.sequence(F.expr(f"start div {NS_PER_HOUR}"), F.expr(f"_last div {NS_PER_HOUR}"))))
-    both = rows.join(windows.withColumn("_h", F.expr(f"from_ns div {NS_PER_HOUR}")), "_h")
+    both = rows.join(windows.withColumn("_h", F.expr(f"from_ns div {NS_PER_HOUR}")), ["_h", *of])
     start, end = F.greatest("start", "from_ns"), F.least(F.coalesce("end", "to_ns"), "to_ns")
     still = F.col("end").isNull() | (F.col("end") > F.col("to_ns")) if keep_open else F.lit(False)
-    return both.filter(start < end).select("hour", *key, start.alias("from_ns"), F.when(~still, end).alias("to_ns"))
+    return both.filter(start < end).select("hour", *of, *key, start.alias("from_ns"), F.when(~still, end).alias("to_ns"))
 
 
 def counter_deltas(readings: DataFrame, counters: list[str], *key: str) -> DataFrame:

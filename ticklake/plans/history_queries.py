@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.operators import coverage, meter, spans, universe
+from ticklake.operators import coverage, coverage_log, meter, spans, universe
 from ticklake.plans.tape_queries import DAY, HOUR, rounded
-from ticklake.sources.scratch import stored
+from ticklake.sources import tape_files
+from ticklake.sources.scratch import scratch, stored
 from ticklake.sources.testbed import TAPE_SQL, events, read, tape
 
 # ------------------------------------------------------------ interval algebra
@@ -128,6 +129,65 @@ cells AS (SELECT strftime(make_timestamp(g.h * 3600000000), '%Y-%m-%dT%H') AS ho
   FROM g LEFT JOIN c ON c.h = g.h AND c.symbol = g.symbol AND c.feed = g.feed)"""
 
 
+def recorder_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a recorder that ran a process for each hour of ``coverage_tables``: what those tables say, as events."""
+    t = coverage_tables(spark, sf_dir)
+    hour_ns = F.unix_seconds(F.to_timestamp("hour", "yyyy-MM-dd'T'HH")) * 10**9
+    names = [f.split()[0] for f in coverage_log.EVENT.split(", ")]
+    number = F.substring("symbol", 2, 9).cast("bigint")
+
+    def turns(what: str, rows: DataFrame, **columns) -> DataFrame:
+        """A start and a stop event for each span, or one event for each moment."""
+        rows = rows.withColumn("pid", hour_ns)
+        made = rows.withColumns({"what": F.lit(what), "venue": F.lit("bybit"), "market": F.lit("linear"), **columns})
+        both = F.array(F.struct(F.col("start").alias("ns"), F.lit(True).alias("on")), *([F.struct(F.col("end").alias("ns"), F.lit(False).alias("on"))] if "end" in rows.columns else []))
+        made = made.select("*", F.inline(both))
+        kinds = dict(f.split() for f in coverage_log.EVENT.split(", "))
+        return made.select(*(F.col(n).cast(kinds[n]).alias(n) if n in made.columns else F.lit(None).cast(kinds[n]).alias(n) for n in names))
+
+    lost = t["disconnects"].withColumn("symbol", F.substring_index("topic", ".", -1))
+    over = t["overruns"].withColumn("symbol", F.substring_index("topic", ".", -1)).withColumnRenamed("ns", "start")
+    ticker = {"shard": number + 10**6, "tier": F.lit("all"), "topics": F.array(F.concat(F.lit("tickers."), "symbol"))}
+    trades = {"shard": number, "tier": F.lit("all"), "topics": F.array(F.concat(F.lit("publicTrade."), "symbol"))}
+    parts = [
+        turns("up", t["windows"]), turns("member", t["grants"].select("hour", "tier", "symbol", "start", "end").distinct()), turns("shed", t["shed"]), turns("disk", t["disk_blocked"]),
+        turns("gap", t["book_gaps"].select("hour", "symbol", "start", "end"), topic=F.concat(F.lit("orderbook.50."), "symbol"), depth=F.lit(50)),
+        turns("shard", lost.select("hour", "symbol", "start", "end"), **trades).withColumn("on", ~F.col("on")), turns("shard", over.select("hour", "symbol", "start"), **ticker), turns("overrun", over.select("hour", "symbol", "start"), **ticker),
+    ]
+    log = parts[0]
+    for part in parts[1:]:
+        log = log.unionByName(part)
+    return log
+
+
+def coverage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of coverage documents that were made of a recorder's log, written, and read again."""
+    tiers = spark.sql("SELECT 'bybit' AS venue, 'linear' AS market, 'all' AS tier, array('trades', 'ticker', 'book:50') AS feeds")
+    root = scratch(spark, "coverage")
+    tape_files.write_coverage(coverage_log.hour_documents(recorder_log(spark, sf_dir), tiers), root)
+    rows = coverage.ledger(coverage.exploded(tape_files.read_stored_coverage(spark, root)))
+    return rows.select("hour", "symbol", "feed", "status", F.concat_ws(",", "reason_codes").alias("codes"))
+
+
+#: As the ledger of the tables, of what lies in the time that the process was up; every symbol has all three feeds.
+DOCUMENTS_SQL = f"""WITH e AS (SELECT 'U' || user_id AS symbol, epoch_us(ts) * 1000 AS ns, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, (epoch_us(ts) * 1000) // {HOUR} AS h FROM events),
+g0 AS (SELECT h, symbol, CASE WHEN CAST(substr(symbol, 2) AS INTEGER) % 3 = 0 THEN h * {HOUR} ELSE min(ns) END AS ms, h * {HOUR} AS s, (h + 1) * {HOUR} AS x,
+  h * {HOUR} + CASE WHEN h % 7 = 0 THEN 300000000000 ELSE 0 END AS ws, (h + 1) * {HOUR} - CASE WHEN h % 5 = 0 THEN 600000000000 ELSE 0 END AS we FROM e GROUP BY h, symbol),
+g AS (SELECT h, symbol, feed, greatest(ms, ws) AS ms, s, x, ws, we FROM g0, (VALUES ('trades'), ('ticker'), ('book:50')) f(feed) WHERE greatest(ms, ws) < we),
+m AS (SELECT g.*, e.ns, e.event_type, e.k, greatest(e.ns, ms) AS a, least(e.ns + 60000000000, we) AS z FROM g JOIN e ON e.h = g.h AND e.symbol = g.symbol),
+r AS (
+  SELECT h, symbol, feed, 'recorder_down' AS code, s AS from_ns FROM g WHERE ws > s UNION ALL SELECT h, symbol, feed, 'recorder_down', we FROM g WHERE we < x
+  UNION ALL SELECT h, symbol, feed, 'tier_membership_partial', ws FROM g WHERE ms > ws
+  UNION ALL SELECT h, symbol, feed, 'shed', ms FROM g WHERE feed = 'ticker' AND h % 6 = 0 AND ms < s + 1800000000000
+  UNION ALL SELECT h, symbol, feed, 'shard_disconnected', a FROM m WHERE feed = 'trades' AND event_type = 'error' AND a < z
+  UNION ALL SELECT h, symbol, feed, 'book_gap', a FROM m WHERE feed = 'book:50' AND event_type = 'signup' AND k % 9 = 0 AND a < z
+  UNION ALL SELECT h, symbol, feed, 'disk_blocked', greatest(ms, s + 60000000000) FROM g WHERE h % 11 = 0 AND greatest(ms, s + 60000000000) < least(we, s + 120000000000)
+  UNION ALL SELECT h, symbol, feed, 'queue_overrun', ns FROM m WHERE feed = 'ticker' AND event_type = 'purchase' AND k = 7 AND ns >= ms AND ns < we),
+c AS (SELECT h, symbol, feed, string_agg(code, ',' ORDER BY from_ns, code) AS codes FROM (SELECT h, symbol, feed, code, min(from_ns) AS from_ns FROM r GROUP BY ALL) GROUP BY ALL)
+SELECT strftime(make_timestamp(g.h * 3600000000), '%Y-%m-%dT%H') AS hour, g.symbol, g.feed, CASE WHEN codes IS NULL THEN 'complete' ELSE 'excluded' END AS status, coalesce(codes, '') AS codes
+FROM g LEFT JOIN c ON c.h = g.h AND c.symbol = g.symbol AND c.feed = g.feed"""
+
+
 def coverage_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.complete_windows(coverage.ledger(coverage_tables(spark, sf_dir)))
 
@@ -305,7 +365,7 @@ SELECT event_type, max(total) AS samples, CAST(min(edge) FILTER (n >= 0.5 * tota
 
 QUERIES = {
     "spans_merged": spans_merged, "spans_intersected": spans_intersected, "spans_subtracted": spans_subtracted, "spans_contiguous": spans_contiguous, "spans_by_hour": spans_by_hour,
-    "transitions_folded": transitions_folded, "coverage_ledger": coverage_ledger, "coverage_windows": coverage_windows, "coverage_summary": coverage_summary,
+    "transitions_folded": transitions_folded, "coverage_documents": coverage_documents, "coverage_ledger": coverage_ledger, "coverage_windows": coverage_windows, "coverage_summary": coverage_summary,
     "universe_ranked": universe_ranked, "universe_sticky": universe_sticky, "universe_live_state": universe_live_state, "universe_lookback": universe_lookback, "universe_samples": universe_samples,
     "universe_topics": universe_topics, "meter_trailing": meter_trailing, "meter_projection": meter_projection, "meter_shed_plan": meter_shed_plan, "clock_windows": clock_windows, "clock_quantiles": clock_quantiles,
 }
@@ -319,7 +379,7 @@ SQL = {
         t AS (SELECT * FROM (SELECT *, lag(up) OVER (PARTITION BY symbol ORDER BY ns, up) AS was FROM e) WHERE up <> coalesce(was, false)),
         s AS (SELECT symbol, up, ns AS "start", coalesce(lead(ns) OVER (PARTITION BY symbol ORDER BY ns, up), 1706745600000000000) AS "end" FROM t)
         SELECT symbol, "start", "end" FROM s WHERE up AND "start" < "end" """,
-    "coverage_ledger": f"{COVERAGE_SQL} SELECT hour, symbol, feed, status, codes FROM cells",
+    "coverage_documents": DOCUMENTS_SQL, "coverage_ledger": f"{COVERAGE_SQL} SELECT hour, symbol, feed, status, codes FROM cells",
     "coverage_windows": f"""{COVERAGE_SQL} SELECT symbol, feed, min(h) AS from_hour, max(h) + 1 AS to_hour FROM (SELECT symbol, feed, h, h - row_number() OVER (PARTITION BY symbol, feed ORDER BY h) AS island FROM cells WHERE status = 'complete') GROUP BY symbol, feed, island""",
     "coverage_summary": f"""{COVERAGE_SQL} SELECT 'status' AS what, status AS name, count(*) AS n FROM cells GROUP BY 2 UNION ALL SELECT 'reason', code, count(*) FROM (SELECT DISTINCT h, symbol, feed, code FROM r) GROUP BY 2""",
     "universe_ranked": UNIVERSE_RANKED_SQL, "universe_sticky": UNIVERSE_STICKY_SQL, "universe_live_state": UNIVERSE_LIVE_SQL, "universe_lookback": UNIVERSE_LOOKBACK_SQL, "universe_samples": UNIVERSE_SAMPLES_SQL,
