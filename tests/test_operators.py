@@ -298,3 +298,37 @@ def test_thresholds_and_tiers(spark):
     seeded = universe.seeded(widened(spark.createDataFrame([], "symbol string, seq long"), "seq"), spark.createDataFrame([("X", 0.1)], "symbol string, funding_rate double"), spark.createDataFrame([("X", 5.0)], "symbol string, turnover_24h double"), 7)
     state = universe.live_state(seeded).first()
     assert (state.funding_rate, state.turnover_24h, state.local_receive_ts_ns) == (0.1, 5.0, 7)
+
+
+def test_greedy_scans_split_over_time(spark, monkeypatch):
+    """One symbol's tape of days: as the plain walk says, and no group holds much of it."""
+    from ticklake.operators import quality as q, universe as u
+
+    rng = random.Random(31)
+    ns, rows, ids = 0, [], []
+    for i in range(6_000):
+        ns += rng.choice([0, 1, 3, 20, 20, 200]) * NS if rng.random() < 0.995 else rng.randint(1, 9) * 3600 * NS
+        ids.append(rng.choice(ids[-60:]) if ids and rng.random() < (0.2 if 1_000 < i < 2_000 or i > 5_000 else 0.004) else f"n{i}")
+        rows.append(("public_trade", "v", "X", ns, i, ids[-1]))
+    tape = widened(spark.createDataFrame(rows, "kind string, venue string, symbol string, local_receive_ts_ns long, seq long, trade_id string"), "seq").repartition(3)
+    for spacing in (1, 60 * NS, 3 * 3600 * NS):
+        want, last = [], None
+        for r in rows:
+            if last is None or r[3] - last >= spacing:
+                want.append(r[4])
+                last = r[3]
+        got = u.spaced(tape.select("symbol", "local_receive_ts_ns", "seq"), spacing)
+        assert sorted(r.seq for r in got.collect()) == want
+    monkeypatch.setattr(q, "CUT_EVERY", 400)
+    for window in (1, 50, 300):
+        seen, n = {}, 0
+        for i in ids:
+            if i in seen:
+                n += 1
+            else:
+                seen[i] = None
+                if len(seen) > window:
+                    del seen[next(iter(seen))]
+        assert q.duplicate_ids(tape, window).first().duplicate_trade_ids == n
+    sizes = [r["count"] for r in q.segmented(tape.select("venue", "symbol", "local_receive_ts_ns", "seq", "trade_id"), 50).groupBy("segment").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 2_200 and sum(sizes) >= len(rows)

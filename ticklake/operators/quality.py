@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ticklake.operators.book import KEY as BOOK_KEY
 from ticklake.operators.book import book_rows, verdicts
-from ticklake.operators.order import RECV, arrival, ord_
+from ticklake.operators.carry import carried
+from ticklake.operators.order import RECV, ord_
 from ticklake.schema import LANE_KINDS, feed
+from ticklake.sources.scratch import stored
 
 #: A wall clock that moves against the monotonic one by more than this, plus the share of the gap, has stepped.
 STEP_NS, SLEW = 1_000_000, 0.001
@@ -27,12 +29,10 @@ def venue_ns() -> F.Column:
 def clocked(tape: DataFrame) -> DataFrame:
     """Adds feed, skew in whole ms (floor), silence before the row in ns and whether the clock stepped."""
     rows = tape.withColumn("feed", feed()).filter("feed <> ''")
-    w = arrival(*CELL)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     lane = F.col("kind").isin(*LANE_KINDS)
     mono = F.when(~lane & (F.coalesce("local_receive_mono_ns", F.lit(0)) > 0), F.col("local_receive_mono_ns"))
-    rows = rows.withColumns({"_mono": mono, "_wall": F.lag(RECV).over(w)})
-    rows = rows.withColumn("_last", F.last("_mono", ignorenulls=True).over(before))
+    rows = rows.withColumn("_mono", mono)
+    rows = carried(rows, CELL, before={"_wall": F.col(RECV), "_last": F.col("_mono")})
     moved = F.abs((F.col(RECV) - F.col("_mono")) - (F.col("_wall") - F.col("_last")))
     allowed = F.lit(STEP_NS) + (F.abs(F.col("_mono") - F.col("_last")) * SLEW).cast("bigint")
     late = F.col(RECV) - venue_ns()
@@ -60,12 +60,43 @@ def skew_quantiles(rows: DataFrame) -> DataFrame:
     return agg.select(*CELL, *(F.col(c).cast("double").alias(c) for c in agg.columns[3:]))
 
 
+#: Trades of a symbol among which ``duplicate_ids`` looks for a place to cut.
+CUT_EVERY = 1 << 16
+
+
+def segmented(trades: DataFrame, window: int) -> DataFrame:
+    """Trades with ``segment`` and ``seed``, cut where the ids before them no longer matter.
+
+    Behind ``window`` trades in a row whose ids had never come before, the memory
+    of ids holds just those, whatever came earlier. In each CUT_EVERY trades of a
+    symbol the first such place ends a segment, and its ``window`` trades come
+    again as the seed of the next one.
+    """
+    key = ("venue", "symbol")
+    firsts = trades.groupBy(*key, "trade_id").agg(F.min(ord_()).alias("_first"))  # partial sums and a plain join, so that a hot id can be split
+    rows = trades.join(firsts, [*key, "trade_id"]).withColumn("_again", ord_() > F.col("_first")).drop("_first")
+    rows = carried(rows, key, counts={"_n": F.lit(1)})
+    rows = carried(rows, key, before={"_before": F.when(F.col("_again"), F.col("_n"))})
+    repeat = F.coalesce(F.when(F.col("_again"), F.col("_n")), F.col("_before"), F.lit(0))
+    every = max(CUT_EVERY, window)
+    rows = rows.withColumns({"_block": F.expr(f"_n div {every}"), "_clean": F.col("_n") - repeat >= window})
+    rows = stored(rows.select(*key, "trade_id", "_n", "_block", "_clean"), "trades")
+    cuts = rows.groupBy(*key, "_block").agg(F.min(F.when(F.col("_clean"), F.col("_n"))).alias("_cut"))
+    w = Window.partitionBy(*key).orderBy("_block")
+    past = F.last("_cut", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    cuts = cuts.withColumns({"_past": F.coalesce(past, F.lit(0)), "_next": F.lead("_cut").over(w)})
+    met = rows.join(cuts, [*key, "_block"])
+    own = F.struct(F.when(F.col("_n") > F.col("_cut"), F.col("_cut")).otherwise(F.col("_past")).alias("segment"), F.lit(False).alias("seed"))
+    seeds = [F.when((F.col("_n") <= F.col(c)) & (F.col("_n") > F.col(c) - window), F.struct(F.col(c).alias("segment"), F.lit(True).alias("seed"))) for c in ("_cut", "_next")]
+    return met.select(*key, "trade_id", "_n", F.explode(F.array(own, *seeds)).alias("x")).filter("x is not null").select(*key, "x.segment", "_n", "trade_id", "x.seed")
+
+
 def duplicate_ids(tape: DataFrame, window: int = ID_WINDOW) -> DataFrame:
     """Trades whose id is among the last ``window`` distinct ids of the symbol.
 
     An id's first sight within the window gets the next number; a repeat counts
-    while fewer than ``window`` new ids have come since. The symbol's trades are
-    streamed in order through a bounded memory of ids.
+    while fewer than ``window`` new ids have come since. Segments of a symbol's
+    trades are streamed in order, each through a bounded memory of ids.
     """
 
     def run(batches):
@@ -76,21 +107,21 @@ def duplicate_ids(tape: DataFrame, window: int = ID_WINDOW) -> DataFrame:
         key, seen = None, OrderedDict()
         for batch in batches:
             out: list[list] = [[], [], []]
-            for venue, symbol, i in zip(*(batch.column(c).to_pylist() for c in ("venue", "symbol", "trade_id")), strict=True):
-                if key != (venue, symbol):
-                    key, seen = (venue, symbol), OrderedDict()
+            for venue, symbol, segment, i, seed in zip(*(batch.column(c).to_pylist() for c in ("venue", "symbol", "segment", "trade_id", "seed")), strict=True):
+                if key != (venue, symbol, segment):
+                    key, seen = (venue, symbol, segment), OrderedDict()
                 again = i in seen
                 if not again:
                     seen[i] = None
                     if len(seen) > window:
                         seen.popitem(last=False)
-                for c, v in zip(out, (venue, symbol, int(again)), strict=True):
+                for c, v in zip(out, (venue, symbol, int(again and not seed)), strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], names=["venue", "symbol", "again"])
 
     n = int(tape.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     trades = tape.filter("kind = 'public_trade' and coalesce(trade_id, '') <> ''").select("venue", "symbol", RECV, "seq", "trade_id")
-    dealt = trades.repartition(n, "venue", "symbol").sortWithinPartitions("venue", "symbol", RECV, "seq").drop(RECV, "seq")
+    dealt = segmented(trades, window).repartition(n, "venue", "symbol", "segment").sortWithinPartitions("venue", "symbol", "segment", "_n")
     return dealt.mapInArrow(run, "venue string, symbol string, again bigint").groupBy("venue", "symbol").agg(F.sum("again").alias("duplicate_trade_ids"))
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake.operators.order import RECV
+from ticklake.sources.scratch import stored
 
 STATE = {"funding_rate": "funding_rate", "turnover_24h": "turnover_24h", "price_change_24h": "price_change_24h_pct", "open_interest": "open_interest"}
 SAMPLE_NS = 60 * 1_000_000_000
@@ -29,22 +31,73 @@ def live_state(tickers: DataFrame) -> DataFrame:
     )
 
 
-def spaced(state: DataFrame, spacing: int = SAMPLE_NS) -> DataFrame:
-    """Rows at least ``spacing`` ns after the last kept one of their symbol; greedy, so streamed in order (one stamp is remembered)."""
+#: Stretch of time whose rows of a symbol one group of ``spaced`` holds, at least.
+SLOT_NS = 3600 * 1_000_000_000
+
+
+def successors(ns: np.ndarray, spacing: int) -> np.ndarray:
+    """For each of the sorted stamps the place of the first one ``spacing`` later (the end, if there is none)."""
+    return np.searchsorted(ns, ns + spacing)
+
+
+def last_kept(ns: np.ndarray, spacing: int) -> np.ndarray:
+    """The last stamp that is kept if the first kept one is this: successors, followed by pointer jumping."""
+    ahead, last = successors(ns, spacing), ns.copy()
+    while (inner := ahead < len(ns)).any():
+        to = ahead[inner]
+        last[inner], ahead[inner] = last[to], ahead[to]
+    return last
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, last = None, 0
-        for batch in batches:
-            keep = []
-            for s, ns in zip(batch.column("symbol").to_pylist(), batch.column(RECV).to_pylist(), strict=True):
-                fresh = s != symbol or ns - last >= spacing
-                if fresh:
-                    symbol, last = s, ns
-                keep.append(fresh)
-            yield batch.filter(pa.array(keep))
 
+def spaced(state: DataFrame, spacing: int = SAMPLE_NS) -> DataFrame:
+    """Rows at least ``spacing`` ns after the last kept one of their symbol, the first row included.
+
+    Which rows a slot of time keeps depends on the past by its first kept row
+    alone, and that is one of the rows of its first ``spacing`` ns or the first
+    one behind them. So each slot tells for those where they would lead; a walk
+    over these few rows of a symbol finds what each slot starts from; and the
+    slots, a hot symbol's too, are thinned side by side.
+    """
+    slot_ns = max(SLOT_NS, spacing)
+    rows = stored(state.withColumn("_slot", F.expr(f"{RECV} div {slot_ns}")), "samples")
     n = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return state.repartition(n, "symbol").sortWithinPartitions("symbol", RECV, "seq").mapInArrow(run, state.schema)
+
+    def heads(key: tuple, table: pa.Table) -> pa.Table:
+        ns = np.unique(table[RECV].to_numpy())
+        open_ = int(np.searchsorted(ns, key[1].as_py() * slot_ns + spacing)) + 1
+        ends = last_kept(ns, spacing)[:open_]
+        return pa.table({"symbol": pa.array([key[0].as_py()] * len(ends), pa.string()), "_slot": pa.array([key[1].as_py()] * len(ends), pa.int64()), "first": ns[:open_], "last": ends})
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The stamp that each slot's first kept row must reach; heads come sorted."""
+        symbol, slot, last, after = None, None, None, None
+        for batch in batches:
+            out: list[tuple] = []
+            for s, h, first, end in zip(*(batch.column(c).to_pylist() for c in ("symbol", "_slot", "first", "last")), strict=True):
+                if s != symbol:
+                    symbol, slot, last = s, None, None
+                if h != slot:
+                    slot, after = h, None if last is None else last + spacing
+                    done = False
+                    out.append((s, h, after))
+                if not done and (after is None or first >= after):
+                    last, done = end, True
+            kinds = (pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["symbol", "_slot", "_after"])
+
+    def thin(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([(RECV, "ascending"), ("seq", "ascending")])
+        ns, after = table[RECV].to_numpy(), table["_after"][0].as_py()
+        at = 0 if after is None else int(np.searchsorted(ns, after))
+        ahead, keep = successors(ns, spacing), []
+        while at < len(ns):
+            keep.append(at)
+            at = int(ahead[at])
+        return table.drop_columns(["_slot", "_after"]).take(pa.array(keep, pa.int64()))
+
+    told = rows.select("symbol", "_slot", RECV).groupBy("symbol", "_slot").applyInArrow(heads, "symbol string, _slot bigint, first bigint, last bigint")
+    told = told.repartition(n, "symbol").sortWithinPartitions("symbol", "_slot", "first").mapInArrow(walk, "symbol string, _slot bigint, _after bigint")
+    return rows.join(told, ["symbol", "_slot"]).groupBy("symbol", "_slot").applyInArrow(thin, state.schema)
 
 
 def as_of(left: DataFrame, right: DataFrame, values: list[str], at: str, key: str = "symbol", stamp: str = RECV) -> DataFrame:
