@@ -41,17 +41,28 @@ def scan(tape: DataFrame, symbols=None, kinds=None, start_ns: int | None = None,
     return tape if end_ns is None else tape.filter(F.col(RECV) < end_ns)
 
 
+#: Arrival numbers of a symbol that one group of ``clamp_late`` spans (as a power of two).
+ARRIVALS = 20
+
+
 def clamp_late(tape: DataFrame, arrival_seq: str = "seq") -> DataFrame:
     """A row behind an earlier arrival of its symbol takes that row's stamp; its monotonic stamp moves along if it has one.
 
-    Rows are kept, never dropped.
+    Rows are kept, never dropped. The largest stamp before each stretch of
+    arrivals comes from a small table, so a symbol's rows meet only within one.
     """
-    w = Window.partitionBy("venue", "symbol").orderBy(arrival_seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    top = F.max(RECV).over(w)
+    key = ["venue", "symbol", "_stretch"]
+    rows = tape.withColumn("_stretch", F.shiftright(arrival_seq, ARRIVALS))
+    past = Window.partitionBy("venue", "symbol").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    tops = rows.groupBy(*key).agg(F.max(RECV).alias("_max")).withColumn("_past", F.max("_max").over(past)).drop("_max")
+    names = {k: f"_{k}" for k in ("venue", "symbol")}
+    same = F.col("venue").eqNullSafe(F.col("_venue")) & F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_stretch") == F.col("_at"))
+    rows = rows.join(tops.withColumnsRenamed(names | {"_stretch": "_at"}), same).drop("_venue", "_symbol", "_at")
+    w = Window.partitionBy(*key).orderBy(arrival_seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     mono = F.col("local_receive_mono_ns")
-    moved = tape.withColumn("_top", top)
+    moved = rows.withColumn("_top", F.greatest("_past", F.max(RECV).over(w)))
     moved = moved.withColumn("local_receive_mono_ns", F.when(mono > 0, mono + F.col("_top") - F.col(RECV)).otherwise(mono))
-    return moved.withColumn(RECV, F.col("_top")).drop("_top")
+    return moved.withColumn(RECV, F.col("_top")).drop("_top", "_past", "_stretch")
 
 
 def clean_hours(tape: DataFrame, ledger: DataFrame) -> DataFrame:

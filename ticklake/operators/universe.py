@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ticklake.operators.order import RECV
+from ticklake.operators.carry import carried
+from ticklake.operators.order import RECV, ord_
 from ticklake.sources.scratch import stored
 
 STATE = {"funding_rate": "funding_rate", "turnover_24h": "turnover_24h", "price_change_24h": "price_change_24h_pct", "open_interest": "open_interest"}
@@ -20,15 +21,20 @@ SAMPLE_NS = 60 * 1_000_000_000
 def live_state(tickers: DataFrame) -> DataFrame:
     """After each ticker row: the last known funding rate, turnover, change and open interest, and the price.
 
-    A mark price replaces the price; a last price only fills it while there is none.
+    A mark price replaces the price; a last price only fills it while there is
+    none. Values are carried over hours by a small table, and the first last
+    price comes from one with a row for each symbol.
     """
-    w = Window.partitionBy("symbol").orderBy(RECV, "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = {c: F.last(F.try_element_at("values", F.lit(n)), ignorenulls=True).over(w) for c, n in STATE.items()}
-    mark = F.try_element_at("values", F.lit("mark_price"))
-    first = F.first(F.when(mark.isNull(), F.try_element_at("values", F.lit("last_price"))), ignorenulls=True).over(w)
-    return tickers.filter("kind = 'ticker'").withColumns(known | {"live_price": F.coalesce(F.last(mark, ignorenulls=True).over(w), first)}).select(
-        "symbol", RECV, "seq", *known, F.col("live_price").alias("price")
-    )
+    rows = tickers.filter("kind = 'ticker' and symbol is not null")
+    names = STATE | {"_mark": "mark_price"}
+    rows = rows.withColumns({f"_v_{c}": F.try_element_at("values", F.lit(n)) for c, n in names.items()})
+    rows = carried(rows, ("symbol",), before={f"_b_{c}": F.col(f"_v_{c}") for c in names})
+    filler = F.when(F.col("_v__mark").isNull(), F.try_element_at("values", F.lit("last_price")))
+    first = rows.withColumn("_f", filler).filter("_f is not null").groupBy("symbol").agg(F.min(F.struct(RECV, "seq", "_f")).alias("_first"))
+    rows = rows.join(first, "symbol", "left")
+    known = {c: F.coalesce(f"_v_{c}", f"_b_{c}") for c in names}
+    filled = F.when(ord_() >= F.struct(F.col("_first")[RECV].alias(RECV), F.col("_first.seq").alias("seq")), F.col("_first._f"))
+    return rows.select("symbol", RECV, "seq", *(known[c].alias(c) for c in STATE), F.coalesce(known["_mark"], filled).alias("price"))
 
 
 #: Stretch of time whose rows of a symbol one group of ``spaced`` holds, at least.
