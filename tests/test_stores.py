@@ -143,3 +143,44 @@ def test_counters_and_empty_cells(spark):
     tape = widened(spark.createDataFrame([("ticker", "a", 0, 1), ("ticker", "A", 9, 2), ("other", "a", 9, 3)], "kind string, symbol string, local_receive_ts_ns long, seq long"), "seq")
     rows = [tuple(r) for r in coverage.observed_by_feed(tape).collect()]
     assert rows == [("1970-01-01T00", "A", "ticker", 2, 9, 9)]
+
+
+def test_plan_documents(spark):
+    good = {"schema": 1, "tapes": {"bybit-linear": [{"day": "2024-01-01", "hour": "03", "symbols": ["BTC", "ETH"]}, {"day": "2024-01-01", "hour": "03", "symbols": ["BTC", "XRP"]}]}}
+    spoiled = {
+        "schema": good | {"schema": 2}, "tapes": {"schema": 1}, "tape": {"schema": 1, "tapes": {"a/b": []}}, "list": {"schema": 1, "tapes": {"a": {"day": 1}}}, "hour": {"schema": 1, "tapes": {"a": [{"day": "2024-01-01", "hour": "24", "symbols": []}]}},
+        "date": {"schema": 1, "tapes": {"a": [{"day": "2024-02-31", "hour": "01", "symbols": ["A"]}]}}, "name": {"schema": 1, "tapes": {"a": good["tapes"]["bybit-linear"] + [{"day": "2024-01-01", "hour": "01", "symbols": ["a b"]}]}},
+        "none": {"schema": 1, "tapes": {"a": [{"day": "2024-01-01", "hour": "01"}]}},
+    }
+    docs = spark.createDataFrame([("good", json.dumps(good)), ("torn", "{"), *((k, json.dumps(v)) for k, v in spoiled.items())], "file string, raw string")
+    asked, bad = retention.plan_requests(docs)
+    assert {r.file for r in bad.collect()} == {"torn", *spoiled} and {r.file for r in asked.collect()} == {"good"}
+    assert [(r.tape, r.day, r.hour, r.symbols) for r in retention.fetch_plan(asked).collect()] == [("bybit-linear", "2024-01-01", "03", ["BTC", "ETH", "XRP"])]
+
+
+def test_manifests_of_archives(spark, tmp_path):
+    def pack(name, members):
+        with tarfile.open(tmp_path / name, "w") as tar:
+            for member, data in members.items():
+                info = tarfile.TarInfo(member)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+
+    receipt = {"kind": "segment", "path": "AAA/segment-0.jsonl", "records": 3, "first_receive_ns": 5, "sha256": "ab"}
+    pack("a.tar", {"AAA/segment-0.jsonl": b"1\n", "MANIFEST.json": json.dumps({"files": [receipt, {"kind": "x"}]}).encode()})
+    pack("b.tar", {"AAA/segment-0.jsonl": b"1\n"})
+    pack("c.tar", {"MANIFEST.json": b"{}"})
+    (tmp_path / "d.tar").write_bytes(b"no tar" * 200)
+    rows = {r.archive.rsplit("/", 1)[1]: r for r in archive.read_manifests(spark, *(str(p) for p in sorted(tmp_path.glob("*.tar")))).collect()}
+    assert (rows["a.tar"].path, rows["a.tar"].records, rows["a.tar"].sha256, rows["a.tar"].error) == ("AAA/segment-0.jsonl", 3, "ab", None)
+    assert rows["b.tar"].error == "no MANIFEST.json" and "lists no files" in rows["c.tar"].error and rows["d.tar"].error and len(rows) == 4
+
+
+def test_strict_reading_names_the_line(spark, tmp_path):
+    folder = tmp_path / "2024-01-01" / "00" / "AAA"
+    folder.mkdir(parents=True)
+    (folder / "segment-000000.jsonl").write_text("".join(line("AAA", i, i) + "\n" for i in range(4)) + "torn\n" + line("AAA", 9, 9) + "\n")
+    _, bad = tape_files.read_json_tape(spark, str(tmp_path))
+    with pytest.raises(ValueError, match=r"AAA/segment-000000.jsonl, line 5: not a row: torn"):
+        tape_files.refuse(bad, str(tmp_path))
+    tape_files.refuse(bad.limit(0), str(tmp_path))

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticklake.operators.health import fixed
+from ticklake.operators.order import RECV
+from ticklake.operators.quality import venue_ns
+from ticklake.schema import feed
 
 MINUTE = 60 * 1_000_000_000
 DAY_MINUTES = 1440
@@ -96,6 +99,46 @@ def budget_ticks(ticks: DataFrame, order: list[str], limit: float, restore_below
     return ticks.repartition(n, "recorder").sortWithinPartitions("recorder", "tick").mapInArrow(run, "recorder string, tick bigint, projected double, shed string")
 
 
+def budget_status(told: DataFrame, gb: DataFrame, order: list[str], limit: float) -> DataFrame:
+    """A budget's row in the status document after each recorder's last tick: projected, over, shed, shed_gb, shed_order and the tick at which the shed pairs last changed.
+
+    ``told``: rows of ``budget_ticks``; ``gb``: recorder, tick, pair and its GB a
+    month. A shed pair shows what it cost at the last tick before it went.
+    """
+    turn = F.lag("shed", 1, "").over(Window.partitionBy("recorder").orderBy("tick"))
+    rows = told.withColumn("_turn", F.when(F.col("shed") != turn, F.col("tick")))
+    last = rows.groupBy("recorder").agg(F.max_by(F.struct("projected", "shed"), "tick").alias("_x"), F.max("_turn").alias("last_action"))
+    gone = last.select("recorder", F.explode(F.filter(F.split("_x.shed", ","), lambda p: p != "")).alias("pair"))
+    held = rows.select("recorder", "tick", F.split("shed", ",").alias("_gone")).withColumn("_before", F.coalesce(F.lag("_gone").over(Window.partitionBy("recorder").orderBy("tick")), F.array().cast("array<string>")))
+    went = held.select("recorder", "tick", F.explode(F.array_except("_gone", "_before")).alias("pair")).groupBy("recorder", "pair").agg(F.max("tick").alias("tick"))
+    cost = gone.join(went, ["recorder", "pair"]).join(gb, ["recorder", "tick", "pair"], "left").select("recorder", "pair", F.coalesce("gb", F.lit(0.0)).alias("gb"))
+    costs = cost.groupBy("recorder").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("pair", F.round("gb", 1).alias("gb"))))).alias("shed_gb"))
+    out = last.join(costs, "recorder", "left")
+    return out.select(
+        "recorder", F.lit(limit).alias("monthly_gb"), F.round("_x.projected", 1).alias("projected_month_gb"), (F.col("_x.projected") > limit).alias("over"),
+        F.filter(F.split("_x.shed", ","), lambda p: p != "").alias("shed"), F.coalesce("shed_gb", F.create_map().cast("map<string,double>")).alias("shed_gb_month"),
+        F.array(*(F.lit(p) for p in order)).alias("shed_order"), "last_action",
+    )
+
+
+def bytes_status(frames: DataFrame, now_ns: int) -> DataFrame:
+    """The traffic row of the status document at ``now_ns``: received_total, received_24h and by_feed_24h, from sums by minute."""
+    minute = now_ns // MINUTE
+    rows = bytes_by_minute(frames.filter(F.col("recv_ns") <= now_ns)).withColumn("_day", F.when(F.col("minute") > minute - DAY_MINUTES, F.col("bytes")))
+    keys = rows.groupBy("key").agg(F.sum("bytes").alias("total"), F.coalesce(F.sum("_day"), F.lit(0)).alias("day"))
+    feed = F.when(F.col("key").startswith("feed:"), F.struct(F.expr("substring(key, 6)").alias("feed"), F.col("day")))
+    one = {n: F.coalesce(F.sum(F.when(F.col("key") == "all", F.col(c))), F.lit(0)).alias(n) for n, c in (("received_total", "total"), ("received_24h", "day"))}
+    return keys.agg(*one.values(), F.map_from_entries(F.sort_array(F.collect_list(feed))).alias("by_feed_24h"))
+
+
+def clock_status(tape: DataFrame) -> DataFrame:
+    """Each feed class's row of the status document: samples, p50 and p99 of receipt less send, and of send less the engine's stamp, in ms; rows without a send stamp don't count."""
+    sent, engine = venue_ns(), F.coalesce("exchange_engine_ts_ns", F.lit(0))
+    rows = tape.select(F.split(feed(), ":")[0].alias("feed"), ((F.col(RECV) - sent) / 1e6).alias("wire"), F.when(engine > 0, (sent - engine) / 1e6).alias("venue"), sent.alias("_sent")).filter("_sent > 0 and feed <> ''")
+    parts = [bucketed_quantiles(rows.select("feed", F.col(c).alias("ms")), {f"{n}_p50_ms": 0.5, f"{n}_p99_ms": 0.99}, "feed") for c, n in (("wire", "skew"), ("venue", "venue"))]
+    return parts[0].join(parts[1].drop("samples"), "feed", "left")
+
+
 def clock_windows(readings: DataFrame, seconds: int) -> DataFrame:
     """Count, mean, least and largest reading (ms) of each interval."""
     slot = F.expr(f"recv_ns div {seconds * 1_000_000_000}")

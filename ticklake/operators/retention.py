@@ -60,6 +60,36 @@ def cap_for_space(total: int, free: int, target_free: int) -> int:
     return max(0, total - max(0, target_free - free))
 
 
+#: The version of a plan document and what its names look like.
+PLAN_SCHEMA = 1
+PLAN_NAMES = {"tape": "^[A-Za-z0-9_-]+$", "day": r"^\d{4}-\d{2}-\d{2}$", "hour": r"^([01]\d|2[0-3])$", "symbol": "^[A-Z0-9]+$"}
+PLAN = "schema bigint, tapes map<string,string>"
+PLANNED = "array<struct<day:string,hour:string,symbols:array<string>>>"
+
+
+def plan_requests(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What plan documents (file, raw) ask for: (file, tape, day, hour, symbol), and why others are no plans: (file, why), one row each.
+
+    A document with anything wrong asks for nothing.
+    """
+    rows = documents.withColumn("p", F.from_json("raw", PLAN))
+    sound = (F.col("p.schema") == PLAN_SCHEMA) & F.col("p.tapes").isNotNull()
+    tapes = rows.filter(sound).select("file", F.explode("p.tapes").alias("tape", "_hours")).withColumn("h", F.from_json("_hours", PLANNED))
+    listed = F.col("tape").rlike(PLAN_NAMES["tape"]) & F.col("_hours").startswith("[") & F.col("h").isNotNull()
+    hours = tapes.filter(listed).select("file", "tape", F.explode("h").alias("h")).select("file", "tape", "h.*")
+    dated = F.coalesce(F.col("day").rlike(PLAN_NAMES["day"]) & F.col("hour").rlike(PLAN_NAMES["hour"]) & F.col("day").try_cast("date").isNotNull(), F.lit(False))
+    named = F.coalesce(F.forall("symbols", lambda s: F.coalesce(s.rlike(PLAN_NAMES["symbol"]), F.lit(False))), F.lit(False))
+    why = [
+        rows.filter(~F.coalesce(sound, F.lit(False))).select("file", F.lit(f"not a plan of schema {PLAN_SCHEMA} with tapes").alias("why")),
+        tapes.filter(~F.coalesce(listed, F.lit(False))).select("file", F.concat(F.lit("not a tape with a list of hours: "), "tape").alias("why")),
+        hours.filter(~dated).select("file", F.concat_ws(" ", F.lit("not a day and hour of"), "tape", F.coalesce("day", F.lit("null")), F.coalesce("hour", F.lit("null"))).alias("why")),
+        hours.filter(dated & ~named).select("file", F.concat_ws(" ", F.lit("not a list of symbols of"), "tape", "day", "hour").alias("why")),
+    ]
+    bad = why[0].unionByName(why[1]).unionByName(why[2]).unionByName(why[3]).groupBy("file").agg(F.min("why").alias("why"))
+    asked = hours.join(bad, "file", "left_anti").select("file", "tape", "day", "hour", F.explode("symbols").alias("symbol"))
+    return asked, bad
+
+
 def fetch_plan(requests: DataFrame) -> DataFrame:
     """Requested symbols of each (tape, day, hour), merged, newest first."""
     return requests.groupBy("tape", "day", "hour").agg(F.sort_array(F.collect_set(F.upper("symbol"))).alias("symbols")).orderBy(F.desc("day"), F.desc("hour"), "tape")

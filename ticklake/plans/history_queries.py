@@ -363,13 +363,48 @@ CLOCK_QUANTILES_SQL = f"""{READINGS_SQL}, b AS (SELECT event_type, CASE WHEN ms
 o AS (SELECT event_type, edge, row_number() OVER (PARTITION BY event_type ORDER BY edge) AS n, count(*) OVER (PARTITION BY event_type) AS total FROM b)
 SELECT event_type, max(total) AS samples, CAST(min(edge) FILTER (n >= 0.5 * total) AS DOUBLE) AS p50, CAST(min(edge) FILTER (n >= 0.99 * total) AS DOUBLE) AS p99 FROM o GROUP BY event_type"""
 
+NOON = (1_704_067_200 + 20 * 86_400 + 43_200) * 10**9
+
+
+def bytes_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traffic row of the status document at noon of the 21st day."""
+    row = meter.bytes_status(frames(spark, sf_dir), NOON)
+    return row.select("received_total", "received_24h", F.array_join(F.transform(F.map_entries("by_feed_24h"), lambda x: F.concat_ws("=", x["key"], x["value"])), ",").alias("by_feed_24h"))
+
+
+BYTES_STATUS_SQL = f"""WITH f AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS tier, event_type AS feed, epoch_us(ts) * 1000 AS ns,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) * 100 + length(event_type) AS bytes FROM events),
+g AS (SELECT tier || ':' || feed AS name, sum(bytes) FILTER (ns // 60000000000 > {NOON // 60_000_000_000 - 1440}) AS day FROM f WHERE ns <= {NOON} GROUP BY 1)
+SELECT (SELECT CAST(sum(bytes) AS BIGINT) FROM f WHERE ns <= {NOON}) AS received_total, (SELECT CAST(sum(day) AS BIGINT) FROM g) AS received_24h,
+  (SELECT string_agg(name || '=' || CAST(coalesce(day, 0) AS BIGINT), ',' ORDER BY name) FROM g) AS by_feed_24h"""
+
+
+def clock_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire and venue lags of each feed class; the engine stamps an even row k ms before it is sent."""
+    rows = tape(spark, sf_dir).withColumn("exchange_engine_ts_ns", F.when(F.col("seq") % 2 == 0, F.col("exchange_system_ts_ns") - (F.col("seq") % 50) * 1_300_000))
+    return meter.clock_status(rows)
+
+
+def _edge(ms: str) -> str:
+    return f"CASE WHEN {ms} <= 0 THEN 0.0 WHEN {ms} <= 20 THEN ceil({ms} / 0.25) * 0.25 WHEN {ms} <= 200 THEN 20 + ceil({ms} - 20) WHEN {ms} <= 2000 THEN 200 + ceil(({ms} - 200) / 10) * 10 ELSE 20000 END"
+
+
+CLOCK_STATUS_SQL = f"""{TAPE_SQL}, c AS (SELECT feed, (recv_ns - sent_ns) / 1e6 AS wire, CASE WHEN seq % 2 = 0 THEN (seq % 50) * 1.3 END AS venue FROM tape WHERE sent_ns > 0),
+w AS (SELECT feed, edge, row_number() OVER (PARTITION BY feed ORDER BY edge) AS n, count(*) OVER (PARTITION BY feed) AS total FROM (SELECT feed, {_edge("wire")} AS edge FROM c)),
+v AS (SELECT feed, edge, row_number() OVER (PARTITION BY feed ORDER BY edge) AS n, count(*) OVER (PARTITION BY feed) AS total FROM (SELECT feed, {_edge("venue")} AS edge FROM c WHERE venue IS NOT NULL)),
+a AS (SELECT feed, max(total) AS samples, CAST(min(edge) FILTER (n >= 0.5 * total) AS DOUBLE) AS skew_p50_ms, CAST(min(edge) FILTER (n >= 0.99 * total) AS DOUBLE) AS skew_p99_ms FROM w GROUP BY feed),
+b AS (SELECT feed, CAST(min(edge) FILTER (n >= 0.5 * total) AS DOUBLE) AS venue_p50_ms, CAST(min(edge) FILTER (n >= 0.99 * total) AS DOUBLE) AS venue_p99_ms FROM v GROUP BY feed)
+SELECT a.*, venue_p50_ms, venue_p99_ms FROM a LEFT JOIN b USING (feed)"""
+
 QUERIES = {
+    "bytes_status": bytes_status, "clock_status": clock_status,
     "spans_merged": spans_merged, "spans_intersected": spans_intersected, "spans_subtracted": spans_subtracted, "spans_contiguous": spans_contiguous, "spans_by_hour": spans_by_hour,
     "transitions_folded": transitions_folded, "coverage_documents": coverage_documents, "coverage_ledger": coverage_ledger, "coverage_windows": coverage_windows, "coverage_summary": coverage_summary,
     "universe_ranked": universe_ranked, "universe_sticky": universe_sticky, "universe_live_state": universe_live_state, "universe_lookback": universe_lookback, "universe_samples": universe_samples,
     "universe_topics": universe_topics, "meter_trailing": meter_trailing, "meter_projection": meter_projection, "meter_shed_plan": meter_shed_plan, "clock_windows": clock_windows, "clock_quantiles": clock_quantiles,
 }
 SQL = {
+    "bytes_status": BYTES_STATUS_SQL, "clock_status": CLOCK_STATUS_SQL,
     "spans_merged": f"{SPANS_SQL} {_islands('ad')}", "spans_intersected": f"{SPANS_SQL} {_islands('(SELECT * FROM ad INTERSECT SELECT * FROM bd)')}",
     "spans_subtracted": f"{SPANS_SQL} {_islands('(SELECT * FROM ad EXCEPT SELECT * FROM bd)')}",
     "spans_contiguous": """SELECT nation, min(d) AS from_hour, max(d) + 1 AS to_hour FROM (SELECT nation, d, d - row_number() OVER (PARTITION BY nation ORDER BY d) AS island FROM (

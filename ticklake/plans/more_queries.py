@@ -138,6 +138,15 @@ r AS (
 SELECT recorder, tick, round(projected, 6) AS projected, CASE gone WHEN 0 THEN '' WHEN 1 THEN 'view' WHEN 2 THEN 'view,click' ELSE 'view,click,signup' END AS shed FROM r WHERE i > 0"""
 
 
+def budget_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the status document says of each recorder's budget after its last tick."""
+    f = frames(spark, sf_dir).withColumn("tick", F.expr("recv_ns div 60000000000 div 60 * 60"))
+    by = f.groupBy(F.col("tier").alias("recorder"), "tick", F.col("feed").alias("pair")).agg((F.sum("bytes") / 1e3).alias("gb"))
+    mean = by.groupBy("recorder", "tick").agg(F.sum("gb").alias("gb")).agg(F.avg("gb")).first()[0] or 1.0
+    row = meter.budget_status(budget_ticks(spark, sf_dir), by, ["view", "click", "signup"], 0.6 * mean)
+    return row.select("recorder", "projected_month_gb", "over", F.array_join("shed", ",").alias("shed"), F.array_join("shed_order", ",").alias("shed_order"), F.coalesce("last_action", F.lit(-1)).alias("last_action"))
+
+
 def receipts_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path parts of made receipt paths, and rows by day."""
     e = events(spark, sf_dir)
@@ -146,6 +155,9 @@ def receipts_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("day", "hour").agg(F.count("*").alias("n"), F.countDistinct("symbol").alias("symbols"))
 
 
+BUDGET_STATUS_SQL = f"""SELECT recorder, round(arg_max(projected, tick), 1) AS projected_month_gb, arg_max(projected, tick) > (SELECT 0.6 * avg(total) FROM (SELECT sum(CAST(json_extract_string(props, '$.k') AS BIGINT) * 100 + length(event_type)) / 1e3 AS total
+    FROM events GROUP BY user_id % 2 = 0, (epoch_us(ts) // 60000000) // 60)) AS over, arg_max(shed, tick) AS shed, 'view,click,signup' AS shed_order, coalesce(max(tick) FILTER (shed <> was), -1) AS last_action
+FROM (SELECT *, coalesce(lag(shed) OVER (PARTITION BY recorder ORDER BY tick), '') AS was FROM ({BUDGET_TICKS_SQL})) GROUP BY recorder"""
 RECEIPTS_BY_HOUR_SQL = "SELECT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H') AS hour, count(*) AS n, count(DISTINCT user_id) AS symbols FROM events GROUP BY ALL"
 
 
@@ -209,9 +221,9 @@ BYTES_RANK_SQL = f"{FRAMES_SQL} SELECT tier, feed, CAST(sum(bytes) AS BIGINT) AS
 
 QUERIES = {
     "book_ladder": book_ladder, "export_book": export_book, "clean_hours": clean_hours, "open_interest_polls": open_interest_polls, "history_incremental": history_incremental, "tiers_resolved": tiers_resolved,
-    "health_samples": health_samples, "budget_ticks": budget_ticks, "receipts_by_hour": receipts_by_hour, "meta_cadence": meta_cadence, "tier_status": tier_status, "rows_json": rows_json, "rows_json_top": rows_json_top, "bytes_rank": bytes_rank,
+    "health_samples": health_samples, "budget_status": budget_status, "budget_ticks": budget_ticks, "receipts_by_hour": receipts_by_hour, "meta_cadence": meta_cadence, "tier_status": tier_status, "rows_json": rows_json, "rows_json_top": rows_json_top, "bytes_rank": bytes_rank,
 }
 SQL = {
     "book_ladder": BOOK_LADDER_SQL, "export_book": EXPORT_BOOK_SQL, "clean_hours": CLEAN_HOURS_SQL, "open_interest_polls": OPEN_INTEREST_SQL, "history_incremental": HISTORY_SQL, "tiers_resolved": TIERS_SQL,
-    "health_samples": HEALTH_SQL, "budget_ticks": BUDGET_TICKS_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "rows_json_top": ROWS_JSON_TOP_SQL, "bytes_rank": BYTES_RANK_SQL,
+    "health_samples": HEALTH_SQL, "budget_status": BUDGET_STATUS_SQL, "budget_ticks": BUDGET_TICKS_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "rows_json_top": ROWS_JSON_TOP_SQL, "bytes_rank": BYTES_RANK_SQL,
 }

@@ -95,11 +95,17 @@ def skipped(bad: DataFrame) -> DataFrame:
     return bad.groupBy("day", "hour", "dir", "member").agg(F.count("*").alias("skipped_rows"), F.min_by("_bad", "line").alias("first_cause"))
 
 
-def refuse(bad: DataFrame) -> None:
-    """Strict reading: raises on the first bad line, naming its file."""
+def refuse(bad: DataFrame, root: str | None = None) -> None:
+    """Strict reading: raises on the first bad line, naming its file and, below ``root``, the line's number in it."""
     first = bad.orderBy("day", "hour", "dir", "member", "line").first()
-    if first:
-        raise ValueError(f"{first.day}/{first.hour}/{first.dir}/{first.member}: not a row: {first['_bad'][:200]}")
+    if not first:
+        return
+    where = f"{first.day}/{first.hour}/{first.dir}/{first.member}"
+    if root is not None:
+        lines = located(bad.sparkSession.read.text(f"{root}/{where}"))
+        place = lines.filter(F.col("value") == first["_bad"]).agg(F.min("line")).first()[0]
+        where += f", line {lines.filter(F.col('line') <= place).count()}"
+    raise ValueError(f"{where}: not a row: {first['_bad'][:200]}")
 
 
 def filed(tape: DataFrame) -> DataFrame:
