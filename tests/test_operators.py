@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from ticklake.operators import bars, book, health, meter, quality, universe
+from ticklake.operators import bars, book, health, meter, order, quality, universe
 from ticklake.plans.registry import QUERIES, SQL
 from ticklake.schema import validated, widened
 from ticklake.sources import archive, normalize, tape_files, testbed
@@ -332,3 +332,24 @@ def test_greedy_scans_split_over_time(spark, monkeypatch):
         assert q.duplicate_ids(tape, window).first().duplicate_trade_ids == n
     sizes = [r["count"] for r in q.segmented(tape.select("venue", "symbol", "local_receive_ts_ns", "seq", "trade_id"), 50).groupBy("segment").count().collect()]
     assert len(sizes) > 8 and max(sizes) < 2_200 and sum(sizes) >= len(rows)
+
+
+def test_a_long_epoch_splits_over_its_hours(spark, monkeypatch):
+    """Books of one snapshot, some of diffs: tops by stretches of few rows are those of whole epochs, and no stretch is long."""
+    from ticklake.plans.tape_queries import late_diff_tape
+    from ticklake.sources import testbed
+
+    plain = testbed.book(spark, "/root/testdata/sf0.001")
+    once = plain.filter("kind = 'orderbook_delta'").withColumn("update_id", F.row_number().over(order.arrival("symbol")).cast("long"))
+    begun = plain.filter("kind = 'orderbook_snapshot'").groupBy("symbol").agg(F.min("seq").alias("seq"))
+    begun = plain.join(begun, ["symbol", "seq"]).withColumn("update_id", F.lit(0).cast("long")).select(once.columns)
+    for rows, venue in ((once.unionByName(begun), "v"), (late_diff_tape(spark, "/root/testdata/sf0.001"), "binance")):
+        judged = book.verdicts(book.book_rows(rows.withColumn("venue", F.lit(venue)))).persist()
+        want = sorted(map(str, book.tops(judged).collect()))
+        monkeypatch.setattr(book, "STRETCH", 4)
+        cut = book.stretches(book.applied_rows(judged)).persist()
+        longest = cut.groupBy(*book.KEY, "epoch", "stretch").count().agg(F.max("count")).first()[0]
+        whole = cut.groupBy(*book.KEY, "epoch").count().agg(F.max("count")).first()[0]
+        assert sorted(map(str, book.tops(judged).collect())) == want and len(want) > 200 and longest < whole
+        assert book.openings(cut.select("*").withColumns({c: book.level_numbers(c) for c in ("bids", "asks")})).count() > 20
+        monkeypatch.undo()

@@ -34,14 +34,20 @@ def mark_gaps(rows: DataFrame) -> DataFrame:
     earlier delta since the snapshot did. Before the first snapshot the topic
     counts as unhealthy once a delta has come.
     """
-    run = Window.partitionBy(*KEY, "epoch").orderBy(RECV, "seq")
     rows = epochs(rows, {"_cross": F.col("cross_sequence")}).withColumn("previous_cross_sequence", F.coalesce("_cross", F.lit(0))).drop("_cross")
     broken = ~F.col("snapshot") & (F.coalesce("last_id", F.lit(0)) > 0) & (F.col("update_id") != F.col("last_id") + 1)
-    seen = F.sum(broken.cast("int")).over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    gap = ~F.col("snapshot") & ((F.col("epoch") == 0) | (seen > 0))
+    rows = unbroken(rows, F.coalesce(broken, F.lit(False)))
+    gap = ~F.col("unbroken")
     verdict = F.when(F.col("snapshot"), "rebase").when(F.col("epoch") == 0, "before_snapshot").when(gap, "gap").otherwise("apply")
     rows = rows.withColumn("sequence_gap", gap).withColumn("verdict", verdict)
-    return rows.withColumn("previous_update_id", F.coalesce("last_id", F.lit(0))).drop("last_id")
+    return rows.withColumn("previous_update_id", F.coalesce("last_id", F.lit(0))).drop("last_id", "unbroken")
+
+
+def unbroken(rows: DataFrame, broken: F.Column) -> DataFrame:
+    """Adds ``unbroken``: there is a snapshot up to the row, and no ``broken`` row since the last one. An epoch's rows needn't meet for it: the places of both are carried over hours."""
+    rows = carried(rows.withColumn("_broken", broken), KEY, before={"_bad": F.when(F.col("_broken"), ord_()), "_shot": F.when(F.col("snapshot"), ord_())})
+    kept = F.col("_shot").isNotNull() & (F.col("_bad").isNull() | (F.col("_bad") < F.col("_shot")))
+    return rows.withColumn("unbroken", F.col("snapshot") | (~F.col("_broken") & kept)).drop("_broken", "_bad", "_shot")
 
 
 #: What a diff-stream book stands on (null for other books).
@@ -55,10 +61,9 @@ def chain(rows: DataFrame) -> DataFrame:
     one above the last. Inside an unbroken epoch the row before is the last one
     applied, so windows alone decide.
     """
-    run = Window.partitionBy(*KEY, "epoch").orderBy(RECV, "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = epochs(rows)
     broken = ~F.col("snapshot") & (F.coalesce("sequence_gap", F.lit(False)) | ~F.coalesce(F.col("update_id") == F.col("last_id") + 1, F.lit(False)))
-    rows = rows.withColumn("valid", (F.col("epoch") > 0) & (F.sum(broken.cast("int")).over(run) == 0)).drop("last_id")
+    rows = unbroken(rows, broken).withColumnRenamed("unbroken", "valid").drop("last_id")
     return rows.withColumns({"used": F.col("snapshot"), **{n: F.lit(None).cast(t) for n, t in (("diffs", "bigint"), ("at", "bigint"), ("base", BASE))}})
 
 
@@ -121,13 +126,52 @@ def spread_bp(bid: str, ask: str) -> F.Column:
 TOP = "venue string, symbol string, depth int, local_receive_ts_ns bigint, seq bigint, best_bid double, best_ask double, bid_size double, ask_size double"
 
 
+#: Rows of a book after which a new stretch of hours begins, so that a long epoch splits.
+STRETCH = 100_000
+
+
+def stretches(steps: DataFrame) -> DataFrame:
+    """Adds ``stretch``: whole hours of a book, of STRETCH rows and the rest of an hour at most."""
+    rows = steps.withColumn("_hour", F.expr(f"{RECV} div {NS_PER_HOUR}"))
+    past = Window.partitionBy(*KEY).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = rows.groupBy(*KEY, "_hour").agg(F.count("*").alias("_n"))
+    hours = hours.withColumn("_past", F.coalesce(F.sum("_n").over(past), F.lit(0)))
+    return rows.join(hours.select(*KEY, "_hour", F.expr(f"_past div {STRETCH}").alias("stretch")), [*KEY, "_hour"]).drop("_hour")
+
+
+def openings(steps: DataFrame) -> DataFrame:
+    """The levels with which each later stretch of an epoch starts, as one snapshot step: the last size of each price before it, where above zero.
+
+    Only epochs of several stretches have any. A price's last sizes by stretch
+    (sums of parts, so its changes don't meet) are spread over the stretches that
+    they hold for.
+    """
+    held = steps.groupBy(*KEY, "epoch", "stretch").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*KEY, "epoch")
+    held = held.select(*KEY, "epoch", "stretch", F.row_number().over(w.orderBy("stretch")).alias("_i"), F.count("*").over(w).alias("_of")).filter("_of > 1")
+    rows = steps.join(held, [*KEY, "epoch", "stretch"])
+    changes = None
+    for side, column in (("bid", "bids"), ("ask", "asks")):
+        part = rows.select(*KEY, "epoch", "_i", "_of", RECV, "seq", "sub", F.lit(side).alias("side"), F.posexplode(column).alias("pos", "level"))
+        changes = part if changes is None else changes.unionByName(part)
+    place = F.struct(RECV, "seq", "sub", "pos")
+    last = changes.groupBy(*KEY, "epoch", "side", F.col("level.price").alias("price"), "_i", "_of").agg(F.max_by("level.size", place).alias("size"))
+    then = F.lead("_i").over(Window.partitionBy(*KEY, "epoch", "side", "price").orderBy("_i"))
+    live = last.withColumn("_to", F.coalesce(then, F.col("_of"))).filter("size > 0 and _i < _of")
+    spread = live.select(*KEY, "epoch", "side", "price", "size", F.explode(F.sequence(F.col("_i") + 1, F.col("_to"))).alias("_i"))
+    level = F.struct("price", "size")
+    sides = [F.collect_list(F.when(F.col("side") == s, level)).alias(c) for s, c in (("bid", "bids"), ("ask", "asks"))]
+    opened = spread.groupBy(*KEY, "epoch", "_i").agg(*sides)
+    return held.filter("_i > 1").join(opened, [*KEY, "epoch", "_i"], "left")
+
+
 def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Best prices and sizes after each row that ends a step; rows come sorted by book, epoch and order, and one book is held at a time."""
+    """Best prices and sizes after each row that ends a step; rows come sorted by book, epoch, stretch and order, and one book is held at a time."""
     key, sides, best = None, ({}, {}), [None, None]
     for batch in batches:
         out: list[list] = [[] for _ in range(9)]
         for r in batch.to_pylist():
-            now = (r["venue"], r["symbol"], r["depth"], r["epoch"])
+            now = (r["venue"], r["symbol"], r["depth"], r["epoch"], r["stretch"])
             if now != key:
                 key, sides, best = now, ({}, {}), [None, None]
             for i, name in enumerate(("bids", "asks")):
@@ -152,12 +196,18 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def tops(judged: DataFrame) -> DataFrame:
     """Best bid and ask, and their sizes, after each valid row of ``verdicts``.
 
-    A snapshot replaces everything, so books are dealt by epoch, not by symbol:
-    a hot symbol spreads over as many tasks as it has snapshots.
+    A snapshot replaces everything, so books are dealt by epoch, not by symbol, and
+    a long epoch by stretches of its hours, each of which starts from the levels
+    that it found. No task walks more than a stretch of a book at a time.
     """
     n = int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = applied_rows(judged).select(*KEY, "epoch", RECV, "seq", "sub", "final", "snapshot", level_numbers("bids").alias("bids"), level_numbers("asks").alias("asks"))
-    dealt = rows.repartition(n, *KEY, "epoch").sortWithinPartitions(*KEY, "epoch", RECV, "seq", "sub")
+    rows = stored(stretches(rows), "steps")
+    none = F.array().cast(rows.schema["bids"].dataType)
+    first = {RECV: F.lit(-(2**62)), "seq": F.lit(-1).cast("bigint"), "sub": F.lit(-1).cast("bigint"), "final": F.lit(False), "snapshot": F.lit(True), "bids": F.coalesce("bids", none), "asks": F.coalesce("asks", none)}
+    if rows.filter("stretch > 0").limit(1).count():  # else every epoch lies in one stretch
+        rows = rows.unionByName(openings(rows).withColumns(first).select(rows.columns))
+    dealt = rows.repartition(n, *KEY, "epoch", "stretch").sortWithinPartitions(*KEY, "epoch", "stretch", RECV, "seq", "sub")
     return dealt.mapInArrow(_tops, TOP)
 
 
