@@ -184,3 +184,50 @@ def test_strict_reading_names_the_line(spark, tmp_path):
     with pytest.raises(ValueError, match=r"AAA/segment-000000.jsonl, line 5: not a row: torn"):
         tape_files.refuse(bad, str(tmp_path))
     tape_files.refuse(bad.limit(0), str(tmp_path))
+
+
+def test_meta_documents_and_coverage_files(spark, tmp_path):
+    rows = [("tickers_snapshot", "v", "m", 1_704_067_200 * NS + 5, {"symbol": "A", "price": "1"}), ("tickers_snapshot", "v", "m", 1_704_067_200 * NS + 5, {"symbol": "B"}), ("instruments_snapshot", "v", "m", 1_704_067_200 * NS + HOUR, {"symbol": "A"}), ("other", "v", "m", 1_704_067_200 * NS, {"x": "1"})]
+    frame = spark.createDataFrame(rows, "kind string, venue string, market string, recorded_at_ns long, row map<string,string>")
+    tape_files.write_meta(frame, str(tmp_path))
+    back = sorted(((r.kind, r.recorded_at_ns, r.row) for r in tape_files.read_meta(spark, str(tmp_path)).collect()), key=str)
+    assert back == sorted(((k, n, m) for k, _, _, n, m in rows if k != "other"), key=str)
+    assert tape_files.read_meta(spark, str(tmp_path), ["2024-01-01T01"]).count() == 1
+    (tmp_path / "2024-01-01" / "00" / "_meta" / "coverage-1.jsonl").write_text(json.dumps({"venue": "v", "pid": 1, "day": "2024-01-01", "hour": "00"}) + "\n")
+    assert [r.pid for r in tape_files.read_coverage(spark, str(tmp_path)).collect()] == [1]
+    assert tape_files.day_range("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29"] and tape_files.day_range("2024-01-01", "2024-01-01") == ["2024-01-01"]
+
+
+def test_hours_are_converted_once(spark, tmp_path):
+    rows = [("public_trade" if i % 3 else "ticker", "v", "A", 1_704_067_200 * NS + i * HOUR // 2, i) for i in range(8)]
+    tape = widened(spark.createDataFrame(rows, "kind string, venue string, symbol string, local_receive_ts_ns long, seq long"), "seq")
+    first = tape_files.convert_hours(tape.filter("seq < 4"), str(tmp_path / "c")).collect()
+    assert {(r.hour, r.rows) for r in first} == {("00", 2), ("01", 2)} and {r.hour: r.rows_by_kind for r in first}["00"] == {"public_trade": 1, "ticker": 1}
+    again = tape_files.convert_hours(tape, str(tmp_path / "c")).collect()
+    assert {(r.hour, r.rows) for r in again} == {("02", 2), ("03", 2)}
+    assert tape_files.convert_hours(tape, str(tmp_path / "c")).count() == 0
+    assert sorted(r.seq for r in tape_files.read_tape(spark, str(tmp_path / "c"), venue="v").collect()) == list(range(8))
+
+
+def test_small_expressions(spark):
+    from ticklake.functions import scalars
+    from ticklake.operators import universe
+    from ticklake.schema import kind_view
+    from ticklake.sources import normalize
+
+    row = spark.createDataFrame([("12", -1_500_000, 3_600_000_000_001, "book:50", 3.0, 0.0)], "ms string, d long, ns long, feed string, part double, whole double")
+    got = row.select(scalars.ms_to_ns("ms"), scalars.floor_ms("d"), *scalars.hour_bounds("ns"), *scalars.feed_parts("feed"), scalars.safe_ratio("part", "whole"), scalars.safe_ratio("part", "part")).first()
+    assert list(got) == [12_000_000, -2, 3_600_000_000_000, 7_200_000_000_000, "book", "50", None, 1.0]
+    plan = spark.createDataFrame([("A", "trades"), ("A", "book:50"), ("A", "trades"), ("B", "ticker")], "symbol string, feed string")
+    assert {r.symbol: r.feeds for r in universe.feeds_of(plan).collect()} == {"A": ["book:50", "trades"], "B": ["ticker"]}
+    asked = spark.createDataFrame([(0, 1000, 100, 2, 5), (0, 250, 100, 2, 5), (900, 1000, 100, 2, 5)], "seen long, now long, step long, least long, most long")
+    assert [r.n for r in asked.select(normalize.catch_up("seen", "now", "step", "least", "most").alias("n")).collect()] == [5, 3, 2]
+    answer = spark.createDataFrame([("binance", "BTC", 7, '{"E":1,"T":2,"lastUpdateId":99,"bids":[["1","2"]],"asks":[]}')], "venue string, symbol string, recv_ns long, payload string")
+    r = normalize.depth_answers(answer).first()
+    assert (r.update_id, r.depth, r.bids, r.asks, r.exchange_system_ts_ns) == (99, 1000, [["1", "2"]], [], 1_000_000)
+    diffs = spark.createDataFrame([(i, i, i - 1 if i != 3 else 0) for i in range(1, 6)], "seq long, update_id long, previous_update_id long").withColumns({"venue": F.lit("v"), "symbol": F.lit("X"), "local_receive_ts_ns": F.col("seq") * 10})
+    assert [x.sequence_gap for x in normalize.mark_diffs(diffs).orderBy("seq").collect()] == [True, False, True, False, False]
+    resets = spark.createDataFrame([("v", "X", 45)], "venue string, symbol string, local_receive_ts_ns long")
+    assert [x.sequence_gap for x in normalize.mark_diffs(diffs, resets).orderBy("seq").collect()] == [True, False, True, False, True]
+    tape = widened(spark.createDataFrame([("ticker", 1), ("kline", 2)], "kind string, seq long"), "seq")
+    assert [x.seq for x in kind_view(tape, "kline", "other").collect()] == [2]

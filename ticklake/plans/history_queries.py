@@ -274,10 +274,8 @@ SELECT symbol, seq, recv_ns AS local_receive_ts_ns FROM f"""
 
 def universe_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics of two tiers: the thirty users of most turnover, and all; each topic is claimed once."""
-    from pyspark.sql import Window
-
     total = events(spark, sf_dir).groupBy("symbol").agg(F.round(F.sum("value"), 2).alias("v"))
-    first = total.withColumn("n", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("v"), "symbol"))).filter("n <= 30")
+    first = total.orderBy(F.desc("v"), "symbol").limit(30)
     members = first.select(F.lit("deep").alias("tier"), F.lit(0).alias("tier_pos"), "symbol").unionByName(total.select(F.lit("wide").alias("tier"), F.lit(1).alias("tier_pos"), "symbol"))
     feeds = spark.createDataFrame([("deep", "book:50", 0), ("deep", "trades", 1), ("wide", "trades", 0), ("wide", "ticker", 1), ("wide", "book:1", 2)], "tier string, feed string, feed_pos int")
     return universe.plan_topics(members, feeds, spark.createDataFrame([("wide", "book:1")], "tier string, feed string"))

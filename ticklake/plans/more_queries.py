@@ -192,6 +192,18 @@ def rows_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(keys.alias("keys"), *(v.alias(n) for n, v in told.items())).groupBy("symbol", "kind", "keys").agg(F.count("*").alias("n"), F.min(F.col("local_receive_ts_ns").cast("bigint")).alias("first_ns"), F.max(F.col("local_receive_ts_ns").cast("bigint")).alias("last_ns"))
 
 
+def rows_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the tape as its line of compact JSON with sorted keys."""
+    return tape_files.rows_as_json(tape(spark, sf_dir))
+
+
+ROWS_JSON_LINES_SQL = f"""{TAPE_SQL} SELECT '{{' || CASE kind WHEN 'liquidation' THEN '"bankruptcy_price":' || CAST(value + 1 AS VARCHAR) || ',' ELSE '' END || '"exchange_system_ts_ns":' || sent_ns || ',"exchange_ts_ns":' || sent_ns
+  || ',"kind":"' || kind || '","local_receive_mono_ns":' || mono_ns || ',"local_receive_ts_ns":' || recv_ns || CASE kind
+    WHEN 'public_trade' THEN ',"price":' || CAST(value AS VARCHAR) || ',"qty":' || CAST(tqty AS VARCHAR) || ',"side":"' || side || '","symbol":"' || symbol || '","trade_id":"' || trade_id || '"'
+    WHEN 'ticker' THEN ',"message_type":"' || message_type || '","symbol":"' || symbol || '","values":{{"mark_price":' || CAST(value AS VARCHAR) || CASE WHEN oi IS NULL THEN '' ELSE ',"open_interest":' || CAST(oi AS VARCHAR) END || '}}'
+    ELSE ',"position_side":"' || side || '","qty":' || CAST(value AS VARCHAR) || ',"symbol":"' || symbol || '"' END || ',"venue":"testbed"}}' AS value FROM tape"""
+
+
 KEYS_OF = {
     "public_trade": "exchange_system_ts_ns,exchange_ts_ns,kind,local_receive_mono_ns,local_receive_ts_ns,price,qty,side,symbol,trade_id,venue",
     "ticker": "exchange_system_ts_ns,exchange_ts_ns,kind,local_receive_mono_ns,local_receive_ts_ns,message_type,symbol,values,venue",
@@ -221,9 +233,9 @@ BYTES_RANK_SQL = f"{FRAMES_SQL} SELECT tier, feed, CAST(sum(bytes) AS BIGINT) AS
 
 QUERIES = {
     "book_ladder": book_ladder, "export_book": export_book, "clean_hours": clean_hours, "open_interest_polls": open_interest_polls, "history_incremental": history_incremental, "tiers_resolved": tiers_resolved,
-    "health_samples": health_samples, "budget_status": budget_status, "budget_ticks": budget_ticks, "receipts_by_hour": receipts_by_hour, "meta_cadence": meta_cadence, "tier_status": tier_status, "rows_json": rows_json, "rows_json_top": rows_json_top, "bytes_rank": bytes_rank,
+    "health_samples": health_samples, "budget_status": budget_status, "budget_ticks": budget_ticks, "receipts_by_hour": receipts_by_hour, "meta_cadence": meta_cadence, "tier_status": tier_status, "rows_json": rows_json, "rows_json_lines": rows_json_lines, "rows_json_top": rows_json_top, "bytes_rank": bytes_rank,
 }
 SQL = {
     "book_ladder": BOOK_LADDER_SQL, "export_book": EXPORT_BOOK_SQL, "clean_hours": CLEAN_HOURS_SQL, "open_interest_polls": OPEN_INTEREST_SQL, "history_incremental": HISTORY_SQL, "tiers_resolved": TIERS_SQL,
-    "health_samples": HEALTH_SQL, "budget_status": BUDGET_STATUS_SQL, "budget_ticks": BUDGET_TICKS_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "rows_json_top": ROWS_JSON_TOP_SQL, "bytes_rank": BYTES_RANK_SQL,
+    "health_samples": HEALTH_SQL, "budget_status": BUDGET_STATUS_SQL, "budget_ticks": BUDGET_TICKS_SQL, "receipts_by_hour": RECEIPTS_BY_HOUR_SQL, "meta_cadence": META_SQL, "tier_status": tier_status_sql(), "rows_json": ROWS_JSON_SQL, "rows_json_lines": ROWS_JSON_LINES_SQL, "rows_json_top": ROWS_JSON_TOP_SQL, "bytes_rank": BYTES_RANK_SQL,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +13,7 @@ from ticklake.operators.coverage import RECORD
 from ticklake.operators.order import RECV, utc_day_hour
 from ticklake.schema import TAPE, tape_columns
 from ticklake.sources.line_files import read_receipts, write_lines
+from ticklake.sources.scratch import stored
 
 META = "_meta"
 RECEIPT = (
@@ -152,15 +154,36 @@ def write_columnar(tape: DataFrame, path: str, by: tuple[str, ...] = ("venue", "
     rows.write.partitionBy(*by).mode("ignore").option("compression", "zstd").parquet(path)
 
 
+def convert_hours(tape: DataFrame, path: str) -> DataFrame:
+    """Add the hours of ``tape`` that the columnar tape at ``path`` doesn't hold yet; returns them: venue, day, hour, rows and rows by kind.
+
+    Hours that are there are left alone, so a conversion that was cut off goes on
+    with what is missing.
+    """
+    spark = tape.sparkSession
+    held = [re.search(r"venue=([^/]*)/day=([^/]*)/hour=([^/]*)$", x).groups() for x in folders(spark, f"{path}/venue=*/day=*/hour=*")]
+    rows = filed(tape)
+    if held:
+        rows = rows.join(spark.createDataFrame(held, "venue string, day string, hour string"), ["venue", "day", "hour"], "left_anti")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kinds = rows.groupBy("venue", "day", "hour", "kind").agg(F.count("*").alias("n"))
+    told = kinds.groupBy("venue", "day", "hour").agg(F.sum("n").alias("rows"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("kind", "n")))).alias("rows_by_kind"))
+    told = stored(told, "converted")  # before the hours are there
+    dealt = rows.repartition(n, "venue", "day", "hour", "symbol").sortWithinPartitions("venue", "day", "hour", "symbol", "kind", RECV, "seq")
+    dealt.write.partitionBy("venue", "day", "hour").mode("append").option("compression", "zstd").parquet(path)
+    return told
+
+
 def index_summary(files: DataFrame) -> DataFrame:
     """Rows and stamps by file and kind of a columnar tape."""
     return files.groupBy(F.col("_metadata.file_name").alias("file"), "kind").agg(F.count("*").alias("n"), F.min(RECV).alias("first_ns"), F.max(RECV).alias("last_ns"))
 
 
 def rows_as_json(tape: DataFrame, limit: int | None = None) -> DataFrame:
-    """Rows in total order as compact JSON with sorted keys, nulls left out."""
+    """Rows in total order as compact JSON with sorted keys, those of ``values`` too, nulls left out."""
     ordered = tape.orderBy(RECV, "symbol", "seq")
     ordered = ordered.limit(limit) if limit is not None else ordered
+    ordered = ordered.withColumn("values", F.map_from_entries(F.array_sort(F.map_entries("values"))))
     return ordered.select(F.to_json(F.struct(*sorted(c for c, _ in tape_columns()))).alias("value"))
 
 
@@ -190,6 +213,15 @@ def read_meta(spark: SparkSession, root: str, hours: list[str] | None = None) ->
     return docs.filter(F.col("kind").isin("instruments_snapshot", "tickers_snapshot")).select("kind", "venue", "market", "recorded_at_ns", F.explode("rows").alias("row"))
 
 
+def write_meta(snapshots: DataFrame, root: str) -> None:
+    """Snapshots (kind, venue, market, recorded_at_ns, row: a map for each table row) as one document each, ``day/hour/_meta/KIND-VENUE-MARKET-STAMP.json.gz``; ``read_meta`` reads them."""
+    docs = snapshots.groupBy("kind", "venue", "market", "recorded_at_ns").agg(F.collect_list("row").alias("rows"))
+    day, hour = utc_day_hour("recorded_at_ns")
+    name = F.concat(F.concat_ws("-", "kind", "venue", "market", F.col("recorded_at_ns").cast("string")), F.lit(".json.gz"))
+    lines = docs.select(F.concat_ws("/", day, hour, F.lit(META), name).alias("path"), F.to_json(F.struct("kind", "venue", "market", "recorded_at_ns", "rows")).alias("line"))
+    write_lines(lines.repartition("path"), root)
+
+
 def read_coverage(spark: SparkSession, root: str, hours: list[str] | None = None) -> DataFrame:
     return spark.read.schema(RECORD).json(globs(root, hours, [META], "coverage-*"))
 
