@@ -231,3 +231,20 @@ def test_small_expressions(spark):
     assert [x.sequence_gap for x in normalize.mark_diffs(diffs, resets).orderBy("seq").collect()] == [True, False, True, False, True]
     tape = widened(spark.createDataFrame([("ticker", 1), ("kline", 2)], "kind string, seq long"), "seq")
     assert [x.seq for x in kind_view(tape, "kline", "other").collect()] == [2]
+
+
+def test_grid_of_cells(spark):
+    hours = spark.createDataFrame([("1970-01-01T00", 0, HOUR)], "hour string, start long, end long")
+    grants = spark.createDataFrame([("1970-01-01T00", 1, "v", "m", "all", "A", "trades", 0, HOUR, "")], "hour string, rec long, venue string, market string, tier string, symbol string, feed string, start long, end long, topic string")
+    topics = spark.createDataFrame([], "hour string, rec long, topic string, start long, end long, ns long")
+    tables = {"hours": hours, "windows": hours, "grants": grants, "disconnects": topics.drop("ns"), "overruns": topics.drop("start", "end"), "shed": spark.createDataFrame([], "hour string, rec long, tier string, feed string, start long, end long"),
+              "book_gaps": spark.createDataFrame([], "hour string, symbol string, feed string, start long, end long"), "disk_blocked": hours.limit(0)}
+    seen = spark.createDataFrame([("1970-01-01T00", "A", 3, 1, 2), ("1970-01-01T02", "B", 4, 1, 2)], "hour string, symbol string, records long, first_receive_ns long, last_receive_ns long")
+
+    def cells(*args):
+        return sorted((r.hour[-2:], r.symbol, r.feed, r.status, r.records) for r in coverage.symbol_ledger(tables, seen, *args).collect())
+
+    assert cells() == [("00", "A", "trades", "complete", 3), ("02", "B", "*", "observed", 4)]
+    asked = spark.createDataFrame([("a",), ("C",)], "symbol string")
+    assert cells(asked) == [("00", "A", "trades", "complete", 3), ("00", "C", "*", "absent", 0), ("02", "A", "*", "absent", 0), ("02", "C", "*", "absent", 0)]
+    assert cells(None, ["trades", "ticker"]) == [("00", "A", "ticker", "absent", 3), ("00", "A", "trades", "complete", 3), ("02", "B", "ticker", "observed", 4), ("02", "B", "trades", "observed", 4)]

@@ -178,6 +178,46 @@ def ledger(tables: dict[str, DataFrame], observed: DataFrame | None = None, want
     return out.select(*CELL, status.alias("status"), listed.alias("reason_codes"), F.coalesce("records", F.lit(0)).alias("records"), "first_receive_ns", "last_receive_ns")
 
 
+#: The feed of a cell when only a symbol's rows are known.
+ANY_FEED = "*"
+
+
+def grid(tables: dict[str, DataFrame], by_symbol: DataFrame, symbols: DataFrame | None = None, feeds: list[str] | None = None) -> DataFrame:
+    """The cells to answer for, with the rows and stamps of their symbol's receipts.
+
+    Cells are those granted and, in hours without a record, the symbols that have
+    receipts (``by_symbol``, from ``observed_by_symbol``) under the feed ``*``.
+    ``symbols`` (a table with a column symbol) asks for these in every hour that
+    is told or observed, ``feeds`` for these of each symbol; a symbol of which
+    nothing is known in an hour has the feed ``*``.
+    """
+    told, counts = tables["hours"].select("hour").distinct(), by_symbol.select("hour", "symbol", "records", "first_receive_ns", "last_receive_ns")
+    granted = tables["grants"].select(*CELL).distinct()
+    dark = counts.join(told, "hour", "left_anti").select("hour", "symbol", F.lit(ANY_FEED).alias("feed"))
+    pairs = granted.unionByName(dark).distinct()
+    if symbols is not None:
+        hours = told.unionByName(counts.select("hour")).distinct()
+        asked = symbols.select(F.upper("symbol").alias("symbol")).distinct()
+        if hours.isEmpty():
+            return pairs.join(counts, ["hour", "symbol"], "left")
+        first, last = (F.to_timestamp(F.lit(x), "yyyy-MM-dd'T'HH") for x in hours.agg(F.min("hour"), F.max("hour")).first())
+        every = F.transform(F.sequence(first, last, F.expr("interval 1 hour")), lambda h: F.date_format(h, "yyyy-MM-dd'T'HH"))
+        names = asked.select(F.explode(every).alias("hour"), "symbol").join(hours, "hour", "left_semi")
+    else:
+        names = pairs.select("hour", "symbol").distinct()
+    if feeds is not None:
+        cells = names.withColumn("feed", F.explode(F.array(*(F.lit(f) for f in feeds))))
+    else:
+        cells = names.join(pairs, ["hour", "symbol"], "left").withColumn("feed", F.coalesce("feed", F.lit(ANY_FEED)))
+    return cells.join(counts, ["hour", "symbol"], "left")
+
+
+def symbol_ledger(tables: dict[str, DataFrame], by_symbol: DataFrame, symbols: DataFrame | None = None, feeds: list[str] | None = None) -> DataFrame:
+    """The ledger of ``grid``'s cells."""
+    cells = stored(grid(tables, by_symbol, symbols, feeds), "grid")
+    return ledger(tables, observed=cells, wanted=cells)
+
+
 def complete_windows(cells: DataFrame) -> DataFrame:
     """Runs of complete hours of each (symbol, feed): [from_hour, to_hour) as numbers of hours since 1970."""
     hour = F.expr("unix_seconds(to_timestamp(concat(hour, ':00:00'), \"yyyy-MM-dd'T'HH:mm:ss\")) div 3600")

@@ -112,9 +112,8 @@ def observed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 OBSERVED_FEEDS_SQL = f"{TAPE_SQL} SELECT strftime(make_timestamp(recv_ns // 1000), '%Y-%m-%dT%H') AS hour, symbol, feed, count(*) AS records, min(recv_ns) AS first_receive_ns, max(recv_ns) AS last_receive_ns FROM tape GROUP BY ALL"
 
 
-def ledger_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger of cells that were observed, most in hours without a record: even users' hours are told, of trades only."""
-    seen = observed_feeds(spark, sf_dir)
+def told_hours(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Coverage of even hours, of trades only."""
     e = events(spark, sf_dir).withColumn("h", F.expr(f"recv_ns div {HOUR}")).filter("h % 2 = 0")
     hour = F.date_format(F.timestamp_seconds(F.col("h") * 3600), "yyyy-MM-dd'T'HH").alias("hour")
     start, end = (F.col("h") * HOUR).alias("start"), ((F.col("h") + 1) * HOUR).alias("end")
@@ -123,8 +122,29 @@ def ledger_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     grants = base.withColumn("topic", F.concat_ws(".", "feed", "symbol"))
     nothing = {n: base.limit(0).select(*c) for n, c in {"shed": ("hour", "rec", "tier", "feed", "start", "end"), "book_gaps": ("hour", "symbol", "feed", "start", "end"), "disk_blocked": ("hour", "start", "end")}.items()}
     topics = grants.limit(0).select("hour", "rec", "topic", "start", "end")
-    tables = {"hours": hours, "windows": hours, "grants": grants, "disconnects": topics, "overruns": topics.select("hour", "rec", "topic", F.col("start").alias("ns")), **nothing}
-    return coverage.ledger(tables, observed=seen).select("hour", "symbol", "feed", "status", "records")
+    return {"hours": hours, "windows": hours, "grants": grants, "disconnects": topics, "overruns": topics.select("hour", "rec", "topic", F.col("start").alias("ns")), **nothing}
+
+
+def ledger_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of cells that were observed, most in hours without a record."""
+    return coverage.ledger(told_hours(spark, sf_dir), observed=observed_feeds(spark, sf_dir)).select("hour", "symbol", "feed", "status", "records")
+
+
+def ledger_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of every third user in every hour, where only receipts by symbol were kept."""
+    e = events(spark, sf_dir)
+    hour = F.date_format(F.timestamp_seconds(F.expr("recv_ns div 3600000000000 * 3600")), "yyyy-MM-dd'T'HH").alias("hour")
+    receipts = e.groupBy(hour, "symbol").agg(F.count("*").alias("records"), F.min("recv_ns").alias("first_receive_ns"), F.max("recv_ns").alias("last_receive_ns")).withColumn("path", F.concat("symbol", F.lit("/segment-0.jsonl")))
+    asked = e.select("symbol").distinct().filter(F.substring("symbol", 2, 9).cast("int") % 3 == 0)
+    rows = coverage.symbol_ledger(told_hours(spark, sf_dir), coverage.observed_by_symbol(receipts), asked)
+    return rows.select("hour", "symbol", "feed", "status", "records", F.coalesce("last_receive_ns", F.lit(0)).alias("last_receive_ns"))
+
+
+LEDGER_GRID_SQL = f"""WITH e AS (SELECT 'U' || user_id AS symbol, user_id, epoch_us(ts) * 1000 AS ns, (epoch_us(ts) * 1000) // {HOUR} AS h FROM events),
+c AS (SELECT h, symbol, count(*) AS n, max(ns) AS last FROM e GROUP BY ALL),
+g AS (SELECT x.h, y.symbol, coalesce(n, 0) AS n, coalesce(last, 0) AS last FROM (SELECT DISTINCT h FROM e) x CROSS JOIN (SELECT DISTINCT symbol FROM e WHERE user_id % 3 = 0) y LEFT JOIN c ON c.h = x.h AND c.symbol = y.symbol)
+SELECT strftime(make_timestamp(h * 3600000000), '%Y-%m-%dT%H') AS hour, symbol, CASE WHEN h % 2 = 0 AND n > 0 THEN 'trades' ELSE '*' END AS feed,
+  CASE WHEN n = 0 THEN 'absent' WHEN h % 2 = 0 THEN 'complete' ELSE 'observed' END AS status, n AS records, last AS last_receive_ns FROM g"""
 
 
 LEDGER_OBSERVED_SQL = f"""{TAPE_SQL}, o AS (SELECT recv_ns // {HOUR} AS h, symbol, feed, count(*) AS records FROM tape GROUP BY ALL), g AS (SELECT DISTINCT recv_ns // {HOUR} AS h, symbol, 'trades' AS feed FROM tape WHERE (recv_ns // {HOUR}) % 2 = 0),
@@ -285,11 +305,11 @@ SELECT realm, round(k / 1000, 6) AS link_min_rtt_ms, round(greatest(7.0, k / 10)
 
 QUERIES = {
     "hours_finished": hours_finished, "uploads_confirmed": uploads_confirmed, "uploaded_since": uploaded_since, "hours_prunable": hours_prunable, "hours_past_window": hours_past_window, "members_to_fetch": members_to_fetch,
-    "observed_symbols": observed_symbols, "observed_feeds": observed_feeds, "ledger_observed": ledger_observed, "hour_rolls": hour_rolls, "counter_rolls": counter_rolls, "tape_receipts": tape_receipts, "columnar_index": columnar_index,
+    "observed_symbols": observed_symbols, "observed_feeds": observed_feeds, "ledger_grid": ledger_grid, "ledger_observed": ledger_observed, "hour_rolls": hour_rolls, "counter_rolls": counter_rolls, "tape_receipts": tape_receipts, "columnar_index": columnar_index,
     "universe_thresholds": universe_thresholds, "history_lists": history_lists, "listed_symbols": listed_symbols, "table_numbers": table_numbers, "health_parts": health_parts,
 }
 SQL = {
     "hours_finished": HOURS_FINISHED_SQL, "uploads_confirmed": UPLOADS_SQL, "uploaded_since": UPLOADED_SINCE_SQL, "hours_prunable": HOURS_PRUNABLE_SQL, "hours_past_window": HOURS_PAST_SQL, "members_to_fetch": MEMBERS_SQL,
-    "observed_symbols": OBSERVED_SYMBOLS_SQL, "observed_feeds": OBSERVED_FEEDS_SQL, "ledger_observed": LEDGER_OBSERVED_SQL, "hour_rolls": HOUR_ROLLS_SQL, "counter_rolls": COUNTER_ROLLS_SQL, "tape_receipts": TAPE_RECEIPTS_SQL,
+    "observed_symbols": OBSERVED_SYMBOLS_SQL, "observed_feeds": OBSERVED_FEEDS_SQL, "ledger_grid": LEDGER_GRID_SQL, "ledger_observed": LEDGER_OBSERVED_SQL, "hour_rolls": HOUR_ROLLS_SQL, "counter_rolls": COUNTER_ROLLS_SQL, "tape_receipts": TAPE_RECEIPTS_SQL,
     "columnar_index": COLUMNAR_INDEX_SQL, "universe_thresholds": UNIVERSE_THRESHOLDS_SQL, "history_lists": HISTORY_LISTS_SQL, "listed_symbols": LISTED_SQL, "table_numbers": TABLE_NUMBERS_SQL, "health_parts": HEALTH_PARTS_SQL,
 }
