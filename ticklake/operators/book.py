@@ -45,7 +45,8 @@ def mark_gaps(rows: DataFrame) -> DataFrame:
 
 def unbroken(rows: DataFrame, broken: F.Column) -> DataFrame:
     """Adds ``unbroken``: there is a snapshot up to the row, and no ``broken`` row since the last one. An epoch's rows needn't meet for it: the places of both are carried over hours."""
-    rows = carried(rows.withColumn("_broken", broken), KEY, before={"_bad": F.when(F.col("_broken"), ord_()), "_shot": F.when(F.col("snapshot"), ord_())})
+    rows = stored(rows.withColumn("_broken", broken), "links")  # what follows reads it twice
+    rows = carried(rows, KEY, before={"_bad": F.when(F.col("_broken"), ord_()), "_shot": F.when(F.col("snapshot"), ord_())})
     kept = F.col("_shot").isNotNull() & (F.col("_bad").isNull() | (F.col("_bad") < F.col("_shot")))
     return rows.withColumn("unbroken", F.col("snapshot") | (~F.col("_broken") & kept)).drop("_broken", "_bad", "_shot")
 

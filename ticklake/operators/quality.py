@@ -26,21 +26,22 @@ def venue_ns() -> F.Column:
     return F.when(F.col("kind").isin(*LANE_KINDS), 0).when((F.col("kind") == "public_trade") & (sent == 0), own).otherwise(sent)
 
 
+def measured(tape: DataFrame) -> DataFrame:
+    """Rows of a feed with ``feed`` and skew in whole ms (floor)."""
+    late = F.col(RECV) - venue_ns()
+    skew = F.when(venue_ns() > 0, F.expr("0") + (late - F.pmod(late, F.lit(1_000_000))) / 1_000_000)
+    return tape.withColumns({"feed": feed(), "skew": skew.cast("bigint")}).filter("feed <> ''")
+
+
 def clocked(tape: DataFrame) -> DataFrame:
-    """Adds feed, skew in whole ms (floor), silence before the row in ns and whether the clock stepped."""
-    rows = tape.withColumn("feed", feed()).filter("feed <> ''")
+    """``measured`` rows with the silence before the row in ns and whether the clock stepped."""
     lane = F.col("kind").isin(*LANE_KINDS)
     mono = F.when(~lane & (F.coalesce("local_receive_mono_ns", F.lit(0)) > 0), F.col("local_receive_mono_ns"))
-    rows = rows.withColumn("_mono", mono)
-    rows = carried(rows, CELL, before={"_wall": F.col(RECV), "_last": F.col("_mono")})
+    rows = carried(measured(tape).withColumn("_mono", mono), CELL, before={"_wall": F.col(RECV), "_last": F.col("_mono")})
     moved = F.abs((F.col(RECV) - F.col("_mono")) - (F.col("_wall") - F.col("_last")))
     allowed = F.lit(STEP_NS) + (F.abs(F.col("_mono") - F.col("_last")) * SLEW).cast("bigint")
-    late = F.col(RECV) - venue_ns()
-    skew = F.when(venue_ns() > 0, F.expr("0") + (late - F.pmod(late, F.lit(1_000_000))) / 1_000_000)
-    return rows.withColumns({
-        "step": F.coalesce(moved > allowed, F.lit(False)), "skew": skew.cast("bigint"),
-        "silence": F.greatest(F.coalesce(F.col(RECV) - F.col("_wall"), F.lit(0)), F.lit(0)),
-    }).drop("_mono", "_wall", "_last")
+    silence = F.greatest(F.coalesce(F.col(RECV) - F.col("_wall"), F.lit(0)), F.lit(0))
+    return rows.withColumns({"step": F.coalesce(moved > allowed, F.lit(False)), "silence": silence}).drop("_mono", "_wall", "_last")
 
 
 def skew_quantiles(rows: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def segmented(trades: DataFrame, window: int) -> DataFrame:
     key = ("venue", "symbol")
     firsts = trades.groupBy(*key, "trade_id").agg(F.min(ord_()).alias("_first"))  # partial sums and a plain join, so that a hot id can be split
     rows = trades.join(firsts, [*key, "trade_id"]).withColumn("_again", ord_() > F.col("_first")).drop("_first")
-    rows = carried(rows, key, counts={"_n": F.lit(1)})
+    rows = stored(carried(rows, key, counts={"_n": F.lit(1)}), "numbered")
     rows = carried(rows, key, before={"_before": F.when(F.col("_again"), F.col("_n"))})
     repeat = F.coalesce(F.when(F.col("_again"), F.col("_n")), F.col("_before"), F.lit(0))
     every = max(CUT_EVERY, window)
@@ -138,11 +139,12 @@ def build_quality(tape: DataFrame) -> DataFrame:
         F.min_by(F.when(book, snapshot), F.when(book, ord_())).alias("_first"), F.bool_or(F.when(F.col("kind") == "ticker", F.coalesce(said, F.lit(False)))).alias("_any"),
         F.count_if("step").alias("clock_steps"),
     )
-    names = rows.filter("kind = 'ticker'").select(*CELL, F.explode(F.map_keys("values")).alias("name")).distinct().groupBy(*CELL).agg(F.count("*").alias("ticker_fields"))
+    plain = measured(tape)  # what needs no neighbours
+    names = plain.filter("kind = 'ticker'").select(*CELL, F.explode(F.map_keys("values")).alias("name")).distinct().groupBy(*CELL).agg(F.count("*").alias("ticker_fields"))
     chained = verdicts(book_rows(tape)).withColumn("feed", feed())
     judged = chained.groupBy(*CELL).agg(F.count_if(~F.col("snapshot") & ~F.col("valid")).alias("refused"), F.max_by("valid", ord_()).alias("chained"))
     twice = duplicate_ids(tape).withColumn("feed", F.lit("trades"))
-    out = base.join(skew_quantiles(rows), list(CELL), "left").join(names, list(CELL), "left").join(judged, list(CELL), "left").join(twice, list(CELL), "left")
+    out = base.join(skew_quantiles(plain), list(CELL), "left").join(names, list(CELL), "left").join(judged, list(CELL), "left").join(twice, list(CELL), "left")
     zero = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("refused", "ticker_fields", "duplicate_trade_ids")]
     return out.select(
         *CELL, "rows", "first_receive_ns", "last_receive_ns", "max_silence_ms", "skew_min_ms", "skew_p50_ms", "skew_p99_ms", "skew_max_ms",
