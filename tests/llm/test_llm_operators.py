@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,6 +298,17 @@ def test_pack_round_trip(docs, messy, none):
     assert packing.pack(none, path).count() == 0
 
 
+def test_pack_deals_short_texts_to_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 64)
+    rows = packing.pack(spark.createDataFrame([(i, None if i % 2 else "") for i in range(1000)], "doc_id long, text string"), packing.default_tokenizer()).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.sequence_id >> 32, []).append(r)
+    assert sorted(r.doc_id for r in rows) == list(range(1000)) and {r.length for r in rows} == {1}
+    assert len(groups) == 16 and max(map(len, groups.values())) < 128
+    assert all(sorted(r.offset for r in g) == list(range(len(g))) for g in groups.values())
+
+
 def test_pack_balances_cost():
     rng = random.Random(2)
     lengths = [rng.randint(1, 1500) for _ in range(3000)]
@@ -394,6 +406,42 @@ def test_alignments_against_all_offsets(spark):
     assert all(want[k] == v for k, v in got.items())
 
 
+def test_noisy_landmarks_find_nine_of_ten_at_every_rate(spark):
+    rng = np.random.default_rng(21)
+    known = {i: rng.integers(0, 2**32, 120, dtype=np.uint32) for i in range(100)}
+    rates, asked, want = (0.02, 0.05, 0.08, 0.1, 0.12, 0.14, 0.15), {}, {}
+    for k, rate in enumerate(rates):
+        for i, x in known.items():
+            wrong = rng.random((72, 32)) < rate
+            asked[1000 * k + i] = x[20:92] ^ (wrong * (np.uint32(1) << np.arange(32, dtype=np.uint32))).sum(1).astype(np.uint32)
+            if wrong.mean() <= media.ERRORS:
+                want.setdefault(k, set()).add((1000 * k + i, i))
+    table = lambda rows: spark.createDataFrame([(i, x.view(np.int32).tolist()) for i, x in rows.items()], media.PRINTS)
+    got = {(r.query_id, r.id) for r in media.align(table(known), table(asked), media.NOISY).collect()}
+    assert got <= set().union(*want.values())
+    assert all(len(got & pairs) >= 0.9 * len(pairs) for pairs in want.values()), {rates[k]: len(got & w) / len(w) for k, w in want.items()}
+
+
+def test_held_tones_and_long_lists_of_links(spark, monkeypatch):
+    """A held tone of 3,000 numbers is one landmark a mask; lists of links are dealt to rows and none is lost."""
+    monkeypatch.setattr(media, "LISTED", 4)
+    rng = np.random.default_rng(3)
+    tone = np.full(3000, 0x5A5A1234, np.uint32).view(np.int32).tolist()
+    made = [b.num_rows for b in media.landmarks(iter([pa.RecordBatch.from_pylist([{"r": 1, "prints": tone}, {"r": 2, "prints": tone}], pa.schema([("r", pa.int64()), ("prints", pa.list_(pa.int32()))]))]), media.CLEAN)]
+    assert made == [2, 2, 2]
+    base = rng.integers(0, 2**32, 60, dtype=np.uint32)
+    near = {i: base ^ np.where(np.arange(60) == i, 1, 0).astype(np.uint32) for i in range(12)} | {20: base ^ np.where(np.arange(60) == 5, 1, 0).astype(np.uint32)}
+    known = spark.createDataFrame([(i, x.view(np.int32).tolist()) for i, x in near.items()] + [(30, tone[:50]), (31, None), (None, tone)], media.PRINTS)
+    asked = spark.createDataFrame([(7, base.view(np.int32).tolist()), (9, base.view(np.int32).tolist()), (9, base.view(np.int32).tolist()), (8, tone[:40])], media.PRINTS)
+    rows = media.links_of(*media.aligned_classes(known, asked)).collect()
+    queries = [r for r in rows if r.kind == "query"]
+    linked = sorted((r.query_id, x.class_id, x["size"]) for r in queries for x in r.linked or [])
+    assert linked == sorted([(7, i, 2 if i == 5 else 1) for i in range(12)] + [(8, 30, 1)])
+    assert {(r.query_id, r.query_class, r.n_links) for r in queries} == {(7, 7, 13), (9, 7, 13), (8, 8, 1)}
+    assert max(len(r.linked or []) for r in queries) < 12 and sum(r.query_id == 9 for r in queries) == 1
+    assert sorted((r.id, r.class_id) for r in rows if r.kind == "recording") == [(i, i) for i in range(12)] + [(20, 5), (30, 30)]
+
+
 def test_derived_recordings_are_all_found(spark):
     """The registered query against comparing all offsets of all pairs."""
     sf = "/root/testdata/sf0.001"
@@ -406,7 +454,12 @@ def test_derived_recordings_are_all_found(spark):
             found = (media.errors(b, a, s) for s in range(32 - len(a), len(b) - 31))
             if any(n >= 32 and bits <= 0.15 * 32 * n for bits, n in found):
                 want.add((q, r))
-    rows = media.op6_chroma_fingerprints(spark, sf).collect()
+    every = media.op6_chroma_fingerprints(spark, sf).collect()
+    rows = [r for r in every if r.kind == "query"]
+    member = {r.id: r.class_id for r in every if r.kind == "recording"}
+    assert member == {i: min(j for j, y in known.items() if np.array_equal(x, y)) for i, x in known.items()}
+    assert {(r.query_id, i) for r in rows for x in r.linked for i, c in member.items() if c == x.class_id} <= want
+    assert all(r.n_links == sum(x["size"] for x in r.linked) and r.class_id == r.linked[0].class_id for r in rows)
     assert {(r.query_id, r.id) for r in rows} <= want and len(rows) == len({r.query_id for r in rows}) and len(want) >= len(asked)
     assert 0.9 * len(want) <= sum(r.n_links for r in rows) <= len(want)
 

@@ -24,8 +24,12 @@ NOTE = 512
 #: An alignment counts with a bit error rate up to ERRORS over at least OVERLAP numbers.
 ERRORS, OVERLAP = 0.15, 32
 PRINTS = "id long, prints array<int>"
-#: A landmark: the bits of a mask in the numbers at these distances. One that two recordings share is a vote for its offset.
-SPAN, MASKS = (0, 8, 16), (0x0000FFFF, 0x00FFFF00, 0xFFFF0000)
+#: Landmarks: the bits of each tuple's masks in the numbers at these distances. One that two recordings share is a vote for its offset.
+CLEAN = (0, 8, 16), [(m,) * 3 for m in (0x0000FFFF, 0x00FFFF00, 0xFFFF0000)]
+#: Sixteen landmarks of 32 bits, a byte of each of four numbers: one or more survive error rates up to ERRORS, for many more offsets to compare.
+NOISY = (0, 4, 8, 12), [tuple(0xFF << 8 * ((start + turn * i) % 4) for i in range(4)) for turn in range(4) for start in range(4)]
+#: Links that one row of ``links_of`` lists.
+LISTED = 1024
 
 #: The bank: each filter is (frames, first pitch class, pitch classes, how its rectangle is halved).
 FILTERS = [(w, c, h, kind) for kind in ("whole", "time", "pitch", "cross") for w, c, h in ((2, 0, 12), (4, 0, 6), (4, 6, 6), (8, 3, 6))]
@@ -100,21 +104,26 @@ def errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
     return int(np.bitwise_count(a[i : i + n] ^ b[j : j + n]).sum()), n
 
 
-def landmarks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(key, r, at)``: each landmark of each recording and where it starts."""
+def landmarks(batches: Iterator[pa.RecordBatch], marks: tuple) -> Iterator[pa.RecordBatch]:
+    """``(key, r, at, n)``: each run of n equal landmarks of each recording and where it starts (a held tone is one row)."""
+    span, masks = marks
     for batch in batches:
         lists = batch.column("prints")
         size = np.array([len(x) for x in lists])
         numbers = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint32)
         ends = np.cumsum(size)
         place = np.arange(len(numbers)) - np.repeat(ends - size, size)
-        whole = np.flatnonzero(np.repeat(size, size) - place > SPAN[-1])
-        r = np.repeat(batch.column("r").to_numpy(zero_copy_only=False), size)[whole]
-        for k, mask in enumerate(MASKS):
+        whole = np.flatnonzero(np.repeat(size, size) - place > span[-1])
+        if not len(whole):
+            continue
+        r, at = np.repeat(batch.column("r").to_numpy(zero_copy_only=False), size)[whole], place[whole]
+        for k, mask in enumerate(masks):
             key = np.full(len(whole), k + 1, np.uint64)
-            for step in SPAN:
-                key = K.mix(key * K._U(K._BASE) + (numbers[whole + step] & np.uint32(mask)).astype(np.uint64))
-            yield batch_of({"key": key.view(np.int64), "r": r, "at": place[whole].astype(np.int32)})
+            for step, bits in zip(span, mask, strict=True):
+                key = K.mix(key * K._U(K._BASE) + (numbers[whole + step] & np.uint32(bits)).astype(np.uint64))
+            first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (at[1:] == 0))))
+            n = np.diff(np.append(first, len(key)))
+            yield batch_of({"key": key[first].view(np.int64), "r": r[first], "at": at[first].astype(np.int32), "n": n.astype(np.int32)})
 
 
 def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,34 +149,41 @@ def classes_of(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(rows.select("id", "h", "g").join(reps.select("h", "g", "r"), ["h", "g"]).select("id", "r"), "members"), reps.select("r", "prints")
 
 
-def align(prints: DataFrame, queries: DataFrame) -> DataFrame:
-    """Recordings of ``prints`` that align with a recording of ``queries`` (both: id, prints).
-
-    Equal fingerprints (whole lists) form a class, searched once. A landmark takes
-    half of the bits of three numbers, in three ways; every recording is indexed
-    by all of its landmarks, and those it shares with a query are counted by
-    offset. Every offset of the histogram is then compared bit by bit. Returns
-    query_id, id, shift, votes (equal numbers), overlap and ber for alignments
-    with a rate up to ERRORS over OVERLAP numbers or more, for each pair the one
-    of the least rate (ties: longest overlap, then least shift), each recording
-    of a class by itself. An alignment without a common landmark is missed: the
-    README has the recall against comparing all offsets of all pairs. Ids that
-    repeat with other fingerprints, and rows that repeat, are recordings of their
-    own; rows without an id or numbers align with nothing; other columns are
-    ignored; empty tables give no rows.
-    """
+def aligned_classes(prints: DataFrame, queries: DataFrame, marks: tuple = CLEAN) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(pairs, member, wanted)``: aligned classes (q, r, x: the best alignment), the recordings' classes and the queries' (both: id, r)."""
     member, reps = classes_of(prints)
     wanted, asked = classes_of(queries)
-    marks = "key long, r long, at int"
-    known = reps.mapInArrow(landmarks, marks)
-    searched = asked.mapInArrow(landmarks, marks).withColumnsRenamed({"r": "q", "at": "asked_at"})
-    offsets = searched.join(known, "key").groupBy("q", "r", (F.col("at") - F.col("asked_at")).alias("shift")).agg(F.count("*").alias("landmarks"))
-    offsets = written(offsets.select("q", "r", F.col("shift").cast("long")), "offsets")
+    columns = "key long, r long, at int, n int"
+    known = reps.mapInArrow(lambda it: landmarks(it, marks), columns)
+    searched = asked.mapInArrow(lambda it: landmarks(it, marks), columns).withColumnsRenamed({"r": "q", "at": "asked_at", "n": "asked_n"})
+    shifts = F.sequence(F.expr("bigint(at - asked_at - asked_n + 1)"), F.expr("bigint(at - asked_at + n - 1)"))
+    offsets = searched.join(known, "key").select("q", "r", F.explode(shifts).alias("shift"))
+    offsets = written(offsets.distinct(), "offsets")
     both = offsets.join(asked.select(F.col("r").alias("q"), F.col("prints").alias("asked")), "q").join(reps.select("r", F.col("prints").alias("known")), "r")
     good = both.select("q", "r", "shift", "asked", "known").mapInArrow(compared, "q long, r long, shift long, votes long, overlap long, ber double")
     best = F.min(F.struct("ber", (-F.col("overlap")).alias("less"), "shift", "votes")).alias("x")
-    good = written(good.groupBy("q", "r").agg(best), "aligned")
-    out = good.join(member, "r").join(wanted.select(F.col("r").alias("q"), F.col("id").alias("query_id")), "q")
+    return written(good.groupBy("q", "r").agg(best), "aligned"), member, wanted
+
+
+def align(prints: DataFrame, queries: DataFrame, marks: tuple = CLEAN) -> DataFrame:
+    """Recordings of ``prints`` that align with a recording of ``queries`` (both: id, prints).
+
+    Equal fingerprints (whole lists) form a class, searched once. ``marks`` says
+    which bits of which numbers make a landmark; every recording is indexed by
+    all of its landmarks, a run of equal ones by one row, and each that it shares
+    with a query votes for an offset, two runs for each that brings them together.
+    Every offset with a vote is then compared bit by bit. Returns query_id, id, shift, votes (equal numbers),
+    overlap and ber for alignments with a rate up to ERRORS over OVERLAP numbers
+    or more, for each pair the one of the least rate (ties: longest overlap, then
+    least shift), each recording of a class by itself. An alignment without a
+    common landmark is missed: CLEAN finds nine of ten up to 8 % of bit errors,
+    NOISY up to ERRORS (the README has both against comparing all offsets of all
+    pairs). Ids that repeat with other fingerprints, and rows that repeat, are
+    recordings of their own; rows without an id or numbers align with nothing;
+    other columns are ignored; empty tables give no rows.
+    """
+    pairs, member, wanted = aligned_classes(prints, queries, marks)
+    out = pairs.join(member, "r").join(wanted.select(F.col("r").alias("q"), F.col("id").alias("query_id")), "q")
     return out.select("query_id", "id", F.col("x.shift").alias("shift"), F.col("x.votes").alias("votes"), (-F.col("x.less")).alias("overlap"), F.col("x.ber").alias("ber"))
 
 
@@ -203,19 +219,36 @@ def derived_prints(embeddings: DataFrame, first: int = 0, last: int | None = Non
     return embeddings.select("vec_id", "embedding").mapInArrow(lambda it: fingerprinted(synthesised(it, first, last, noise)), PRINTS)
 
 
-def links_of(aligned: DataFrame) -> DataFrame:
-    """One row for each query of ``align``'s pairs: class_id (least recording it aligns with), n_links (how many) and the alignment of the least rate.
+def links_of(pairs: DataFrame, member: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The links of ``aligned_classes`` and the members of its classes, with none lost and no copies expanded.
 
-    Near copies of a recording all align with one query, so the pairs of a group
-    grow with its square; these rows grow with the queries.
+    Rows of kind ``query``, one for each query that aligns: query_class, class_id
+    (the least recording it aligns with), n_links (with how many), the alignment
+    of the least rate, and in ``linked`` all classes it aligns with, each with its
+    alignment. The list stands at the query that names its class; one of over
+    LISTED entries is dealt to further rows of that query (``part``). Rows of kind
+    ``recording``, one for each recording with numbers: id and class_id, the least
+    id of equal fingerprints. Rows grow with the recordings, not with pairs.
     """
-    best = F.min(F.struct("ber", (-F.col("overlap")).alias("less"), "id", "shift", "votes")).alias("x")
-    rows = aligned.groupBy("query_id").agg(F.min("id").alias("class_id"), F.count("*").alias("n_links"), best)
-    return rows.select("query_id", "class_id", "n_links", F.col("x.id").alias("id"), F.col("x.shift").alias("shift"), F.col("x.votes").alias("votes"), (-F.col("x.less")).alias("overlap"), F.col("x.ber").alias("ber"))
+    sizes = member.groupBy("r").agg(F.count("*").alias("size"))
+    found = written(pairs.join(sizes, "r"), "links")
+    best = F.min(F.struct("x.ber", "x.less", F.col("r").alias("id"), "x.shift", "x.votes")).alias("best")
+    total = found.groupBy("q").agg(F.min("r").alias("class_id"), F.sum("size").alias("n_links"), F.count("*").alias("classes"), best)
+    link = F.struct(F.col("r").alias("class_id"), "size", "x.shift", "x.votes", (-F.col("x.less")).alias("overlap"), "x.ber")
+    part = F.pmod(F.xxhash64("r"), F.ceil(F.col("classes") / LISTED)).cast("int").alias("part")
+    lists = found.join(total.select("q", "classes"), "q").groupBy("q", part).agg(F.sort_array(F.collect_list(link)).alias("linked"))
+    asked = wanted.groupBy("id", "r").agg(F.count("*").alias("rows")).select(F.col("id").alias("query_id"), F.col("r").alias("q"))
+    named = lists.withColumn("query_id", F.col("q"))
+    rows = asked.join(total, "q").join(named, ["q", "query_id"], "left")
+    rows = rows.select(
+        F.lit("query").alias("kind"), "query_id", F.col("q").alias("query_class"), "class_id", "n_links", F.col("best.id").alias("id"), F.col("best.shift").alias("shift"),
+        F.col("best.votes").alias("votes"), (-F.col("best.less")).alias("overlap"), F.col("best.ber").alias("ber"), "part", "linked",
+    )
+    return rows.unionByName(member.select(F.lit("recording").alias("kind"), "id", F.col("r").alias("class_id")), allowMissingColumns=True)
 
 
 def op6_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With which recordings, of all, the noisy excerpts of those whose id is divisible by 50 align: a row for each excerpt."""
+    """With which recordings, of all, the noisy excerpts of those whose id is divisible by 50 align: a row for each excerpt, and the recordings' classes."""
     vectors = read_table(spark, sf_dir, "embeddings")
     asked = derived_prints(vectors.filter("vec_id % 50 = 0"), first=16, last=56, noise=600)
-    return links_of(align(derived_prints(vectors), asked))
+    return links_of(*aligned_classes(derived_prints(vectors), asked))

@@ -25,6 +25,8 @@ END_ID = 1
 FILLER = 256
 #: Sequences of one packing group; a group is one task's work.
 GROUP = 2048
+#: Pieces of a group at most, about (a group is one task's rows; a table of empty texts has one token each).
+GROUP_PIECES = 1 << 17
 #: Attention cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
@@ -166,7 +168,8 @@ def pack(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
 
     A document's ids end with END_ID; a null or empty text is END_ID alone. Each
     document is cut into pieces of SEQUENCE tokens and a remainder. Pieces are
-    dealt by hash to groups of about GROUP sequences; in a group the longest
+    dealt by hash to groups of about GROUP sequences, or GROUP_PIECES pieces where
+    texts are short; in a group the longest
     piece goes first, each to the sequence of the lowest attention cost that has
     room. Pieces of up to FILLER tokens are cut where they would open a new
     sequence. A sequence is padded to SEQUENCE unless its length is a power of
@@ -177,8 +180,8 @@ def pack(docs: DataFrame, tokenizer: str, seed: int = 0) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = written(rows.mapInArrow(lambda it: cut_pieces(it, tokenizer), PIECES), "pieces")
-    total = pieces.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, math.ceil(total / (SEQUENCE * GROUP)))
+    total, n = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    groups = max(1, math.ceil(total / (SEQUENCE * GROUP)), math.ceil(n / GROUP_PIECES))
     group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", F.monotonically_increasing_id()), F.lit(groups))
     return pieces.groupBy(group.alias("g")).applyInArrow(pack_group, PLACED)
 
