@@ -41,3 +41,11 @@ def test_lookback_at_zero_and_at_ties(spark, tmp_path):
     events = [(seq, START + us, 7, "signup", value, k) for seq, us, value, k in rows]
     got, want = against_sql(spark, tmp_path, "universe_lookback", events)
     assert got == want == [repr(("U7", 5, 0.25, 0.25)), repr(("U7", 8, None, 0.0))]
+
+
+def test_a_member_listed_twice_is_fetched_once(spark, tmp_path):
+    lines = "l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_partkey bigint, l_quantity double, l_shipdate timestamp_ntz, l_returnflag string"
+    same = [(9, 7, 1, 80, 41.0, "N"), (9, 7, 2, 40, 41.0, "R"), (9, 7, 2, 40, 43.0, "R"), (10, 1, 1, 80, 39.0, "N"), (11, 2, 1, 43, 5.0, "N"), (12, 7, 1, 43, 5.0, "N")]
+    rows = spark.createDataFrame(same, "a bigint, b int, c bigint, d bigint, e double, g string").selectExpr("a", "b", "c", "d", "e", "timestamp_ntz '1996-04-15 00:00:00'", "g").toDF(*(c.split()[0] for c in lines.split(", ")))
+    got, want = against_sql(spark, tmp_path, "members_to_fetch", lineitem=rows)
+    assert got == want and sum("segment-9-7" in r for r in got) == 2  # one for each size

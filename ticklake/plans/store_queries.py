@@ -77,7 +77,7 @@ HOURS_PAST_SQL = f"{LINE_SQL} SELECT DISTINCT l_returnflag AS tape, h FROM l WHE
 
 
 def members_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members that orders of urgent symbols (parts) need and that aren't held alike; parts that no member has are named."""
+    """Members that orders of urgent symbols (parts) need and that aren't held alike, each once; parts that no member has are named."""
     rows = lines(spark, sf_dir)
     base = rows.select(F.lit("t").alias("tape"), F.lit("d").alias("day"), (F.col("h") % 24).cast("string").alias("hour"), F.concat(F.lit("P"), F.col("l_partkey") % 40).alias("symbol"), "l_orderkey", "l_linenumber", "bytes")
     members = base.select("tape", "day", "hour", "symbol", F.concat_ws("-", F.lit("segment"), "l_orderkey", "l_linenumber").alias("member"), F.col("bytes").alias("size"), F.sha2(F.col("l_orderkey").cast("string"), 256).alias("sha256"))
@@ -89,7 +89,8 @@ def members_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch.select("hour", "symbol", "path").unionByName(missing.select("hour", "symbol", F.lit("missing").alias("path")))
 
 
-MEMBERS_SQL = f"""{LINE_SQL}, m AS (SELECT CAST(h % 24 AS VARCHAR) AS hour, 'P' || (l_partkey % 40) AS symbol, 'segment-' || l_orderkey || '-' || l_linenumber AS path, bytes, l_linenumber FROM l),
+#: A member is listed once, however often the table repeats its line.
+MEMBERS_SQL = f"""{LINE_SQL}, m AS (SELECT DISTINCT CAST(h % 24 AS VARCHAR) AS hour, 'P' || (l_partkey % 40) AS symbol, 'segment-' || l_orderkey || '-' || l_linenumber AS path, bytes, l_linenumber FROM l),
 a AS (SELECT DISTINCT hour, symbol FROM m WHERE l_linenumber = 7)
 SELECT hour, symbol, path FROM m SEMI JOIN a USING (hour, symbol) WHERE symbol <> 'P3' AND NOT (bytes % 3000 = 0 AND bytes % 2000 <> 0)
 UNION ALL SELECT hour, symbol, 'missing' FROM a WHERE symbol = 'P3'"""
