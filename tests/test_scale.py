@@ -1,10 +1,14 @@
 """What larger tables bring: values of zero, ties, copies, and many rows of one hour."""
 
+import json
+
 import duckdb
-import pytest
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from ticklake.plans import registry
+from ticklake.sources import file_audit, line_files, tape_files
 
 START = 1_704_067_200_000_000
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -49,3 +53,42 @@ def test_a_member_listed_twice_is_fetched_once(spark, tmp_path):
     rows = spark.createDataFrame(same, "a bigint, b int, c bigint, d bigint, e double, g string").selectExpr("a", "b", "c", "d", "e", "timestamp_ntz '1996-04-15 00:00:00'", "g").toDF(*(c.split()[0] for c in lines.split(", ")))
     got, want = against_sql(spark, tmp_path, "members_to_fetch", lineitem=rows)
     assert got == want and sum("segment-9-7" in r for r in got) == 2  # one for each size
+
+
+def test_the_driver_gets_a_folder_of_each_task_and_no_list_of_files(spark, tmp_path):
+    writer = line_files.LineWriter(f"file://{tmp_path}", "", "job")
+    many = pa.RecordBatch.from_arrays([pa.array([f"d/{i // 2:05d}" for i in range(4000)]), pa.array([str(i) for i in range(4000)])], names=["path", "line"])
+    told = writer.write(iter([many]))
+    assert len(repr(told)) < 1000 and sum(1 for _ in line_files.read_manifest(*fs.FileSystem.from_uri(f"file://{told.folder}"))) == 2000
+    writer.abort([told])
+    lines = spark.range(4000).select(F.format_string("d%02d/f%04d.gz", F.col("id") % 7, F.expr("id div 2")).alias("path"), F.col("id").cast("string").alias("line"))
+    line_files.write_lines(lines.repartition(3, "path").sortWithinPartitions("path", "line"), f"file://{tmp_path}/out", "head", "told")
+    told = line_files.read_receipts(spark, f"file://{tmp_path}/out", "told")
+    back = file_audit.lines_below(spark, f"file://{tmp_path}/out/*", "f*")
+    assert told.count() == back.filter("n = 0 and line = 'head'").count() == lines.select("path").distinct().count()
+    assert back.filter("n > 0").count() == 4000 and len(list((tmp_path / "out").glob("told-*.jsonl"))) == 3
+
+
+def test_moving_a_tasks_files_may_be_repeated(tmp_path):
+    folder = tmp_path / "_parts-j" / "0"
+    folder.mkdir(parents=True)
+    (folder / "manifest.jsonl").write_text("".join(json.dumps({"path": f"a/{n}", "rows": 1, "bytes": 1, "sha256": ""}) + "\n" for n in "xy"))
+    for i, n in enumerate("xy"):
+        (folder / str(i)).write_text(n)
+    line_files.publish(f"file://{tmp_path}", str(folder), "told", "j")
+    (tmp_path / "a" / "y").rename(folder / "1")  # as if the first attempt had ended before its last file
+    line_files.publish(f"file://{tmp_path}", str(folder), "told", "j")
+    assert [(tmp_path / "a" / n).read_text() for n in "xy"] == ["x", "y"]
+    assert len((tmp_path / "told-j-0.jsonl").read_text().splitlines()) == 2
+
+
+def test_a_tape_of_many_segments_is_listed_by_folders(spark, tmp_path):
+    for i in range(40):
+        folder = tmp_path / "2024-01-01" / f"{i % 2:02d}" / f"S{i // 2}"
+        folder.mkdir(parents=True)
+        (folder / "segment-000000.jsonl").write_text(json.dumps({"kind": "ticker", "local_receive_ts_ns": i}) + "\n")
+    (tmp_path / "segments-x.jsonl").write_text('{"path": "x"}\n')
+    rows, bad = tape_files.read_json_tape(spark, f"file://{tmp_path}")
+    assert {r.symbol for r in rows.select("symbol", "kind").collect()} == {f"S{i}" for i in range(20)} and bad.collect() == []
+    roots = rows._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths()
+    assert roots.size() == 2 and len(rows.inputFiles()) == 40  # two hours, and not 40 paths
