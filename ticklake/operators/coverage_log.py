@@ -62,16 +62,17 @@ def hour_documents(log: DataFrame, feeds: DataFrame) -> DataFrame:
     def inside(spans: DataFrame, *key: str, keep_open: bool = False) -> DataFrame:
         return rolled(spans, up, *key, keep_open=keep_open, of=PROCESS)
 
-    names = ("tier", "symbol", "feed", "shard", "topics", "topic", "depth", "from_ns", "to_ns")
-    kinds = dict(f.split() for f in "tier string, symbol string, feed string, shard bigint, topics array<string>, topic string, depth bigint, from_ns bigint, to_ns bigint".split(", "))
+    names = ("tier", "symbol", "feed", "shard", "topics", "topic", "depth", "from_ns", "to_ns", "spans")
+    kinds = dict(f.split() for f in "tier string, symbol string, feed string, shard bigint, topics array<string>, topic string, depth bigint, from_ns bigint, to_ns bigint, spans array<array<bigint>>".split(", "))
 
     def pieces(what: str, rows: DataFrame) -> DataFrame:
         have = set(rows.columns)
         return rows.select(*PROCESS, "hour", F.lit(what).alias("what"), *(F.col(n).cast(kinds[n]).alias(n) if n in have else F.lit(None).cast(kinds[n]).alias(n) for n in names))
 
     heard = log.filter("what = 'overrun'").select(*PROCESS, "shard", "ns").join(up, list(PROCESS)).filter("from_ns <= ns and ns < to_ns")
+    members = inside(folded("member", "tier", "symbol"), "tier", "symbol").groupBy(*PROCESS, "hour", "tier", "symbol")
     parts = [
-        pieces("member", inside(folded("member", "tier", "symbol"), "tier", "symbol")),
+        pieces("member", members.agg(F.sort_array(F.collect_list(F.array("from_ns", "to_ns"))).alias("spans"))),  # so that a document's members need no search
         pieces("shard", inside(topology(log), "shard", "tier", "topics")),
         pieces("disconnect", inside(outages(log), "shard", "tier", "topics")),
         pieces("gap", inside(folded("gap", "topic", "symbol", "depth"), "topic", "symbol", "depth", keep_open=True)),
@@ -100,7 +101,7 @@ def hour_documents(log: DataFrame, feeds: DataFrame) -> DataFrame:
 
 #: What a document gathers of each kind, in the order of its lists.
 GATHERED = {
-    "member": ("tier", "symbol", "from_ns", "to_ns"), "shard": ("shard", "from_ns", "tier", "topics"), "disconnect": ("from_ns", "shard", "to_ns", "tier", "topics"), "overrun": ("from_ns", "shard"),
+    "member": ("tier", "symbol", "spans"), "shard": ("shard", "from_ns", "tier", "topics"), "disconnect": ("from_ns", "shard", "to_ns", "tier", "topics"), "overrun": ("from_ns", "shard"),
     "gap": ("from_ns", "topic", "to_ns", "symbol", "depth"), "shed": ("tier", "feed", "from_ns", "to_ns"), "disk": ("from_ns", "to_ns"),
 }
 
@@ -116,10 +117,8 @@ def told(what: str, *fields: str) -> Column:
 
 def members_of(tier: Column) -> Column:
     """Spans by symbol of one tier."""
-    own = F.filter("_member", lambda m: m["tier"] == tier)
-    symbols = F.array_sort(F.array_distinct(F.transform(own, lambda m: m["symbol"])))
-    spans = F.transform(symbols, lambda s: F.transform(F.filter(own, lambda m: m["symbol"] == s), lambda m: F.array(m["from_ns"], m["to_ns"])))
-    return F.coalesce(F.map_from_arrays(symbols, spans), F.create_map().cast("map<string,array<array<bigint>>>"))
+    own = F.transform(F.filter("_member", lambda m: m["tier"] == tier), lambda m: F.struct(m["symbol"], m["spans"]))
+    return F.coalesce(F.map_from_entries(own), F.create_map().cast("map<string,array<array<bigint>>>"))
 
 
 def latest_shards() -> Column:
