@@ -7,8 +7,10 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import functions as F
 
-from ticklake.plans import registry
+from ticklake.operators import order
+from ticklake.plans import registry, stream_queries
 from ticklake.sources import file_audit, line_files, tape_files
+from ticklake.streaming import state
 
 START = 1_704_067_200_000_000
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -92,3 +94,22 @@ def test_a_tape_of_many_segments_is_listed_by_folders(spark, tmp_path):
     assert {r.symbol for r in rows.select("symbol", "kind").collect()} == {f"S{i}" for i in range(20)} and bad.collect() == []
     roots = rows._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths()
     assert roots.size() == 2 and len(rows.inputFiles()) == 40  # two hours, and not 40 paths
+
+
+def test_symbols_of_a_stream_share_states(spark, tmp_path):
+    rows = spark.range(6000).selectExpr("'v' AS venue", "concat('S', id % 3000) AS symbol", "id AS seq", "10 * (id div 3000) + id % 7 - 50 * (id div 5000) AS local_receive_ts_ns", "id % 2 AS local_receive_mono_ns")
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = state.stream_clamped(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"))
+    query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/at").trigger(availableNow=True).start()
+    query.awaitTermination()
+    columns = ["symbol", "seq", "local_receive_ts_ns", "local_receive_mono_ns"]
+    got, want = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").select(columns), order.clamp_late(rows).select(columns)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.join(rows, columns, "left_anti").count() > 900
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= state.LANES < 3000
+
+
+def test_a_run_of_a_stream_lands_in_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "scratch", lambda spark, name: f"file://{tmp_path}/{name}")
+    rows = spark.range(900).selectExpr("'v' AS venue", "concat('S', id % 9) AS symbol", "id AS seq", "id AS local_receive_ts_ns", "id AS local_receive_mono_ns").repartition(8)
+    assert stream_queries.replayed(rows, "late", state.stream_clamped).count() == 900
+    assert len(list((tmp_path / "late").glob("*.parquet"))) > 3 and len(list((tmp_path / "late_stream" / "checkpoint" / "commits").glob("[0-9]*"))) == 3

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +23,23 @@ def drained(stream: DataFrame, name: str, home: str | None = None) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{home}/rows")
 
 
-def landed(tape: DataFrame, name: str, files: int = 3) -> DataFrame:
-    """``tape`` as a stream of files in arrival order, a file for each micro-batch."""
+def replayed(tape: DataFrame, name: str, operator: Callable[[DataFrame], DataFrame], runs: int = 3) -> DataFrame:
+    """What ``operator`` gives for ``tape`` that lands in arrival order: a micro-batch for each of ``runs``, which goes on from the checkpoint of the one before.
+
+    A run's files are written by as many tasks as hold its rows: the run, not one
+    file, makes the micro-batch.
+    """
     spark, root = tape.sparkSession, scratch(tape.sparkSession, name)
-    last = tape.agg(F.max("seq")).first()[0] or 0
-    for i in range(files):
-        tape.filter(f"seq div {last // files + 1} = {i}").coalesce(1).write.mode("append").parquet(root)
-    return spark.readStream.schema(tape.schema).option("maxFilesPerTrigger", 1).parquet(root)
+    home, last, out = scratch(spark, f"{name}_stream"), tape.agg(F.max("seq")).first()[0] or 0, None
+    for i in range(runs):
+        tape.filter(f"seq div {last // runs + 1} = {i}").write.mode("append").parquet(root)
+        out = drained(operator(spark.readStream.schema(tape.schema).parquet(root)), name, home)
+    return out
 
 
 def stream_bars_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-day bars that a stream of the whole tape has closed: all but each symbol's last."""
-    return rounded(drained(live_bars.stream_bars(landed(whole_tape(spark, sf_dir), "tape"), 86_400, idle=None), "bars"))
+    return rounded(replayed(whole_tape(spark, sf_dir), "tape", lambda rows: live_bars.stream_bars(rows, 86_400, idle=None)))
 
 
 STREAM_BARS_SQL = f"SELECT * FROM ({BARS_FULL_SQL}) QUALIFY bucket_start_ns < max(bucket_start_ns) OVER (PARTITION BY symbol)"
@@ -56,7 +63,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in a disturbed arrival order, clamped as they come."""
     rows = testbed.tape(spark, sf_dir)
     moved = rows.withColumn("local_receive_ts_ns", F.col("local_receive_ts_ns") - F.when(F.col("seq") % 7 == 0, 10**15).otherwise(0))
-    return drained(state.stream_clamped(landed(moved, "late")), "clamped").select("seq", "symbol", "local_receive_ts_ns", "local_receive_mono_ns")
+    return replayed(moved, "late", state.stream_clamped).select("seq", "symbol", "local_receive_ts_ns", "local_receive_mono_ns")
 
 
 STREAM_LATE_SQL = f"""{testbed.TAPE_SQL}, a AS (SELECT *, recv_ns - CASE WHEN seq % 7 = 0 THEN 1000000000000000 ELSE 0 END AS stamp FROM tape),

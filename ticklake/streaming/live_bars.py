@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pickle
 from bisect import bisect_left
+from collections import namedtuple
 from collections.abc import Iterator
+from operator import attrgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,6 +17,7 @@ from ticklake.operators.bars import TICKER_COLUMNS, step_ns
 from ticklake.operators.book import HELD, RECENT, is_diff_stream, takes, whole_at
 from ticklake.operators.order import RECV
 from ticklake.schema import level_numbers
+from ticklake.streaming.state import lane
 
 BAR = (
     "venue string, symbol string, bucket_start_ns bigint, trades bigint, volume double, buy_volume double, sell_volume double, notional double, open double, high double, low double, close double, "
@@ -154,6 +157,7 @@ class Symbol:
         self.stamp = -(2**62)  # the largest stamp so far; later arrivals are clamped to it
         self.bar: OpenBar | None = None
         self.books: dict[int, LiveBook] = {}
+        self.heard = 0  # processing time (ms) of the last row
 
     def take(self, row, step: int) -> OpenBar | None:
         """Take one row; the bar that it closes, if any."""
@@ -165,7 +169,7 @@ class Symbol:
         tops = None
         if row.depth is not None and row.kind in ("orderbook_snapshot", "orderbook_delta"):
             book = self.books.setdefault(row.depth, LiveBook(row.diff_stream))
-            levels = tuple([(x["price"], x["size"]) for x in (side if side is not None else ()) if x["price"] is not None and x["size"] is not None] for side in (row.bids, row.asks))
+            levels = tuple([] if side is None else list(zip((flat := side.tolist())[::2], flat[1::2], strict=True)) for side in (row.bids, row.asks))
             tops = book.best() if book.take(row, levels) else None
         self.bar.add(row, tops)
         return closed
@@ -178,6 +182,17 @@ class Symbol:
         return closed
 
 
+def in_order(parts: Iterator[pd.DataFrame]) -> list[tuple]:
+    """A lane's rows by ``seq`` as named tuples of plain values, null for what is missing."""
+    rows, kind = [], None
+    for part in parts:
+        kind = kind or namedtuple("Row", part.columns)
+        columns = [part[c] for c in part.columns]
+        values = [[None if v != v else v for v in c.tolist()] if c.dtype.kind == "f" else c.tolist() for c in columns]
+        rows.extend(map(kind._make, zip(*values, strict=True)))
+    return sorted(rows, key=attrgetter("seq"))
+
+
 def stream_bars(tape: DataFrame, seconds: float = 60.0, idle: str | None = "10 minutes") -> DataFrame:
     """The 24 columns of ``bars.build_bars`` of the clamped tape, each bar once it is closed.
 
@@ -188,32 +203,42 @@ def stream_bars(tape: DataFrame, seconds: float = 60.0, idle: str | None = "10 m
     silent for ``idle`` of processing time closes its bar by a timer, and rows of
     that interval that still come count in the next bar. Without ``idle`` there is
     no timer; with it the query runs until it is stopped, as Spark then starts
-    batches without input. Books are part of a symbol's state: their levels, and at most HELD diffs while a diff stream
+    batches without input. Symbols share the states of ``state.lane``. Books are part of a symbol's state: their levels, and at most HELD diffs while a diff stream
     waits for its snapshot.
     """
     step = step_ns(seconds)
     wait_ms = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else None
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        symbol: Symbol = pickle.loads(state.get[0]) if state.exists else Symbol()
-        made = []
-        if state.hasTimedOut:
-            made.append(symbol.silent(step))
-        else:
-            rows = pd.concat(list(parts), ignore_index=True).sort_values("seq")
-            rows = rows.astype(object).where(rows.notna(), None)
-            made = [symbol.take(row, step) for row in rows.itertuples(index=False)]
-        state.update((pickle.dumps(symbol),))
-        if wait_ms and symbol.bar is not None:
-            state.setTimeoutDuration(wait_ms)
-        closed = [(*key, *bar.columns()) for bar in made if bar is not None]
+        symbols: dict[tuple, Symbol] = pickle.loads(state.get[0]) if state.exists else {}
+        now, closed = state.getCurrentProcessingTimeMs() if wait_ms else 0, []
+        for row in () if state.hasTimedOut else in_order(parts):
+            symbol = symbols.get((row.venue, row.symbol))
+            if symbol is None:
+                symbol = symbols[row.venue, row.symbol] = Symbol()
+            bar, symbol.heard = symbol.take(row, step), now
+            if bar is not None:
+                closed.append((row.venue, row.symbol, *bar.columns()))
+        if wait_ms:
+            for name, symbol in symbols.items():
+                if symbol.bar is not None and symbol.heard + wait_ms <= now:
+                    closed.append((*name, *symbol.silent(step).columns()))
+            waiting = [symbol.heard for symbol in symbols.values() if symbol.bar is not None]
+            if waiting:
+                state.setTimeoutDuration(min(waiting) + wait_ms - now)
+        state.update((pickle.dumps(symbols),))
         if closed:
             yield pd.DataFrame(closed, columns=BAR_COLUMNS)
 
+    def flat(side: str) -> F.Column:
+        """Price and size of each whole level in turn."""
+        whole = F.filter(level_numbers(side), lambda x: x["price"].isNotNull() & x["size"].isNotNull())
+        return F.flatten(F.transform(whole, lambda x: F.array(x["price"], x["size"]))).alias(side)
+
     named = [F.try_element_at("values", F.lit(n)).alias(n) for n in TICKER_COLUMNS]
     ids = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("update_id", "previous_update_id", "first_update_id")]
     rows = tape.select(
         "venue", "symbol", "seq", RECV, "kind", "price", "qty", "side", "depth", F.coalesce("sequence_gap", F.lit(False)).alias("sequence_gap"),
-        *ids, F.coalesce(is_diff_stream(), F.lit(False)).alias("diff_stream"), level_numbers("bids").alias("bids"), level_numbers("asks").alias("asks"), *named,
+        *ids, F.coalesce(is_diff_stream(), F.lit(False)).alias("diff_stream"), flat("bids"), flat("asks"), *named,
     )
-    return rows.groupBy("venue", "symbol").applyInPandasWithState(run, BAR, "symbol binary", "append", GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout)
+    return rows.withColumn("lane", lane()).groupBy("lane").applyInPandasWithState(run, BAR, "symbols binary", "append", GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout)

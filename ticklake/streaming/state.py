@@ -6,8 +6,10 @@ order keeps a small state for each key and drops no row. Bars are in ``live_bars
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,15 @@ def stream_clock(readings: DataFrame, interval: str, delay: str = "10 minutes")
     return rows.agg(F.count("ms").alias("n"), F.avg("ms").alias("mean"), F.min("ms").alias("least"), F.max("ms").alias("most")).select((F.unix_micros("window.start") * 1000).alias("start_ns"), "n", "mean", "least", "most")
 
 
+#: States that the symbols of a tape share. A checkpoint holds for the number that it began with.
+LANES = 1024
+
+
+def lane() -> F.Column:
+    """The state that a symbol belongs to: Spark hands states over one by one, which takes milliseconds each, whatever they hold, so small ones of many symbols would take most of the time."""
+    return F.pmod(F.xxhash64("venue", "symbol"), F.lit(LANES))
+
+
 def keyed(rows: DataFrame, keys: list[str], step: Callable, first: tuple, state: str, out: str, order: tuple[str, ...] = (RECV, "seq")) -> DataFrame:
     """``step(state, row) -> (state, columns)`` over each key's rows in order; the state is one tuple.
 
@@ -72,14 +83,21 @@ def stream_gaps(book_rows: DataFrame) -> DataFrame:
 def stream_clamped(tape: DataFrame) -> DataFrame:
     """Receive stamps clamped to the largest of the symbol's earlier arrivals; rows come by ``seq``, the arrival order."""
 
-    def step(state: tuple, row) -> tuple[tuple, tuple]:
-        stamp = int(getattr(row, RECV))
-        top = max(state[0], stamp)
-        mono = int(row.local_receive_mono_ns or 0)
-        return (top,), (int(row.seq), top, mono + top - stamp if mono > 0 else mono)
+    def run(key: tuple, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        tops: dict[tuple, int] = pickle.loads(held.get[0]) if held.exists else {}
+        rows = pd.concat(list(parts), ignore_index=True).sort_values("seq", kind="stable")
+        symbols = list(zip(rows["venue"], rows["symbol"], strict=True))
+        before = np.array([tops.get(s, -(2**62)) for s in symbols], "int64")
+        stamp, mono = rows[RECV].to_numpy("int64"), rows["local_receive_mono_ns"].to_numpy("int64")
+        top = np.maximum(before, rows.groupby(["venue", "symbol"], dropna=False, sort=False)[RECV].cummax().to_numpy("int64"))
+        tops.update(zip(symbols, top.tolist(), strict=True))  # the last of a symbol's is the largest
+        held.update((pickle.dumps(tops),))
+        yield rows.assign(**{RECV: top, "local_receive_mono_ns": np.where(mono > 0, mono + top - stamp, mono)})[names]
 
     out = f"venue string, symbol string, seq bigint, {RECV} bigint, local_receive_mono_ns bigint"
-    return keyed(tape.select("venue", "symbol", "seq", RECV, "local_receive_mono_ns"), ["venue", "symbol"], step, (-(2**62),), "top bigint", out, ("seq",))
+    names = [c.split()[0] for c in out.split(", ")]
+    rows = tape.select("venue", "symbol", "seq", RECV, F.coalesce("local_receive_mono_ns", F.lit(0)).alias("local_receive_mono_ns"))
+    return rows.withColumn("lane", lane()).groupBy("lane").applyInPandasWithState(run, out, "tops binary", "append", "NoTimeout")
 
 
 def stream_spans(changes: DataFrame) -> DataFrame:
