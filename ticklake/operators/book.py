@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.operators.carry import carried
+from ticklake.operators.carry import carried, parted
 from ticklake.operators.order import RECV, ord_
 from ticklake.operators.universe import as_of
 from ticklake.schema import NS_PER_HOUR, level_numbers
@@ -45,8 +45,7 @@ def mark_gaps(rows: DataFrame) -> DataFrame:
 
 def unbroken(rows: DataFrame, broken: F.Column) -> DataFrame:
     """Adds ``unbroken``: there is a snapshot up to the row, and no ``broken`` row since the last one. An epoch's rows needn't meet for it: the places of both are carried over hours."""
-    rows = stored(rows.withColumn("_broken", broken), "links")  # what follows reads it twice
-    rows = carried(rows, KEY, before={"_bad": F.when(F.col("_broken"), ord_()), "_shot": F.when(F.col("snapshot"), ord_())})
+    rows = carried(rows.withColumn("_broken", broken), KEY, before={"_bad": F.when(F.col("_broken"), ord_()), "_shot": F.when(F.col("snapshot"), ord_())})
     kept = F.col("_shot").isNotNull() & (F.col("_bad").isNull() | (F.col("_bad") < F.col("_shot")))
     return rows.withColumn("unbroken", F.col("snapshot") | (~F.col("_broken") & kept)).drop("_broken", "_bad", "_shot")
 
@@ -203,11 +202,13 @@ def tops(judged: DataFrame) -> DataFrame:
     """
     n = int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = applied_rows(judged).select(*KEY, "epoch", RECV, "seq", "sub", "final", "snapshot", level_numbers("bids").alias("bids"), level_numbers("asks").alias("asks"))
-    rows = stored(stretches(rows), "steps")
+    short, long = parted(stored(rows, "steps"), KEY, STRETCH)
+    rows = short.withColumn("stretch", F.lit(0).cast("bigint"))
     none = F.array().cast(rows.schema["bids"].dataType)
     first = {RECV: F.lit(-(2**62)), "seq": F.lit(-1).cast("bigint"), "sub": F.lit(-1).cast("bigint"), "final": F.lit(False), "snapshot": F.lit(True), "bids": F.coalesce("bids", none), "asks": F.coalesce("asks", none)}
-    if rows.filter("stretch > 0").limit(1).count():  # else every epoch lies in one stretch
-        rows = rows.unionByName(openings(rows).withColumns(first).select(rows.columns))
+    if long is not None:  # else every epoch lies in one stretch
+        long = stored(stretches(long), "stretches").select(rows.columns)
+        rows = rows.unionByName(long).unionByName(openings(long).withColumns(first).select(rows.columns))
     dealt = rows.repartition(n, *KEY, "epoch", "stretch").sortWithinPartitions(*KEY, "epoch", "stretch", RECV, "seq", "sub")
     return dealt.mapInArrow(_tops, TOP)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ticklake.operators.book import KEY as BOOK_KEY
 from ticklake.operators.book import book_rows, verdicts
-from ticklake.operators.carry import carried
+from ticklake.operators.carry import carried, parted
 from ticklake.operators.order import RECV, ord_
 from ticklake.schema import LANE_KINDS, feed
 from ticklake.sources.scratch import stored
@@ -96,8 +96,9 @@ def duplicate_ids(tape: DataFrame, window: int = ID_WINDOW) -> DataFrame:
     """Trades whose id is among the last ``window`` distinct ids of the symbol.
 
     An id's first sight within the window gets the next number; a repeat counts
-    while fewer than ``window`` new ids have come since. Segments of a symbol's
-    trades are streamed in order, each through a bounded memory of ids.
+    while fewer than ``window`` new ids have come since. A symbol's trades, of a
+    symbol with many its segments, are streamed in order, each through a bounded
+    memory of ids.
     """
 
     def run(batches):
@@ -122,8 +123,16 @@ def duplicate_ids(tape: DataFrame, window: int = ID_WINDOW) -> DataFrame:
 
     n = int(tape.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     trades = tape.filter("kind = 'public_trade' and coalesce(trade_id, '') <> ''").select("venue", "symbol", RECV, "seq", "trade_id")
-    dealt = segmented(trades, window).repartition(n, "venue", "symbol", "segment").sortWithinPartitions("venue", "symbol", "segment", "_n")
-    return dealt.mapInArrow(run, "venue string, symbol string, again bigint").groupBy("venue", "symbol").agg(F.sum("again").alias("duplicate_trade_ids"))
+    segment = ("venue", "symbol", "segment")
+
+    def counted(rows: DataFrame, *order: str) -> DataFrame:
+        return rows.repartition(n, *segment).sortWithinPartitions(*segment, *order).select(*segment, "trade_id", "seed").mapInArrow(run, "venue string, symbol string, again bigint")
+
+    short, long = parted(trades, segment[:2], max(CUT_EVERY, window))
+    found = counted(short.withColumns({"segment": F.lit(0).cast("bigint"), "seed": F.lit(False)}), RECV, "seq")
+    if long is not None:
+        found = found.unionByName(counted(segmented(long, window), "_n"))
+    return found.groupBy("venue", "symbol").agg(F.sum("again").alias("duplicate_trade_ids"))
 
 
 def build_quality(tape: DataFrame) -> DataFrame:
