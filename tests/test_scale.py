@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import functions as F
 
-from ticklake.operators import book, carry, order, universe
+from ticklake.operators import book, carry, coverage, order, universe
 from ticklake.plans import registry, stream_queries
 from ticklake.sources import file_audit, line_files, tape_files, testbed
 from ticklake.streaming import state
@@ -143,3 +143,15 @@ def test_tops_of_short_books_have_no_stretches(spark, monkeypatch):
     asked = []
     monkeypatch.setattr(book, "stretches", lambda steps: asked.append(steps) or steps)
     assert book.tops(judged).count() > 200 and not asked
+
+
+def test_cells_meet_their_hour_without_a_sweep(spark, tmp_path, monkeypatch):
+    asked, sweep = [], coverage.intersect
+    monkeypatch.setattr(coverage, "intersect", lambda a, b, *key: asked.append(key) or sweep(a, b, *key))
+    kinds = ("click", "error", "signup", "purchase")
+    events = [(i, START + i * 271_000_000, i % 12, kinds[i % 4], 1.0, 9 * (i % 5) + 7 * (i % 2)) for i in range(400)]
+    got, want = against_sql(spark, tmp_path, "coverage_ledger", events)
+    assert got == want and len(got) > 300 and asked == [("hour",)]
+    hours = spark.createDataFrame([("h", 0, 10), ("h", 20, 30), ("g", 0, 10)], "hour string, start bigint, end bigint")
+    grants = spark.createDataFrame([("h", "S", "f", 5, 8), ("h", "S", "f", 8, 22), ("h", None, "f", 0, 9), ("h", "T", "f", 10, 20)], "hour string, symbol string, feed string, start bigint, end bigint")
+    assert sorted(map(tuple, coverage.granted_spans(grants, hours).collect())) == [("h", "S", "f", 5, 10), ("h", "S", "f", 20, 22)]
