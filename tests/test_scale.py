@@ -155,3 +155,13 @@ def test_cells_meet_their_hour_without_a_sweep(spark, tmp_path, monkeypatch):
     hours = spark.createDataFrame([("h", 0, 10), ("h", 20, 30), ("g", 0, 10)], "hour string, start bigint, end bigint")
     grants = spark.createDataFrame([("h", "S", "f", 5, 8), ("h", "S", "f", 8, 22), ("h", None, "f", 0, 9), ("h", "T", "f", 10, 20)], "hour string, symbol string, feed string, start bigint, end bigint")
     assert sorted(map(tuple, coverage.granted_spans(grants, hours).collect())) == [("h", "S", "f", 5, 10), ("h", "S", "f", 20, 22)]
+
+
+def test_landed_files_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "PER_FILE", 7)
+    monkeypatch.setattr(stream_queries, "scratch", lambda spark, name: f"file://{tmp_path}/{name}")
+    events = [(i, START + i * 1_000_000, i % 5, "click", 2.0, i % 6) for i in range(100)]
+    got, want = against_sql(spark, tmp_path, "stream_frames", events)
+    assert got == want and len(got) > 80
+    assert len(list((tmp_path / "landed_bybit").glob("frames-*"))) == 15  # and not 8
+    assert len(list((tmp_path / "stream_bybit" / "checkpoint" / "commits").glob("[0-9]*"))) == 2

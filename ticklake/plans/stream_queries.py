@@ -45,14 +45,20 @@ def stream_bars_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_BARS_SQL = f"SELECT * FROM ({BARS_FULL_SQL}) QUALIFY bucket_start_ns < max(bucket_start_ns) OVER (PARTITION BY symbol)"
 
 
+#: Arrival numbers of a landed file at most: one task writes and one reads it, so it must not grow with the table.
+PER_FILE = 50_000
+
+
 def stream_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades of landed frame files, replayed in two runs: the second starts from the first one's checkpoint after more files have landed."""
     frames, found = testbed.frames(spark, sf_dir), None
-    per_file = (frames.agg(F.max("arrival_seq")).first()[0] or 0) // 8 + 1
+    last = frames.agg(F.max("arrival_seq")).first()[0] or 0
+    per_file = min(last // 8 + 1, PER_FILE)
+    cut = (last // per_file + 1) // 2 * per_file  # a file belongs to one run
     for venue in ("bybit", "binance"):
         root, home = scratch(spark, f"landed_{venue}"), scratch(spark, f"stream_{venue}")
         own = frames.filter(F.col("venue") == venue)
-        for half in (own.filter(f"arrival_seq < {4 * per_file}"), own.filter(f"arrival_seq >= {4 * per_file}")):
+        for half in (own.filter(f"arrival_seq < {cut}"), own.filter(f"arrival_seq >= {cut}")):
             frame_stream.land_frames(half, root, per_file)
             rows = drained(normalize.normalized(frame_stream.read_frames(spark, root, venue, stream=True)), "rows", home)
         found = rows if found is None else found.unionByName(rows)
