@@ -5,10 +5,11 @@ import json
 import duckdb
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from ticklake.operators import book, carry, coverage, order, universe
-from ticklake.plans import registry, stream_queries
+from ticklake.plans import file_queries, registry, stream_queries
 from ticklake.sources import file_audit, line_files, tape_files, testbed
 from ticklake.streaming import state
 
@@ -165,3 +166,25 @@ def test_landed_files_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
     assert got == want and len(got) > 80
     assert len(list((tmp_path / "landed_bybit").glob("frames-*"))) == 15  # and not 8
     assert len(list((tmp_path / "stream_bybit" / "checkpoint" / "commits").glob("[0-9]*"))) == 2
+
+
+def test_segments_are_damaged_by_their_receipts(spark, tmp_path, monkeypatch):
+    form, damage, asked = DataFrameReader.format, file_queries.damaged, []
+    monkeypatch.setattr(DataFrameReader, "format", lambda self, name: asked.append(name) or form(self, name))
+    monkeypatch.setattr(file_queries, "damaged", lambda *a: (damage(*a), damage(*a)))  # a task may run again
+    events = [(i, START + i * 7_200_000_000 - i % 4 * 3_600_000_000, i % 23, "click", 2.0, i % 6) for i in range(400)]
+    got, want = against_sql(spark, tmp_path, "audit_stored", events)
+    assert got == want and len(got) > 80
+    assert "binaryFile" not in asked  # a listing of each file by the driver
+
+
+def test_a_folder_of_many_folders_is_dealt_out(spark, tmp_path):
+    names = ["x", "a/x", "a/b/x", "a/b/y", *(f"a/c/s{i}/x" for i in range(30)), "a/c/s1/d/e/x", "a/.h/x", "a/_parts-1/x", "a/c/.x", "_temporary/x"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("")
+    found = file_audit.files_below(spark, f"file://{tmp_path}/*", "x*")
+    assert sorted(r.file for r in found.collect()) == sorted(f"file://{tmp_path}/{n}" for n in names[:3] + names[4:35])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 3  # the 30 folders of one are listed by several tasks
+    assert sorted(file_audit.entries(f"file://{tmp_path}/a/b")) == [(f"file://{tmp_path}/a/b/{n}", False) for n in "xy"]
