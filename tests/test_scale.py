@@ -1,16 +1,18 @@
 """What larger tables bring: values of zero, ties, copies, and many rows of one hour."""
 
+import gzip
 import json
 
 import duckdb
 import pyarrow as pa
+import pytest
 from pyarrow import fs
 from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from ticklake.operators import book, carry, coverage, order, universe
 from ticklake.plans import file_queries, registry, stream_queries
-from ticklake.sources import file_audit, line_files, tape_files, testbed
+from ticklake.sources import file_audit, line_files, scratch, tape_files, testbed
 from ticklake.streaming import state
 
 START = 1_704_067_200_000_000
@@ -188,3 +190,76 @@ def test_a_folder_of_many_folders_is_dealt_out(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 3  # the 30 folders of one are listed by several tasks
     assert sorted(file_audit.entries(f"file://{tmp_path}/a/b")) == [(f"file://{tmp_path}/a/b/{n}", False) for n in "xy"]
+
+
+def scratch_below(folder, made=None):
+    """A stand-in for ``scratch`` that makes its paths below ``folder`` and notes them."""
+
+    def path(spark, name):
+        made.append(folder / f"ticklake-{len(made):012x}" / name)
+        return f"file://{made[-1]}"
+
+    made = [] if made is None else made
+    return path
+
+
+def test_segments_of_a_part_are_all_that_lies_on_disk(spark, tmp_path, monkeypatch):
+    made, held, read = [], [], tape_files.read_tape
+    for module in (scratch, file_queries):
+        monkeypatch.setattr(module, "scratch", scratch_below(tmp_path, made))
+    monkeypatch.setattr(tape_files, "read_tape", lambda *a, **k: held.append(len(list(tmp_path.rglob("segment-0*")))) or read(*a, **k))
+    monkeypatch.setattr(file_queries, "SEGMENT_ROWS", 90)
+    events = [(i, START + i * 1_500_000_000 - i % 4 * 3_600_000_000, i % 7, "click", 2.0, i % 6) for i in range(400)]
+    got, want = against_sql(spark, tmp_path, "tape_layouts", events)
+    assert got == want and len(got) == 1200
+    assert 2 < sum(n > 0 for n in held) <= 5 and max(held) < sum(held) / 2  # several parts, none with most of the files
+    assert not list(tmp_path.rglob("segment-*")) and not [p for p in made if p.name == "segments" and p.exists()]
+
+
+def test_only_scratch_folders_are_cleared(spark, tmp_path):
+    path = tmp_path / "ticklake-0123456789ab" / "x"
+    for folder in (tmp_path / "tape", path):
+        (folder / "a" / "b" / "c").mkdir(parents=True)
+        for name in ("top", "a/one", "a/b/two", "a/b/c/three"):
+            (folder / name).write_text("")
+    with pytest.raises(ValueError, match="no path of scratch"):
+        scratch.clear(spark, f"file://{tmp_path}/tape", "*/*")
+    scratch.clear(spark, f"file://{path}", "*/*")
+    assert not path.exists() and (tmp_path / "tape" / "a" / "b" / "c" / "three").exists()
+    scratch.clear(spark, f"file://{path}", "*/*")  # a task may run again
+
+
+def test_gzipped_segments_are_read_alike_by_tasks(spark, tmp_path):
+    rows = [json.dumps({"kind": "ticker", "symbol": "aa" if i % 2 else None, "local_receive_ts_ns": i, "values": {"mark_price": 1.5}, "bids": [["1", "2"]]}) for i in range(5)]
+    bad = [b"", b"no row", b"  ", b'{"kind": 3, "local_receive_ts_ns": "x"}', b'{"kind": "\xff"}']
+    for day, hour, dir, member in (("2024-01-01", "00", "Aa", "segment-000000"), ("2024-01-01", "01", "Aa", "segment-000012"), ("2024-01-02", "00", "B", "segment-000000"), ("2024-01-02", "00", "_meta", "segment-000000")):
+        folder = tmp_path / "t" / day / hour / dir
+        folder.mkdir(parents=True)
+        (folder / f"{member}.jsonl.gz").write_bytes(gzip.compress(b"\n".join([*(r.encode() for r in rows), *bad])))
+    (tmp_path / "t" / "2024-01-01" / "00" / "_odd").mkdir()
+    (tmp_path / "t" / "2024-01-01" / "00" / "_odd" / "segment-000000.jsonl.gz").write_bytes(gzip.compress(b"{}\n"))
+    root = f"file://{tmp_path}/t"
+    got, want = tape_files.read_gzipped_tape(spark, root), tape_files.read_json_tape(spark, root)[0]
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    names = [c for c in got.columns if c != "seq"]
+    assert sorted(map(repr, got.select(names).collect())) == sorted(map(repr, want.select(names).collect())) and got.count() == 15
+    w = F.row_number().over(tape_files.Window.partitionBy("symbol").orderBy("seq"))
+    order = [sorted(map(tuple, x.select("symbol", "day", "hour", "local_receive_ts_ns", w).collect())) for x in (got, want)]
+    assert order[0] == order[1]
+    plan = tape_files.read_tape(spark, root, venue="v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Relation" not in plan
+    (tmp_path / "t" / "2024-01-02" / "00" / "B" / "segment-000001.jsonl").write_text(rows[0] + "\n")
+    assert tape_files.read_gzipped_tape(spark, root) is None and len(tape_files.read_tape(spark, root, venue="v").collect()) == 16
+
+
+def test_lines_of_small_and_large_files(tmp_path, monkeypatch):
+    for name, pack in (("a.gz", gzip.compress), ("b.txt", bytes)):
+        (tmp_path / name).write_bytes(pack(b"x\ny\r\n\nz"))
+        for size in (1 << 16, 4):
+            monkeypatch.setattr(file_audit, "SMALL", size)
+            assert list(file_audit.lines_in(f"file://{tmp_path}/{name}")) == [b"x\n", b"y\r\n", b"\n", b"z"]
+    (tmp_path / "c.gz").write_bytes(gzip.compress(b"x" * 100)[:-9])
+    for size in (1 << 16, 4):
+        monkeypatch.setattr(file_audit, "SMALL", size)
+        with pytest.raises(EOFError):
+            list(file_audit.lines_in(f"file://{tmp_path}/c.gz"))
